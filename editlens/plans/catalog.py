@@ -391,3 +391,7 @@ LEFT JOIN (SELECT wiki, min(arrival_time) AS first_seen FROM speed GROUP BY wiki
 def q_sentinel_latency(spark, sf):
     probes, view = monitor.probes_and_view(edit_events(spark, sf))
     return monitor.sentinel_latency(probes, view)
+
+
+# Storage- and stream-backed entries register themselves on import.
+from editlens.plans import catalog_io  # noqa: E402,F401

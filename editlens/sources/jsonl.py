@@ -34,14 +34,14 @@ def scan_jsonl(spark: SparkSession, path: str, schema: StructType = EVENT_SCHEMA
 
 
 def scan_jsonl_strict(spark: SparkSession, path: str, schema: StructType = EVENT_SCHEMA,
-                      recursive: bool = True) -> DataFrame:
+                      recursive: bool = True, glob: str = JSON_FILE_GLOB) -> DataFrame:
     """Scan that drops blank and unparsable lines, keeping only JSON objects.
 
     Unlike DROPMALFORMED it does not drop a row whose only fault is a field
     of the wrong type: that field is NULL, the row is kept.
     """
     ensure_utc(spark)
-    r = spark.read.option("pathGlobFilter", JSON_FILE_GLOB)
+    r = spark.read.option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
     lines = r.text(path).select(F.trim("value").alias("line"))
@@ -53,10 +53,15 @@ def scan_jsonl_strict(spark: SparkSession, path: str, schema: StructType = EVENT
 
 
 def record_counts_jsonl(df: DataFrame) -> DataFrame:
-    """total / malformed / parsed counts of a ``scan_jsonl(keep_corrupt=True)``."""
+    """total / malformed / parsed counts of a ``scan_jsonl(keep_corrupt=True)``.
+
+    Blank lines are not records. ``with_id`` also reads a data column, which
+    Spark requires before it evaluates the corrupt-record column of raw JSON.
+    """
     bad = F.col(CORRUPT).isNotNull()
     return df.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(bad).alias("malformed"),
         F.count_if(~bad).alias("parsed"),
+        F.count("id").alias("with_id"),
     )

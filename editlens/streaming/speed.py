@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from editlens.config import DEFAULTS
 from editlens.functions import group_key, has_wiki, not_bot, should_count
 from editlens.operators import views, windows
-from editlens.schema import SNAPSHOT_SCHEMA, STREAM_PAYLOAD
+from editlens.schema import STREAM_PAYLOAD
 from editlens.sources.raw import PARTS, hour_parts
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -118,35 +118,28 @@ def snapshot_writer(spark: SparkSession, panes_path: str, snapshot_path: str,
                     pane_s: int = DEFAULTS.pane_seconds):
     """foreachBatch body of the ranked snapshot.
 
-    1. The batch's admitted events are reduced to (pane_start, wiki, count)
-       plus the batch's latest event time and written to
-       ``panes_path/batch_id=<id>`` (overwrite: a retried batch replaces its
-       own output, so state is exactly-once and survives executor loss).
+    1. The batch is reduced to (pane_start, wiki, count of admitted events,
+       latest event time) and written to ``panes_path/batch_id=<id>``
+       (overwrite: a retried batch replaces its own output, so the pane table
+       is exactly-once and survives executor loss).
     2. The snapshot is recomputed from the live panes of the pane table as of
        the latest event time seen, ranked, and ``snapshot_path`` is
        overwritten -- stale ranks vanish by construction.
     """
+    from editlens.plans.serving import write_snapshot
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        admitted = (batch.filter(should_count())
-                    .select(group_key().alias("wiki"), "event_time"))
-        panes = (admitted.groupBy(F.window("event_time", f"{pane_s} seconds").start
-                                  .alias("pane_start"), "wiki")
-                 .agg(F.count(F.lit(1)).alias("count"),
+        panes = (batch.groupBy(F.window("event_time", f"{pane_s} seconds").start
+                               .alias("pane_start"), group_key().alias("wiki"))
+                 .agg(F.count_if(should_count()).alias("count"),
                       F.max("event_time").alias("max_event_time")))
         panes.write.mode("overwrite").parquet(f"{panes_path}/batch_id={batch_id}")
         table = spark.read.parquet(panes_path)
         as_of = table.select(F.max("max_event_time")).scalar()
-        live = table.filter(F.col("pane_start") >=
-                            as_of - F.make_interval(secs=F.lit(window_s)))
+        live = table.filter((F.col("count") > 0) & (F.col("pane_start") >= as_of -
+                            F.make_interval(secs=F.lit(window_s))))
         totals = live.groupBy("wiki").agg(F.sum("count").cast("long").alias("count"))
-        ranked = windows.rank_within(
-            views.top_n(totals, "count", "wiki", n).withColumn("_all", F.lit(1)),
-            ["_all"], "count", "wiki", n)
-        snap = ranked.select(
-            F.col("rank").cast("int").alias("rank"), "wiki", "count",
-            F.unix_seconds(F.current_timestamp()).alias("ts"),
-            F.lit(window_s).cast("int").alias("window_s"))
-        snap.coalesce(1).write.mode("overwrite").parquet(snapshot_path)
+        write_snapshot(views.top_n(totals, "count", "wiki", n), snapshot_path, window_s)
     return write
 
 
@@ -159,12 +152,6 @@ def run_snapshot(spark: SparkSession, events: DataFrame, panes_path: str, snapsh
                                                 n, window_s, pane_s))
 
 
-def read_snapshot(spark: SparkSession, snapshot_path: str, n: int = DEFAULTS.top_n) -> DataFrame:
-    """Ranks 1..n of the snapshot (missing ranks simply absent)."""
-    snap = spark.read.schema(SNAPSHOT_SCHEMA).parquet(snapshot_path)
-    return snap.filter(F.col("rank").between(1, n)).orderBy("rank")
-
-
 # ------------------------------------------------------------ dual write etc.
 
 def dual_writer(raw_path: str, log_path: str, clock: str = "arrival_time"):
@@ -201,3 +188,29 @@ def dedupe_stream(items: DataFrame, id_col: str = "id", time_col: str = "event_t
 def admitted(events: DataFrame) -> DataFrame:
     """Batch-layer population for stateless replays."""
     return events.filter(not_bot() & has_wiki())
+
+
+def land_events(events: DataFrame, path: str, clock: str = "arrival_time") -> None:
+    """Land full edit events (both clocks, microsecond precision) as JSON
+    files, one folder per arrival day -- the input a file-source replay or a
+    test stream reads."""
+    (events.withColumn("date", F.to_date(clock))
+     .repartition("date").write.mode("overwrite").partitionBy("date")
+     .option("timestampFormat", TS_FORMAT).json(path))
+
+
+def read_events_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Stream of landed edit events (schema EDIT_EVENT)."""
+    from editlens.schema import EDIT_EVENT
+    from editlens.sources.stream import stream_source
+    opts = {"timestampFormat": TS_FORMAT}
+    if max_files:
+        opts["maxFilesPerTrigger"] = str(int(max_files))
+    return stream_source(spark, "json", path, EDIT_EVENT, opts)
+
+
+def run_to_end(q: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Block until an availableNow query has drained its input; surface errors."""
+    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
