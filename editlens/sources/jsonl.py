@@ -38,7 +38,8 @@ def scan_jsonl_strict(spark: SparkSession, path: str, schema: StructType = EVENT
     """Scan that drops blank and unparsable lines, keeping only JSON objects.
 
     Unlike DROPMALFORMED it does not drop a row whose only fault is a field
-    of the wrong type: that field is NULL, the row is kept.
+    of the wrong type: that field is NULL, the row is kept. Duplicate keys are
+    accepted (last one wins), as a plain JSON decoder does.
     """
     ensure_utc(spark)
     r = spark.read.option("pathGlobFilter", glob)
@@ -47,7 +48,7 @@ def scan_jsonl_strict(spark: SparkSession, path: str, schema: StructType = EVENT
     lines = r.text(path).select(F.trim("value").alias("line"))
     ok = (
         lines.filter(F.col("line").startswith("{"))
-        .filter(F.try_parse_json("line").isNotNull())
+        .filter(F.get_json_object("line", "$").isNotNull())
     )
     return ok.select(F.from_json("line", schema).alias("e")).select("e.*")
 
