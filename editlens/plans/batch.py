@@ -13,6 +13,7 @@ from __future__ import annotations
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from editlens.config import DEFAULTS
 from editlens.operators import views
@@ -20,15 +21,29 @@ from editlens.operators import views
 VIEW_NAMES = ("wiki_edits", "keywords", "hourly", "edit_types", "namespaces")
 
 
+# view -> column it needs besides wiki / bot
+VIEW_COLUMN = {"wiki_edits": "wiki", "keywords": "title", "hourly": "timestamp",
+               "edit_types": "type", "namespaces": "namespace"}
+
+
 def batch_views(events: DataFrame, top_n: int = DEFAULTS.top_n,
                 exclude_bots: bool = DEFAULTS.exclude_bots) -> dict[str, DataFrame]:
-    return {
-        "wiki_edits": views.wiki_edits(events, top_n, exclude_bots),
-        "keywords": views.keywords(events, top_n, exclude_bots),
-        "hourly": views.hourly(events, exclude_bots),
-        "edit_types": views.edit_types(events, True, exclude_bots),
-        "namespaces": views.namespaces(events, top_n, exclude_bots),
+    """The five views; a view whose column the input lacks is skipped
+    (schema guard for caller-supplied tables -- a driver-side check of the
+    schema, no data is read)."""
+    if "bot" not in events.columns:
+        events, exclude_bots = events.withColumn("bot", F.lit(None).cast("boolean")), False
+    build = {
+        "wiki_edits": lambda: views.wiki_edits(events, top_n, exclude_bots),
+        "keywords": lambda: views.keywords(events, top_n, exclude_bots),
+        "hourly": lambda: views.hourly(events, exclude_bots),
+        "edit_types": lambda: views.edit_types(events, True, exclude_bots),
+        "namespaces": lambda: views.namespaces(events, top_n, exclude_bots),
     }
+    if "wiki" not in events.columns:
+        return {}
+    return {name: make() for name, make in build.items()
+            if VIEW_COLUMN[name] in events.columns}
 
 
 def write_view(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -52,16 +67,14 @@ def run_batch(spark: SparkSession, events: DataFrame, out: str,
 
 def to_bronze(events: DataFrame, path: str) -> None:
     """Raw JSON history -> Parquet partitioned by event date."""
-    from pyspark.sql import functions as F
     (events.withColumn("event_date", F.to_date("event_time"))
-     .repartition("event_date").write.mode("overwrite")
+     .hint("rebalance", "event_date").write.mode("overwrite")
      .partitionBy("event_date").parquet(path))
 
 
 def main(argv: list[str]) -> None:
     from editlens.session import build_session
     from editlens.sources.jsonl import scan_jsonl
-    from pyspark.sql import functions as F
 
     src, out = argv[1], argv[2]
     top_n = int(argv[3]) if len(argv) > 3 else DEFAULTS.top_n

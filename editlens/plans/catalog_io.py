@@ -245,4 +245,34 @@ def q_dual_write(spark, sf):
                          .select(F.lit("log").alias("sink"), "records")))
 
 
-_ = to_ntz  # re-exported helper used by streaming outputs
+_RAW_SQL = with_edits("""
+SELECT strftime(arrival_time, '%Y') AS yyyy, strftime(arrival_time, '%m') AS mm,
+       strftime(arrival_time, '%d') AS dd, strftime(arrival_time, '%H') AS "HH",
+       count(*) AS records
+FROM edits GROUP BY ALL""")
+
+
+@query("stream_raw_sink", _RAW_SQL)
+def q_stream_raw_sink(spark, sf):
+    from editlens.sources import run_raw_sink
+    src = speed.read_events_stream(spark, _landed(spark, sf), max_files=REPLAY_FILES_PER_TRIGGER)
+    out, ck = fresh_dir(spark, "raw-stream"), fresh_dir(spark, "ckpt")
+    speed.run_to_end(run_raw_sink(src, out, ck, max_records_per_file=DEFAULTS.flush_size,
+                                  trigger=AVAILABLE_NOW))
+    schema = StructType(EVENT_SCHEMA.fields + [StructField(p, StringType(), True) for p in PARTS])
+    return (spark.read.schema(schema).json(out)
+            .groupBy(*PARTS).agg(F.count(F.lit(1)).alias("records")))
+
+
+@query("stream_source", with_edits(f"SELECT {_EVENT_SQL_COLS}, event_time FROM edits"))
+def q_stream_source(spark, sf):
+    from editlens.sources import stream_source
+    from editlens.schema import EDIT_EVENT
+    src = stream_source(spark, "json", _landed(spark, sf), EDIT_EVENT,
+                        {"timestampFormat": speed.TS_FORMAT,
+                         "maxFilesPerTrigger": str(REPLAY_FILES_PER_TRIGGER)})
+    out, ck = fresh_dir(spark, "stream-src"), fresh_dir(spark, "ckpt")
+    q = speed._start(src.select(*EVENT_COLS, to_ntz("event_time").alias("event_time")),
+                     ck, "append", "parquet", out, AVAILABLE_NOW)
+    speed.run_to_end(q)
+    return spark.read.parquet(out)

@@ -7,7 +7,7 @@ from editlens.sources.fixtures import (
     part_names,
 )
 from editlens.sources.jsonl import scan_jsonl, scan_jsonl_strict
-from editlens.sources.raw import land_raw, raw_inventory, write_jsonl
+from editlens.sources.raw import land_raw, raw_inventory, run_raw_sink, write_jsonl
 from editlens.sources.feed import dedupe_by_id, explode_features
 from editlens.sources.stream import stream_source
 
@@ -20,6 +20,7 @@ __all__ = [
     "load_table",
     "part_names",
     "raw_inventory",
+    "run_raw_sink",
     "scan_jsonl",
     "scan_jsonl_strict",
     "stream_source",

@@ -97,9 +97,14 @@ def overwrite_each_batch(out: str):
     return write
 
 
-def run_complete(stream: DataFrame, out: str, checkpoint: str,
-                 trigger: dict | None = None) -> StreamingQuery:
-    """Complete-mode aggregate, the whole result table replaced per trigger."""
+def run_complete(stream: DataFrame, out: str | None, checkpoint: str,
+                 trigger: dict | None = None, sink: str = "parquet") -> StreamingQuery:
+    """Complete-mode aggregate, the whole result table replaced per trigger
+    (``sink="console"`` prints it instead, for live demos)."""
+    if sink == "console":
+        return (stream.writeStream.outputMode("complete").format("console")
+                .option("truncate", False).option("checkpointLocation", checkpoint)
+                .trigger(**(trigger or {"processingTime": DEFAULTS.trigger})).start())
     return _start(stream, checkpoint, "complete", trigger=trigger,
                   foreach_batch=overwrite_each_batch(out))
 
@@ -113,18 +118,18 @@ def top_wikis_complete(events: DataFrame, n: int = DEFAULTS.top_n) -> DataFrame:
 
 # ------------------------------------------------------------------- snapshot
 
-def snapshot_writer(spark: SparkSession, panes_path: str, snapshot_path: str,
+def snapshot_writer(spark: SparkSession, state_path: str, snapshot_path: str,
                     n: int = DEFAULTS.top_n, window_s: int = DEFAULTS.window_seconds,
                     pane_s: int = DEFAULTS.pane_seconds):
     """foreachBatch body of the ranked snapshot.
 
-    1. The batch is reduced to (pane_start, wiki, count of admitted events,
-       latest event time) and written to ``panes_path/batch_id=<id>``
-       (overwrite: a retried batch replaces its own output, so the pane table
-       is exactly-once and survives executor loss).
-    2. The snapshot is recomputed from the live panes of the pane table as of
-       the latest event time seen, ranked, and ``snapshot_path`` is
-       overwritten -- stale ranks vanish by construction.
+    The live panes are durable, versioned state: version ``v=<id>`` is
+    version ``v=<id-1>`` plus the batch's pane counts, with panes that left
+    the trailing window dropped. So the state stays bounded by
+    window / pane x keys, a retried batch recomputes and overwrites its own
+    version (idempotent), and lineage is cut at every batch by the write.
+    The snapshot -- ranks 1..n as of the latest event time seen -- is then
+    overwritten, so stale ranks vanish by construction.
     """
     from editlens.plans.serving import write_snapshot
 
@@ -133,22 +138,28 @@ def snapshot_writer(spark: SparkSession, panes_path: str, snapshot_path: str,
                                .alias("pane_start"), group_key().alias("wiki"))
                  .agg(F.count_if(should_count()).alias("count"),
                       F.max("event_time").alias("max_event_time")))
-        panes.write.mode("overwrite").parquet(f"{panes_path}/batch_id={batch_id}")
-        table = spark.read.parquet(panes_path)
-        as_of = table.select(F.max("max_event_time")).scalar()
-        live = table.filter((F.col("count") > 0) & (F.col("pane_start") >= as_of -
-                            F.make_interval(secs=F.lit(window_s))))
-        totals = live.groupBy("wiki").agg(F.sum("count").cast("long").alias("count"))
+        if batch_id > 0:
+            prev = spark.read.schema(panes.schema).parquet(f"{state_path}/v={batch_id - 1}")
+            panes = (prev.unionByName(panes).groupBy("pane_start", "wiki")
+                     .agg(F.sum("count").cast("long").alias("count"),
+                          F.max("max_event_time").alias("max_event_time")))
+        as_of = panes.select(F.max("max_event_time")).scalar()
+        live = panes.filter(F.col("pane_start") >= as_of - F.make_interval(secs=F.lit(window_s)))
+        out = f"{state_path}/v={batch_id}"
+        live.write.mode("overwrite").parquet(out)
+        state = spark.read.parquet(out)
+        totals = (state.filter(F.col("count") > 0).groupBy("wiki")
+                  .agg(F.sum("count").cast("long").alias("count")))
         write_snapshot(views.top_n(totals, "count", "wiki", n), snapshot_path, window_s)
     return write
 
 
-def run_snapshot(spark: SparkSession, events: DataFrame, panes_path: str, snapshot_path: str,
+def run_snapshot(spark: SparkSession, events: DataFrame, state_path: str, snapshot_path: str,
                  checkpoint: str, n: int = DEFAULTS.top_n,
                  window_s: int = DEFAULTS.window_seconds, pane_s: int = DEFAULTS.pane_seconds,
                  trigger: dict | None = None) -> StreamingQuery:
     return _start(events, checkpoint, "append", trigger=trigger,
-                  foreach_batch=snapshot_writer(spark, panes_path, snapshot_path,
+                  foreach_batch=snapshot_writer(spark, state_path, snapshot_path,
                                                 n, window_s, pane_s))
 
 
@@ -195,7 +206,7 @@ def land_events(events: DataFrame, path: str, clock: str = "arrival_time") -> No
     files, one folder per arrival day -- the input a file-source replay or a
     test stream reads."""
     (events.withColumn("date", F.to_date(clock))
-     .repartition("date").write.mode("overwrite").partitionBy("date")
+     .hint("rebalance", "date").write.mode("overwrite").partitionBy("date")
      .option("timestampFormat", TS_FORMAT).json(path))
 
 
@@ -214,3 +225,37 @@ def run_to_end(q: StreamingQuery, timeout_s: float | None = None) -> None:
     q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+
+
+def main(argv: list[str]) -> None:
+    """spark-submit -m editlens.streaming.speed <windowed|snapshot> <in> <out> <checkpoint>
+
+    Reads landed JSON under <in> (or set EDITLENS_SOURCE_FORMAT and
+    EDITLENS_SOURCE_OPTIONS='{"k": "v"}' for a log connector)."""
+    import json
+    import os
+
+    from editlens.schema import EDIT_EVENT
+    from editlens.session import build_session
+    from editlens.sources.stream import stream_source
+
+    mode, src, out, ck = argv[1:5]
+    spark = build_session(app=f"editlens-speed-{mode}")
+    fmt = os.environ.get("EDITLENS_SOURCE_FORMAT", "json")
+    opts = json.loads(os.environ.get("EDITLENS_SOURCE_OPTIONS", "{}"))
+    if fmt == "json":
+        opts.setdefault("timestampFormat", TS_FORMAT)
+    stream = stream_source(spark, fmt, src if fmt in ("json", "parquet") else None,
+                           EDIT_EVENT, opts)
+    if fmt not in ("json", "parquet"):
+        stream = decode_envelope(stream)
+    if mode == "windowed":
+        q = run_speed(stream, out, ck)
+    else:
+        q = run_snapshot(spark, stream, f"{out}/state", f"{out}/snapshot", ck)
+    q.awaitTermination()
+
+
+if __name__ == "__main__":
+    import sys
+    main(sys.argv)
