@@ -88,6 +88,17 @@ def q_tokens(spark, sf):
         F.coalesce(F.size(F.array_distinct(toks)), F.lit(0)).alias("n_distinct"))
 
 
+@query("keywords_strict", with_edits(f"""
+SELECT kw, count(*) AS freq FROM (
+  SELECT unnest({tokens_expr('title')}) AS kw FROM edits
+  WHERE coalesce(bot, FALSE) = FALSE AND title IS NOT NULL)
+GROUP BY kw ORDER BY freq DESC, kw ASC LIMIT 10"""))
+def q_keywords_strict(spark, sf):
+    """Single-machine twin semantics: titles of every non-bot row, wiki or not."""
+    ev = edit_events(spark, sf).filter(not_bot()).na.drop(subset=["title"])
+    return views.keywords(ev, TOP, population=False)
+
+
 @query("hourly", with_edits(f"""
 SELECT {hour_expr('"timestamp"')} AS hour, count(*) AS edits FROM pop
 GROUP BY hour ORDER BY hour"""))

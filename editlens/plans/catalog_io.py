@@ -20,7 +20,7 @@ from editlens.plans.catalog import (
     PANE_S, TOP, TRAIL_S, _BATCH_TOP, _LIVE, _MERGE_SQL, _SLIDING_SQL, _SPEED_TOP, _TRAIL_SQL,
     _batch_and_speed, latest_event, query,
 )
-from editlens.plans.oracle import with_edits
+from editlens.plans.oracle import tokens_expr, with_edits
 from editlens.schema import EVENT_SCHEMA
 from editlens.session import fresh_dir
 from editlens.sources import edit_events, land_raw, raw_inventory, scan_jsonl, scan_jsonl_strict
@@ -36,14 +36,24 @@ REPLAY_FILES_PER_TRIGGER = 8
 
 # ------------------------------------------------------------ serving tables
 
-@query("batch_view_topn", with_edits("""
-SELECT wiki, edits FROM pop GROUP BY wiki ORDER BY edits DESC, wiki ASC LIMIT 10""".replace(
-    "SELECT wiki, edits FROM pop", "SELECT wiki, count(*) AS edits FROM pop")))
+_TOP_WIKIS_SQL = """
+SELECT wiki, count(*) AS edits FROM pop GROUP BY wiki ORDER BY edits DESC, wiki ASC LIMIT 10"""
+VIEWS_DB = "editlens_views"
+
+
+@query("batch_view_topn", with_edits(_TOP_WIKIS_SQL))
 def q_batch_view_topn(spark, sf):
+    """Batch view written, registered as an external table, read back with
+    ORDER BY edits DESC LIMIT n."""
     out = fresh_dir(spark, "views")
     path = f"{out}/wiki_edits"
     batch_job.write_view(views.wiki_edits(edit_events(spark, sf), TOP), path, single_file=True)
-    return views.top_n(spark.read.parquet(path).select("wiki", "edits"), "edits", "wiki", TOP)
+    (table,) = serving.register_views(spark, VIEWS_DB, {"wiki_edits_topn": path})
+    return serving.table_topn(spark, table, TOP)
+
+
+def _kw_cte() -> str:
+    return f"kws AS (SELECT unnest({tokens_expr('title')}) AS kw FROM pop)"
 
 
 @query("register_views", with_edits("""
@@ -52,14 +62,11 @@ UNION ALL SELECT 'keywords', LEAST(count(DISTINCT kw), 10) FROM kws
 UNION ALL SELECT 'hourly', count(DISTINCT strftime(make_timestamp("timestamp" * 1000000), '%Y-%m-%d %H')) FROM pop
 UNION ALL SELECT 'edit_types', count(DISTINCT coalesce(type, '<null>')) FROM pop
 UNION ALL SELECT 'namespaces', LEAST(count(DISTINCT coalesce(CAST(namespace AS VARCHAR), '<null>')), 10) FROM pop""",
-    "kws AS (SELECT unnest(list_filter(regexp_extract_all(lower(title), '[a-zA-Z]{3,}'), "
-    "lambda x: x NOT IN ('the', 'a', 'an', 'of', 'and', 'in', 'to', 'is', 'it', 'for', 'on', 'at', "
-    "'by', 'with', 'from', 'as', 'or', 'that', 'this'))) AS kw FROM pop)"))
+    _kw_cte()))
 def q_register_views(spark, sf):
     out = fresh_dir(spark, "views")
     paths = batch_job.run_batch(spark, edit_events(spark, sf), out, TOP)
-    db = "editlens_views"
-    tables = serving.register_views(spark, db, paths)
+    tables = serving.register_views(spark, VIEWS_DB, paths)
     parts = [spark.table(t).agg(F.count(F.lit(1)).alias("n"))
              .select(F.lit(t.split(".", 1)[1]).alias("view"), "n") for t in tables]
     res = parts[0]
@@ -68,6 +75,18 @@ def q_register_views(spark, sf):
     return res
 
 
+@query("merged_view", with_edits(_MERGE_SQL, _LIVE, _BATCH_TOP, _SPEED_TOP))
+def q_merged_view(spark, sf):
+    """Serving path end to end: batch view table (history up to the cutoff)
+    + speed snapshot file, merged."""
+    ev, cutoff, batch, speed_top = _batch_and_speed(spark, sf)
+    out = fresh_dir(spark, "serving")
+    batch_job.write_view(batch, f"{out}/wiki_edits", single_file=True)
+    (table,) = serving.register_views(spark, VIEWS_DB, {"wiki_edits_cutoff": f"{out}/wiki_edits"})
+    serving.write_snapshot(speed_top, f"{out}/snapshot", TRAIL_S)
+    return serving.merged_view(spark, table, f"{out}/snapshot", TOP)
+
+
 @query("speed_view", with_edits("""
 SELECT CAST(row_number() OVER (ORDER BY count DESC, wiki ASC) AS INTEGER) AS rank, wiki, count,
        CAST(86400 AS INTEGER) AS window_s

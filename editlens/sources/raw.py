@@ -74,5 +74,3 @@ def raw_inventory(spark: SparkSession, path: str, max_keys: int = 5000) -> DataF
         (F.count(F.lit(1)) > F.lit(max_keys)).alias("truncated"),
     )
 
-
-DEFAULT_FLUSH = DEFAULTS.flush_size
