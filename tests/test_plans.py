@@ -34,3 +34,10 @@ def test_scan_is_pruned(spark):
 def test_alarm_is_not_a_global_window(spark):
     p = plan(E.queries()["rate_alarm"](spark, SF_SMALL))
     assert "SinglePartition" not in p
+
+
+def test_dedupe_and_topn_per_window_reduce_before_shuffle(spark):
+    p = plan(E.queries()["dedupe_by_id"](spark, SF_SMALL))
+    assert "partial_min" in p
+    p = plan(E.queries()["topn_per_window"](spark, SF_SMALL))
+    assert "WindowGroupLimit" in p and "Partial" in p
