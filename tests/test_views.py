@@ -87,3 +87,17 @@ def test_views_single_pass_equals_separate_views(spark):
     assert {k: v for (view, k), v in sp.items() if view == "type"} == \
         {r.type: r.edits for r in views.edit_types(df).collect()}
     assert sum(v for (view, _), v in sp.items() if view == "hour") == len(kept())
+
+
+def test_batch_job_single_pass_equals_per_view_scans(spark, tmp_dir):
+    from editlens.plans import batch
+    from editlens.sources import edit_events
+    from tests.conftest import SF_SMALL
+    ev = edit_events(spark, SF_SMALL)
+    a = batch.run_batch(spark, ev, f"{tmp_dir}/a", 10, single_pass=True)
+    b = batch.run_batch(spark, ev, f"{tmp_dir}/b", 10, single_pass=False)
+    assert sorted(a) == sorted(b) == sorted(batch.VIEW_NAMES)
+    for name in a:
+        x, y = spark.read.parquet(a[name]), spark.read.parquet(b[name])
+        assert x.schema == y.schema, name
+        assert sorted(map(repr, x.collect())) == sorted(map(repr, y.collect())), name
