@@ -32,12 +32,18 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events_as_edits(events: DataFrame) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
+    # json_tuple is a generator, so each props document is parsed once per
+    # row; a scalar get_json_object would be re-evaluated in every filter
+    # and projection that uses k.
     et = F.col("event_type")
     event_time = F.col("ts").cast("timestamp")
     return (
         events.select(
-            k.alias("_k"),
+            F.json_tuple("props", "k").alias("_kj"),
+            "event_id", "user_id", "event_type", "ts",
+        )
+        .select(
+            F.col("_kj").cast("int").alias("_k"),
             "event_id", "user_id", "event_type",
             event_time.alias("event_time"),
         )
@@ -74,8 +80,22 @@ def edit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_as_edits(load_table(spark, sf_dir, "events"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an under-split scan over all cores before CPU-heavy per-row work.
+
+    A table stored as a single Parquet row group scans in one task; whole-text
+    tokenization would then run on one core. When the scan already has at
+    least as many splits as the cluster has cores -- any large table -- this
+    is a no-op and adds no shuffle.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_table(spark, sf_dir, "documents")
+    return spread(load_table(spark, sf_dir, "documents"))
 
 
 def part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
