@@ -7,12 +7,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from editlens.config import DEFAULTS
-from editlens.functions import group_key, has_wiki, not_bot, should_count, to_ntz
+from editlens.functions import (
+    epoch_ms,
+    group_key,
+    has_wiki,
+    minute_start,
+    not_bot,
+    should_count,
+    to_ntz,
+)
 from editlens.schema import EVENT_SCHEMA
 
 
 def _period(ts: str, seconds: int) -> Column:
-    return to_ntz(F.window(ts, f"{int(seconds)} seconds").start)
+    return to_ntz(minute_start(ts, seconds))
 
 
 def records_per_period(events: DataFrame, clock: str = "arrival_time",
@@ -34,7 +42,7 @@ def lag_per_period(events: DataFrame, clock: str = "arrival_time",
                    event_clock: str = "event_time",
                    seconds: int = DEFAULTS.period_seconds) -> DataFrame:
     """(minute, max_lag_ms): worst ingest lag per period."""
-    lag = F.unix_millis(clock) - F.unix_millis(event_clock)
+    lag = epoch_ms(clock) - epoch_ms(event_clock)
     return (events.groupBy(_period(clock, seconds).alias("minute"))
             .agg(F.max(lag).alias("max_lag_ms")))
 

@@ -17,7 +17,7 @@ from editlens.operators import merge, views, windows
 from editlens.plans import batch as batch_job
 from editlens.plans import serving
 from editlens.plans.catalog import (
-    PANE_S, TOP, TRAIL_S, _BATCH_TOP, _LIVE, _MERGE_SQL, _SLIDING_SQL, _SPEED_TOP, _TRAIL_SQL,
+    PANE_S, TOP, TRAIL_S, _BATCH_TOP, _LIVE, _MERGE_SQL, _SLIDING_SQL, _SPEED_TOP,
     _batch_and_speed, latest_event, query,
 )
 from editlens.plans.oracle import tokens_expr, with_edits
@@ -222,7 +222,7 @@ def q_stream_dedupe(spark, sf):
     src = speed.read_events_stream(spark, _landed(spark, sf))
     out, ck = fresh_dir(spark, "dedupe"), fresh_dir(spark, "ckpt")
     d = speed.dedupe_stream(src.select("title", "event_time"), "title")
-    q = speed._start(d, ck, "append", "parquet", out, AVAILABLE_NOW)
+    q = speed.start_query(d, ck, "append", "parquet", out, AVAILABLE_NOW)
     speed.run_to_end(q)
     return spark.read.parquet(out).select("title")
 
@@ -231,7 +231,7 @@ def q_stream_dedupe(spark, sf):
 def q_replay_stream(spark, sf):
     src = speed.read_events_stream(spark, _landed(spark, sf), max_files=REPLAY_FILES_PER_TRIGGER)
     out, ck = fresh_dir(spark, "replay"), fresh_dir(spark, "ckpt")
-    q = speed._start(speed.admitted(src).select(*EVENT_COLS), ck, "append", "parquet", out,
+    q = speed.start_query(speed.admitted(src).select(*EVENT_COLS), ck, "append", "parquet", out,
                      AVAILABLE_NOW)
     speed.run_to_end(q)
     return spark.read.parquet(out)
@@ -291,7 +291,7 @@ def q_stream_source(spark, sf):
                         {"timestampFormat": speed.TS_FORMAT,
                          "maxFilesPerTrigger": str(REPLAY_FILES_PER_TRIGGER)})
     out, ck = fresh_dir(spark, "stream-src"), fresh_dir(spark, "ckpt")
-    q = speed._start(src.select(*EVENT_COLS, to_ntz("event_time").alias("event_time")),
+    q = speed.start_query(src.select(*EVENT_COLS, to_ntz("event_time").alias("event_time")),
                      ck, "append", "parquet", out, AVAILABLE_NOW)
     speed.run_to_end(q)
     return spark.read.parquet(out)

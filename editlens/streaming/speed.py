@@ -67,9 +67,11 @@ def windowed_counts(events: DataFrame, time_col: str = "event_time",
     return windows.sliding_counts(pop, time_col, "wiki", window, slide)
 
 
-def _start(stream: DataFrame, checkpoint: str, output_mode: str, sink: str | None = None,
+def start_query(stream: DataFrame, checkpoint: str, output_mode: str, sink: str | None = None,
            path: str | None = None, trigger: dict | None = None,
            foreach_batch=None) -> StreamingQuery:
+    """writeStream with a checkpoint, a file sink or a foreachBatch writer, and
+    a trigger (processing time by default)."""
     w = (stream.writeStream.outputMode(output_mode)
          .option("checkpointLocation", checkpoint))
     if foreach_batch is not None:
@@ -87,7 +89,7 @@ def run_speed(events: DataFrame, out: str, checkpoint: str, trigger: dict | None
     """Windowed counts appended to Parquet; a window is written once the
     watermark passes its end."""
     stream = windowed_counts(events, panes=panes, watermark=watermark)
-    return _start(stream, checkpoint, "append", "parquet", out, trigger)
+    return start_query(stream, checkpoint, "append", "parquet", out, trigger)
 
 
 def overwrite_each_batch(out: str):
@@ -105,7 +107,7 @@ def run_complete(stream: DataFrame, out: str | None, checkpoint: str,
         return (stream.writeStream.outputMode("complete").format("console")
                 .option("truncate", False).option("checkpointLocation", checkpoint)
                 .trigger(**(trigger or {"processingTime": DEFAULTS.trigger})).start())
-    return _start(stream, checkpoint, "complete", trigger=trigger,
+    return start_query(stream, checkpoint, "complete", trigger=trigger,
                   foreach_batch=overwrite_each_batch(out))
 
 
@@ -158,7 +160,7 @@ def run_snapshot(spark: SparkSession, events: DataFrame, state_path: str, snapsh
                  checkpoint: str, n: int = DEFAULTS.top_n,
                  window_s: int = DEFAULTS.window_seconds, pane_s: int = DEFAULTS.pane_seconds,
                  trigger: dict | None = None) -> StreamingQuery:
-    return _start(events, checkpoint, "append", trigger=trigger,
+    return start_query(events, checkpoint, "append", trigger=trigger,
                   foreach_batch=snapshot_writer(spark, state_path, snapshot_path,
                                                 n, window_s, pane_s))
 
@@ -183,7 +185,7 @@ def dual_writer(raw_path: str, log_path: str, clock: str = "arrival_time"):
 
 def run_dual_write(events: DataFrame, raw_path: str, log_path: str, checkpoint: str,
                    trigger: dict | None = None) -> StreamingQuery:
-    return _start(events, checkpoint, "append", trigger=trigger,
+    return start_query(events, checkpoint, "append", trigger=trigger,
                   foreach_batch=dual_writer(raw_path, log_path))
 
 

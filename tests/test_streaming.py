@@ -50,7 +50,7 @@ def test_restart_resumes_from_checkpoint(spark, tmp_dir):
     put(src, "f2.json", [("a", 3)])
 
     def replay():
-        q = speed._start(speed.admitted(speed.read_events_stream(spark, src, max_files=1))
+        q = speed.start_query(speed.admitted(speed.read_events_stream(spark, src, max_files=1))
                          .select("wiki", "id"), ck, "append", "parquet", out,
                          {"availableNow": True})
         speed.run_to_end(q)
