@@ -76,28 +76,28 @@ def speed_population(events: DataFrame) -> DataFrame:
             .select(group_key().alias("wiki"), "event_time"))
 
 
-def live_pane_counts(events: DataFrame, as_of: Column,
-                     window_s: int = DEFAULTS.window_seconds,
-                     pane_s: int = DEFAULTS.pane_seconds) -> DataFrame:
-    """Pane counts of the trailing window ending at ``as_of``.
+def live_events(events: DataFrame, as_of: Column,
+                window_s: int = DEFAULTS.window_seconds,
+                pane_s: int = DEFAULTS.pane_seconds) -> DataFrame:
+    """Admitted events in the trailing window ending at ``as_of``.
 
     A pane is live while its start is >= ``as_of - window_s`` (so coverage is
     between window - pane and window); events after ``as_of`` are ignored.
-    ``as_of`` may be a literal or a scalar subquery column.
+    ``as_of`` may be a literal or a scalar subquery column. The rule is
+    applied per row, so batch callers aggregate once, by key, with no pane
+    stage; the streaming snapshot keeps pane counts as its state instead.
     """
     pop = speed_population(events).filter(F.col("event_time") <= as_of)
     start = F.window("event_time", _secs(pane_s)).start
-    live = pop.filter(start >= as_of - F.make_interval(secs=F.lit(window_s)))
-    return live.groupBy(start.alias("pane_start"), "wiki").agg(
-        F.count(F.lit(1)).alias("count"))
+    return pop.filter(start >= as_of - F.make_interval(secs=F.lit(window_s)))
 
 
 def trailing_topn(events: DataFrame, as_of: Column, n: int = DEFAULTS.top_n,
                   window_s: int = DEFAULTS.window_seconds,
                   pane_s: int = DEFAULTS.pane_seconds) -> DataFrame:
     """Top-N keys over the trailing window: (wiki, count)."""
-    totals = (live_pane_counts(events, as_of, window_s, pane_s)
-              .groupBy("wiki").agg(F.sum("count").cast("long").alias("count")))
+    totals = (live_events(events, as_of, window_s, pane_s)
+              .groupBy("wiki").agg(F.count(F.lit(1)).alias("count")))
     return top_n(totals, "count", "wiki", n)
 
 
@@ -105,8 +105,8 @@ def trailing_size(events: DataFrame, as_of: Column,
                   window_s: int = DEFAULTS.window_seconds,
                   pane_s: int = DEFAULTS.pane_seconds) -> DataFrame:
     """Number of events currently in the trailing window: (size)."""
-    return (live_pane_counts(events, as_of, window_s, pane_s)
-            .agg(F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("size")))
+    return live_events(events, as_of, window_s, pane_s).agg(
+        F.count(F.lit(1)).alias("size"))
 
 
 def rank_within(df: DataFrame, part: list[str], by: str, key: str, n: int,
