@@ -70,6 +70,16 @@ def pane_sliding(events: DataFrame, time_col: str = "event_time",
     return flatten_window(panes_to_windows(panes, "wiki", window, slide))
 
 
+def as_of_literal(df: DataFrame, col: str) -> Column:
+    """max(col) of a frame as a TIMESTAMP literal (NULL when empty).
+
+    Spark computes the max with a partial aggregate per task; only the single
+    value (as epoch microseconds, independent of any time zone) is fetched.
+    """
+    v = df.agg(F.max(F.unix_micros(col))).first()[0]
+    return F.timestamp_micros(F.lit(v).cast("long"))
+
+
 def speed_population(events: DataFrame) -> DataFrame:
     """Rows the speed layer counts, keyed by ``group_key`` -> column ``wiki``."""
     return (events.filter(should_count())

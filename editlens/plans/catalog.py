@@ -18,6 +18,7 @@ from editlens.config import DEFAULTS
 from editlens.functions import group_key, not_bot, partition_key, should_count, to_ntz
 from editlens.operators import amplify, merge, monitor, views, windows
 from editlens.plans.oracle import bucket_expr, hour_expr, tokens_expr, with_edits
+from editlens.operators.windows import as_of_literal
 from editlens.sources import dedupe_by_id, documents, edit_events, part_names
 
 TOP = DEFAULTS.top_n
@@ -41,8 +42,11 @@ def query(name: str, sql: str | None = None):
 
 
 def latest_event(ev: DataFrame):
-    """max(event_time) as a scalar subquery (planned once, no join)."""
-    return ev.select(F.max("event_time")).scalar()
+    """max(event_time), computed once by Spark -- a partial max per task, so a
+    single number reaches the driver -- and used as a literal. (A scalar
+    subquery would be re-executed at each place the plan uses it, i.e. one
+    more scan of the time column per use.)"""
+    return as_of_literal(ev, "event_time")
 
 
 # ---------------------------------------------------------------- batch views

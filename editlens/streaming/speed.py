@@ -145,10 +145,15 @@ def snapshot_writer(spark: SparkSession, state_path: str, snapshot_path: str,
             panes = (prev.unionByName(panes).groupBy("pane_start", "wiki")
                      .agg(F.sum("count").cast("long").alias("count"),
                           F.max("max_event_time").alias("max_event_time")))
-        as_of = panes.select(F.max("max_event_time")).scalar()
-        live = panes.filter(F.col("pane_start") >= as_of - F.make_interval(secs=F.lit(window_s)))
-        out = f"{state_path}/v={batch_id}"
-        live.write.mode("overwrite").parquet(out)
+        panes = panes.persist()   # used twice: latest time, then the state write
+        try:
+            as_of = windows.as_of_literal(panes, "max_event_time")
+            live = panes.filter(F.col("pane_start") >=
+                                as_of - F.make_interval(secs=F.lit(window_s)))
+            out = f"{state_path}/v={batch_id}"
+            live.write.mode("overwrite").parquet(out)
+        finally:
+            panes.unpersist()
         state = spark.read.parquet(out)
         totals = (state.filter(F.col("count") > 0).groupBy("wiki")
                   .agg(F.sum("count").cast("long").alias("count")))
