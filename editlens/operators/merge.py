@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from editlens.config import DEFAULTS
-from editlens.functions import group_key, should_count
-from editlens.operators.views import batch_population, top_n
+from editlens.functions import group_key, has_wiki, not_bot, should_count
+from editlens.operators.views import top_n
 
 VIEW_SCHEMA = StructType([StructField("wiki", StringType(), True),
                           StructField("edits", LongType(), True)])
@@ -63,9 +63,17 @@ def lambda_merge_exact(events: DataFrame, cutoff: Column, n: int = DEFAULTS.top_
                        exclude_bots: bool = DEFAULTS.exclude_bots) -> DataFrame:
     """Exact merge: batch counts of events at or before ``cutoff`` plus speed
     counts strictly after it, both untruncated, then top-N. No event is
-    counted twice and no wiki is lost to an early limit."""
-    batch = (batch_population(events.filter(F.col("event_time") <= cutoff), exclude_bots)
-             .groupBy("wiki").agg(F.count(F.lit(1)).alias("edits")))
-    speed = (events.filter(F.col("event_time") > cutoff).filter(should_count())
-             .groupBy(group_key().alias("wiki")).agg(F.count(F.lit(1)).alias("count")))
-    return lambda_merge(batch, speed, n)
+    counted twice and no wiki is lost to an early limit.
+
+    The two populations are disjoint in time, so this is one scan and one
+    aggregate: each row is keyed the way its layer keys it (batch: wiki;
+    speed: wiki, else id, else 'unknown') and counted once.
+    """
+    before = F.col("event_time") <= cutoff
+    in_batch = before & has_wiki() & (not_bot() if exclude_bots else F.lit(True))
+    in_speed = ~before & should_count()
+    key = F.when(in_batch, F.col("wiki")).otherwise(group_key())
+    merged = (events.filter(in_batch | in_speed)
+              .groupBy(key.alias("wiki"))
+              .agg(F.count(F.lit(1)).alias("edits_merged")))
+    return top_n(merged, "edits_merged", "wiki", n)
