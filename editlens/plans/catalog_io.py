@@ -103,7 +103,7 @@ def q_speed_view(spark, sf):
 def q_merged_csv_roundtrip(spark, sf):
     _, _, batch, speed_top = _batch_and_speed(spark, sf)
     path = fresh_dir(spark, "merged-csv")
-    serving.export_csv(merge.lambda_merge(batch, speed_top, TOP), path)
+    serving.export_csv(merge.lambda_merge(batch, speed_top, TOP), path, single_file=True)
     return serving.read_csv(spark, path)
 
 

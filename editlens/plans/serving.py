@@ -38,7 +38,10 @@ def batch_view_or_none(spark: SparkSession, table: str) -> DataFrame | None:
 
 
 def write_snapshot(ranked: DataFrame, path: str, window_s: int) -> None:
-    """(wiki, count) already top-N -> ranked snapshot rows, overwrite."""
+    """(wiki, count) already top-N -> ranked snapshot rows, overwrite.
+
+    The input is a top-N result (n rows), so ranking it without a partition
+    key and writing one file are bounded by n."""
     from editlens.operators.windows import rank_within
     n = 2 ** 31 - 1
     r = rank_within(ranked.withColumn("_all", F.lit(1)), ["_all"], "count", "wiki", n)
@@ -62,8 +65,11 @@ def merged_view(spark: SparkSession, batch_table: str, snapshot_path: str,
     return merge.lambda_merge(batch, speed, n)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV with a header. ``single_file`` funnels the frame into one task:
+    only for bounded results such as a top-N view."""
+    (df.coalesce(1) if single_file else df).write.mode("overwrite") \
+        .option("header", True).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType = MERGED_SCHEMA) -> DataFrame:
