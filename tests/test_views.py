@@ -8,26 +8,26 @@ from tests.conftest import edits_df
 
 BASE = 1_721_000_000
 SAMPLE = [
-    ("enwiki", "Apache Spark", "edit", False, 0),
-    ("enwiki", "Amazon Kinesis", "edit", False, 0),
-    ("dewiki", "Berlin und Brandenburg", "edit", False, 0),
-    ("frwiki", "Informatique en nuage", "new", False, 2),
-    ("enwiki", "The Lambda architecture", "edit", False, 0),
-    ("enwiki", "Amazon Web Services", "edit", True, 2),
-    ("jawiki", "東京 Tokyo", "edit", False, 0),
-    ("ruwiki", "Москва", "categorize", False, 0),
-    ("eswiki", "Computación en la nube", "edit", False, 0),
-    ("ptwiki", "Computação em nuvem", "edit", False, 0),
-    ("enwiki", "Amazon River", "edit", False, 0),
-    ("dewiki", "Apache Kafka", "new", False, 0),
-    ("enwiki", "Big data", "edit", False, None),
-    ("enwiki", "Stream processing", "edit", None, 0),
+    ("enwiki", "Volcanic eruption of 1883", "edit", False, 0),
+    ("enwiki", "River delta formation", "edit", False, 0),
+    ("dewiki", "Schwarzwald und Bodensee", "edit", False, 0),
+    ("frwiki", "Fête de la musique", "new", False, 2),
+    ("enwiki", "The history of glassblowing", "edit", False, 0),
+    ("enwiki", "River otter", "edit", True, 2),
+    ("jawiki", "富士山 Fuji", "edit", False, 0),
+    ("ruwiki", "Байкал", "categorize", False, 0),
+    ("eswiki", "Río de la Plata", "edit", False, 0),
+    ("ptwiki", "Pão de Açúcar", "edit", False, 0),
+    ("enwiki", "River Thames", "edit", False, 0),
+    ("dewiki", "Volcanic winter", "new", False, 0),
+    ("enwiki", "Glacier retreat", "edit", False, None),
+    ("enwiki", "Tidal energy", "edit", None, 0),
     (None, "Orphan page", "edit", False, 0),
-    ("enwiki", "MapReduce", "log", False, 0),
-    ("dewiki", "Datenbank", "edit", False, 0),
-    ("frwiki", "Base de données", "edit", False, 0),
-    ("enwiki", "Cloud computing", None, False, 0),
-    ("enwiki", "Wikimedia Commons", "edit", False, 0),
+    ("enwiki", "Lighthouse", "log", False, 0),
+    ("dewiki", "Eisenbahn", "edit", False, 0),
+    ("frwiki", "Côte d'Azur", "edit", False, 0),
+    ("enwiki", "Coral reef", None, False, 0),
+    ("enwiki", "Desert varnish", "edit", False, 0),
 ]
 
 
