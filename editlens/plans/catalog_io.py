@@ -295,3 +295,32 @@ def q_stream_source(spark, sf):
                      ck, "append", "parquet", out, AVAILABLE_NOW)
     speed.run_to_end(q)
     return spark.read.parquet(out)
+
+
+@query("stream_late_drop", with_edits("""
+SELECT ws AS window_start, ws + INTERVAL 5 MINUTE AS window_end, wiki, count(*) AS edits
+FROM (SELECT wiki, unnest(generate_series(date_trunc('minute', event_time) - INTERVAL 4 MINUTE,
+                                          date_trunc('minute', event_time), INTERVAL 1 MINUTE)) AS ws
+      FROM pop WHERE event_time >= (SELECT mid FROM bounds))
+GROUP BY ALL
+HAVING ws + INTERVAL 5 MINUTE <= (SELECT max(event_time) FROM pop) - INTERVAL 1 MINUTE""",
+    "bounds AS (SELECT make_timestamp((epoch_us(min(event_time)) + epoch_us(max(event_time))) // 2)"
+    " AS mid FROM edits)"))
+def q_stream_late_drop(spark, sf):
+    """Late data past the watermark is dropped.
+
+    Wave 1 (events from the time midpoint on) is streamed to completion,
+    which moves the watermark to its latest event minus the delay; wave 2
+    (the older half) lands afterwards and is streamed from the same
+    checkpoint: every wave-2 row is below the watermark, so the output holds
+    wave-1 windows only.
+    """
+    ev = edit_events(spark, sf)
+    lo, hi = ev.agg(F.min(F.unix_micros("event_time")), F.max(F.unix_micros("event_time"))).first()
+    mid = F.timestamp_micros(F.lit((lo + hi) // 2).cast("long"))
+    base, out, ck = fresh_dir(spark, "late-in"), fresh_dir(spark, "late-out"), fresh_dir(spark, "ckpt")
+    speed.land_events(ev.filter(F.col("event_time") >= mid), f"{base}/wave=1")
+    speed.run_to_end(speed.run_speed(speed.read_events_stream(spark, base), out, ck, AVAILABLE_NOW))
+    speed.land_events(ev.filter(F.col("event_time") < mid), f"{base}/wave=2")
+    speed.run_to_end(speed.run_speed(speed.read_events_stream(spark, base), out, ck, AVAILABLE_NOW))
+    return windows.flatten_window(spark.read.parquet(out))
