@@ -236,6 +236,7 @@ def run_to_end(q: StreamingQuery, timeout_s: float | None = None) -> None:
 
 def main(argv: list[str]) -> None:
     """spark-submit -m editlens.streaming.speed <windowed|snapshot> <in> <out> <checkpoint>
+    [--available-now]   (drain what is there, then stop; default: 30 s triggers forever)
 
     Reads landed JSON under <in> (or set EDITLENS_SOURCE_FORMAT and
     EDITLENS_SOURCE_OPTIONS='{"k": "v"}' for a log connector)."""
@@ -246,7 +247,9 @@ def main(argv: list[str]) -> None:
     from editlens.session import build_session
     from editlens.sources.stream import stream_source
 
-    mode, src, out, ck = argv[1:5]
+    available_now = "--available-now" in argv
+    mode, src, out, ck = [a for a in argv[1:] if not a.startswith("--")][:4]
+    trigger = {"availableNow": True} if available_now else None
     spark = build_session(app=f"editlens-speed-{mode}")
     fmt = os.environ.get("EDITLENS_SOURCE_FORMAT", "json")
     opts = json.loads(os.environ.get("EDITLENS_SOURCE_OPTIONS", "{}"))
@@ -257,10 +260,11 @@ def main(argv: list[str]) -> None:
     if fmt not in ("json", "parquet"):
         stream = decode_envelope(stream)
     if mode == "windowed":
-        q = run_speed(stream, out, ck)
+        q = run_speed(stream, out, ck, trigger)
     else:
-        q = run_snapshot(spark, stream, f"{out}/state", f"{out}/snapshot", ck)
-    q.awaitTermination()
+        q = run_snapshot(spark, stream, f"{out}/state", f"{out}/snapshot", ck, trigger=trigger)
+    run_to_end(q)
+    spark.stop()
 
 
 if __name__ == "__main__":
