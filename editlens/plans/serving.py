@@ -15,9 +15,17 @@ MERGED_SCHEMA = StructType([StructField("wiki", StringType(), True),
                             StructField("edits_merged", LongType(), True)])
 
 
-def register_views(spark: SparkSession, db: str, paths: dict[str, str]) -> list[str]:
-    """CREATE DATABASE; DROP + CREATE one external Parquet table per view."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+def register_views(spark: SparkSession, db: str, paths: dict[str, str],
+                   location: str | None = None) -> list[str]:
+    """CREATE DATABASE; DROP + CREATE one external Parquet table per view.
+
+    The database folder defaults to ``<shared root>/warehouse/<db>.db`` (the
+    cluster's shared storage), not the driver's working directory.
+    """
+    if location is None:
+        from editlens.session import shared_root
+        location = f"{shared_root(spark)}/editlens/warehouse/{db}.db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{location}'")
     names = []
     for name, path in paths.items():
         spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
