@@ -21,6 +21,23 @@ def _secs(s: int) -> str:
     return f"{int(s)} seconds"
 
 
+_UNIT_S = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def duration_seconds(d: str) -> int | None:
+    """'5 minutes' -> 300; None when the string is not a simple 'N unit'."""
+    import re
+    m = re.fullmatch(r"\s*(\d+)\s*(second|minute|hour|day)s?\s*", d.lower())
+    return int(m.group(1)) * _UNIT_S[m.group(2)] if m else None
+
+
+def panes_are_exact(window: str, slide: str, pane_s: int) -> bool:
+    """Pane pre-aggregation equals direct hopping only when every hop
+    boundary is a pane boundary."""
+    w, s = duration_seconds(window), duration_seconds(slide)
+    return w is not None and s is not None and w % pane_s == 0 and s % pane_s == 0
+
+
 def flatten_window(df: DataFrame, col: str = "window", ntz: bool = True) -> DataFrame:
     start, end = F.col(f"{col}.start"), F.col(f"{col}.end")
     if ntz:
@@ -64,7 +81,10 @@ def pane_sliding(events: DataFrame, time_col: str = "event_time",
                  window: str = DEFAULTS.window, slide: str = DEFAULTS.slide,
                  pane_s: int = DEFAULTS.pane_seconds,
                  exclude_bots: bool = DEFAULTS.exclude_bots) -> DataFrame:
-    """Same result as :func:`sliding_edits`, via pre-aggregated panes."""
+    """Same result as :func:`sliding_edits`, via pre-aggregated panes (the
+    direct form is used when the window or slide is not a pane multiple)."""
+    if not panes_are_exact(window, slide, pane_s):
+        return sliding_edits(events, time_col, window, slide, exclude_bots)
     pop = batch_population(events.select("wiki", "bot", time_col), exclude_bots)
     panes = pane_counts(pop, time_col, "wiki", pane_s)
     return flatten_window(panes_to_windows(panes, "wiki", window, slide))

@@ -61,7 +61,7 @@ def windowed_counts(events: DataFrame, time_col: str = "event_time",
     operators; append mode only). Output: window struct, wiki, edits.
     """
     pop = views.batch_population(events).withWatermark(time_col, watermark)
-    if panes:
+    if panes and windows.panes_are_exact(window, slide, pane_s):
         return windows.panes_to_windows(windows.pane_counts(pop, time_col, "wiki", pane_s),
                                         "wiki", window, slide)
     return windows.sliding_counts(pop, time_col, "wiki", window, slide)

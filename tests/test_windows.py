@@ -81,3 +81,15 @@ def test_topn_per_window_uses_partial_group_limit(spark):
     assert (at(0).replace(second=0), "b", 1) in rows
     plan = res._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_pane_form_falls_back_when_not_aligned(spark):
+    from editlens.operators.windows import duration_seconds, panes_are_exact
+    assert duration_seconds("5 minutes") == 300 and duration_seconds("1 hour") == 3600
+    assert panes_are_exact("5 minutes", "1 minute", 10)
+    assert not panes_are_exact("5 minutes", "45 seconds", 10)
+    rnd = random.Random(9)
+    df = ev(spark, [(rnd.choice("ab"), rnd.randint(0, 1200)) for _ in range(200)])
+    a = windows.sliding_edits(df, window="70 seconds", slide="35 seconds")
+    b = windows.pane_sliding(df, window="70 seconds", slide="35 seconds", pane_s=10)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
