@@ -162,6 +162,19 @@ def q_views_single_pass(spark, sf):
     return views.views_single_pass(edit_events(spark, sf))
 
 
+# Spark's to_json writes compact JSON and omits NULL fields; concat_ws skips
+# NULL parts, so the same payload string is rebuilt field by field.
+_PAYLOAD_SQL = """'{' || concat_ws(',',
+    CASE WHEN wiki IS NOT NULL THEN '"wiki":' || to_json(wiki) END,
+    CASE WHEN title IS NOT NULL THEN '"title":' || to_json(title) END,
+    CASE WHEN type IS NOT NULL THEN '"type":' || to_json(type) END,
+    CASE WHEN bot IS NOT NULL THEN '"bot":' || CASE WHEN bot THEN 'true' ELSE 'false' END END,
+    CASE WHEN "timestamp" IS NOT NULL THEN '"timestamp":' || CAST("timestamp" AS VARCHAR) END,
+    CASE WHEN "user" IS NOT NULL THEN '"user":' || to_json("user") END,
+    CASE WHEN namespace IS NOT NULL THEN '"namespace":' || CAST(namespace AS VARCHAR) END,
+    CASE WHEN id IS NOT NULL THEN '"id":' || to_json(id) END) || '}'"""
+
+
 # ------------------------------------------------------- predicates and keys
 
 @query("bot_filter", with_edits("""
@@ -191,6 +204,14 @@ def q_partition_key(spark, sf):
     return edit_events(spark, sf).select("id", partition_key("wiki").alias("pkey"))
 
 
+@query("log_records", with_edits(f"""
+SELECT coalesce(nullif(substring(wiki, 1, 256), ''), 'default') AS key, {_PAYLOAD_SQL} AS value
+FROM edits"""))
+def q_log_records(spark, sf):
+    from editlens.sources import to_log_records
+    return to_log_records(edit_events(spark, sf))
+
+
 @query("fanout", with_edits("""
 SELECT pkey, count(*) AS n, count(_fanout) AS clones FROM (
   SELECT CASE WHEN i > 0 THEN i END AS _fanout,
@@ -356,19 +377,6 @@ def q_throughput_summary(spark, sf):
     return monitor.throughput_summary(monitor.records_per_period(edit_events(spark, sf)))
 
 
-# Spark's to_json writes compact JSON and omits NULL fields; concat_ws skips
-# NULL parts, so the same payload string is rebuilt field by field.
-_PAYLOAD_SQL = """'{' || concat_ws(',',
-    CASE WHEN wiki IS NOT NULL THEN '"wiki":' || to_json(wiki) END,
-    CASE WHEN title IS NOT NULL THEN '"title":' || to_json(title) END,
-    CASE WHEN type IS NOT NULL THEN '"type":' || to_json(type) END,
-    CASE WHEN bot IS NOT NULL THEN '"bot":' || CASE WHEN bot THEN 'true' ELSE 'false' END END,
-    CASE WHEN "timestamp" IS NOT NULL THEN '"timestamp":' || CAST("timestamp" AS VARCHAR) END,
-    CASE WHEN "user" IS NOT NULL THEN '"user":' || to_json("user") END,
-    CASE WHEN namespace IS NOT NULL THEN '"namespace":' || CAST(namespace AS VARCHAR) END,
-    CASE WHEN id IS NOT NULL THEN '"id":' || to_json(id) END) || '}'"""
-
-
 @query("bytes_per_min", with_edits(f"""
 SELECT {bucket_expr('arrival_time', 60)} AS minute,
        CAST(sum(octet_length(encode({_PAYLOAD_SQL}))) AS BIGINT) AS bytes

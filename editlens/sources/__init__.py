@@ -9,7 +9,7 @@ from editlens.sources.fixtures import (
 from editlens.sources.jsonl import scan_jsonl, scan_jsonl_strict
 from editlens.sources.raw import land_raw, raw_inventory, run_raw_sink, write_jsonl
 from editlens.sources.feed import dedupe_by_id, explode_features
-from editlens.sources.stream import stream_source
+from editlens.sources.stream import stream_source, to_log_records, write_log
 
 __all__ = [
     "dedupe_by_id",
@@ -24,5 +24,7 @@ __all__ = [
     "scan_jsonl",
     "scan_jsonl_strict",
     "stream_source",
+    "to_log_records",
+    "write_log",
     "write_jsonl",
 ]

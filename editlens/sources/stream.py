@@ -28,3 +28,35 @@ def stream_source(spark: SparkSession, fmt: str = "json", path: str | None = Non
     for k, v in (options or {}).items():
         r = r.option(k, v)
     return r.load(path) if path is not None else r.load()
+
+
+def to_log_records(events: DataFrame, key_col: str = "wiki",
+                   payload_cols: list[str] | None = None) -> DataFrame:
+    """Rows -> (key, value) records for a log sink (Kafka-style connector).
+
+    key = the stream partition key of ``key_col`` (first 256 chars, else
+    'default'); value = the compact JSON payload. Records with the same key
+    land in the same log partition, in order.
+    """
+    from pyspark.sql import functions as F
+
+    from editlens.functions import partition_key
+    cols = payload_cols or [f.name for f in EVENT_SCHEMA.fields]
+    return events.select(
+        partition_key(key_col).alias("key"),
+        F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value"))
+
+
+def write_log(records: DataFrame, fmt: str, options: dict[str, str],
+              checkpoint: str | None = None, trigger: dict | None = None):
+    """Write (key, value) records to a log connector, batch or streaming."""
+    if records.isStreaming:
+        w = records.writeStream.format(fmt).option("checkpointLocation", checkpoint)
+        for k, v in options.items():
+            w = w.option(k, v)
+        return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
+    w = records.write.format(fmt)
+    for k, v in options.items():
+        w = w.option(k, v)
+    w.save()
+    return None
