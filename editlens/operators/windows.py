@@ -117,6 +117,10 @@ def live_events(events: DataFrame, as_of: Column,
     applied per row, so batch callers aggregate once, by key, with no pane
     stage; the streaming snapshot keeps pane counts as its state instead.
     """
+    lower = as_of - F.make_interval(secs=F.lit(window_s + pane_s))
+    if "event_date" in events.columns:
+        # date-partitioned (bronze) history: prune partitions outside the window
+        events = events.filter(F.col("event_date").between(F.to_date(lower), F.to_date(as_of)))
     pop = speed_population(events).filter(F.col("event_time") <= as_of)
     start = F.window("event_time", _secs(pane_s)).start
     return pop.filter(start >= as_of - F.make_interval(secs=F.lit(window_s)))

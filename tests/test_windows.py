@@ -93,3 +93,14 @@ def test_pane_form_falls_back_when_not_aligned(spark):
     a = windows.sliding_edits(df, window="70 seconds", slide="35 seconds")
     b = windows.pane_sliding(df, window="70 seconds", slide="35 seconds", pane_s=10)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_trailing_window_prunes_date_partitions(spark, tmp_dir):
+    from editlens.plans.batch import to_bronze
+    items = [("a", 0), ("b", 3 * 86400), ("a", 3 * 86400 + 5)]
+    to_bronze(ev(spark, items), tmp_dir)
+    bronze = spark.read.parquet(tmp_dir)
+    res = windows.trailing_topn(bronze, F.lit(at(3 * 86400 + 5)), 10, 60, 5)
+    assert [tuple(r) for r in res.collect()] == [("a", 1), ("b", 1)]
+    plan = res._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
