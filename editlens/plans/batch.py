@@ -105,14 +105,28 @@ def to_bronze(events: DataFrame, path: str) -> None:
 
 
 def main(argv: list[str]) -> None:
+    """spark-submit -m editlens.plans.batch <raw> <out> [top_n] [--bronze <path>]
+
+    With ``--bronze`` the raw JSON is first converted to date-partitioned
+    Parquet at <path> and the views are built from that (vectorized, pruned
+    scans; later runs can start from the bronze table)."""
     from editlens.session import build_session
     from editlens.sources.jsonl import scan_jsonl
 
-    src, out = argv[1], argv[2]
-    top_n = int(argv[3]) if len(argv) > 3 else DEFAULTS.top_n
+    args = list(argv[1:])
+    bronze = None
+    if "--bronze" in args:
+        i = args.index("--bronze")
+        bronze = args[i + 1]
+        del args[i:i + 2]
+    src, out = args[0], args[1]
+    top_n = int(args[2]) if len(args) > 2 else DEFAULTS.top_n
     spark = build_session(app="editlens-batch")
     raw = scan_jsonl(spark, src, recursive=True)
     events = raw.withColumn("event_time", F.timestamp_seconds("timestamp"))
+    if bronze:
+        to_bronze(events, bronze)
+        events = spark.read.parquet(bronze)
     run_batch(spark, events, out, top_n)
     spark.stop()
 

@@ -20,7 +20,8 @@ def test_batch_job_main(spark, tmp_dir):
     raw, out = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "out")
     ev = edit_events(spark, SF_SMALL)
     land_raw(ev, raw, max_records_per_file=200)
-    run("editlens.plans.batch", raw, out, "10")
+    run("editlens.plans.batch", raw, out, "10", "--bronze", os.path.join(tmp_dir, "bronze"))
+    assert any(d.startswith("event_date=") for d in os.listdir(os.path.join(tmp_dir, "bronze")))
     assert sorted(d for d in os.listdir(out) if not d.startswith("_")) == \
         ["edit_types", "hourly", "keywords", "namespaces", "wiki_edits"]
     got = spark.read.parquet(os.path.join(out, "wiki_edits")).collect()
