@@ -129,3 +129,21 @@ def speedup(runs: DataFrame, workers: str = "workers", runtime: str = "runtime_s
     w = Window.orderBy(F.col(workers)).rowsBetween(Window.unboundedPreceding, 0)
     return runs.select(workers, runtime,
                        (F.first(runtime).over(w) / F.col(runtime)).alias("speedup"))
+
+
+def progress_frame(spark, query) -> DataFrame:
+    """Per-micro-batch metrics of a live streaming query as a DataFrame:
+    (batch_id, timestamp, input_rows, input_rows_per_s, processed_rows_per_s,
+    trigger_ms, watermark). Built from ``query.recentProgress`` -- a short,
+    bounded history kept by Spark on the driver."""
+    rows = []
+    for p in query.recentProgress:
+        rows.append((int(p["batchId"]), str(p["timestamp"]), int(p["numInputRows"]),
+                     float(p.get("inputRowsPerSecond") or 0.0),
+                     float(p.get("processedRowsPerSecond") or 0.0),
+                     int(p["durationMs"].get("triggerExecution", 0)),
+                     (p.get("eventTime") or {}).get("watermark")))
+    schema = ("batch_id long, timestamp string, input_rows long, input_rows_per_s double, "
+              "processed_rows_per_s double, trigger_ms long, watermark string")
+    return spark.createDataFrame(rows, schema).withColumn(
+        "timestamp", F.to_timestamp("timestamp"))

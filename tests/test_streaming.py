@@ -80,3 +80,14 @@ def test_envelope_round_trip_and_bad_payload(spark):
         "data binary, approximateArrivalTimestamp timestamp")
     rows = speed.decode_envelope(df).collect()
     assert [(r.wiki, r.title, r.timestamp) for r in rows] == [("enwiki", "X", 5)]
+
+
+def test_progress_frame(spark, tmp_dir):
+    from editlens.operators.monitor import progress_frame
+    src, out, ck = (os.path.join(tmp_dir, d) for d in ("in", "out", "ck"))
+    put(src, "f1.json", [("a", 1), ("b", 2)])
+    q = speed.run_speed(speed.read_events_stream(spark, src), out, ck, {"availableNow": True})
+    speed.run_to_end(q)
+    pf = progress_frame(spark, q).orderBy("batch_id").collect()
+    assert pf[0].input_rows == 2 and pf[0].batch_id == 0
+    assert pf[-1].watermark is not None

@@ -101,3 +101,14 @@ def test_batch_job_single_pass_equals_per_view_scans(spark, tmp_dir):
         x, y = spark.read.parquet(a[name]), spark.read.parquet(b[name])
         assert x.schema == y.schema, name
         assert sorted(map(repr, x.collect())) == sorted(map(repr, y.collect())), name
+
+
+def test_schema_guard_and_empty_input(spark, tmp_dir):
+    import pytest
+    from editlens.plans import batch
+    df = sample(spark).drop("title", "namespace")
+    assert sorted(batch.batch_views(df)) == ["edit_types", "hourly", "wiki_edits"]
+    paths = batch.run_batch(spark, df, f"{tmp_dir}/g", 10)
+    assert sorted(paths) == ["edit_types", "hourly", "wiki_edits"]
+    with pytest.raises(SystemExit):
+        batch.run_batch(spark, sample(spark).limit(0), f"{tmp_dir}/e", 10)
