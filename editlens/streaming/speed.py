@@ -125,13 +125,15 @@ def snapshot_writer(spark: SparkSession, state_path: str, snapshot_path: str,
                     pane_s: int = DEFAULTS.pane_seconds):
     """foreachBatch body of the ranked snapshot.
 
-    The live panes are durable, versioned state: version ``v=<id>`` is
-    version ``v=<id-1>`` plus the batch's pane counts, with panes that left
-    the trailing window dropped. So the state stays bounded by
-    window / pane x keys, a retried batch recomputes and overwrites its own
-    version (idempotent), and lineage is cut at every batch by the write.
-    The snapshot -- ranks 1..n as of the latest event time seen -- is then
-    overwritten, so stale ranks vanish by construction.
+    The live panes are durable state kept in two slots: batch ``id`` reads
+    version ``id-1`` from slot ``(id-1) % 2``, adds its own pane counts,
+    drops panes that left the trailing window and overwrites slot
+    ``id % 2`` with version ``id``. So the state stays bounded (window /
+    pane x keys rows, two small tables on disk), a retried batch finds its
+    input untouched and rewrites the same output (idempotent), and lineage
+    is cut at every batch by the write. The snapshot -- ranks 1..n as of the
+    latest event time seen -- is then overwritten, so stale ranks vanish by
+    construction.
     """
     from editlens.plans.serving import write_snapshot
 
@@ -141,7 +143,8 @@ def snapshot_writer(spark: SparkSession, state_path: str, snapshot_path: str,
                  .agg(F.count_if(should_count()).alias("count"),
                       F.max("event_time").alias("max_event_time")))
         if batch_id > 0:
-            prev = spark.read.schema(panes.schema).parquet(f"{state_path}/v={batch_id - 1}")
+            prev = (spark.read.parquet(f"{state_path}/slot={(batch_id - 1) % 2}")
+                    .filter(F.col("version") == batch_id - 1).drop("version"))
             panes = (prev.unionByName(panes).groupBy("pane_start", "wiki")
                      .agg(F.sum("count").cast("long").alias("count"),
                           F.max("max_event_time").alias("max_event_time")))
@@ -150,11 +153,12 @@ def snapshot_writer(spark: SparkSession, state_path: str, snapshot_path: str,
             as_of = windows.as_of_literal(panes, "max_event_time")
             live = panes.filter(F.col("pane_start") >=
                                 as_of - F.make_interval(secs=F.lit(window_s)))
-            out = f"{state_path}/v={batch_id}"
-            live.write.mode("overwrite").parquet(out)
+            out = f"{state_path}/slot={batch_id % 2}"
+            live.withColumn("version", F.lit(batch_id).cast("long")) \
+                .write.mode("overwrite").parquet(out)
         finally:
             panes.unpersist()
-        state = spark.read.parquet(out)
+        state = spark.read.parquet(out).filter(F.col("version") == batch_id)
         totals = (state.filter(F.col("count") > 0).groupBy("wiki")
                   .agg(F.sum("count").cast("long").alias("count")))
         write_snapshot(views.top_n(totals, "count", "wiki", n), snapshot_path, window_s)

@@ -59,9 +59,9 @@ def test_snapshot_state_is_trailing_and_bounded(spark, tmp_dir):
     speed.run_to_end(q)
     rows = [(r.wiki, r["count"]) for r in serving.read_snapshot(spark, snap, 10).collect()]
     assert rows == [("new", 2), ("mid", 1)]
-    versions = sorted(os.listdir(state))
-    assert versions[-1] == "v=2"
-    last = spark.read.parquet(os.path.join(state, "v=2"))
+    assert sorted(os.listdir(state)) == ["slot=0", "slot=1"]     # two slots, not one per batch
+    last = spark.read.parquet(os.path.join(state, "slot=0"))    # batch 2 -> slot 0
+    assert {r.version for r in last.collect()} == {2}
     assert {r.wiki for r in last.collect()} == {"new", "mid"}   # 'old' panes evicted
 
 
