@@ -146,8 +146,8 @@ def q_namespaces(spark, sf):
 
 @query("record_counts", with_edits("""
 SELECT count(*) AS total,
-       count_if(coalesce(bot, FALSE) = FALSE) AS after_bot_filter,
-       count_if(coalesce(bot, FALSE) = FALSE AND wiki IS NOT NULL) AS kept
+       CAST(count_if(coalesce(bot, FALSE) = FALSE) AS BIGINT) AS after_bot_filter,
+       CAST(count_if(coalesce(bot, FALSE) = FALSE AND wiki IS NOT NULL) AS BIGINT) AS kept
 FROM edits"""))
 def q_record_counts(spark, sf):
     return views.record_counts(edit_events(spark, sf))

@@ -157,10 +157,10 @@ def q_scan_jsonl_strict(spark, sf):
 
 
 @query("jsonl_record_counts", with_edits("""
-SELECT count_if(CAST(id AS BIGINT) % 50 <> 8) AS total,
-       count_if(CAST(id AS BIGINT) % 50 = 7) AS malformed,
-       count_if(CAST(id AS BIGINT) % 50 NOT IN (7, 8)) AS parsed,
-       count_if(CAST(id AS BIGINT) % 50 NOT IN (7, 8)) AS with_id
+SELECT CAST(count_if(CAST(id AS BIGINT) % 50 <> 8) AS BIGINT) AS total,
+       CAST(count_if(CAST(id AS BIGINT) % 50 = 7) AS BIGINT) AS malformed,
+       CAST(count_if(CAST(id AS BIGINT) % 50 NOT IN (7, 8)) AS BIGINT) AS parsed,
+       CAST(count_if(CAST(id AS BIGINT) % 50 NOT IN (7, 8)) AS BIGINT) AS with_id
 FROM edits"""))
 def q_jsonl_record_counts(spark, sf):
     df = scan_jsonl(spark, _dirty_jsonl(spark, sf), keep_corrupt=True)
