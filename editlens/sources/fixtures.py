@@ -27,8 +27,22 @@ from pyspark.sql import functions as F
 from editlens.session import ensure_utc
 
 
+# Schemas of the driver tables this library reads (skips footer inference,
+# fails loudly on drift).
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+}
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    r = spark.read
+    if name in TABLE_SCHEMAS:
+        r = r.schema(TABLE_SCHEMAS[name])
+    return r.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def events_as_edits(events: DataFrame) -> DataFrame:
