@@ -9,7 +9,8 @@ from tests.conftest import SF_SMALL
 FAST = ["wiki_edits", "keywords", "hourly", "edit_types", "namespaces", "record_counts",
         "sliding_edits", "pane_sliding", "trailing_topn", "lambda_merge", "lambda_merge_exact",
         "records_per_min", "lag_alarm", "sentinel_latency", "views_single_pass", "dedupe_by_id",
-        "fanout", "tokens", "should_count", "group_key"]
+        "fanout", "tokens", "should_count", "group_key", "log_records", "bytes_per_min",
+        "keywords_strict", "throughput_summary", "rate_alarm"]
 
 
 def test_entry_runs(spark):
