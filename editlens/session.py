@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -48,25 +48,22 @@ def shared_root(spark: SparkSession) -> str:
     """Cluster-shared folder for checkpoints and intermediate tables.
 
     Taken from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set -- local tests -- a private folder is created
-    and registered as the checkpoint dir.
+    When neither is set, a private folder is created and registered -- only
+    with a ``local`` master, where driver and executors are one process. On a
+    cluster that would lose data silently, so it raises instead.
     """
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None)
-    if d:
-        return d.rstrip("/")
-    d = sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if d:
         return d.rstrip("/")
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="editlens-ckpt-")
     sc.setCheckpointDir(local)
     return local
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique sub-folder of the shared root for one run."""
-    root = shared_root(spark)
-    path = f"{root}/editlens/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A new, unique path below the shared root for one run; Spark's writers
+    create it."""
+    return f"{shared_root(spark)}/editlens/{name}-{uuid.uuid4().hex[:12]}"
