@@ -101,7 +101,7 @@ def format_chat(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
 def read_back(formatted: Column, template: Template = CHATML) -> Column:
     """array<struct<role, text>> from the formatted text."""
     t = template
-    pieces = F.slice(F.split(formatted, r"\Q" + t.start + r"\E"), 2, 2147483647)
+    pieces = F.filter(F.split(formatted, r"\Q" + t.start + r"\E"), lambda p, i: i > 0)
     role = lambda p: F.substring_index(p, "\n", 1)
     return F.transform(pieces, lambda p: F.struct(
         unescape_role(role(p)).alias("role"),
