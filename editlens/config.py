@@ -35,8 +35,10 @@ class Defaults:
     pane_seconds: int = 10
     watermark: str = "1 minute"
     trigger: str = "30 seconds"
+    max_files: int = 1000               # landed files per micro-batch
     flush_size: int = 50
     flush_seconds: int = 10
+    raw_file_records: int = 1_000_000   # of a raw history file; producers flush far smaller ones
     fanout: int = 5
     key_max_len: int = 256
     period_seconds: int = 60

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from editlens.config import DEFAULTS
 from editlens.functions import (
     epoch_ms,
-    group_key,
     has_wiki,
     minute_start,
     not_bot,
@@ -90,34 +89,26 @@ def sustained_alarm(series: DataFrame, threshold: float, periods: int,
                     (F.col("hits") >= periods).alias("alarm")))
 
 
-def sentinel_latency(probes: DataFrame, view: DataFrame,
-                     timeout_ms: float = DEFAULTS.sentinel_timeout_ms) -> DataFrame:
-    """Per probe: ms from its send time to its first appearance in the view.
+def sentinel_latency(events: DataFrame, timeout_ms: float = DEFAULTS.sentinel_timeout_ms,
+                     burst_s: int = DEFAULTS.period_seconds) -> DataFrame:
+    """Latency of probe bursts: (wiki, minute, burst, burst_ms, latency_ms, found).
 
-    probes (wiki, sent_time, burst); view rows (wiki, seen_time). Never seen
-    -> ``timeout_ms`` and found = false. Both sides are reduced to one row
-    per wiki before the join, so the join is on co-partitioned aggregates.
+    A probe is one wiki's events (no bots) of one aligned period. Its clock starts
+    when the burst has been sent, at its last event; it is seen when the first
+    row of that burst that the speed layer admits arrives (before the end of the
+    burst: latency 0). Not seen, or seen after ``timeout_ms``: latency
+    ``timeout_ms`` and found = false. Sent and seen rows share their key, so this
+    is one scan and one aggregate of conditional extremes.
     """
-    first = view.groupBy("wiki").agg(F.min("seen_time").alias("first_seen"))
-    j = probes.join(first, "wiki", "left")
-    lat = (F.unix_micros("first_seen") - F.unix_micros("sent_time")) / F.lit(1000.0)
-    return j.select(
-        "wiki", "burst",
-        F.coalesce(lat, F.lit(float(timeout_ms))).alias("latency_ms"),
-        F.col("first_seen").isNotNull().alias("found"),
-    )
-
-
-def probes_and_view(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Sentinels from the data: each wiki's first edit is its probe; the
-    speed layer's admitted rows (by arrival) are the view it must reach."""
-    probes = (events.filter(not_bot() & has_wiki())
-              .groupBy("wiki")
-              .agg(F.min("event_time").alias("sent_time"),
-                   F.count(F.lit(1)).alias("burst")))
-    view = (events.filter(should_count())
-            .select(group_key().alias("wiki"), F.col("arrival_time").alias("seen_time")))
-    return probes, view
+    sent = not_bot() & has_wiki()
+    b = (events.filter(sent).groupBy("wiki", _period("event_time", burst_s).alias("minute"))
+         .agg(F.count(F.lit(1)).alias("burst"),
+              F.min(F.unix_micros("event_time")).alias("_first"), F.max(F.unix_micros("event_time")).alias("_last"),
+              F.min(F.when(should_count(), F.unix_micros("arrival_time"))).alias("_seen")))
+    waited = F.greatest((F.col("_seen") - F.col("_last")) / F.lit(1000.0), F.lit(0.0))
+    found = F.coalesce(F.when(F.col("_seen").isNotNull(), waited) <= timeout_ms, F.lit(False))
+    return b.select("wiki", "minute", "burst", ((F.col("_last") - F.col("_first")) / F.lit(1000.0)).alias("burst_ms"),
+                    F.when(found, waited).otherwise(F.lit(float(timeout_ms))).alias("latency_ms"), found.alias("found"))
 
 
 def speedup(runs: DataFrame, workers: str = "workers", runtime: str = "runtime_s") -> DataFrame:

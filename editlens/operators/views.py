@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from editlens.config import DEFAULTS
-from editlens.functions import has_wiki, hour_label, keyword_tokens, not_bot
+from editlens.config import DEFAULTS, STOP_WORDS
+from editlens.functions import has_wiki, hour_label, not_bot
+from editlens.functions.text import word_matches
 
 
 def top_n(df: DataFrame, by: str, key: str | list[str], n: int | None) -> DataFrame:
@@ -38,16 +39,21 @@ def count_by(df: DataFrame, key: str | Column, name: str, value: str = "edits")
     return df.groupBy(k.alias(name)).agg(F.count(F.lit(1)).alias(value))
 
 
+def wiki_counts(events: DataFrame, exclude_bots: bool = DEFAULTS.exclude_bots) -> DataFrame:
+    """Edit counts of all wikis, in no order: (wiki, edits)."""
+    return count_by(batch_population(events.select("wiki", "bot"), exclude_bots), "wiki", "wiki")
+
+
 def wiki_edits(events: DataFrame, n: int | None = DEFAULTS.top_n,
                exclude_bots: bool = DEFAULTS.exclude_bots) -> DataFrame:
     """Top wikis by edit count: (wiki, edits)."""
-    pop = batch_population(events.select("wiki", "bot"), exclude_bots)
-    return top_n(count_by(pop, "wiki", "wiki"), "edits", "wiki", n)
+    return top_n(wiki_counts(events, exclude_bots), "edits", "wiki", n)
 
 
 def keyword_counts(texts: DataFrame, text_col: str = "title") -> DataFrame:
     """(kw, freq) over all tokens of ``text_col`` (whole texts)."""
-    return (texts.select(F.explode(keyword_tokens(text_col)).alias("kw"))
+    return (texts.select(F.explode(word_matches(text_col)).alias("kw"))
+            .filter(~F.col("kw").isin(*STOP_WORDS))
             .groupBy("kw").agg(F.count(F.lit(1)).alias("freq")))
 
 

@@ -24,18 +24,20 @@ def _secs(s: int) -> str:
 _UNIT_S = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
-def duration_seconds(d: str) -> int | None:
-    """'5 minutes' -> 300; None when the string is not a simple 'N unit'."""
+def duration_seconds(d: str) -> int:
+    """'5 minutes' -> 300; raises when the string is not a simple 'N unit'."""
     import re
     m = re.fullmatch(r"\s*(\d+)\s*(second|minute|hour|day)s?\s*", d.lower())
-    return int(m.group(1)) * _UNIT_S[m.group(2)] if m else None
+    if m is None:
+        raise ValueError(f"not a duration of the form 'N seconds|minutes|hours|days': {d!r}")
+    return int(m.group(1)) * _UNIT_S[m.group(2)]
 
 
 def panes_are_exact(window: str, slide: str, pane_s: int) -> bool:
     """Pane pre-aggregation equals direct hopping only when every hop
     boundary is a pane boundary."""
     w, s = duration_seconds(window), duration_seconds(slide)
-    return w is not None and s is not None and w % pane_s == 0 and s % pane_s == 0
+    return w % pane_s == 0 and s % pane_s == 0
 
 
 def flatten_window(df: DataFrame, col: str = "window", ntz: bool = True) -> DataFrame:
@@ -121,18 +123,27 @@ def live_events(events: DataFrame, as_of: Column,
     if "event_date" in events.columns:
         # date-partitioned (bronze) history: prune partitions outside the window
         events = events.filter(F.col("event_date").between(F.to_date(lower), F.to_date(as_of)))
-    pop = speed_population(events).filter(F.col("event_time") <= as_of)
+    # both bounds on the raw column, so that they reach the scan; the exact lower
+    # bound is the pane's start, below
+    pop = speed_population(events.filter(
+        (F.col("event_time") >= lower) & (F.col("event_time") <= as_of)))
     start = F.window("event_time", _secs(pane_s)).start
     return pop.filter(start >= as_of - F.make_interval(secs=F.lit(window_s)))
 
 
+def trailing_counts(events: DataFrame, as_of: Column,
+                    window_s: int = DEFAULTS.window_seconds,
+                    pane_s: int = DEFAULTS.pane_seconds) -> DataFrame:
+    """Counts of all keys over the trailing window: (wiki, count)."""
+    return (live_events(events, as_of, window_s, pane_s)
+            .groupBy("wiki").agg(F.count(F.lit(1)).alias("count")))
+
+
 def trailing_topn(events: DataFrame, as_of: Column, n: int = DEFAULTS.top_n,
                   window_s: int = DEFAULTS.window_seconds,
                   pane_s: int = DEFAULTS.pane_seconds) -> DataFrame:
     """Top-N keys over the trailing window: (wiki, count)."""
-    totals = (live_events(events, as_of, window_s, pane_s)
-              .groupBy("wiki").agg(F.count(F.lit(1)).alias("count")))
-    return top_n(totals, "count", "wiki", n)
+    return top_n(trailing_counts(events, as_of, window_s, pane_s), "count", "wiki", n)
 
 
 def trailing_size(events: DataFrame, as_of: Column,

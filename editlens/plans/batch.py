@@ -1,6 +1,6 @@
 """Batch layer job: raw history -> five Parquet views.
 
-    spark-submit -m editlens.plans.batch <raw_path> <out_path> [top_n]
+    spark-submit -m editlens.plans.batch <raw_path> <out_path> [--top-n N] [--include-bots]
 
 Each view is planned independently from the raw source (no cache of the
 whole history: every plan prunes to the 1-3 columns it needs). When the raw
@@ -19,6 +19,7 @@ from editlens.config import DEFAULTS
 from editlens.operators import views
 
 VIEW_NAMES = ("wiki_edits", "keywords", "hourly", "edit_types", "namespaces")
+CUT_VIEWS = ("wiki_edits", "keywords", "namespaces")      # those that ``top_n`` bounds
 
 
 # view -> column it needs besides wiki / bot
@@ -26,13 +27,17 @@ VIEW_COLUMN = {"wiki_edits": "wiki", "keywords": "title", "hourly": "timestamp",
                "edit_types": "type", "namespaces": "namespace"}
 
 
-def batch_views(events: DataFrame, top_n: int = DEFAULTS.top_n,
+def with_bot(events: DataFrame) -> DataFrame:
+    """Input without a ``bot`` column has no known bots."""
+    return events if "bot" in events.columns else events.withColumn("bot", F.lit(None).cast("boolean"))
+
+
+def batch_views(events: DataFrame, top_n: int | None = None,
                 exclude_bots: bool = DEFAULTS.exclude_bots) -> dict[str, DataFrame]:
     """The five views; a view whose column the input lacks is skipped
     (schema guard for caller-supplied tables -- a driver-side check of the
     schema, no data is read)."""
-    if "bot" not in events.columns:
-        events, exclude_bots = events.withColumn("bot", F.lit(None).cast("boolean")), False
+    events = with_bot(events)
     build = {
         "wiki_edits": lambda: views.wiki_edits(events, top_n, exclude_bots),
         "keywords": lambda: views.keywords(events, top_n, exclude_bots),
@@ -51,7 +56,7 @@ def write_view(df: DataFrame, path: str, single_file: bool = False) -> None:
     (df.coalesce(1) if single_file else df).write.mode("overwrite").parquet(path)
 
 
-def views_from_grouped(grouped: DataFrame, top_n: int = DEFAULTS.top_n) -> dict[str, DataFrame]:
+def views_from_grouped(grouped: DataFrame, top_n: int | None = None) -> dict[str, DataFrame]:
     """Split a ``views_single_pass`` result (view, key, edits) into the four
     count views with their own order / limit."""
     def part(view: str, name: str, cast: str = "string") -> DataFrame:
@@ -67,10 +72,13 @@ def views_from_grouped(grouped: DataFrame, top_n: int = DEFAULTS.top_n) -> dict[
 
 
 def run_batch(spark: SparkSession, events: DataFrame, out: str,
-              top_n: int = DEFAULTS.top_n, exclude_bots: bool = DEFAULTS.exclude_bots,
+              top_n: int | None = None, exclude_bots: bool = DEFAULTS.exclude_bots,
               require_input: bool = True, single_pass: bool = True) -> dict[str, str]:
     """Write the five views under ``out``; returns {view: path}.
 
+    Views hold every key unless ``top_n`` cuts them: readers cut after merging.
+    Only cut views are written as one file.
+
     ``single_pass`` (default) reads the history twice instead of five times:
     one GROUPING SETS aggregate for wiki / hour / type / namespace, written
     once as an intermediate table (this also cuts lineage, so the four views
@@ -78,6 +86,7 @@ def run_batch(spark: SparkSession, events: DataFrame, out: str,
     """
     if require_input and events.isEmpty():
         raise SystemExit("no input records")
+    events = with_bot(events)
     out = out.rstrip("/")
     needed = {"wiki", "title", "timestamp", "type", "namespace"}
     if single_pass and needed <= set(events.columns):
@@ -92,7 +101,7 @@ def run_batch(spark: SparkSession, events: DataFrame, out: str,
         if name not in built:
             continue
         path = f"{out}/{name}"
-        write_view(built[name], path, single_file=name in ("wiki_edits", "keywords", "namespaces"))
+        write_view(built[name], path, single_file=top_n is not None and name in CUT_VIEWS)
         paths[name] = path
     return paths
 
@@ -104,30 +113,34 @@ def to_bronze(events: DataFrame, path: str) -> None:
      .partitionBy("event_date").parquet(path))
 
 
+def arguments(argv: list[str]):
+    import argparse
+
+    p = argparse.ArgumentParser(prog="editlens.plans.batch", description="Raw history -> views.")
+    p.add_argument("raw")
+    p.add_argument("out")
+    p.add_argument("--top-n", type=int, default=None, help="cut the ranked views when written (default: keep all keys)")
+    p.add_argument("--include-bots", action="store_true")
+    p.add_argument("--bronze", help="first convert the raw JSON to date-partitioned Parquet here")
+    return p.parse_args(argv)
+
+
 def main(argv: list[str]) -> None:
-    """spark-submit -m editlens.plans.batch <raw> <out> [top_n] [--bronze <path>]
+    """spark-submit -m editlens.plans.batch <raw> <out> [--top-n N] [--include-bots] [--bronze <path>]
 
-    With ``--bronze`` the raw JSON is first converted to date-partitioned
-    Parquet at <path> and the views are built from that (vectorized, pruned
-    scans; later runs can start from the bronze table)."""
+    With ``--bronze`` the views are built from the Parquet table (vectorized, pruned
+    scans; later runs can start from it)."""
     from editlens.session import build_session
     from editlens.sources.jsonl import scan_jsonl
 
-    args = list(argv[1:])
-    bronze = None
-    if "--bronze" in args:
-        i = args.index("--bronze")
-        bronze = args[i + 1]
-        del args[i:i + 2]
-    src, out = args[0], args[1]
-    top_n = int(args[2]) if len(args) > 2 else DEFAULTS.top_n
+    a = arguments(argv[1:])
     spark = build_session(app="editlens-batch")
-    raw = scan_jsonl(spark, src, recursive=True)
+    raw = scan_jsonl(spark, a.raw, recursive=True)
     events = raw.withColumn("event_time", F.timestamp_seconds("timestamp"))
-    if bronze:
-        to_bronze(events, bronze)
-        events = spark.read.parquet(bronze)
-    run_batch(spark, events, out, top_n)
+    if a.bronze:
+        to_bronze(events, a.bronze)
+        events = spark.read.parquet(a.bronze)
+    run_batch(spark, events, a.out, a.top_n, not a.include_bots)
     spark.stop()
 
 

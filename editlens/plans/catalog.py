@@ -237,13 +237,26 @@ def q_dedupe_by_id(spark, sf):
 
 
 @query("parse_payload", with_edits("""
-SELECT wiki, title, "timestamp", "user", type, bot, arrival_time AS event_time
+SELECT wiki, title, "timestamp", "user", type, bot, namespace, id, arrival_time AS event_time
 FROM edits WHERE coalesce(bot, FALSE) = FALSE AND wiki IS NOT NULL"""))
 def q_parse_payload(spark, sf):
     from editlens.streaming.speed import decode_envelope, envelope
-    env = envelope(edit_events(spark, sf))
-    out = decode_envelope(env)
-    return out.select(*[c for c in out.columns if c != "event_time"],
+    out = views.batch_population(decode_envelope(envelope(edit_events(spark, sf))))
+    return out.select(*[c for c in out.columns if c not in ("event_time", "arrival_time")],
+                      to_ntz("event_time").alias("event_time"))
+
+
+@query("parse_kafka", with_edits("""
+SELECT wiki, title, "timestamp", "user", type, bot, namespace, id, arrival_time AS event_time FROM edits"""))
+def q_parse_kafka(spark, sf):
+    """(key, value, timestamp) records of the other log shape; nothing filtered."""
+    from editlens.sources import to_log_records
+    from editlens.streaming.speed import decode_envelope
+    ev = edit_events(spark, sf)
+    payload = to_log_records(ev.withColumn("_t", F.col("arrival_time")), keep=("_t",))
+    out = decode_envelope(payload.select(F.col("key").cast("binary"), F.col("value").cast("binary"),
+                                         F.col("_t").alias("timestamp")))
+    return out.select(*[c for c in out.columns if c not in ("event_time", "arrival_time")],
                       to_ntz("event_time").alias("event_time"))
 
 
@@ -308,39 +321,61 @@ batch_top AS (
   GROUP BY wiki ORDER BY edits DESC, wiki ASC LIMIT 10
 )"""
 _SPEED_TOP = "speed_top AS (" + _TRAIL_SQL + ")"
-_MERGE_SQL = """
+_BATCH_ALL = f"batch_all AS (SELECT wiki, count(*) AS edits FROM pop WHERE event_time <= {_CUTOFF} GROUP BY wiki)"
+_SPEED_ALL = "speed_all AS (SELECT wiki, count(*) AS count FROM live GROUP BY wiki)"
+
+
+def _merge_sql(batch: str, speed: str) -> str:
+    return f"""
 SELECT wiki, CAST(sum(edits) AS BIGINT) AS edits_merged FROM (
-  SELECT wiki, edits FROM batch_top UNION ALL SELECT wiki, count AS edits FROM speed_top)
+  SELECT wiki, edits FROM {batch} UNION ALL SELECT wiki, count AS edits FROM {speed})
 GROUP BY wiki ORDER BY edits_merged DESC, wiki ASC LIMIT 10"""
 
 
-def _batch_and_speed(spark, sf):
+_MERGE_SQL = _merge_sql("batch_all", "speed_all")
+
+
+def _clocked(spark, sf):
+    """(events, as_of, cutoff between batch history and speed window)"""
     ev = edit_events(spark, sf)
     as_of = latest_event(ev)
-    cutoff = as_of - F.make_interval(secs=F.lit(TRAIL_S))
-    batch = views.wiki_edits(ev.filter(F.col("event_time") <= cutoff), TOP)
-    speed = windows.trailing_topn(ev, as_of, TOP, TRAIL_S, PANE_S)
-    return ev, cutoff, batch, speed
+    return ev, as_of, as_of - F.make_interval(secs=F.lit(TRAIL_S))
 
 
-@query("lambda_merge", with_edits(_MERGE_SQL, _LIVE, _BATCH_TOP, _SPEED_TOP))
+def _batch_and_speed(spark, sf):
+    """Counts of all keys of both layers."""
+    ev, as_of, cutoff = _clocked(spark, sf)
+    return (views.wiki_counts(ev.filter(F.col("event_time") <= cutoff)),
+            windows.trailing_counts(ev, as_of, TRAIL_S, PANE_S))
+
+
+@query("lambda_merge", with_edits(_MERGE_SQL, _LIVE, _BATCH_ALL, _SPEED_ALL))
 def q_lambda_merge(spark, sf):
-    _, _, batch, speed = _batch_and_speed(spark, sf)
+    batch, speed = _batch_and_speed(spark, sf)
     return merge.lambda_merge(batch, speed, TOP)
 
 
-@query("lambda_merge_outer", with_edits(_MERGE_SQL, _LIVE, _BATCH_TOP, _SPEED_TOP))
+@query("lambda_merge_outer", with_edits(_MERGE_SQL, _LIVE, _BATCH_ALL, _SPEED_ALL))
 def q_lambda_merge_outer(spark, sf):
-    _, _, batch, speed = _batch_and_speed(spark, sf)
+    batch, speed = _batch_and_speed(spark, sf)
     return merge.lambda_merge_outer(batch, speed, TOP)
 
 
+@query("lambda_merge_truncated", with_edits(_merge_sql("batch_top", "speed_top"), _LIVE, _BATCH_TOP, _SPEED_TOP))
+def q_lambda_merge_truncated(spark, sf):
+    """Compatibility variant: both lists are cut to n before they are added, so a
+    key ranked n + 1 in both is lost."""
+    ev, as_of, cutoff = _clocked(spark, sf)
+    return merge.lambda_merge(views.wiki_edits(ev.filter(F.col("event_time") <= cutoff), TOP),
+                              windows.trailing_topn(ev, as_of, TOP, TRAIL_S, PANE_S), TOP)
+
+
 @query("lambda_merge_speed_only", with_edits("""
 SELECT wiki, count AS edits_merged FROM speed_top ORDER BY edits_merged DESC, wiki ASC LIMIT 10""",
                                              _LIVE, _SPEED_TOP))
 def q_lambda_merge_speed_only(spark, sf):
-    _, _, _, speed = _batch_and_speed(spark, sf)
-    return merge.lambda_merge(None, speed, TOP)
+    ev, as_of, _ = _clocked(spark, sf)
+    return merge.lambda_merge(None, windows.trailing_counts(ev, as_of, TRAIL_S, PANE_S), TOP)
 
 
 @query("lambda_merge_exact", with_edits(f"""
@@ -350,7 +385,7 @@ SELECT wiki, CAST(sum(n) AS BIGINT) AS edits_merged FROM (
   SELECT wiki, count(*) AS n FROM speed WHERE event_time > {_CUTOFF} GROUP BY wiki)
 GROUP BY wiki ORDER BY edits_merged DESC, wiki ASC LIMIT 10"""))
 def q_lambda_merge_exact(spark, sf):
-    ev, cutoff, _, _ = _batch_and_speed(spark, sf)
+    ev, _, cutoff = _clocked(spark, sf)
     return merge.lambda_merge_exact(ev, cutoff, TOP)
 
 
@@ -420,16 +455,17 @@ def q_lag_alarm(spark, sf):
                                    DEFAULTS.period_seconds, value="max_lag_ms")
 
 
-@query("sentinel_latency", with_edits("""
-SELECT p.wiki, p.burst,
-       coalesce((epoch_us(v.first_seen) - epoch_us(p.sent_time)) / 1000.0, 60000.0) AS latency_ms,
-       v.first_seen IS NOT NULL AS found
-FROM (SELECT wiki, min(event_time) AS sent_time, count(*) AS burst FROM pop GROUP BY wiki) p
-LEFT JOIN (SELECT wiki, min(arrival_time) AS first_seen FROM speed GROUP BY wiki) v
-  ON p.wiki = v.wiki"""))
+@query("sentinel_latency", with_edits(f"""
+SELECT wiki, minute, burst, burst_ms, found, CASE WHEN found THEN waited ELSE 60000.0 END AS latency_ms
+FROM (SELECT *, coalesce(waited <= 60000.0, FALSE) AS found FROM (
+  SELECT wiki, {_minute('event_time')} AS minute, count(*) AS burst,
+         (max(epoch_us(event_time)) - min(epoch_us(event_time))) / 1000.0 AS burst_ms,
+         CASE WHEN count(seen) > 0 THEN greatest((min(seen) - max(epoch_us(event_time))) / 1000.0, 0.0) END AS waited
+  FROM (SELECT *, CASE WHEN coalesce(type, '') = '' OR type IN ('edit', 'new', 'categorize')
+                       THEN epoch_us(arrival_time) END AS seen FROM pop)
+  GROUP BY 1, 2))"""))
 def q_sentinel_latency(spark, sf):
-    probes, view = monitor.probes_and_view(edit_events(spark, sf))
-    return monitor.sentinel_latency(probes, view)
+    return monitor.sentinel_latency(edit_events(spark, sf))
 
 
 # Storage- and stream-backed entries register themselves on import.

@@ -8,6 +8,8 @@ what the job wrote.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -15,15 +17,19 @@ from editlens.config import DEFAULTS
 from editlens.functions import to_ntz
 from editlens.operators import merge, views, windows
 from editlens.plans import batch as batch_job
-from editlens.plans import serving
+from editlens.plans import publish, serving
 from editlens.plans.catalog import (
-    PANE_S, TOP, TRAIL_S, _BATCH_TOP, _LIVE, _MERGE_SQL, _SLIDING_SQL, _SPEED_TOP,
-    _batch_and_speed, latest_event, query,
+    PANE_S, TOP, TRAIL_S, _BATCH_ALL, _LIVE, _MERGE_SQL, _PAYLOAD_SQL, _SLIDING_SQL, _SPEED_ALL, _SPEED_TOP,
+    _batch_and_speed, _clocked, query,
 )
-from editlens.plans.oracle import tokens_expr, with_edits
+from editlens.plans.oracle import hour_expr, tokens_expr, with_edits
 from editlens.schema import EVENT_SCHEMA
 from editlens.session import fresh_dir
-from editlens.sources import edit_events, land_raw, raw_inventory, scan_jsonl, scan_jsonl_strict
+from editlens.sources import (
+    dedupe_by_id, edit_events, explode_features, land_raw, raw_inventory, scan_jsonl, scan_jsonl_strict,
+    to_log_records,
+)
+from editlens.sources.feed import FEATURE_FEED
 from editlens.sources.jsonl import record_counts_jsonl
 from editlens.sources.raw import PARTS
 from editlens.streaming import speed
@@ -31,14 +37,17 @@ from editlens.streaming import speed
 EVENT_COLS = [f.name for f in EVENT_SCHEMA.fields]
 _EVENT_SQL_COLS = 'wiki, title, type, bot, "timestamp", "user", namespace, id'
 AVAILABLE_NOW = {"availableNow": True}
-REPLAY_FILES_PER_TRIGGER = 8
 
 
 # ------------------------------------------------------------ serving tables
 
 _TOP_WIKIS_SQL = """
 SELECT wiki, count(*) AS edits FROM pop GROUP BY wiki ORDER BY edits DESC, wiki ASC LIMIT 10"""
-VIEWS_DB = "editlens_views"
+
+
+def _db() -> str:
+    """A database of its own for each run: runs do not drop each other's tables."""
+    return f"editlens_{uuid.uuid4().hex[:12]}"
 
 
 @query("batch_view_topn", with_edits(_TOP_WIKIS_SQL))
@@ -47,113 +56,151 @@ def q_batch_view_topn(spark, sf):
     ORDER BY edits DESC LIMIT n."""
     out = fresh_dir(spark, "views")
     path = f"{out}/wiki_edits"
-    batch_job.write_view(views.wiki_edits(edit_events(spark, sf), TOP), path, single_file=True)
-    (table,) = serving.register_views(spark, VIEWS_DB, {"wiki_edits_topn": path})
+    batch_job.write_view(views.wiki_counts(edit_events(spark, sf)), path)
+    (table,) = serving.register_views(spark, _db(), {"wiki_edits_topn": path})
     return serving.table_topn(spark, table, TOP)
 
 
-def _kw_cte() -> str:
-    return f"kws AS (SELECT unnest({tokens_expr('title')}) AS kw FROM pop)"
-
-
-@query("register_views", with_edits("""
-SELECT 'wiki_edits' AS view, LEAST(count(DISTINCT wiki), 10) AS n FROM pop
-UNION ALL SELECT 'keywords', LEAST(count(DISTINCT kw), 10) FROM kws
-UNION ALL SELECT 'hourly', count(DISTINCT strftime(make_timestamp("timestamp" * 1000000), '%Y-%m-%d %H')) FROM pop
-UNION ALL SELECT 'edit_types', count(DISTINCT coalesce(type, '<null>')) FROM pop
-UNION ALL SELECT 'namespaces', LEAST(count(DISTINCT coalesce(CAST(namespace AS VARCHAR), '<null>')), 10) FROM pop""",
-    _kw_cte()))
+@query("register_views", with_edits(f"""
+SELECT 'wiki_edits' AS view, wiki AS key, count(*) AS n FROM pop GROUP BY wiki
+UNION ALL SELECT 'keywords', kw, count(*) FROM (SELECT unnest({tokens_expr('title')}) AS kw FROM pop) GROUP BY kw
+UNION ALL SELECT 'hourly', {hour_expr('"timestamp"')}, count(*) FROM pop GROUP BY 2
+UNION ALL SELECT 'edit_types', type, count(*) FROM pop GROUP BY type
+UNION ALL SELECT 'namespaces', CAST(namespace AS VARCHAR), count(*) FROM pop GROUP BY 2"""))
 def q_register_views(spark, sf):
-    out = fresh_dir(spark, "views")
-    paths = batch_job.run_batch(spark, edit_events(spark, sf), out, TOP)
-    tables = serving.register_views(spark, VIEWS_DB, paths)
-    parts = [spark.table(t).agg(F.count(F.lit(1)).alias("n"))
-             .select(F.lit(t.split(".", 1)[1]).alias("view"), "n") for t in tables]
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
+    """The batch job end to end: five views written, registered and read back whole."""
+    paths = batch_job.run_batch(spark, edit_events(spark, sf), fresh_dir(spark, "views"))
+    tables = serving.register_views(spark, _db(), paths)
+    res = None
+    for t in tables:
+        df = spark.table(t)
+        part = df.select(F.lit(t.split(".", 1)[1]).alias("view"), df[df.columns[0]].cast("string").alias("key"),
+                         df[df.columns[1]].alias("n"))
+        res = part if res is None else res.unionByName(part)
     return res
 
 
-@query("merged_view", with_edits(_MERGE_SQL, _LIVE, _BATCH_TOP, _SPEED_TOP))
+@query("merged_view", with_edits(_MERGE_SQL, _LIVE, _BATCH_ALL, _SPEED_ALL))
 def q_merged_view(spark, sf):
     """Serving path end to end: batch view table (history up to the cutoff)
-    + speed snapshot file, merged."""
-    ev, cutoff, batch, speed_top = _batch_and_speed(spark, sf)
+    + published speed snapshot, both with all keys, merged and cut."""
+    batch, speed_counts = _batch_and_speed(spark, sf)
+    out = fresh_dir(spark, "serving")
+    batch_job.write_view(batch, f"{out}/wiki_edits")
+    (table,) = serving.register_views(spark, _db(), {"wiki_edits_cutoff": f"{out}/wiki_edits"})
+    serving.write_snapshot(speed_counts, f"{out}/snapshot", TRAIL_S)
+    return serving.merged_view(spark, table, f"{out}/snapshot", TOP)
+
+
+@query("merged_view_batch_only", with_edits("""
+SELECT wiki, edits AS edits_merged FROM batch_all ORDER BY edits_merged DESC, wiki ASC LIMIT 10""", _BATCH_ALL))
+def q_merged_view_batch_only(spark, sf):
+    """No snapshot published yet."""
+    batch, _ = _batch_and_speed(spark, sf)
     out = fresh_dir(spark, "serving")
-    batch_job.write_view(batch, f"{out}/wiki_edits", single_file=True)
-    (table,) = serving.register_views(spark, VIEWS_DB, {"wiki_edits_cutoff": f"{out}/wiki_edits"})
-    serving.write_snapshot(speed_top, f"{out}/snapshot", TRAIL_S)
+    batch_job.write_view(batch, f"{out}/wiki_edits")
+    (table,) = serving.register_views(spark, _db(), {"wiki_edits_cutoff": f"{out}/wiki_edits"})
     return serving.merged_view(spark, table, f"{out}/snapshot", TOP)
 
 
+@query("merged_view_speed_only", with_edits("""
+SELECT wiki, count AS edits_merged FROM speed_all ORDER BY edits_merged DESC, wiki ASC LIMIT 10""", _LIVE, _SPEED_ALL))
+def q_merged_view_speed_only(spark, sf):
+    """No batch view yet."""
+    _, speed_counts = _batch_and_speed(spark, sf)
+    out = fresh_dir(spark, "serving")
+    serving.write_snapshot(speed_counts, f"{out}/snapshot", TRAIL_S)
+    return serving.merged_view(spark, f"{_db()}.wiki_edits", f"{out}/snapshot", TOP)
+
+
 @query("speed_view", with_edits("""
 SELECT CAST(row_number() OVER (ORDER BY count DESC, wiki ASC) AS INTEGER) AS rank, wiki, count,
        CAST(86400 AS INTEGER) AS window_s
 FROM speed_top""", _LIVE, _SPEED_TOP))
 def q_speed_view(spark, sf):
-    ev = edit_events(spark, sf)
+    ev, as_of, _ = _clocked(spark, sf)
     snap = fresh_dir(spark, "snapshot")
-    serving.write_snapshot(windows.trailing_topn(ev, latest_event(ev), TOP, TRAIL_S, PANE_S),
-                           snap, TRAIL_S)
+    serving.write_snapshot(windows.trailing_counts(ev, as_of, TRAIL_S, PANE_S), snap, TRAIL_S)
     return serving.read_snapshot(spark, snap, TOP).select("rank", "wiki", "count", "window_s")
 
 
-@query("merged_csv_roundtrip", with_edits(_MERGE_SQL, _LIVE, _BATCH_TOP, _SPEED_TOP))
+@query("merged_csv_roundtrip", with_edits(_MERGE_SQL, _LIVE, _BATCH_ALL, _SPEED_ALL))
 def q_merged_csv_roundtrip(spark, sf):
-    _, _, batch, speed_top = _batch_and_speed(spark, sf)
+    batch, speed_counts = _batch_and_speed(spark, sf)
     path = fresh_dir(spark, "merged-csv")
-    serving.export_csv(merge.lambda_merge(batch, speed_top, TOP), path, single_file=True)
+    serving.export_csv(merge.lambda_merge(batch, speed_counts, TOP), path, single_file=True)
     return serving.read_csv(spark, path)
 
 
 # --------------------------------------------------------------- raw history
 
+def _mixed_history(spark, sf) -> str:
+    """Raw history in hour folders: a third of the records as plain files, a third
+    gzipped, a third in files without a JSON extension."""
+    ev = edit_events(spark, sf)
+    path = fresh_dir(spark, "raw")
+    third = F.col("id").cast("long") % 3
+    land_raw(ev.filter(third == 0), f"{path}/plain")
+    rec = F.to_json(F.struct(*[F.col(c) for c in EVENT_COLS])).alias("value")
+    ev.filter(third == 1).select(rec).write.option("compression", "gzip").text(f"{path}/zipped")
+    ev.filter(third == 2).select(rec).write.text(f"{path}/other")
+    return path
+
+
 @query("scan_jsonl", with_edits(f"SELECT {_EVENT_SQL_COLS} FROM edits"))
 def q_scan_jsonl(spark, sf):
-    path = fresh_dir(spark, "raw")
-    land_raw(edit_events(spark, sf), path, max_records_per_file=DEFAULTS.flush_size * 20)
-    return scan_jsonl(spark, path).select(*EVENT_COLS)
+    return scan_jsonl(spark, _mixed_history(spark, sf), recursive=True).select(*EVENT_COLS)
 
 
-@query("raw_sink_roundtrip", with_edits("""
+_RAW_SQL = with_edits(f"""
 SELECT strftime(arrival_time, '%Y') AS yyyy, strftime(arrival_time, '%m') AS mm,
-       strftime(arrival_time, '%d') AS dd, strftime(arrival_time, '%H') AS "HH",
-       count(*) AS records
-FROM edits GROUP BY ALL"""))
+       strftime(arrival_time, '%d') AS dd, strftime(arrival_time, '%H') AS "HH", {_EVENT_SQL_COLS}
+FROM edits""")
+
+
+def _raw_back(spark, path):
+    schema = StructType(EVENT_SCHEMA.fields + [StructField(p, StringType(), True) for p in PARTS])
+    return spark.read.schema(schema).json(path).select(*PARTS, *EVENT_COLS)
+
+
+@query("raw_sink_roundtrip", _RAW_SQL)
 def q_raw_sink_roundtrip(spark, sf):
     path = fresh_dir(spark, "raw")
-    land_raw(edit_events(spark, sf), path, max_records_per_file=DEFAULTS.flush_size)
-    schema = StructType(EVENT_SCHEMA.fields + [StructField(p, StringType(), True) for p in PARTS])
-    back = spark.read.schema(schema).json(path)
-    return back.groupBy(*PARTS).agg(F.count(F.lit(1)).alias("records"))
+    land_raw(edit_events(spark, sf), path)
+    return _raw_back(spark, path)
 
 
-@query("raw_inventory")
+@query("raw_inventory", with_edits(f"""
+SELECT CAST(sum(octet_length(encode({_PAYLOAD_SQL})) + 1) AS BIGINT) AS bytes FROM edits"""))
 def q_raw_inventory(spark, sf):
+    """Bytes of the landed history (the number of files is the engine's choice)."""
     path = fresh_dir(spark, "raw")
-    land_raw(edit_events(spark, sf), path, max_records_per_file=DEFAULTS.flush_size)
-    return raw_inventory(spark, path)
+    land_raw(edit_events(spark, sf), path)
+    return raw_inventory(spark, path).select("bytes")
 
 
-def _dirty_jsonl(spark, sf) -> str:
+def _dirty_jsonl(spark, sf, trailing: bool = False) -> str:
     """Raw lines derived from the events, some damaged: event ids ending in
     07 / 57 are cut in half (unparsable), ids ending in 08 / 58 become blank
-    lines. Written as text files."""
+    lines. With ``trailing``, ids ending in 09 / 59 are followed by text and those in
+    10 / 60 by a second object. Written as text files."""
     ev = edit_events(spark, sf)
     line = F.to_json(F.struct(*[F.col(c) for c in EVENT_COLS]))
     eid = F.col("id").cast("long") % 50
     dirty = (F.when(eid == 7, F.substring(line, 1, (F.length(line) / 2).cast("int")))
              .when(eid == 8, F.lit("")).otherwise(line))
+    if trailing:
+        dirty = (F.when(eid == 9, F.concat(line, F.lit(" xyz")))
+                 .when(eid == 10, F.concat(line, line)).otherwise(dirty))
     path = fresh_dir(spark, "dirty-jsonl")
     ev.select(dirty.alias("value")).write.mode("overwrite").text(path)
     return path
 
 
 @query("scan_jsonl_strict", with_edits(f"""
-SELECT {_EVENT_SQL_COLS} FROM edits WHERE CAST(id AS BIGINT) % 50 NOT IN (7, 8)"""))
+SELECT {_EVENT_SQL_COLS} FROM edits WHERE CAST(id AS BIGINT) % 50 NOT IN (7, 8, 9, 10)"""))
 def q_scan_jsonl_strict(spark, sf):
-    return scan_jsonl_strict(spark, _dirty_jsonl(spark, sf), glob="*.txt")
+    return scan_jsonl_strict(spark, _dirty_jsonl(spark, sf, trailing=True), glob="*.txt")
 
 
 @query("jsonl_record_counts", with_edits("""
@@ -169,20 +216,27 @@ def q_jsonl_record_counts(spark, sf):
 
 # ------------------------------------------------------------------ streaming
 
+WAVE_FILES = 2
+
+
 def _landed(spark, sf) -> str:
+    """Events landed in time order; ``max_files=WAVE_FILES`` makes four micro-batches."""
     path = fresh_dir(spark, "stream-in")
-    speed.land_events(edit_events(spark, sf), path)
+    speed.land_in_waves(edit_events(spark, sf), path, files=WAVE_FILES)
     return path
 
 
+def _stream(spark, sf):
+    return speed.read_events_stream(spark, _landed(spark, sf), max_files=WAVE_FILES)
+
+
 _APPEND_SQL = with_edits("""
 SELECT * FROM sliding
 WHERE window_end <= (SELECT max(event_time) FROM pop) - INTERVAL 1 MINUTE""",
                          "sliding AS (" + _SLIDING_SQL + ")")
 
 
-def _append_windows(spark, sf, panes: bool):
-    src = speed.read_events_stream(spark, _landed(spark, sf))
+def _append_windows(spark, src, panes: bool):
     out, ck = fresh_dir(spark, "speed-out"), fresh_dir(spark, "ckpt")
     speed.run_to_end(speed.run_speed(src, out, ck, AVAILABLE_NOW, panes=panes))
     return windows.flatten_window(spark.read.parquet(out))
@@ -190,97 +244,136 @@ def _append_windows(spark, sf, panes: bool):
 
 @query("stream_sliding_append", _APPEND_SQL)
 def q_stream_sliding_append(spark, sf):
-    return _append_windows(spark, sf, panes=False)
+    return _append_windows(spark, _stream(spark, sf), panes=False)
 
 
 @query("stream_pane_sliding", _APPEND_SQL)
 def q_stream_pane_sliding(spark, sf):
-    return _append_windows(spark, sf, panes=True)
+    return _append_windows(spark, _stream(spark, sf), panes=True)
+
+
+_SECONDS_SQL = _SLIDING_SQL.replace("event_time", 'make_timestamp("timestamp" * 1000000)')
+
+
+@query("speed_over_raw", with_edits(f"""
+SELECT * FROM sliding
+WHERE window_end <= (SELECT make_timestamp(max("timestamp") * 1000000) FROM pop) - INTERVAL 1 MINUTE""",
+                                    "sliding AS (" + _SECONDS_SQL + ")"))
+def q_speed_over_raw(spark, sf):
+    """The speed job over this library's own raw history, whose records carry only
+    ``timestamp`` (one file per hour: a micro-batch holds ``max_files`` hours)."""
+    raw = fresh_dir(spark, "raw")
+    land_raw(edit_events(spark, sf), raw, clock="event_time")
+    return _append_windows(spark, speed.read_events_stream(spark, raw), panes=False)
 
 
 @query("stream_sliding_complete", with_edits(_SLIDING_SQL))
 def q_stream_sliding_complete(spark, sf):
-    src = speed.read_events_stream(spark, _landed(spark, sf))
     out, ck = fresh_dir(spark, "speed-complete"), fresh_dir(spark, "ckpt")
-    agg = windows.sliding_counts(views.batch_population(src))
+    agg = windows.sliding_counts(views.batch_population(_stream(spark, sf)))
     speed.run_to_end(speed.run_complete(agg, out, ck, AVAILABLE_NOW))
-    return windows.flatten_window(spark.read.parquet(out))
+    return windows.flatten_window(publish.current(spark, out))
 
 
 @query("stream_topn_complete", with_edits("""
 SELECT wiki, count(*) AS edits FROM pop GROUP BY wiki ORDER BY edits DESC, wiki ASC LIMIT 10"""))
 def q_stream_topn_complete(spark, sf):
-    src = speed.read_events_stream(spark, _landed(spark, sf), max_files=REPLAY_FILES_PER_TRIGGER)
     out, ck = fresh_dir(spark, "speed-topn"), fresh_dir(spark, "ckpt")
-    speed.run_to_end(speed.run_complete(speed.top_wikis_complete(src, TOP), out, ck,
-                                        AVAILABLE_NOW))
-    return spark.read.parquet(out)
+    speed.run_to_end(speed.run_complete(speed.top_wikis_complete(_stream(spark, sf), TOP), out, ck, AVAILABLE_NOW))
+    return publish.current(spark, out)
+
+
+FEED_ITEMS = 500        # features of a polled document
 
 
-@query("stream_dedupe", with_edits("SELECT DISTINCT title FROM edits WHERE title IS NOT NULL"))
+def _polled(spark, sf) -> str:
+    """Two overlapping polls of a feature feed made from the events: ids with last
+    digit 0-5 in the first, 4-9 in the second; some ids empty or missing."""
+    ev = edit_events(spark, sf)
+    n = F.col("id").cast("long")
+    item = F.struct(
+        F.when(n % 97 == 0, "").when(n % 89 == 0, F.lit(None)).otherwise(F.col("id")).alias("id"),
+        F.lit("Feature").alias("type"),
+        F.struct("title", F.col("wiki").alias("place"), F.col("timestamp").alias("time")).alias("properties"))
+    path = fresh_dir(spark, "feed")
+    for poll in (n % 10 <= 5, n % 10 >= 4):
+        docs = ev.filter(poll).groupBy(F.floor(n / FEED_ITEMS).alias("_doc")).agg(F.collect_list(item).alias("features"))
+        docs.select("features").repartition(2, "features").write.mode("append").json(path)
+    return path
+
+
+@query("feed_once", with_edits("""
+SELECT id, title, wiki AS place, "timestamp" AS time FROM edits
+WHERE CAST(id AS BIGINT) % 97 <> 0 AND CAST(id AS BIGINT) % 89 <> 0"""))
+def q_feed_once(spark, sf):
+    """Batch form: explode the polled documents, each id once."""
+    feed = spark.read.schema(FEATURE_FEED).json(_polled(spark, sf))
+    items = explode_features(feed).select("id", "properties.*")
+    return dedupe_by_id(items, order_cols=("time",))
+
+
+@query("stream_dedupe", with_edits("""
+SELECT id, title, wiki AS place, "timestamp" AS time FROM edits
+WHERE CAST(id AS BIGINT) % 97 <> 0 AND CAST(id AS BIGINT) % 89 <> 0"""))
 def q_stream_dedupe(spark, sf):
-    src = speed.read_events_stream(spark, _landed(spark, sf))
+    """Streaming form over several micro-batches: a file per trigger."""
+    from editlens.sources import stream_source
+    src = stream_source(spark, "json", _polled(spark, sf), FEATURE_FEED, {"maxFilesPerTrigger": "1"})
     out, ck = fresh_dir(spark, "dedupe"), fresh_dir(spark, "ckpt")
-    d = speed.dedupe_stream(src.select("title", "event_time"), "title")
-    q = speed.start_query(d, ck, "append", "parquet", out, AVAILABLE_NOW)
-    speed.run_to_end(q)
-    return spark.read.parquet(out).select("title")
+    d = speed.dedupe_stream(explode_features(src).select("id", "properties.*"))
+    speed.run_to_end(speed.start_query(d, ck, "append", "parquet", out, AVAILABLE_NOW))
+    return spark.read.parquet(out)
 
 
 @query("replay_stream", with_edits(f"SELECT {_EVENT_SQL_COLS} FROM pop"))
 def q_replay_stream(spark, sf):
-    src = speed.read_events_stream(spark, _landed(spark, sf), max_files=REPLAY_FILES_PER_TRIGGER)
     out, ck = fresh_dir(spark, "replay"), fresh_dir(spark, "ckpt")
-    q = speed.start_query(speed.admitted(src).select(*EVENT_COLS), ck, "append", "parquet", out,
-                     AVAILABLE_NOW)
+    q = speed.start_query(speed.admitted(_stream(spark, sf)).select(*EVENT_COLS), ck, "append", "parquet", out,
+                          AVAILABLE_NOW)
     speed.run_to_end(q)
     return spark.read.parquet(out)
 
 
-@query("speed_snapshot", with_edits("""
+def _snapshot(spark, src):
+    panes, snap, ck = (fresh_dir(spark, "panes"), fresh_dir(spark, "snapshot"), fresh_dir(spark, "ckpt"))
+    speed.run_to_end(speed.run_snapshot(spark, src, panes, snap, ck, TRAIL_S, PANE_S, AVAILABLE_NOW))
+    return serving.read_snapshot(spark, snap, TOP).select("rank", "wiki", "count", "window_s")
+
+
+_RANKED_SQL = """
 SELECT CAST(row_number() OVER (ORDER BY count DESC, wiki ASC) AS INTEGER) AS rank, wiki, count,
        CAST(86400 AS INTEGER) AS window_s
-FROM speed_top""", _LIVE, _SPEED_TOP))
+FROM speed_top"""
+
+
+@query("speed_snapshot", with_edits(_RANKED_SQL, _LIVE, _SPEED_TOP))
 def q_speed_snapshot(spark, sf):
-    src = speed.read_events_stream(spark, _landed(spark, sf), max_files=REPLAY_FILES_PER_TRIGGER)
-    panes, snap, ck = (fresh_dir(spark, "panes"), fresh_dir(spark, "snapshot"),
-                       fresh_dir(spark, "ckpt"))
-    q = speed.run_snapshot(spark, src, panes, snap, ck, TOP, TRAIL_S, PANE_S, AVAILABLE_NOW)
-    speed.run_to_end(q)
-    return serving.read_snapshot(spark, snap, TOP).select("rank", "wiki", "count", "window_s")
+    return _snapshot(spark, _stream(spark, sf))
 
 
-@query("dual_write", with_edits("""
-SELECT 'raw' AS sink, count(*) AS records FROM edits
-UNION ALL SELECT 'log', count(*) FROM edits"""))
-def q_dual_write(spark, sf):
-    src = speed.read_events_stream(spark, _landed(spark, sf), max_files=REPLAY_FILES_PER_TRIGGER)
-    raw, log, ck = fresh_dir(spark, "raw"), fresh_dir(spark, "log"), fresh_dir(spark, "ckpt")
-    speed.run_to_end(speed.run_dual_write(src, raw, log, ck, AVAILABLE_NOW))
-    r = spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true").json(raw)
-    lg = spark.read.option("recursiveFileLookup", "true").parquet(log)
-    return (r.agg(F.count(F.lit(1)).alias("records")).select(F.lit("raw").alias("sink"), "records")
-            .unionByName(lg.agg(F.count(F.lit(1)).alias("records"))
-                         .select(F.lit("log").alias("sink"), "records")))
+@query("speed_snapshot_log", with_edits(_RANKED_SQL, _LIVE.replace("event_time", "arrival_time"), _SPEED_TOP))
+def q_speed_snapshot_log(spark, sf):
+    """The same from log records: envelope, decoded record, arrival clock."""
+    return _snapshot(spark, speed.decode_envelope(speed.envelope(_stream(spark, sf))))
 
 
-_RAW_SQL = with_edits("""
-SELECT strftime(arrival_time, '%Y') AS yyyy, strftime(arrival_time, '%m') AS mm,
-       strftime(arrival_time, '%d') AS dd, strftime(arrival_time, '%H') AS "HH",
-       count(*) AS records
-FROM edits GROUP BY ALL""")
+@query("dual_write", with_edits(f"""
+SELECT sink, coalesce(nullif(substring(wiki, 1, 256), ''), 'default') AS key, {_PAYLOAD_SQL} AS value
+FROM edits, (VALUES ('raw'), ('log')) AS s(sink)"""))
+def q_dual_write(spark, sf):
+    raw, log, ck = fresh_dir(spark, "raw"), fresh_dir(spark, "log"), fresh_dir(spark, "ckpt")
+    speed.run_to_end(speed.run_dual_write(_stream(spark, sf), raw, log, ck, AVAILABLE_NOW))
+    r = to_log_records(scan_jsonl(spark, raw, recursive=True))
+    lg = spark.read.schema("key string, value string").option("recursiveFileLookup", "true").parquet(log)
+    return r.withColumn("sink", F.lit("raw")).unionByName(lg.withColumn("sink", F.lit("log")))
 
 
 @query("stream_raw_sink", _RAW_SQL)
 def q_stream_raw_sink(spark, sf):
     from editlens.sources import run_raw_sink
-    src = speed.read_events_stream(spark, _landed(spark, sf), max_files=REPLAY_FILES_PER_TRIGGER)
     out, ck = fresh_dir(spark, "raw-stream"), fresh_dir(spark, "ckpt")
-    speed.run_to_end(run_raw_sink(src, out, ck, max_records_per_file=DEFAULTS.flush_size,
-                                  trigger=AVAILABLE_NOW))
-    schema = StructType(EVENT_SCHEMA.fields + [StructField(p, StringType(), True) for p in PARTS])
-    return (spark.read.schema(schema).json(out)
-            .groupBy(*PARTS).agg(F.count(F.lit(1)).alias("records")))
+    speed.run_to_end(run_raw_sink(_stream(spark, sf), out, ck, trigger=AVAILABLE_NOW))
+    return _raw_back(spark, out)
 
 
 @query("stream_source", with_edits(f"SELECT {_EVENT_SQL_COLS}, event_time FROM edits"))
@@ -289,7 +382,7 @@ def q_stream_source(spark, sf):
     from editlens.schema import EDIT_EVENT
     src = stream_source(spark, "json", _landed(spark, sf), EDIT_EVENT,
                         {"timestampFormat": speed.TS_FORMAT,
-                         "maxFilesPerTrigger": str(REPLAY_FILES_PER_TRIGGER)})
+                         "maxFilesPerTrigger": str(WAVE_FILES)})
     out, ck = fresh_dir(spark, "stream-src"), fresh_dir(spark, "ckpt")
     q = speed.start_query(src.select(*EVENT_COLS, to_ntz("event_time").alias("event_time")),
                      ck, "append", "parquet", out, AVAILABLE_NOW)
@@ -319,8 +412,8 @@ def q_stream_late_drop(spark, sf):
     lo, hi = ev.agg(F.min(F.unix_micros("event_time")), F.max(F.unix_micros("event_time"))).first()
     mid = F.timestamp_micros(F.lit((lo + hi) // 2).cast("long"))
     base, out, ck = fresh_dir(spark, "late-in"), fresh_dir(spark, "late-out"), fresh_dir(spark, "ckpt")
-    speed.land_events(ev.filter(F.col("event_time") >= mid), f"{base}/wave=1")
-    speed.run_to_end(speed.run_speed(speed.read_events_stream(spark, base), out, ck, AVAILABLE_NOW))
-    speed.land_events(ev.filter(F.col("event_time") < mid), f"{base}/wave=2")
-    speed.run_to_end(speed.run_speed(speed.read_events_stream(spark, base), out, ck, AVAILABLE_NOW))
+    for part in (ev.filter(F.col("event_time") >= mid), ev.filter(F.col("event_time") < mid)):
+        speed.land_in_waves(part, base, waves=2, files=WAVE_FILES)
+        src = speed.read_events_stream(spark, base, max_files=WAVE_FILES)
+        speed.run_to_end(speed.run_speed(src, out, ck, AVAILABLE_NOW))
     return windows.flatten_window(spark.read.parquet(out))

@@ -3,12 +3,13 @@ view and its CSV export."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from editlens.config import DEFAULTS
 from editlens.operators import merge, views
+from editlens.plans import publish
 from editlens.schema import SNAPSHOT_SCHEMA
 
 MERGED_SCHEMA = StructType([StructField("wiki", StringType(), True),
@@ -45,31 +46,39 @@ def batch_view_or_none(spark: SparkSession, table: str) -> DataFrame | None:
     return spark.table(table) if spark.catalog.tableExists(table) else None
 
 
-def write_snapshot(ranked: DataFrame, path: str, window_s: int) -> None:
-    """(wiki, count) already top-N -> ranked snapshot rows, overwrite.
+def write_snapshot(counts: DataFrame, path: str, window_s: int, version: int | None = None) -> None:
+    """Publish the speed counts (wiki, count) of every key; they are ranked and cut
+    when read."""
+    publish.publish(counts.sparkSession, counts.select(
+        "wiki", F.col("count").cast("long").alias("count"),
+        F.unix_seconds(F.current_timestamp()).alias("ts"),
+        F.lit(window_s).cast("int").alias("window_s")), path, version)
 
-    The input is a top-N result (n rows), so ranking it without a partition
-    key and writing one file are bounded by n."""
-    from editlens.operators.windows import rank_within
-    n = 2 ** 31 - 1
-    r = rank_within(ranked.withColumn("_all", F.lit(1)), ["_all"], "count", "wiki", n)
-    (r.select(F.col("rank").cast("int").alias("rank"), "wiki",
-              F.col("count").cast("long").alias("count"),
-              F.unix_seconds(F.current_timestamp()).alias("ts"),
-              F.lit(window_s).cast("int").alias("window_s"))
-     .coalesce(1).write.mode("overwrite").parquet(path))
+
+def snapshot_counts(spark: SparkSession, path: str) -> DataFrame | None:
+    """(wiki, count, ts, window_s) of all keys, or None while nothing is published."""
+    return publish.current(spark, path, SNAPSHOT_SCHEMA)
 
 
 def read_snapshot(spark: SparkSession, path: str, n: int = DEFAULTS.top_n) -> DataFrame:
-    snap = spark.read.schema(SNAPSHOT_SCHEMA).parquet(path)
-    return snap.filter(F.col("rank").between(1, n)).orderBy("rank")
+    """Ranks 1..n of the newest snapshot (no rows while there is none). The rank
+    is taken over the n rows that are left after the limit."""
+    snap = snapshot_counts(spark, path)
+    if snap is None:
+        snap = spark.createDataFrame([], SNAPSHOT_SCHEMA)
+    top = views.top_n(snap, "count", "wiki", n)
+    rank = F.row_number().over(Window.orderBy(F.col("count").desc(), F.col("wiki").asc_nulls_first()))
+    return top.select(rank.alias("rank"), "wiki", "count", "ts", "window_s").orderBy("rank")
 
 
 def merged_view(spark: SparkSession, batch_table: str, snapshot_path: str,
                 n: int = DEFAULTS.top_n) -> DataFrame:
-    """Batch view + speed snapshot; serves speed-only if the batch is absent."""
+    """Batch view + speed snapshot over all their keys, then the top n. Serves
+    what there is if the batch view, the snapshot or both are absent."""
     batch = batch_view_or_none(spark, batch_table)
-    speed = read_snapshot(spark, snapshot_path, n)
+    speed = snapshot_counts(spark, snapshot_path)
+    if batch is None and speed is None:
+        batch = merge.empty_view(spark)
     return merge.lambda_merge(batch, speed, n)
 
 
@@ -82,3 +91,41 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 def read_csv(spark: SparkSession, path: str, schema: StructType = MERGED_SCHEMA) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
+
+
+def main(argv: list[str]) -> None:
+    """spark-submit -m editlens.plans.serving register <views> <db>
+       spark-submit -m editlens.plans.serving serve <db>.<table> <snapshot> [--top-n N] [--csv <path>]"""
+    import argparse
+
+    from editlens.plans.batch import VIEW_NAMES
+    from editlens.session import build_session
+
+    p = argparse.ArgumentParser(prog="editlens.plans.serving")
+    sub = p.add_subparsers(dest="command", required=True)
+    r = sub.add_parser("register", help="external tables over the batch views")
+    r.add_argument("views")
+    r.add_argument("db")
+    s = sub.add_parser("serve", help="merged top wikis")
+    s.add_argument("table")
+    s.add_argument("snapshot")
+    s.add_argument("--top-n", type=int, default=DEFAULTS.top_n)
+    s.add_argument("--csv")
+    a = p.parse_args(argv[1:])
+    spark = build_session(app=f"editlens-{a.command}")
+    if a.command == "register":
+        there = {n: f"{a.views.rstrip('/')}/{n}" for n in VIEW_NAMES}
+        print("\n".join(register_views(spark, a.db, {n: v for n, v in there.items()
+                                                     if publish.exists(spark, v)})))
+    else:
+        out = merged_view(spark, a.table, a.snapshot, a.top_n)
+        if a.csv:
+            export_csv(out, a.csv, single_file=True)
+        else:
+            out.show(a.top_n, truncate=False)
+    spark.stop()
+
+
+if __name__ == "__main__":
+    import sys
+    main(sys.argv)

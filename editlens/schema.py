@@ -29,15 +29,9 @@ EDIT_EVENT = StructType(EVENT_SCHEMA.fields + [
     StructField("arrival_time", TimestampType(), True),
 ])
 
-# Payload decoded by the streaming layer (no namespace / id).
-STREAM_PAYLOAD = StructType([
-    StructField("wiki", StringType(), True),
-    StructField("title", StringType(), True),
-    StructField("timestamp", LongType(), True),
-    StructField("user", StringType(), True),
-    StructField("type", StringType(), True),
-    StructField("bot", BooleanType(), True),
-])
+# Payload decoded by the streaming layer: the whole record (the counting key
+# falls back to id).
+STREAM_PAYLOAD = EVENT_SCHEMA
 
 # Envelope of a record read from a managed log.
 ENVELOPE = StructType([
@@ -45,13 +39,13 @@ ENVELOPE = StructType([
     StructField("approximateArrivalTimestamp", TimestampType(), True),
 ])
 
-# Ranked speed snapshot.
+# Speed snapshot as stored, all keys; ranks are added when it is read.
 SNAPSHOT_SCHEMA = StructType([
-    StructField("rank", IntegerType(), False),
     StructField("wiki", StringType(), True),
     StructField("count", LongType(), True),
     StructField("ts", LongType(), True),
     StructField("window_s", IntegerType(), True),
 ])
 
-JSON_FILE_GLOB = "*.{jsonl,json}"
+# Only the strict scan filters by name; compressed files count.
+STRICT_FILE_GLOB = "*.{jsonl,json,jsonl.gz,json.gz}"

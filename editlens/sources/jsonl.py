@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
-from editlens.schema import EVENT_SCHEMA, JSON_FILE_GLOB
+from editlens.schema import EVENT_SCHEMA, STRICT_FILE_GLOB
 from editlens.session import ensure_utc
 
 CORRUPT = "_corrupt_record"
+LAST = "_editlens_last"
 
 
 def scan_jsonl(spark: SparkSession, path: str, schema: StructType = EVENT_SCHEMA,
                recursive: bool = False, keep_corrupt: bool = False) -> DataFrame:
     """Full-history scan with an explicit schema in PERMISSIVE mode.
 
-    A malformed line becomes an all-NULL row (it still counts in the total);
+    Every file under ``path`` is read, whatever its name or compression
+    (hidden files aside). A malformed line becomes an all-NULL row (it still counts in the total);
     a field of the wrong type is NULL on its own. With ``recursive`` partition
     discovery is off (foreign layouts such as yyyy/mm/dd/HH/); the default
     reads Hive-style ``yyyy=/mm=/dd=/HH=`` folders so partition columns can
@@ -29,15 +31,18 @@ def scan_jsonl(spark: SparkSession, path: str, schema: StructType = EVENT_SCHEMA
          .option("mode", "PERMISSIVE")
          .option("columnNameOfCorruptRecord", CORRUPT))
     if recursive:
-        r = r.option("recursiveFileLookup", "true").option("pathGlobFilter", JSON_FILE_GLOB)
+        r = r.option("recursiveFileLookup", "true")
     return r.json(path)
 
 
 def scan_jsonl_strict(spark: SparkSession, path: str, schema: StructType = EVENT_SCHEMA,
-                      recursive: bool = True, glob: str = JSON_FILE_GLOB) -> DataFrame:
-    """Scan that drops blank and unparsable lines, keeping only JSON objects.
+                      recursive: bool = True, glob: str = STRICT_FILE_GLOB) -> DataFrame:
+    """Scan that drops blank and unparsable lines, keeping only lines that are
+    exactly one JSON object (no text or second object after it).
 
-    Unlike DROPMALFORMED it does not drop a row whose only fault is a field
+    A JSON parser stops at the end of the first value, so each line is parsed once
+    as the first element of an array that a marker object ends: the line is one
+    value if and only if the marker is the second element. Unlike DROPMALFORMED it does not drop a row whose only fault is a field
     of the wrong type: that field is NULL, the row is kept. Duplicate keys are
     accepted (last one wins), as a plain JSON decoder does.
     """
@@ -46,11 +51,12 @@ def scan_jsonl_strict(spark: SparkSession, path: str, schema: StructType = EVENT
     if recursive:
         r = r.option("recursiveFileLookup", "true")
     lines = r.text(path).select(F.trim("value").alias("line"))
-    ok = (
-        lines.filter(F.col("line").startswith("{"))
-        .filter(F.get_json_object("line", "$").isNotNull())
-    )
-    return ok.select(F.from_json("line", schema).alias("e")).select("e.*")
+    marked = ArrayType(StructType(schema.fields + [StructField(LAST, BooleanType(), True)]))
+    parsed = lines.filter(F.col("line").startswith("{")).select(
+        F.from_json(F.concat(F.lit("["), "line", F.lit(f',{{"{LAST}":true}}]')), marked).alias("a"))
+    whole = (F.size("a") == 2) & F.col("a")[0][LAST].isNull() & F.col("a")[1][LAST]
+    return parsed.filter(whole).select(F.col("a")[0].alias("e")).select(
+        *[F.col(f"e.{f.name}").alias(f.name) for f in schema.fields])
 
 
 def record_counts_jsonl(df: DataFrame) -> DataFrame:

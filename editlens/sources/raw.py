@@ -9,6 +9,7 @@ from editlens.config import DEFAULTS
 from editlens.schema import EVENT_SCHEMA
 
 PARTS = ("yyyy", "mm", "dd", "HH")
+CLOCKS = ("event_time", "arrival_time")
 
 
 def hour_parts(ts: Column | str) -> list[Column]:
@@ -25,8 +26,16 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite",
     w.json(path)
 
 
+def record_columns(events: DataFrame, columns: tuple[str, ...] | None = None) -> list[str]:
+    """The canonical fields first, then whatever else the record has."""
+    if columns:
+        return list(columns)
+    known = [f.name for f in EVENT_SCHEMA.fields if f.name in events.columns]
+    return known + [c for c in events.columns if c not in known and c not in CLOCKS and c not in PARTS]
+
+
 def land_raw(events: DataFrame, path: str, clock: str = "arrival_time",
-             max_records_per_file: int = 0, mode: str = "overwrite",
+             max_records_per_file: int = DEFAULTS.raw_file_records, mode: str = "overwrite",
              columns: tuple[str, ...] | None = None) -> None:
     """Write events as JSON lines under ``yyyy=/mm=/dd=/HH=`` of ``clock``.
 
@@ -34,13 +43,14 @@ def land_raw(events: DataFrame, path: str, clock: str = "arrival_time",
     in the raw master dataset. Rows are clustered by hour with a REBALANCE
     hint so each task writes few, large files, and AQE splits an hour that
     holds a large share of all rows over several tasks instead of one;
-    ``max_records_per_file`` mirrors the producer's flush size. (Range
+    ``max_records_per_file`` bounds a file (a producer's flush size, for its small
+    files). ``columns`` defaults to every column but the clocks, so fields beyond the
+    canonical record are kept. (Range
     partitioning on the clock would also split hot hours, but its sampling
     job is a second pass over the input; on tiny inputs AQE coalesces the
     rebalance into one writer task, which is slow locally and right at scale.)
     """
-    cols = list(columns or [f.name for f in EVENT_SCHEMA.fields])
-    out = events.select(*cols, *hour_parts(clock))
+    out = events.select(*record_columns(events, columns), *hour_parts(clock))
     w = out.hint("rebalance", *PARTS).write.mode(mode).partitionBy(*PARTS)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
@@ -48,12 +58,20 @@ def land_raw(events: DataFrame, path: str, clock: str = "arrival_time",
 
 
 def run_raw_sink(stream: DataFrame, path: str, checkpoint: str, clock: str = "arrival_time",
-                 max_records_per_file: int = DEFAULTS.flush_size * 20,
-                 trigger: dict | None = None, columns: tuple[str, ...] | None = None):
+                 max_records_per_file: int = DEFAULTS.raw_file_records,
+                 trigger: dict | None = None, columns: tuple[str, ...] | None = None,
+                 writers_per_hour: int = 1):
     """Streaming form of the raw sink: JSON lines under ``yyyy=/mm=/dd=/HH=``,
-    committed exactly once per trigger through the file sink's log."""
-    cols = list(columns or [f.name for f in EVENT_SCHEMA.fields])
+    committed exactly once per trigger through the file sink's log.
+
+    A trigger's rows are clustered by hour before they are written, so an hour
+    costs ``writers_per_hour`` files and not one per task; raise it where the
+    current hour is too much for one writer.
+    """
+    cols = record_columns(stream, columns)
+    spread = F.pmod(F.xxhash64(*cols), F.lit(max(int(writers_per_hour), 1)))
     return (stream.select(*cols, *hour_parts(clock))
+            .repartition(*PARTS, spread)
             .writeStream.format("json").outputMode("append")
             .partitionBy(*PARTS)
             .option("path", path).option("checkpointLocation", checkpoint)
@@ -65,11 +83,11 @@ def run_raw_sink(stream: DataFrame, path: str, checkpoint: str, clock: str = "ar
 def raw_inventory(spark: SparkSession, path: str, max_keys: int = 5000) -> DataFrame:
     """Object count, total bytes and a 'more than max_keys' flag.
 
-    Reads only file metadata (``binaryFile`` with the content column pruned).
+    Reads only file metadata (``binaryFile`` with the content column pruned), of the
+    same files as the permissive scan: all but hidden ones.
     """
     files = (spark.read.format("binaryFile")
              .option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.json*")
              .load(path).select("path", "length"))
     return files.agg(
         F.count(F.lit(1)).alias("objects"),

@@ -1,12 +1,12 @@
 """Speed layer on Structured Streaming.
 
-* ``decode_envelope``   log envelope (binary payload + arrival time) -> rows
+* ``decode_envelope``   log envelope (payload + arrival time) -> records
 * ``windowed_counts``   watermark + hopping window count (direct or panes)
 * ``run_speed``         windowed counts -> Parquet (append) with checkpoint
-* ``run_snapshot``      admitted events -> durable pane table -> ranked
-                        top-N snapshot, rewritten every micro-batch
+* ``run_snapshot``      pane counts in Spark's state store -> trailing counts,
+                        published as a new version every micro-batch
 * ``dual_write``        each micro-batch to the raw history and to the log
-* ``dedupe_stream``     bounded-state dedupe of a polled feed
+* ``dedupe_stream``     each id of a polled feed once
 
 Every query takes its checkpoint under the shared checkpoint folder; the
 sinks are the file sink (exactly-once through its commit log) or
@@ -22,8 +22,11 @@ from pyspark.sql.streaming import StreamingQuery
 from editlens.config import DEFAULTS
 from editlens.functions import group_key, has_wiki, not_bot, should_count
 from editlens.operators import views, windows
-from editlens.schema import STREAM_PAYLOAD
-from editlens.sources.raw import PARTS, hour_parts
+from editlens.plans import publish
+from editlens.schema import EDIT_EVENT, STREAM_PAYLOAD
+from editlens.sources.feed import has_id
+from editlens.sources.raw import PARTS, hour_parts, record_columns
+from editlens.sources.stream import stream_source, to_log_records
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -37,16 +40,36 @@ def envelope(events: DataFrame) -> DataFrame:
                          F.col("arrival_time").alias("approximateArrivalTimestamp"))
 
 
-def decode_envelope(env: DataFrame, exclude_bots: bool = DEFAULTS.exclude_bots) -> DataFrame:
-    """binary -> string -> typed struct -> flat columns + event_time (arrival).
+#: payload and clock columns of the envelope shapes of log connectors
+ENVELOPES = (("data", "approximateArrivalTimestamp"), ("value", "timestamp"))
 
-    A payload that is not valid JSON decodes to a struct of NULLs and is then
-    removed by the wiki requirement.
+
+def decode_envelope(env: DataFrame) -> DataFrame:
+    """Log records of either shape (managed log: data, approximateArrivalTimestamp;
+    Kafka: value, timestamp) -> the record's columns with both clocks set to the
+    log's arrival time.
+
+    Nothing is filtered: a payload that is no JSON object gives a record of nulls,
+    which each layer's own population rule then admits or drops.
     """
-    parsed = (env.select(F.from_json(F.col("data").cast("string"), STREAM_PAYLOAD).alias("e"),
-                         F.col("approximateArrivalTimestamp").alias("event_time"))
-              .select("e.*", "event_time"))
-    return views.batch_population(parsed, exclude_bots)
+    shape = next(((p, c) for p, c in ENVELOPES if {p, c} <= set(env.columns)), None)
+    if shape is None:
+        raise ValueError(f"not a log envelope: {env.columns}")
+    payload, clock = (F.col(c) for c in shape)
+    record = F.from_json(payload.cast("string"), STREAM_PAYLOAD)
+    arrived = clock.cast("timestamp")
+    return env.withColumns({"_record": record, "event_time": arrived, "arrival_time": arrived}).select(
+        *[F.col("_record")[f.name].alias(f.name) for f in STREAM_PAYLOAD.fields], "event_time", "arrival_time")
+
+
+def with_clocks(events: DataFrame) -> DataFrame:
+    """Plain records carry only ``timestamp`` (epoch seconds): it stands for the
+    event time where that is absent, and the event time for the arrival time."""
+    recorded = F.timestamp_seconds("timestamp")
+    event = F.coalesce("event_time", recorded) if "event_time" in events.columns else recorded
+    out = events.withColumn("event_time", event)
+    arrival = F.coalesce("arrival_time", "event_time") if "arrival_time" in events.columns else F.col("event_time")
+    return out.withColumn("arrival_time", arrival)
 
 
 # ------------------------------------------------------------------ windowing
@@ -54,13 +77,14 @@ def decode_envelope(env: DataFrame, exclude_bots: bool = DEFAULTS.exclude_bots)
 def windowed_counts(events: DataFrame, time_col: str = "event_time",
                     window: str = DEFAULTS.window, slide: str = DEFAULTS.slide,
                     watermark: str = DEFAULTS.watermark, panes: bool = False,
-                    pane_s: int = DEFAULTS.pane_seconds) -> DataFrame:
+                    pane_s: int = DEFAULTS.pane_seconds,
+                    exclude_bots: bool = DEFAULTS.exclude_bots) -> DataFrame:
     """Streaming per-wiki hopping-window counts (append-safe).
 
     ``panes=True`` chains a tumbling pane count into the hop (two stateful
     operators; append mode only). Output: window struct, wiki, edits.
     """
-    pop = views.batch_population(events).withWatermark(time_col, watermark)
+    pop = views.batch_population(events, exclude_bots).withWatermark(time_col, watermark)
     if panes and windows.panes_are_exact(window, slide, pane_s):
         return windows.panes_to_windows(windows.pane_counts(pop, time_col, "wiki", pane_s),
                                         "wiki", window, slide)
@@ -69,11 +93,11 @@ def windowed_counts(events: DataFrame, time_col: str = "event_time",
 
 def start_query(stream: DataFrame, checkpoint: str, output_mode: str, sink: str | None = None,
                 path: str | None = None, trigger: dict | None = None,
-                foreach_batch=None) -> StreamingQuery:
+                foreach_batch=None, options: dict[str, str] | None = None) -> StreamingQuery:
     """writeStream with a checkpoint, a file sink or a foreachBatch writer, and
     a trigger (processing time by default)."""
     w = (stream.writeStream.outputMode(output_mode)
-         .option("checkpointLocation", checkpoint))
+         .option("checkpointLocation", checkpoint).options(**(options or {})))
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
     else:
@@ -85,30 +109,34 @@ def start_query(stream: DataFrame, checkpoint: str, output_mode: str, sink: str
 
 
 def run_speed(events: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-              panes: bool = False, watermark: str = DEFAULTS.watermark) -> StreamingQuery:
+              panes: bool = False, watermark: str = DEFAULTS.watermark,
+              window: str = DEFAULTS.window, slide: str = DEFAULTS.slide,
+              exclude_bots: bool = DEFAULTS.exclude_bots) -> StreamingQuery:
     """Windowed counts appended to Parquet; a window is written once the
     watermark passes its end."""
-    stream = windowed_counts(events, panes=panes, watermark=watermark)
+    stream = windowed_counts(events, window=window, slide=slide, panes=panes, watermark=watermark,
+                             exclude_bots=exclude_bots)
     return start_query(stream, checkpoint, "append", "parquet", out, trigger)
 
 
-def overwrite_each_batch(out: str):
-    """foreachBatch writer that replaces ``out`` with the batch (complete mode)."""
+def publish_each_batch(spark: SparkSession, out: str):
+    """foreachBatch writer that publishes the batch as the new version of ``out``
+    (complete mode); readers of the version before are not disturbed."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        publish.publish(spark, batch, out, batch_id)
     return write
 
 
 def run_complete(stream: DataFrame, out: str | None, checkpoint: str,
                  trigger: dict | None = None, sink: str = "parquet") -> StreamingQuery:
-    """Complete-mode aggregate, the whole result table replaced per trigger
-    (``sink="console"`` prints it instead, for live demos)."""
+    """Complete-mode aggregate; ``publish.current`` reads the newest version
+    (``sink="console"`` prints it instead, for live demos). The whole result is
+    state and is rewritten per trigger: for bounded keys, not for windows."""
     if sink == "console":
-        return (stream.writeStream.outputMode("complete").format("console")
-                .option("truncate", False).option("checkpointLocation", checkpoint)
-                .trigger(**(trigger or {"processingTime": DEFAULTS.trigger})).start())
+        return start_query(stream, checkpoint, "complete", "console", trigger=trigger,
+                           options={"truncate": "false"})
     return start_query(stream, checkpoint, "complete", trigger=trigger,
-                       foreach_batch=overwrite_each_batch(out))
+                       foreach_batch=publish_each_batch(stream.sparkSession, out))
 
 
 def top_wikis_complete(events: DataFrame, n: int = DEFAULTS.top_n) -> DataFrame:
@@ -120,73 +148,72 @@ def top_wikis_complete(events: DataFrame, n: int = DEFAULTS.top_n) -> DataFrame:
 
 # ------------------------------------------------------------------- snapshot
 
+PANE_SCHEMA = "pane_start timestamp, wiki string, count bigint, last timestamp, batch bigint"
+
+
+def pane_stream(events: DataFrame, window_s: int = DEFAULTS.window_seconds,
+                pane_s: int = DEFAULTS.pane_seconds) -> DataFrame:
+    """Running count of admitted events per (pane, key), kept by Spark's state store
+    until the pane has left the trailing window (watermark = window + pane).
+
+    An event dated after its arrival counts at its arrival: the log's clock, which
+    no single record can move, bounds the event time before the watermark.
+    """
+    clocked = with_clocks(events).withColumn("event_time", F.least("event_time", "arrival_time"))
+    return (clocked.withWatermark("event_time", f"{window_s + pane_s} seconds")
+            .groupBy(F.window("event_time", f"{pane_s} seconds").alias("pane"), group_key().alias("wiki"))
+            .agg(F.count_if(should_count()).alias("count"), F.max("event_time").alias("last")))
+
+
 def snapshot_writer(spark: SparkSession, state_path: str, snapshot_path: str,
-                    n: int = DEFAULTS.top_n, window_s: int = DEFAULTS.window_seconds,
-                    pane_s: int = DEFAULTS.pane_seconds):
-    """foreachBatch body of the ranked snapshot.
-
-    The live panes are durable state kept in two slots: batch ``id`` reads
-    version ``id-1`` from slot ``(id-1) % 2``, adds its own pane counts,
-    drops panes that left the trailing window and overwrites slot
-    ``id % 2`` with version ``id``. So the state stays bounded (window /
-    pane x keys rows, two small tables on disk), a retried batch finds its
-    input untouched and rewrites the same output (idempotent), and lineage
-    is cut at every batch by the write. The snapshot -- ranks 1..n as of the
-    latest event time seen -- is then overwritten, so stale ranks vanish by
-    construction.
+                    window_s: int = DEFAULTS.window_seconds):
+    """foreachBatch body of the snapshot, over ``pane_stream`` in update mode.
+
+    A trigger writes the panes it changed under its batch id (a retried batch
+    rewrites its own folder). The newest count of a pane is its largest, as counts
+    only grow. The snapshot is the sum over the panes of the trailing window, published as
+    the version of that batch. Batches without a live pane are removed, so what
+    is stored stays in proportion to the window.
     """
     from editlens.plans.serving import write_snapshot
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        panes = (batch.groupBy(F.window("event_time", f"{pane_s} seconds").start
-                               .alias("pane_start"), group_key().alias("wiki"))
-                 .agg(F.count_if(should_count()).alias("count"),
-                      F.max("event_time").alias("max_event_time")))
-        if batch_id > 0:
-            prev = (spark.read.parquet(f"{state_path}/slot={(batch_id - 1) % 2}")
-                    .filter(F.col("version") == batch_id - 1).drop("version"))
-            panes = (prev.unionByName(panes).groupBy("pane_start", "wiki")
-                     .agg(F.sum("count").cast("long").alias("count"),
-                          F.max("max_event_time").alias("max_event_time")))
-        panes = panes.persist()   # used twice: latest time, then the state write
-        try:
-            as_of = windows.as_of_literal(panes, "max_event_time")
-            live = panes.filter(F.col("pane_start") >=
-                                as_of - F.make_interval(secs=F.lit(window_s)))
-            out = f"{state_path}/slot={batch_id % 2}"
-            live.withColumn("version", F.lit(batch_id).cast("long")) \
-                .write.mode("overwrite").parquet(out)
-        finally:
-            panes.unpersist()
-        state = spark.read.parquet(out).filter(F.col("version") == batch_id)
-        totals = (state.filter(F.col("count") > 0).groupBy("wiki")
-                  .agg(F.sum("count").cast("long").alias("count")))
-        write_snapshot(views.top_n(totals, "count", "wiki", n), snapshot_path, window_s)
+        batch.select(F.col("pane.start").alias("pane_start"), "wiki", "count", "last") \
+            .write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
+        panes = spark.read.schema(PANE_SCHEMA).parquet(state_path).where(F.col("batch") <= batch_id)
+        lower = windows.as_of_literal(panes, "last") - F.make_interval(secs=F.lit(window_s))
+        live = panes.where(F.col("pane_start") >= lower).groupBy("pane_start", "wiki").agg(F.max("count").alias("count"))
+        totals = live.where("count > 0").groupBy("wiki").agg(F.sum("count").cast("long").alias("count"))
+        write_snapshot(totals, snapshot_path, window_s, version=batch_id)
+        # one row per stored batch
+        gone = panes.groupBy("batch").agg(F.max("pane_start").alias("newest")).where(F.col("newest") < lower)
+        for r in gone.collect():
+            publish.delete(spark, f"{state_path}/batch={r['batch']}")
     return write
 
 
 def run_snapshot(spark: SparkSession, events: DataFrame, state_path: str, snapshot_path: str,
-                 checkpoint: str, n: int = DEFAULTS.top_n,
-                 window_s: int = DEFAULTS.window_seconds, pane_s: int = DEFAULTS.pane_seconds,
-                 trigger: dict | None = None) -> StreamingQuery:
-    return start_query(events, checkpoint, "append", trigger=trigger,
-                       foreach_batch=snapshot_writer(spark, state_path, snapshot_path,
-                                                     n, window_s, pane_s))
+                 checkpoint: str, window_s: int = DEFAULTS.window_seconds,
+                 pane_s: int = DEFAULTS.pane_seconds, trigger: dict | None = None) -> StreamingQuery:
+    return start_query(pane_stream(events, window_s, pane_s), checkpoint, "update", trigger=trigger,
+                       foreach_batch=snapshot_writer(spark, state_path, snapshot_path, window_s))
 
 
 # ------------------------------------------------------------ dual write etc.
 
 def dual_writer(raw_path: str, log_path: str, clock: str = "arrival_time"):
-    """foreachBatch: persist the batch once, write it to the raw history
-    (JSON by hour) and to the stream log (Parquet), each under its batch id."""
+    """foreachBatch: persist the batch once, write whole records to the raw history
+    (JSON by hour) and keyed (key, value) records to the stream log, each under its
+    batch id."""
     def write(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()
         try:
-            (b.select(*[c for c in b.columns], *hour_parts(clock))
+            cols = record_columns(b)
+            (b.select(*cols, *hour_parts(clock)).repartition(*PARTS)
              .write.mode("overwrite").partitionBy(*PARTS)
-             .option("timestampFormat", TS_FORMAT)
              .json(f"{raw_path}/batch_id={batch_id}"))
-            b.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+            to_log_records(b, payload_cols=cols).write.mode("overwrite") \
+                .parquet(f"{log_path}/batch_id={batch_id}")
         finally:
             b.unpersist()
     return write
@@ -198,13 +225,18 @@ def run_dual_write(events: DataFrame, raw_path: str, log_path: str, checkpoint:
                        foreach_batch=dual_writer(raw_path, log_path))
 
 
-def dedupe_stream(items: DataFrame, id_col: str = "id", time_col: str = "event_time",
-                  delay: str = "1 hour") -> DataFrame:
-    """Emit each id once while it is within the watermark delay (bounded
-    state, unlike an ever-growing 'seen' set)."""
-    return (items.filter(F.col(id_col).isNotNull())
-            .withWatermark(time_col, delay)
-            .dropDuplicatesWithinWatermark([id_col]))
+def dedupe_stream(items: DataFrame, id_col: str = "id", time_col: str | None = None,
+                  delay: str | None = None) -> DataFrame:
+    """Emit each id once, ever: the ids seen are state (RocksDB, on disk). Items
+    without an id are skipped.
+
+    With ``time_col`` and ``delay`` state is bounded instead: an id is
+    remembered only that long, and comes out again if it returns later.
+    """
+    kept = items.filter(has_id(id_col))
+    if delay is None:
+        return kept.dropDuplicates([id_col])
+    return kept.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([id_col])
 
 
 def admitted(events: DataFrame) -> DataFrame:
@@ -221,14 +253,28 @@ def land_events(events: DataFrame, path: str, clock: str = "arrival_time") -> No
      .option("timestampFormat", TS_FORMAT).json(path))
 
 
-def read_events_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Stream of landed edit events (schema EDIT_EVENT)."""
-    from editlens.schema import EDIT_EVENT
-    from editlens.sources.stream import stream_source
+def land_in_waves(events: DataFrame, path: str, waves: int = 4, files: int = 2,
+                  clock: str = "event_time") -> None:
+    """Land events in time order: one wave of ``files`` files after the other, each
+    an equal share of the time span. With ``max_files=files`` a micro-batch is a wave."""
+    lo, hi = events.agg(F.min(F.unix_micros(clock)), F.max(F.unix_micros(clock))).first()
+    if lo is None:
+        return
+    step = (hi - lo) // waves + 1
+    for w in range(waves):
+        at = F.unix_micros(clock)
+        (events.filter((at >= lo + w * step) & (at < lo + (w + 1) * step))
+         .repartition(files, F.xxhash64("id")).write.mode("append")
+         .option("timestampFormat", TS_FORMAT).json(path))
+
+
+def read_events_stream(spark: SparkSession, path: str, max_files: int | None = DEFAULTS.max_files) -> DataFrame:
+    """Stream of landed records: edit events with both clocks, or plain raw history
+    (whose ``timestamp`` becomes the event time)."""
     opts = {"timestampFormat": TS_FORMAT}
     if max_files:
         opts["maxFilesPerTrigger"] = str(int(max_files))
-    return stream_source(spark, "json", path, EDIT_EVENT, opts)
+    return with_clocks(stream_source(spark, "json", path, EDIT_EVENT, opts))
 
 
 def run_to_end(q: StreamingQuery, timeout_s: float | None = None) -> None:
@@ -238,35 +284,47 @@ def run_to_end(q: StreamingQuery, timeout_s: float | None = None) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def main(argv: list[str]) -> None:
-    """spark-submit -m editlens.streaming.speed <windowed|snapshot> <in> <out> <checkpoint>
-    [--available-now]   (drain what is there, then stop; default: 30 s triggers forever)
+def arguments(argv: list[str]):
+    import argparse
 
-    Reads landed JSON under <in> (or set EDITLENS_SOURCE_FORMAT and
-    EDITLENS_SOURCE_OPTIONS='{"k": "v"}' for a log connector)."""
-    import json
-    import os
+    p = argparse.ArgumentParser(prog="editlens.streaming.speed", description="Speed-layer jobs.")
+    p.add_argument("mode", choices=("windowed", "snapshot"))
+    p.add_argument("source", help="folder of landed files (ignored by log connectors)")
+    p.add_argument("out")
+    p.add_argument("checkpoint")
+    p.add_argument("--available-now", action="store_true", help="drain what is there, then stop")
+    p.add_argument("--window", default=DEFAULTS.window)
+    p.add_argument("--slide", default=DEFAULTS.slide)
+    p.add_argument("--watermark", default=DEFAULTS.watermark)
+    p.add_argument("--include-bots", action="store_true", help="windowed mode: count bots too")
+    p.add_argument("--panes", action="store_true", help="pre-aggregate panes before the hop")
+    p.add_argument("--max-files", type=int, default=DEFAULTS.max_files, help="files per micro-batch")
+    p.add_argument("--format", default="json", help="json, parquet or a log connector's name")
+    p.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="source option")
+    return p.parse_args(argv)
 
-    from editlens.schema import EDIT_EVENT
+
+def main(argv: list[str]) -> None:
+    """spark-submit -m editlens.streaming.speed windowed|snapshot <in> <out> <checkpoint> [options]"""
     from editlens.session import build_session
-    from editlens.sources.stream import stream_source
-
-    available_now = "--available-now" in argv
-    mode, src, out, ck = [a for a in argv[1:] if not a.startswith("--")][:4]
-    trigger = {"availableNow": True} if available_now else None
-    spark = build_session(app=f"editlens-speed-{mode}")
-    fmt = os.environ.get("EDITLENS_SOURCE_FORMAT", "json")
-    opts = json.loads(os.environ.get("EDITLENS_SOURCE_OPTIONS", "{}"))
-    if fmt == "json":
-        opts.setdefault("timestampFormat", TS_FORMAT)
-    stream = stream_source(spark, fmt, src if fmt in ("json", "parquet") else None,
-                           EDIT_EVENT, opts)
-    if fmt not in ("json", "parquet"):
-        stream = decode_envelope(stream)
-    if mode == "windowed":
-        q = run_speed(stream, out, ck, trigger)
+
+    a = arguments(argv[1:])
+    spark = build_session(app=f"editlens-speed-{a.mode}")
+    opts = dict(o.split("=", 1) for o in a.option)
+    if a.format == "json":
+        stream = read_events_stream(spark, a.source, a.max_files)
+    elif a.format == "parquet":
+        stream = with_clocks(stream_source(spark, "parquet", a.source, EDIT_EVENT,
+                                           {"maxFilesPerTrigger": str(a.max_files)} | opts))
+    else:
+        stream = decode_envelope(stream_source(spark, a.format, None, None, opts))
+    trigger = {"availableNow": True} if a.available_now else None
+    if a.mode == "windowed":
+        q = run_speed(stream, a.out, a.checkpoint, trigger, a.panes, a.watermark, a.window, a.slide,
+                      not a.include_bots)
     else:
-        q = run_snapshot(spark, stream, f"{out}/state", f"{out}/snapshot", ck, trigger=trigger)
+        q = run_snapshot(spark, stream, f"{a.out}/state", f"{a.out}/snapshot", a.checkpoint,
+                         windows.duration_seconds(a.window), trigger=trigger)
     run_to_end(q)
     spark.stop()
 

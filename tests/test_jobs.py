@@ -20,7 +20,7 @@ def test_batch_job_main(spark, tmp_dir):
     raw, out = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "out")
     ev = edit_events(spark, SF_SMALL)
     land_raw(ev, raw, max_records_per_file=200)
-    run("editlens.plans.batch", raw, out, "10", "--bronze", os.path.join(tmp_dir, "bronze"))
+    run("editlens.plans.batch", raw, out, "--top-n", "10", "--bronze", os.path.join(tmp_dir, "bronze"))
     assert any(d.startswith("event_date=") for d in os.listdir(os.path.join(tmp_dir, "bronze")))
     assert sorted(d for d in os.listdir(out) if not d.startswith("_")) == \
         ["edit_types", "hourly", "keywords", "namespaces", "wiki_edits"]
@@ -36,3 +36,19 @@ def test_speed_job_main(spark, tmp_dir):
     got = windows.flatten_window(spark.read.parquet(out))
     want = windows.sliding_edits(ev)
     assert got.count() > 0 and got.exceptAll(want).count() == 0
+
+
+def test_snapshot_and_serve_mains(spark, tmp_dir):
+    src, out, ck, csv, raw, views_dir = (os.path.join(tmp_dir, d) for d in ("in", "out", "ck", "csv", "raw", "views"))
+    ev = edit_events(spark, SF_SMALL)
+    land_raw(ev, raw)
+    speed.land_events(ev, src)
+    run("editlens.plans.batch", raw, views_dir, "--include-bots")
+    run("editlens.streaming.speed", "snapshot", src, out, ck, "--available-now", "--window", "1 day")
+    run("editlens.plans.serving", "serve", "nowhere.wiki_edits", f"{out}/snapshot", "--top-n", "3", "--csv", csv)
+    from editlens.plans import serving
+    got = [tuple(r) for r in serving.read_csv(spark, csv).collect()]
+    top = serving.read_snapshot(spark, f"{out}/snapshot", 3).collect()
+    assert got == [(r.wiki, r["count"]) for r in top] and len(got) == 3
+    all_wikis = spark.read.parquet(os.path.join(views_dir, "wiki_edits"))
+    assert all_wikis.count() == ev.filter("wiki is not null").select("wiki").distinct().count()

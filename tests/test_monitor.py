@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 from editlens.operators import monitor
+from tests.conftest import edits_df
 
 
 def series(spark, pts):
@@ -40,14 +41,25 @@ def test_speedup_from_first_run(spark):
     assert got == [1.0, 1.81, 3.31, 5.65]
 
 
-def test_sentinel_not_found_reports_timeout(spark):
+def test_sentinel_latency(spark):
     t0 = dt.datetime(2024, 1, 1)
-    probes = spark.createDataFrame([("a", t0, 10), ("b", t0, 50)],
-                                   "wiki string, sent_time timestamp, burst long")
-    view = spark.createDataFrame([("a", t0 + dt.timedelta(milliseconds=1500))],
-                                 "wiki string, seen_time timestamp")
-    got = {r.wiki: (r.latency_ms, r.found) for r in monitor.sentinel_latency(probes, view).collect()}
-    assert got == {"a": (1500.0, True), "b": (60000.0, False)}
+    rows = []
+
+    def put(wiki, at, lag, etype="edit", bot=False):
+        t = t0 + dt.timedelta(seconds=at)
+        rows.append(dict(wiki=wiki, id=str(len(rows)), type=etype, bot=bot, event_time=t,
+                         arrival_time=t + dt.timedelta(seconds=lag)))
+    put("a", 0, 1.5)                      # one row: seen 1.5 s after it
+    put("b", 0, 5), put("b", 10, 30)      # seen before the burst is over: 0
+    put("c", 0, 61)                       # seen after the timeout
+    put("d", 0, 1, "log")                 # never admitted
+    put("e", 0, 20), put("e", 70, 2)      # two bursts
+    put("f", 0, 0.5, bot=True)            # no probe
+    got = {(r.wiki, r.minute): (r.burst, r.burst_ms, r.latency_ms, r.found)
+           for r in monitor.sentinel_latency(edits_df(spark, rows)).collect()}
+    t1 = t0 + dt.timedelta(minutes=1)
+    assert got == {("a", t0): (1, 0.0, 1500.0, True), ("b", t0): (2, 10000.0, 0.0, True), ("c", t0): (1, 0.0, 60000.0, False),
+                   ("d", t0): (1, 0.0, 60000.0, False), ("e", t0): (1, 0.0, 20000.0, True), ("e", t1): (1, 0.0, 2000.0, True)}
 
 
 def test_throughput_summary(spark):

@@ -41,3 +41,37 @@ def test_dedupe_and_topn_per_window_reduce_before_shuffle(spark):
     assert "partial_min" in p
     p = plan(E.queries()["topn_per_window"](spark, SF_SMALL))
     assert "WindowGroupLimit" in p and "Partial" in p
+
+
+TRAILING = ["trailing_topn", "trailing_size", "lambda_merge", "lambda_merge_outer", "lambda_merge_speed_only"]
+
+
+def test_both_time_bounds_reach_the_scan(spark):
+    for name in TRAILING:
+        p = plan(E.queries()[name](spark, SF_SMALL))
+        assert any("GreaterThanOrEqual(ts" in x and "LessThanOrEqual(ts" in x
+                   for x in p.split("\n") if "PushedFilters" in x), name
+
+
+def test_no_round_robin_and_no_window_over_unlimited_rows(spark):
+    for name in BATCH + TRAILING:
+        p = plan(E.queries()[name](spark, SF_SMALL))
+        assert "RoundRobinPartitioning" not in p, name
+        assert not ("Window [" in p and "SinglePartition" in p), name
+
+
+def test_snapshot_is_ranked_after_its_limit(spark):
+    p = plan(E.queries()["speed_view"](spark, SF_SMALL))
+    assert p.index("Window [") < p.index("TakeOrderedAndProject")
+
+
+def test_shared_folder_is_required_off_local():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from editlens.session import shared_root
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    off_local = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(RuntimeError):
+        shared_root(off_local)

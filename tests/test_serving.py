@@ -3,7 +3,7 @@ import json
 import os
 
 from editlens.operators import merge
-from editlens.plans import serving
+from editlens.plans import publish, serving
 from editlens.streaming import speed
 
 T0 = dt.datetime(2024, 1, 1)
@@ -54,15 +54,39 @@ def test_snapshot_state_is_trailing_and_bounded(spark, tmp_dir):
     _put(src, "f1.json", [("old", 0), ("old", 1), ("old", 2)])
     _put(src, "f2.json", [("new", 400), ("mid", 200)])
     _put(src, "f3.json", [("new", 500)])
+    for i, name in enumerate(("f1.json", "f2.json", "f3.json")):
+        os.utime(os.path.join(src, name), (1_700_000_000 + i, 1_700_000_000 + i))
     q = speed.run_snapshot(spark, speed.read_events_stream(spark, src, max_files=1), state, snap,
-                           ck, 10, 300, 10, {"availableNow": True})
+                           ck, 300, 10, {"availableNow": True})
     speed.run_to_end(q)
     rows = [(r.wiki, r["count"]) for r in serving.read_snapshot(spark, snap, 10).collect()]
     assert rows == [("new", 2), ("mid", 1)]
-    assert sorted(os.listdir(state)) == ["slot=0", "slot=1"]     # two slots, not one per batch
-    last = spark.read.parquet(os.path.join(state, "slot=0"))    # batch 2 -> slot 0
-    assert {r.version for r in last.collect()} == {2}
-    assert {r.wiki for r in last.collect()} == {"new", "mid"}   # 'old' panes evicted
+    assert "batch=0" not in os.listdir(state)                   # its panes have left the window
+    assert len(publish.versions(spark, snap)) <= 2              # the newest version and the one before
+
+
+def test_published_versions_do_not_disturb_readers(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "t")
+    assert publish.current(spark, base) is None
+    publish.publish(spark, spark.range(3), base)
+    reader = publish.current(spark, base)
+    publish.publish(spark, spark.range(5), base)
+    assert reader.count() == 3 and publish.current(spark, base).count() == 5
+    publish.publish(spark, spark.range(7), base)
+    assert publish.versions(spark, base) == [1, 2]
+
+
+def test_merge_keeps_keys_that_rank_low_in_both(spark, tmp_dir):
+    n, views_dir, snap = 3, os.path.join(tmp_dir, "v"), os.path.join(tmp_dir, "s")
+    batch = [(f"b{i}", 10) for i in range(n)] + [("both", 9)]
+    speed_rows = [(f"s{i}", 10) for i in range(n)] + [("both", 9)]
+    spark.createDataFrame(batch, "wiki string, edits long").write.parquet(views_dir)
+    (table,) = serving.register_views(spark, "editlens_low", {"wiki_edits": views_dir}, os.path.join(tmp_dir, "db"))
+    serving.write_snapshot(spark.createDataFrame(speed_rows, "wiki string, count long"), snap, 300)
+    assert serving.merged_view(spark, table, snap, n).first().wiki == "both"
+    assert [r.wiki for r in serving.merged_view(spark, table, snap + "-none", 1).collect()] == ["b0"]
+    assert serving.merged_view(spark, "no.table", snap + "-none", 5).collect() == []
+    assert serving.read_snapshot(spark, snap, 20).count() == 4
 
 
 def test_union_merge_equals_outer_on_random_views(spark):

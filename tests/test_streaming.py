@@ -2,10 +2,12 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from editlens.operators import windows
-from editlens.sources import edit_events
+from editlens.plans import publish
+from editlens.sources import edit_events, land_raw
 from editlens.streaming import speed
 from tests.conftest import SF_SMALL
 
@@ -68,7 +70,7 @@ def test_streaming_complete_equals_batch(spark, tmp_dir):
     speed.land_events(ev, src)
     agg = windows.sliding_counts(speed.admitted(speed.read_events_stream(spark, src)))
     speed.run_to_end(speed.run_complete(agg, out, ck, {"availableNow": True}))
-    s = windows.flatten_window(spark.read.parquet(out))
+    s = windows.flatten_window(publish.current(spark, out))
     b = windows.sliding_edits(ev)
     assert s.count() == b.count() and s.exceptAll(b).count() == 0
 
@@ -76,10 +78,70 @@ def test_streaming_complete_equals_batch(spark, tmp_dir):
 def test_envelope_round_trip_and_bad_payload(spark):
     df = spark.createDataFrame(
         [(bytearray(b'{"wiki":"enwiki","title":"X","bot":false,"timestamp":5}'), T0),
-         (bytearray(b'{not json'), T0), (None, T0)],
+         (bytearray(b'{"id":"us1","namespace":3}'), T0), (bytearray(b'{not json'), T0), (None, T0)],
         "data binary, approximateArrivalTimestamp timestamp")
-    rows = speed.decode_envelope(df).collect()
-    assert [(r.wiki, r.title, r.timestamp) for r in rows] == [("enwiki", "X", 5)]
+    want = [("enwiki", "X", 5, None, None), (None, None, None, "us1", 3), (None,) * 5, (None,) * 5]
+    kafka = df.selectExpr("cast(null as binary) as key", "data as value", "approximateArrivalTimestamp as timestamp")
+    for env in (df, kafka):          # nothing is filtered: that is for each layer
+        rows = speed.decode_envelope(env).collect()
+        assert [(r.wiki, r.title, r.timestamp, r.id, r.namespace) for r in rows] == want
+        assert {r.event_time for r in rows} == {T0}
+    with pytest.raises(ValueError):
+        speed.decode_envelope(df.select("data"))
+
+
+def test_plain_records_get_their_clocks(spark, tmp_dir):
+    src, out, ck = (os.path.join(tmp_dir, d) for d in ("in", "out", "ck"))
+    ev = edit_events(spark, SF_SMALL)
+    land_raw(ev, src, clock="event_time")
+    run_once(spark, src, out, ck)
+    got = windows.flatten_window(spark.read.parquet(out))
+    want = windows.sliding_edits(ev.withColumn("event_time", F.timestamp_seconds("timestamp")))
+    assert got.count() > 0 and got.exceptAll(want).count() == 0
+
+
+def test_future_event_does_not_move_the_clock(spark, tmp_dir):
+    """One event dated years ahead counts at its arrival and wipes nothing."""
+    from editlens.plans import serving
+    src, state, snap, ck = (os.path.join(tmp_dir, d) for d in ("in", "state", "snap", "ck"))
+    put(src, "f1.json", [("a", 1), ("a", 2), ("b", 2)])
+    with open(os.path.join(src, "f2.json"), "w") as f:
+        f.write(json.dumps(dict(wiki="z", id="z", type="edit", bot=False, event_time="2030-01-01T00:00:00.000000Z",
+                                arrival_time="2024-01-01T00:03:00.000000Z")) + "\n")
+    put(src, "f3.json", [("b", 3), ("b", 3)])
+    for i, n in enumerate(("f1.json", "f2.json", "f3.json")):
+        os.utime(os.path.join(src, n), (1_700_000_000 + i, 1_700_000_000 + i))
+    q = speed.run_snapshot(spark, speed.read_events_stream(spark, src, max_files=1), state, snap, ck,
+                           trigger={"availableNow": True})
+    speed.run_to_end(q)
+    assert {r.wiki: r["count"] for r in serving.read_snapshot(spark, snap).collect()} == {"a": 2, "b": 3, "z": 1}
+
+
+def test_snapshot_batch_is_idempotent(spark, tmp_dir):
+    from editlens.plans import serving
+    state, snap = os.path.join(tmp_dir, "state"), os.path.join(tmp_dir, "snap")
+    write = speed.snapshot_writer(spark, state, snap)
+    rows = spark.createDataFrame([(T0, "a", 3, T0), (T0, "b", 1, T0)], "s timestamp, wiki string, count long, last timestamp")
+    batch = rows.select(F.struct(F.col("s").alias("start")).alias("pane"), "wiki", "count", "last")
+    for _ in range(2):               # a retried batch rewrites its own folder and version
+        write(batch, 0)
+    assert {r.wiki: r["count"] for r in serving.read_snapshot(spark, snap).collect()} == {"a": 3, "b": 1}
+    assert publish.versions(spark, snap) == [0]
+
+
+def test_dedupe_over_several_batches(spark, tmp_dir):
+    src, out, ck = (os.path.join(tmp_dir, d) for d in ("in", "out", "ck"))
+    put(src, "f1.json", [("a", 1), ("b", 600)])
+    for i in range(3):               # the same ids again, hours apart
+        put(src, f"g{i}.json", [("a", 1), ("b", 900 * i)])
+    for p in os.listdir(src):        # equal ids in every file
+        path = os.path.join(src, p)
+        rows = [dict(json.loads(x), id=str(i)) for i, x in enumerate(open(path))] + [dict(id="", wiki="x"), dict(wiki="y")]
+        with open(path, "w") as f:
+            f.write("".join(json.dumps(r) + "\n" for r in rows))
+    d = speed.dedupe_stream(speed.read_events_stream(spark, src, max_files=1)).select("id")
+    speed.run_to_end(speed.start_query(d, ck, "append", "parquet", out, {"availableNow": True}))
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["0", "1"]
 
 
 def test_progress_frame(spark, tmp_dir):
