@@ -7,12 +7,14 @@ document with a smaller id. Three steps, none of which sees all windows at once:
    stands for it (a minimizer), so equal windows have equal phrases and only about
    one position in five is a phrase. A phrase found in two documents recurs; runs
    of windows with a recurring phrase are cut out as short pieces (at most 22 words).
-2. Automata. The distinct pieces are dealt over shards by their phrase. A shard
-   confirms the windows that really recur among its pieces, compiles them into an
-   Aho-Corasick automaton over word numbers, and streams the pieces through it: that
-   locates every occurrence and the first document that has it. Word
-   sequences are compared, not hashes. A phrase with more than ``CROWD`` distinct
-   pieces (a common line in many contexts) is dealt window by window instead.
+2. Automata. The distinct pieces are dealt over shards by their phrase. For each
+   phrase its shard confirms the windows that really recur among the pieces, compiles
+   them into an Aho-Corasick automaton over word numbers, and streams the pieces
+   through it: that locates every occurrence and the first document that has it. Equal
+   windows have the same phrase, so an automaton needs the windows of one phrase
+   only and stays small. Word sequences are compared, not hashes. A phrase with more
+   than ``CROWD`` distinct pieces (a common line in many contexts) is too much for
+   one automaton; its windows are grouped one by one instead.
 3. Cover. Each document gathers the windows found in an earlier document and
    drops the words they cover.
 """
@@ -106,8 +108,9 @@ def _pieces(docs: DataFrame) -> DataFrame:
 
 
 def locate(pieces: list[str], low: list, high: list) -> list[list[tuple[int, object]]]:
-    """For each piece the windows that recur: (offset in words, smallest id that
-    has it). ``low`` and ``high`` are the smallest and largest ids of a piece."""
+    """For each piece of one phrase the windows that recur: (offset in words,
+    smallest id that has it). ``low`` and ``high`` are the smallest and largest ids of
+    a piece."""
     number: dict[str, int] = {}
     seqs = [tuple(number.setdefault(w, len(number)) for w in p.split(" ")) for p in pieces]
     seen: dict[tuple, tuple] = {}
@@ -144,26 +147,27 @@ def _first_owners(pieces: DataFrame, scratch: Scratch) -> DataFrame:
         "*", F.explode(F.sequence(F.lit(0), F.size("_w") - WINDOW)).alias("off"))
     hot = scratch.table(hot.select("p1", "p2", "off", "low", "high",
                                    F.array_join(F.slice("_w", F.col("off") + 1, F.lit(WINDOW)), " ").alias("window")), "hot")
-    windows = hot.groupBy("window").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    rows = plain.select("p1", "p2", "piece", "low", "high", F.pmod(F.xxhash64("seed"), F.lit(shards)).alias("shard")).union(
-        windows.select(F.lit(None).cast("bigint"), F.lit(None).cast("bigint"), "window", "low", "high",
-                       F.pmod(F.xxhash64("window"), F.lit(max(1, -(-hot.count() // SHARD_PIECES)))) + shards))
+    windows = hot.groupBy("window").agg(F.min("low").alias("low"), F.max("high").alias("high")) \
+        .where("low < high").select("window", "low")
+    shared = hot.select("p1", "p2", "off", "window").join(windows, "window").groupBy("p1", "p2").agg(
+        F.collect_list(F.struct("off", "low")).alias("found"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = locate(pdf["piece"].tolist(), pdf["low"].tolist(), pdf["high"].tolist())
+        pdf = pdf.sort_values("seed", kind="stable")
+        piece, low, high = pdf["piece"].tolist(), pdf["low"].tolist(), pdf["high"].tolist()
+        cuts = np.append(np.nonzero(np.diff(pdf["seed"].to_numpy(), prepend=pdf["seed"].iloc[0] - 1))[0], len(pdf)).tolist()
+        found: list[list] = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            found += locate(piece[a:b], low[a:b], high[a:b])
         keep = [i for i, f in enumerate(found) if f]
-        hit = pdf.iloc[keep]
-        return pd.DataFrame({
-            "p1": hit["p1"], "p2": hit["p2"], "window": hit["piece"].where(hit["p1"].isna(), None),
-            "found": [[{"off": o, "low": lo} for o, lo in found[i]] for i in keep]})
-
-    located = scratch.table(rows.groupBy("shard").applyInPandas(
-        run, f"p1 bigint, p2 bigint, window string, found array<struct<off:int,low:{kind}>>"), "located")
-    alone = located.where("window is null").select("p1", "p2", "found")
-    shared = hot.select("p1", "p2", "off", "window").join(located.where("window is not null").select(
-        "window", F.col("found")[0]["low"].alias("low")), "window")
-    shared = shared.groupBy("p1", "p2").agg(F.collect_list(F.struct("off", "low")).alias("found"))
-    return alone.union(shared)
+        return pd.DataFrame({"p1": pdf["p1"].iloc[keep], "p2": pdf["p2"].iloc[keep],
+                             "found": [[{"off": o, "low": lo} for o, lo in found[i]] for i in keep]})
+
+    rows = plain.select("seed", "p1", "p2", "piece", "low", "high",
+                        F.pmod(F.xxhash64("seed"), F.lit(shards)).alias("shard"))
+    located = rows.groupBy("shard").applyInPandas(
+        run, f"p1 bigint, p2 bigint, found array<struct<off:int,low:{kind}>>")
+    return scratch.table(located.union(shared), "located")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
