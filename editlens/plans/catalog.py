@@ -280,6 +280,25 @@ def q_pane_sliding(spark, sf):
     return windows.pane_sliding(edit_events(spark, sf))
 
 
+DENSE = 1000      # time runs so many times faster in the dense case: many events per pane and key
+_DENSE_SQL = _SLIDING_SQL.replace("event_time", f"make_timestamp(epoch_us(event_time) // {DENSE})")
+
+
+def _dense(spark, sf):
+    return edit_events(spark, sf).withColumn("event_time", F.timestamp_micros(
+        F.floor(F.unix_micros("event_time") / DENSE).cast("long")))
+
+
+@query("dense_sliding", with_edits(_DENSE_SQL))
+def q_dense_sliding(spark, sf):
+    return windows.sliding_edits(_dense(spark, sf))
+
+
+@query("dense_pane_sliding", with_edits(_DENSE_SQL))
+def q_dense_pane_sliding(spark, sf):
+    return windows.pane_sliding(_dense(spark, sf))
+
+
 @query("topn_per_window", with_edits("""
 SELECT window_start, window_end, wiki, edits, rank FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY window_start, window_end

@@ -13,8 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
-from editlens.plans import catalog_io  # noqa: E402
+from editlens.plans import catalog, catalog_io  # noqa: E402
 from editlens.session import build_session  # noqa: E402
 
 
@@ -36,7 +35,7 @@ def shape(plan: str) -> dict:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", shuffle_partitions=16)
-    io_names = {name for name, fn in E.queries().items() if fn.__module__ == catalog_io.__name__}
+    io_names = {name for name, fn in catalog.QUERIES.items() if fn.__module__ == catalog_io.__name__}
     print("# Physical plan shapes\n")
     print("Generated by `scripts/plan_report.py` from `explain` of each catalog query "
           "(before AQE re-planning). `single` counts `Exchange SinglePartition`, used "
@@ -45,7 +44,7 @@ def main() -> None:
     print("| query | shuffles | single | broadcast | partial aggs | top-k | group limit "
           "| python | scan columns |")
     print("|---|---|---|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         if name in io_names:
             continue
         p = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
