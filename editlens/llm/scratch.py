@@ -14,6 +14,7 @@ from editlens.session import fresh_dir
 
 #: A side is sent to every task only if it has been counted and is this small.
 BROADCAST_BYTES = 8 << 20
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class Scratch:
@@ -24,8 +25,18 @@ class Scratch:
         self.base = fresh_dir(spark, name)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.base}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        """Write ``df`` and read it back. Shuffle files of the write go as soon as it
+        is done: nothing reads them again."""
+        path, conf = f"{self.base}/{name}", self.spark.conf
+        before = conf.get(SHUFFLE_CLEANUP, None)
+        conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            if before is None:
+                conf.unset(SHUFFLE_CLEANUP)
+            else:
+                conf.set(SHUFFLE_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:

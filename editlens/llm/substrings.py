@@ -5,8 +5,8 @@ document with a smaller id. Three steps, none of which sees all windows at once:
 
 1. Phrases. In every window the least of its ``PHRASE``-word phrases by hash
    stands for it (a minimizer), so equal windows have equal phrases and only about
-   one position in five is a phrase. A phrase found in two documents recurs; runs
-   of windows with a recurring phrase are cut out as short pieces (at most 22 words).
+   two positions in nine are a phrase. A phrase found in two documents recurs; runs
+   of windows with a recurring phrase are cut out as short pieces (at most 20 words).
 2. Automata. The distinct pieces are dealt over shards by their phrase. For each
    phrase its shard confirms the windows that really recur among the pieces, compiles
    them into an Aho-Corasick automaton over word numbers, and streams the pieces
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from editlens.llm.scratch import Scratch
 
 WINDOW = 13
-PHRASE = 4
+PHRASE = 6
 REACH = WINDOW - PHRASE + 1     # phrases in a window; also the longest run of one phrase
 CROWD = 256
 SHARD_PIECES = 20_000
@@ -206,8 +206,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     gone = pieces.select("_doc", "_id", "at", "p1", "p2").join(owners, ["p1", "p2"]).select(
         "_doc", F.shiftright("at", 4).alias("at"), mask.alias("mask")).where("mask <> 0")
     gone = gone.groupBy("_doc").agg(F.collect_list(F.struct("at", "mask")).alias("gone"))
+    scratch.drop("distinct")
+    scratch.drop("hot")
     gone = scratch.table(hits.select("_doc", F.col("_id").alias("_i"), F.col("_key").alias("_k")).join(gone, "_doc")
                          .select("_i", "_k", "gone"), "gone")
+    for name in ("pieces", "located", "hits", "crowded"):
+        scratch.drop(name)
     full = rows.join(gone, (F.col("_id") == F.col("_i")) & (F.col("_key") == F.col("_k")), "left").select("_id", "_text", "gone")
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
