@@ -59,15 +59,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     unique = docs.select(F.col(id_col).alias("_id"), key.alias("_key"), F.col(text_col).alias("_text"))
     each = unique.select("_id", "_key", F.posexplode(lines("_text")).alias("_pos", "_line"))
     each = each.withColumn("_h", line_hash(F.col("_line")))
-    stay = each.join(bad, F.col("_h") == F.col("h"), "left_anti")
+    stay = each.join(bad, F.col("_h") == F.col("h"), "left_anti").select(
+        "_id", "_key", F.struct("_pos", "_line").alias("_l"), F.lit(None).cast("int").alias("_lines"), F.lit(0).alias("_head"))
+    # a head row for each document, so that one grouping serves those without lines left too
+    heads = unique.select("_id", "_key", F.lit(None).alias("_l"),
+                          F.when(F.col("_text").isNotNull(), F.size(lines("_text"))).alias("_lines"), F.lit(1).alias("_head"))
     # repeated rows bring the same lines again: one of each position is kept
-    kept = stay.groupBy("_id", "_key").agg(F.array_sort(F.collect_set(F.struct("_pos", "_line"))).alias("_l"))
-    kept = kept.select(F.col("_id").alias("_i"), F.col("_key").alias("_k"), F.size("_l").cast("long").alias("_n"),
-                       F.array_join(F.transform("_l", lambda x: x["_line"]), "\n").alias("kept"))
-    base = docs.select(F.col(id_col).alias("_id"), key.alias("_key"),
-                       F.when(F.col(text_col).isNotNull(), F.size(lines(text_col))).cast("long").alias("_lines"))
-    out = base.join(kept, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")), "left")
+    per_doc = stay.union(heads).groupBy("_id", "_key").agg(
+        F.array_sort(F.collect_set("_l")).alias("_kept"), F.max("_lines").cast("long").alias("_lines"), F.sum("_head").cast("int").alias("_rows"))
     total = F.coalesce("_lines", F.lit(0).cast("long"))
+    out = per_doc.withColumn("_r", F.explode(F.array_repeat(F.lit(0), F.col("_rows"))))
     return out.select(F.col("_id").alias(id_col), total.alias("n_lines"),
-                      (total - F.coalesce("_n", F.lit(0).cast("long"))).alias("n_removed"),
-                      F.when(F.col("_lines").isNotNull(), F.coalesce("kept", F.lit(""))).alias("kept"))
+                      (total - F.size("_kept")).alias("n_removed"),
+                      F.when(F.col("_lines").isNotNull(), F.array_join(F.transform("_kept", lambda x: x["_line"]), "\n")).alias("kept"))
