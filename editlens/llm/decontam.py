@@ -56,67 +56,53 @@ def _shingle(words_col: Column, at: Column, k: int) -> Column:
     return F.xxhash64(F.lit(k), *[F.lower(F.get(words_col, at + j)) for j in range(k)])
 
 
-def _doc_shingles(rows: DataFrame, ks: list[int]) -> DataFrame:
-    """rows (with ``_w``) -> one row per position and shingle length: _pos, _k, tok."""
-    at = rows.select("*", F.posexplode("_w").alias("_pos", "_word")).drop("_word")
-    fits = [F.col("_pos") + k <= F.size("_w") for k in ks]
-    if len(ks) == 1:
-        return at.where(fits[0]).withColumn("_k", F.lit(ks[0])).withColumn(
-            "tok", _shingle(F.col("_w"), F.col("_pos"), ks[0]))
-    toks = F.array(*[F.when(f, F.struct(F.lit(k).alias("_k"), _shingle(F.col("_w"), F.col("_pos"), k).alias("tok")))
-                     for f, k in zip(fits, ks)])
-    return at.withColumn("_t", F.explode(toks)).where("_t is not null").select(
-        *at.columns, F.col("_t._k").alias("_k"), F.col("_t.tok").alias("tok"))
-
-
-def occurrences(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """Where benchmark windows occur: (_id, _key, start, stop, items), word
-    positions from 0. Null texts have no words. Items without words are ignored;
-    a null item id counts as the empty string."""
-    scratch = Scratch(docs.sparkSession, "decontam")
-    rows = docs.select(F.col(id_col).alias("_id"), text_key(text_col).alias("_key"),
-                       F.col(text_col).alias("_text"))
+def _prefixes(rows: DataFrame, items: DataFrame, scratch: Scratch, item_col: str, item_text: str,
+              window: int) -> tuple[DataFrame | None, list[int], bool]:
+    """(wkey, len, items, tok, off): each window that may occur and its rarest
+    shingle; the shingle lengths in use; whether the table may be broadcast."""
     windows = scratch.table(_windows(items, item_col, item_text, window), "windows")
     inside = windows.select("wkey", "len", F.split("wkey", " ").alias("_w")).select(
         "*", F.least("len", F.lit(SHINGLE)).alias("_k"))
-    toks = None
     ks = sorted(r[0] for r in inside.select("_k").distinct().collect())     # at most SHINGLE values
+    toks = None
     for k in ks:
         one = inside.where(F.col("_k") == k).select(
             "*", F.explode(F.sequence(F.lit(0), F.col("len") - k)).alias("off"))
-        one = one.select("wkey", "len", "_k", "off", _shingle(F.col("_w"), F.col("off"), k).alias("tok"))
+        one = one.select("wkey", "len", "off", _shingle(F.col("_w"), F.col("off"), k).alias("tok"))
         toks = one if toks is None else toks.union(one)
     if toks is None:
-        none = windows.select(F.lit(0).alias("start"), F.lit(0).alias("stop"), "items").where("false")
-        return rows.select("_id", "_key").where("false").join(none, F.lit(True))
+        return None, ks, True
     toks = scratch.table(toks, "shingles")
-    split = rows.select("_id", "_key", words("_text").alias("_w"))
-
     # rarity over all documents
     vocabulary, _ = sized(scratch.table(toks.select("tok").distinct(), "vocabulary"), 48)
-    counts = scratch.table(_doc_shingles(split.select("_w"), ks).select("tok").join(vocabulary, "tok")
+    counts = scratch.table(_doc_shingles(rows.select("_w"), ks).select("tok").join(vocabulary, "tok")
                            .groupBy("tok").agg(F.count(F.lit(1)).alias("n")), "counts")
     # a window with an unseen shingle has no occurrence
-    need = windows.join(
-        toks.join(counts, "tok", "left").groupBy("wkey").agg(
-            F.min(F.struct("n", "tok", "_k", "off")).alias("_a"),
-            F.count(F.when(F.col("n").isNull(), 1)).alias("_unseen"))
-        .where("_unseen = 0"), "wkey").select("wkey", "len", "items", "_a.tok", "_a.off")
+    rarest = toks.join(counts, "tok", "left").groupBy("wkey").agg(
+        F.min(F.struct("n", "tok", "off")).alias("_a"), F.count(F.when(F.col("n").isNull(), 1)).alias("_unseen"))
+    need = windows.join(rarest.where("_unseen = 0"), "wkey").select("wkey", "len", "items", "_a.tok", "_a.off")
     need, small = sized(scratch.table(need, "prefixes"), "2 * length(wkey) + 20 * size(items) + 64")
-    start, n = F.col("_pos") - F.col("off"), F.size("_w")
-    found = _doc_shingles(split, ks).withColumn("_n", n)
-    if small:
-        hit = found.join(need, "tok").where((start >= 0) & (start + F.col("len") <= F.col("_n")))
-    else:
-        # narrow rows through the shuffle; the words are fetched again for verification
-        hit = found.select("_id", "_key", "_pos", "_n", "tok").join(need, "tok") \
-            .where((start >= 0) & (start + F.col("len") <= F.col("_n")))
-        hit = hit.join(split.select(F.col("_id").alias("_id2"), F.col("_key").alias("_key2"), "_w").dropDuplicates(["_id2", "_key2"]),
-                       F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_key") == F.col("_key2")))
-    same = ascii_lower(F.array_join(F.slice("_w", start + 1, F.col("len")), " ")) == F.col("wkey")
-    return hit.where(same).select("_id", "_key", start.alias("start"),
-                                  (start + F.col("len")).alias("stop"), "items")
+    return need, ks, small
+
+
+def _doc_shingles(rows: DataFrame, ks: list[int], heads: bool = False) -> DataFrame:
+    """rows (with ``_w``) -> one row per position and shingle length: _pos, tok.
+    ``heads``: besides, a row with null tok for each input row."""
+    n = F.size("_w")
+    at = rows.select("*", (F.posexplode_outer if heads else F.posexplode)("_w").alias("_pos", "_word")).drop("_word")
+    toks = [F.when(F.col("_pos") + k <= n, _shingle(F.col("_w"), F.col("_pos"), k)) for k in ks]
+    if len(ks) == 1 and not heads:
+        return at.withColumn("tok", toks[0]).where("tok is not null")
+    if len(ks) == 1:
+        # the first position (null without words) is kept twice: as head and as shingle
+        at = at.withColumn("_head", F.explode(F.when(F.coalesce("_pos", F.lit(0)) == 0, F.array(F.lit(True), F.lit(False)))
+                                              .otherwise(F.array(F.lit(False)))))
+        return at.withColumn("tok", F.when(~F.col("_head"), toks[0])).where("_head or tok is not null").drop("_head")
+    first = F.when(F.coalesce("_pos", F.lit(0)) == 0, F.lit(True)).otherwise(F.lit(False))
+    each = F.array(*([F.struct(first.alias("h"), F.lit(None).cast("long").alias("t"))] if heads else []),
+                   *[F.struct(F.lit(False).alias("h"), t.alias("t")) for t in toks])
+    at = at.withColumn("_t", F.explode(each)).where("_t.h or _t.t is not null")
+    return at.withColumn("tok", F.col("_t.t")).drop("_t")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -126,27 +112,47 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     strings), contaminated (n_hit > 0 and share * n_hit >= n_words).
 
     Rows with null or wordless text have n_words 0 and are clean; repeated rows
-    get the same result each; columns beside id and text are ignored.
+    get the same result each; columns beside id and text are ignored. Items without
+    words are ignored; a null item id counts as the empty string.
     """
-    hits = occurrences(docs, items, id_col, text_col, item_col, item_text, window)
-    per_doc = hits.groupBy("_id", "_key").agg(
-        F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("_spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("_items"))
+    scratch = Scratch(docs.sparkSession, "decontam")
+    rows = docs.select(F.col(id_col).alias("_id"), text_key(text_col).alias("_key"), words(text_col).alias("_w"))
+    need, ks, small = _prefixes(rows, items, scratch, item_col, item_text, window)
+    if need is None:
+        return rows.select(F.col("_id").alias(id_col), "_key", F.size("_w").cast("long").alias("n_words"),
+                           F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"),
+                           F.lit(False).alias("contaminated"))
+    # one pass: the shingles that may begin a match, and a head row for each document
+    n, start = F.size("_w"), F.col("_pos") - F.col("off")
+    found = _doc_shingles(rows, ks, heads=True).withColumn("_n", n)
+    bounds = (start >= 0) & (start + F.col("len") <= F.col("_n"))
+    same = ascii_lower(F.array_join(F.slice("_w", start + 1, F.col("len")), " ")) == F.col("wkey")
+    span = F.struct(start.alias("start"), (start + F.col("len")).alias("stop"))
+    if small:
+        met = found.join(need, "tok", "left").where(F.col("tok").isNull() | (bounds & same))
+        met = met.select("_id", "_key", "_n", F.when(F.col("tok").isNotNull(), span).alias("span"),
+                         F.col("tok").isNull().alias("_head"), "items")
+    else:
+        # narrow rows through the shuffle; words are fetched again for verification
+        near = found.select("_id", "_key", "_pos", "_n", "tok").join(need, "tok").where(bounds)
+        again = rows.select(F.col("_id").alias("_id2"), F.col("_key").alias("_key2"), "_w").dropDuplicates(["_id2", "_key2"])
+        near = near.join(again, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_key") == F.col("_key2"))).where(same)
+        met = near.select("_id", "_key", "_n", span.alias("span"), F.lit(False).alias("_head"), "items").union(
+            rows.select("_id", "_key", n.alias("_n"), F.lit(None), F.lit(True), F.lit(None)))
+    per_doc = met.groupBy("_id", "_key").agg(
+        F.max("_n").cast("long").alias("n_words"), F.count(F.when(F.col("_head"), 1)).alias("_rows"),
+        F.array_sort(F.collect_set("span")).alias("_spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     # length of the union of the spans, which are sorted by start
     covered = F.aggregate(
         "_spans", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("last")),
         lambda a, s: F.struct(
             (a["n"] + F.greatest(s["stop"] - F.greatest(s["start"], a["last"]), F.lit(0))).alias("n"),
             F.greatest(a["last"], s["stop"]).alias("last")))["n"]
-    per_doc = per_doc.select(F.col("_id").alias("_id2"), F.col("_key").alias("_key2"),
-                             covered.alias("n_hit"), F.col("_items").alias("items"))
-    base = docs.select(F.col(id_col).alias("_id"), text_key(text_col).alias("_key"),
-                       F.size(words(text_col)).cast("long").alias("n_words"))
-    out = base.join(per_doc, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_key") == F.col("_key2")), "left")
-    hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return out.select(F.col("_id").alias(id_col), "_key", "n_words", hit.alias("n_hit"),
-                      F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-                      ((hit > 0) & (share * hit >= F.col("n_words"))).alias("contaminated"))
+    out = per_doc.select(F.col("_id").alias(id_col), "_key", F.greatest("n_words", F.lit(0)).alias("n_words"),
+                         covered.alias("n_hit"), "items", "_rows")
+    out = out.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
+    return out.withColumn("_r", F.explode(F.array_repeat(F.lit(0), F.col("_rows").cast("int")))).drop("_rows", "_r")
 
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
