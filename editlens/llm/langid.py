@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from editlens.llm.scratch import Scratch
+
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 14
 MAX_LANGUAGES = 512      # more distinct labels than this mean the label column is dirty: an error
@@ -113,6 +115,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
     rows = (labelled.select(F.col(text_col).cast("string").alias("t"), F.col(label_col).cast("string").alias("l"))
             .where(F.col("l").isNotNull()).mapInArrow(run, "lang string, bucket int, n bigint")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
+    rows = Scratch(labelled.sparkSession, "langid").table(rows, "counts")      # one pass over the texts
     langs = sorted(r[0] for r in rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
     if len(langs) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} distinct labels")
