@@ -7,7 +7,7 @@ order is (value, text hash, row hash) in one 63-bit key: equal texts lie side by
 side and are cut apart only where they outweigh ``SLACK`` of a shard.
 
 The quantile of all nodes of a level is found by radix descent: an
-aggregate over (node, 16-bit digit), then the next digit inside the digit
+aggregate over (node, 13-bit digit), then the next digit inside the digit
 that holds the quantile, until that holds too little weight to matter. Only one
 row per node reaches the driver (fewer than there are shards).
 """
@@ -25,7 +25,7 @@ from editlens.llm.scratch import Scratch
 SHARDS = 16
 SLACK = 1 / 64             # of a shard's target bytes
 VALUE_BITS, TEXT_BITS, ROW_BITS = 24, 20, 19
-DIGITS = (15, 16, 16, 16)  # of the 63-bit key, from the top
+DIGITS = (11, 13, 13, 13, 13)  # of the 63-bit key, from the top
 
 
 @dataclass
@@ -53,7 +53,7 @@ def _table(df: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
 
 
 def kd_splits(rows: DataFrame, dims: list[str], shards: int) -> tuple[list[list[Split]], dict[int, int]]:
-    """rows: dims, _w (weight), _text_hash, _row_hash. Returns the splits by level
+    """rows: dims, _w (weight), _text_hash, _row_hash, _root (1). Returns the splits by level
     and the shard number of each leaf node."""
     whole = rows.agg(F.sum("_w"), *[F.max(d) - F.min(d) for d in dims]).first()
     span = [float(x or 0) for x in whole[1:]]
@@ -89,7 +89,7 @@ def kd_splits(rows: DataFrame, dims: list[str], shards: int) -> tuple[list[list[
                 "_pos", _position(values, F.col("_dim"), F.col("_low"), F.col("_width")))
             pos = pos.where(F.shiftright("_pos", 63 - depth) == F.col("_prefix")) if depth else pos
             hist = pos.groupBy("_n", "_aim", "_below", F.shiftright("_pos", rest).alias("_digit")).agg(F.sum("_w").alias("_d"))
-            run = Window.partitionBy("_n").orderBy("_digit")     # at most 2^16 digits of a node
+            run = Window.partitionBy("_n").orderBy("_digit")     # at most 2^13 digits of a node
             hist = hist.withColumn("_upto", F.sum("_d").over(run) + F.col("_below"))
             first = hist.where("_upto >= _aim").groupBy("_n").agg(F.min(F.struct("_digit", "_d", "_upto")).alias("_c"))
             got = {r[0]: r[1] for r in first.collect()}
@@ -114,7 +114,7 @@ def kd_splits(rows: DataFrame, dims: list[str], shards: int) -> tuple[list[list[
 def assign(rows: DataFrame, levels: list[list[Split]], dims: list[str]) -> DataFrame:
     """Adds ``_node``: the heap index of the leaf a row falls in."""
     values = [F.coalesce(F.col(d).cast("double"), F.lit(0.0)) for d in dims]
-    out = rows.withColumn("_node", F.lit(1))
+    out = rows.withColumn("_node", F.col("_root"))
     for level in levels:
         t = _table(rows, [(s.node, s.dim, s.low, s.width, s.key) for s in level],
                    "_n int, _dim int, _low double, _width double, _cut long")
@@ -137,7 +137,8 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     rows = scratch.table(docs.select(
         F.col(id_col).alias("_id"), (F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(1)).cast("long").alias("_w"),
         crc.alias("_crc"), F.xxhash64(text).alias("_text_hash"))
-        .withColumn("_size", F.log2("_w")).withColumn("_row_hash", F.xxhash64("_id", "_text_hash", "_w")), "rows")
+        .withColumn("_size", F.log2("_w")).withColumn("_row_hash", F.xxhash64("_id", "_text_hash", "_w"))
+        .withColumn("_root", F.lit(1)), "rows")
     dims = ["_size", "_crc"]
     levels, leaf = kd_splits(rows, dims, shards)
     names = _table(rows, list(leaf.items()), "_leaf int, shard int")
