@@ -188,6 +188,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     each = marked.select("_doc", "_id", F.explode("runs").alias("r")).select("_doc", "_id", "r.seed", "r.at")
     recurring = each.groupBy("seed").agg(F.min("_id").alias("_lo"), F.max("_id").alias("_hi")) \
         .where("_lo < _hi").select("seed")
+    # a table of its own: both sides of the join are then shuffles that AQE can split at a hot phrase
+    recurring = scratch.table(recurring, "recurring")
     hits = each.select("_doc", "seed", "at").join(recurring, "seed").groupBy("_doc").agg(
         F.collect_list(F.struct("seed", "at")).alias("hits"))
     names = marked.select("_doc", "_id", "_key")
@@ -195,6 +197,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     hits = scratch.table(hits.join(names, "_doc").groupBy("_id", "_key").agg(
         F.min(F.struct("_doc", "hits")).alias("_one")).select("_id", "_key", "_one._doc", "_one.hits"), "hits")
     scratch.drop("phrases")
+    scratch.drop("recurring")
     cut = hits.select("_doc", F.col("_id").alias("_i"), F.col("_key").alias("_k"), "hits").join(
         rows.dropDuplicates(["_id", "_key"]) if _repeats(hits, rows) else rows,
         (F.col("_id") == F.col("_i")) & (F.col("_key") == F.col("_k"))).select("_doc", "_id", "_text", "hits")
