@@ -39,6 +39,14 @@ FURNITURE_NAMES = frozenset(
     "subscription signup login share sharing social related recommended recommendations comment comments disqus "
     "respond reply replies widget widgets toolbar pagination pager search skip skiplink paywall".split())
 HEADER_NAMES = frozenset("header pageheader siteheader".split())       # furniture unless inside the article
+COMMENT_NAMES = frozenset("comment comments disqus respond reply replies".split())
+# parts that make a compound with a furniture name: ad-slot, comment-list, left-sidebar
+AFFIXES = frozenset("area bar block body bottom box btn button buttons container form group holder icons inner item "
+                    "items left link links list outer panel post posts right section slot top unit wrap wrapper".split())
+HEAD_TAGS = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+# marks of an element: part of a class or id, or a form; a whole class token or id; the same of
+# comments; what no wrapper of the text has
+LOOSE, FIRM, COMMENTS, HARD = 1, 2, 3, 4
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
@@ -66,6 +74,7 @@ class Element:
     parent: int            # -1: none
     furniture: bool
     in_section: bool       # inside an article or main
+    mark: int = 0          # its own, whether it counts or not
 
 
 @dataclass
@@ -82,30 +91,90 @@ class Page:
     blocks: list[Block]
     #: (feature, element, weight count): tags and runs of words in page order
     tokens: list[tuple[str, int, int]]
+    #: elements whose mark does not count, as they hold the page's article, main or most words
+    wrappers: frozenset[int] = frozenset()
 
 
-def _is_furniture(tag: str, attrs: str, inside: bool) -> bool:
+def _parts(token: str) -> list[str]:
+    return [p for p in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()) if p]
+
+
+def _mark(tag: str, attrs: str, inside: bool) -> int:
     if tag in FURNITURE_TAGS or tag in SKIPPED or (tag == "header" and not inside):
-        return True
+        return LOOSE if tag == "form" else HARD
     if not attrs or tag in ("html", "body", "main"):
-        return False
+        return 0
     a = {k.lower(): x or y or z for k, x, y, z in ATTR.findall(attrs)}
     if a.get("role", "").lower() in FURNITURE_ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true":
-        return True
+        return HARD
     if "style" in a and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a["style"].lower()):
-        return True
-    said = f"{a.get('class', '')} {a.get('id', '')}"
-    said = re.sub(r"([a-z])([A-Z])", r"\1 \2", said)
-    names = set(re.split(r"[^a-z]+", said.lower()))
+        return HARD
+    known = FURNITURE_NAMES if inside else FURNITURE_NAMES | HEADER_NAMES
     if tag == "article":
-        return bool(names & {"comment", "comments", "reply", "ad", "ads", "advert", "sponsored", "promo", "related"})
-    return bool(names & FURNITURE_NAMES) or (not inside and bool(names & HEADER_NAMES))
+        known = frozenset({"comment", "comments", "reply", "ad", "ads", "advert", "sponsored", "promo", "related"})
+    mark = 0
+    for token in f"{a.get('class', '')} {a.get('id', '')}".split():
+        parts = set(_parts(token))
+        if names := parts & known:
+            whole = parts <= known | AFFIXES
+            mark = max(mark, COMMENTS if whole and names <= COMMENT_NAMES else FIRM if whole else LOOSE)
+    return mark
+
+
+def _wrappers(page: Page) -> frozenset[int]:
+    """Elements with a furniture mark that hold the page's main, its one article,
+    or most of its words (or of those of the unmarked article or main they are in).
+    Comments may well be longer than the text, so their words do not count."""
+    elements = page.elements
+    if not any(0 < e.mark < HARD for e in elements):
+        return frozenset()
+    words, plain = [0] * len(elements), [0] * len(elements)     # without hard marks; without whole names
+    for feature, i, n in page.tokens:
+        if feature[0] in "+-":
+            words[i] += n
+            plain[i] += n
+    for i in range(len(elements) - 1, 0, -1):
+        e = elements[i]
+        if e.mark < HARD:
+            words[e.parent] += words[i]
+        if e.mark < FIRM:
+            plain[e.parent] += plain[i]
+    level, scope, nested = [0], [0], [False]                    # marks on the way, unmarked section, inside an article
+    for i, e in enumerate(elements[1:], 1):
+        up = e.parent
+        level.append(level[up] + (math.inf if e.mark == HARD else e.mark > 0))
+        scope.append(scope[up] or (i if e.tag in SECTIONS and not level[i] else 0))
+        nested.append(nested[up] or elements[up].tag == "article")
+    sections = {s for s in scope if s}
+    held = [i for i, e in enumerate(elements) if e.tag == "main" and level[i] < math.inf]
+    for s in {i for i in sections if elements[i].tag == "main"} or (set() if sections else {0}):
+        found = [i for i, e in enumerate(elements) if e.tag == "article" and not e.mark and scope[i] == s
+                 and level[i] < math.inf and not nested[i]]
+        least = min((level[i] for i in found), default=0)
+        first = [i for i in found if level[i] == least]
+        if least and len(first) == 1:
+            held += first
+    out = {c for i in held for c in _chain(page, i) if elements[c].mark}
+    open_ = [True]                                              # no mark that counts above
+    for i, e in enumerate(elements[1:], 1):
+        s = scope[i]
+        if open_[e.parent] and 0 < e.mark < COMMENTS and i not in out and (s or not sections) and words[i]:
+            if 10 * words[i] > 9 * words[s] or e.mark == LOOSE and 2 * plain[i] > plain[s]:
+                out.add(i)
+        open_.append(open_[e.parent] and (not e.mark or i in out))
+    return frozenset(out)
 
 
 def parse(source: str | None) -> Page:
     """Elements, blocks and tokens of a page. Tolerant: unclosed, stray and cut-off
     tags do no harm."""
-    page = Page([Element("#page", -1, False, False)], [], [])
+    page = _parse(source, frozenset())
+    wrappers = _wrappers(page)
+    return _parse(source, wrappers) if wrappers else page
+
+
+def _parse(source: str | None, wrappers: frozenset[int]) -> Page:
+    page = Page([Element("#page", -1, False, False)], [], [], wrappers)
     stack = [0]
     parts: list[str] = []
     begun = [0, 0]                        # element and token of the open block
@@ -120,6 +189,11 @@ def parse(source: str | None) -> Page:
     def pop_to(place: int) -> None:
         del stack[place:]
 
+    def end_head() -> None:
+        if page.elements[stack[-1]].tag == "head":
+            stack.pop()
+            flush()
+
     def pieces(text: str, element: int) -> None:
         n = len(text.split())
         e = page.elements[element]
@@ -137,6 +211,8 @@ def parse(source: str | None) -> Page:
             continue
         pos = m.end()
         if m["text"] is not None:
+            if not m["text"].isspace():
+                end_head()
             if m["text"] == "<" and parts:
                 parts.append("<")
             else:
@@ -165,6 +241,8 @@ def parse(source: str | None) -> Page:
             else:
                 pop_to(at)
             continue
+        if tag not in HEAD_TAGS:
+            end_head()
         if tag in CLOSES_P:
             _close(stack, page, ("p",), CONTAINERS | {"li", "blockquote", "th"}, pop_to, flush)
         if tag in SAME:
@@ -172,9 +250,9 @@ def parse(source: str | None) -> Page:
             _close(stack, page, tuple(what.split()), frozenset(until.split()), pop_to, flush)
         parent = page.elements[stack[-1]]
         inside = parent.in_section or tag in SECTIONS
-        e = Element(tag, stack[-1], parent.furniture or _is_furniture(tag, attrs, parent.in_section), inside)
+        number, mark = len(page.elements), _mark(tag, attrs, parent.in_section)
+        e = Element(tag, stack[-1], parent.furniture or mark > 0 and number not in wrappers, inside, mark)
         page.elements.append(e)
-        number = len(page.elements) - 1
         page.tokens.append((tag if tag in BLOCKS or tag in VOID or tag in SKIPPED else "inline", number, 1))
         if tag in VOID or attrs.rstrip().endswith("/") and tag not in BLOCKS:
             if tag == "hr":
@@ -295,6 +373,8 @@ def extract(source: str | None, weights: dict[str, float]) -> str:
     if lo == hi:
         return ""
     words = [e for f, e, _ in page.tokens[lo:hi] if f[0] == "+"]
+    _mark_again(page, lo, hi)
+    words = [e for e in words if not page.elements[e].furniture]
     common = set(_chain(page, words[0]))
     for e in set(words):
         common &= set(_chain(page, e))
@@ -312,6 +392,28 @@ def extract(source: str | None, weights: dict[str, float]) -> str:
     return " ".join(b.text for b in blocks if not b.furniture)
 
 
+def _mark_again(page: Page, lo: int, hi: int) -> None:
+    """The mark of a wrapper counts after all if it holds less than half of the run's words."""
+    if not page.wrappers:
+        return
+    words = [0] * len(page.elements)
+    for f, e, n in page.tokens[lo:hi]:
+        if f[0] == "+":
+            words[e] += n
+    for i in range(len(words) - 1, 0, -1):
+        words[page.elements[i].parent] += words[i]
+    again = {i for i in page.wrappers if 2 * words[i] < words[0]}
+    marked = [False]
+    for e in page.elements[1:]:
+        marked.append(marked[e.parent] or len(marked) in again)
+    if all(marked[e] for f, e, _ in page.tokens[lo:hi] if f[0] == "+"):
+        return
+    for e, m in zip(page.elements, marked):
+        e.furniture |= m
+    for b in page.blocks:
+        b.furniture = page.elements[b.element].furniture
+
+
 def _neighbours(page: Page, lo: int, hi: int) -> list[Block]:
     """Blocks of the region, and those before and after it up to the next furniture."""
     places = [i for i, b in enumerate(page.blocks) if lo <= b.token < hi]

@@ -367,6 +367,25 @@ def test_html(spark):
     assert html.learn(df.where("false")) == {}
 
 
+def test_html_wrappers():
+    """A furniture mark around the page's text does not empty the page."""
+    text = " ".join(f"word{i}" for i in range(60))
+    body = f"<main><article><h1>Title</h1><p>{text}</p></article></main>"
+    side = "<div class=sidebar><p>popular posts</p></div>"
+    for source in (f"<head><title>t</title><meta charset=utf-8><body>{body}", f"<head><title>t</title>{body}",
+                   f'<body><div class="layout has-sidebar">{body}{side}</div>', f'<form id="aspnetForm">{body}{side}</form>',
+                   f'<div class="layout has-sidebar"><article class="post has-comments"><h1>Title</h1><p>{text}</article>{side}</div>',
+                   f'<main><div class=with-sidebar><article><h1>Title</h1><p>{text}</article>{side}</div></main>',
+                   f'<div class="layout has-sidebar"><div id=c><h1>Title</h1><p>{text}</div>{side}</div>'):
+        assert html.extract(source, {}) == f"Title {text}", source
+    assert html.extract(f"<head><title>t</title>{text}", {}) == text
+    # furniture longer than the text stays out
+    for name in ("comments", "ad", "related-posts"):
+        assert html.extract(f"<div id=c><p>{text}</p></div><div class={name}><p>{text} {text}</p></div>", {}) == text
+        assert html.extract(f"<article><p>{text}</p></article><div class=x-{name}><p>{text} {text}</p></div>", {}) == text
+    assert html.extract(f"<div id=c><p>{text}</p></div><div class=sidebar><article>a teaser</article></div>", {}) == text
+
+
 def test_best_run():
     r = random.Random(1)
     for _ in range(200):
