@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # fixed values: element and class names of HTML pages
-SKIPPED = frozenset("script style noscript template svg math iframe object canvas audio video map head "
-                    "textarea select".split())
+SKIPPED = frozenset("script style noscript template svg iframe object canvas audio video map head "
+                    "textarea select annotation annotation-xml".split())
 RAW = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript")
 FURNITURE_TAGS = frozenset("nav footer aside form button input label fieldset menu dialog datalist output".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert "
@@ -42,7 +42,12 @@ HEADER_NAMES = frozenset("header pageheader siteheader".split())       # furnitu
 COMMENT_NAMES = frozenset("comment comments disqus respond reply replies".split())
 # parts that make a compound with a furniture name: ad-slot, comment-list, left-sidebar
 AFFIXES = frozenset("area bar block body bottom box btn button buttons container form group holder icons inner item "
-                    "items left link links list outer panel post posts right section slot top unit wrap wrapper".split())
+                    "items left link links list main mobile outer panel post posts primary right secondary section site "
+                    "slot sticky top unit wrap wrapper".split())
+# inside an article or main the scores of its own words and tags say whether such an element stays
+WEAK_NAMES = frozenset("related recommended recommendations social search share sharing reply replies notice notices "
+                       "widget widgets".split())
+TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p".split())                   # their ids are anchors, made from headings
 HEAD_TAGS = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 # marks of an element: part of a class or id, or a form; a whole class token or id; the same of
 # comments; what no wrapper of the text has
@@ -51,7 +56,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary "
-    "table tbody td tfoot th thead title tr ul".split())
+    "table tbody td tfoot th thead title tr ul xmp".split())
 CONTAINERS = frozenset("article main section div td body html".split())
 SECTIONS = ("article", "main")
 CLOSES_P = BLOCKS - {"html", "body", "legend", "option", "optgroup", "title", "tbody", "thead", "tfoot", "tr", "td", "th"}
@@ -75,6 +80,7 @@ class Element:
     furniture: bool
     in_section: bool       # inside an article or main
     mark: int = 0          # its own, whether it counts or not
+    weak: bool = False     # has a weak name, inside an article or main
 
 
 @dataclass
@@ -99,26 +105,35 @@ def _parts(token: str) -> list[str]:
     return [p for p in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()) if p]
 
 
-def _mark(tag: str, attrs: str, inside: bool) -> int:
+def _mark(tag: str, attrs: str, inside: bool) -> tuple[int, bool]:
+    """(mark, has a weak name) of an element. Inside an article or main only whole
+    class names and compounds of known parts count, and of a section's id only comments."""
     if tag in FURNITURE_TAGS or tag in SKIPPED or (tag == "header" and not inside):
-        return LOOSE if tag == "form" else HARD
+        return (LOOSE if tag == "form" else HARD), False
     if not attrs or tag in ("html", "body", "main"):
-        return 0
+        return 0, False
     a = {k.lower(): x or y or z for k, x, y, z in ATTR.findall(attrs)}
     if a.get("role", "").lower() in FURNITURE_ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true":
-        return HARD
+        return HARD, False
     if "style" in a and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a["style"].lower()):
-        return HARD
+        return HARD, False
     known = FURNITURE_NAMES if inside else FURNITURE_NAMES | HEADER_NAMES
     if tag == "article":
         known = frozenset({"comment", "comments", "reply", "ad", "ads", "advert", "sponsored", "promo", "related"})
-    mark = 0
-    for token in f"{a.get('class', '')} {a.get('id', '')}".split():
+    classes, mark, weak = a.get("class", "").split(), 0, False
+    section = tag == "section" or "section" in classes
+    for token in classes + ([] if tag in TEXT_TAGS else a.get("id", "").split()):
         parts = set(_parts(token))
-        if names := parts & known:
-            whole = parts <= known | AFFIXES
+        names = parts & known
+        whole = parts <= known | AFFIXES
+        anchor = section and token not in classes
+        if not names or not whole and (inside or anchor) or inside and anchor and not names <= COMMENT_NAMES - WEAK_NAMES:
+            continue
+        if inside and tag != "article" and names <= WEAK_NAMES:
+            weak = True
+        else:
             mark = max(mark, COMMENTS if whole and names <= COMMENT_NAMES else FIRM if whole else LOOSE)
-    return mark
+    return mark, weak and not mark
 
 
 def _wrappers(page: Page) -> frozenset[int]:
@@ -173,7 +188,7 @@ def parse(source: str | None) -> Page:
     return _parse(source, wrappers) if wrappers else page
 
 
-def _parse(source: str | None, wrappers: frozenset[int]) -> Page:
+def _parse(source: str | None, wrappers: frozenset[int], dropped: frozenset[int] = frozenset()) -> Page:
     page = Page([Element("#page", -1, False, False)], [], [], wrappers)
     stack = [0]
     parts: list[str] = []
@@ -250,8 +265,9 @@ def _parse(source: str | None, wrappers: frozenset[int]) -> Page:
             _close(stack, page, tuple(what.split()), frozenset(until.split()), pop_to, flush)
         parent = page.elements[stack[-1]]
         inside = parent.in_section or tag in SECTIONS
-        number, mark = len(page.elements), _mark(tag, attrs, parent.in_section)
-        e = Element(tag, stack[-1], parent.furniture or mark > 0 and number not in wrappers, inside, mark)
+        number, (mark, weak) = len(page.elements), _mark(tag, attrs, parent.in_section)
+        furniture = parent.furniture or mark > 0 and number not in wrappers or number in dropped
+        e = Element(tag, stack[-1], furniture, inside, mark, weak)
         page.elements.append(e)
         page.tokens.append((tag if tag in BLOCKS or tag in VOID or tag in SKIPPED else "inline", number, 1))
         if tag in VOID or attrs.rstrip().endswith("/") and tag not in BLOCKS:
@@ -263,8 +279,13 @@ def _parse(source: str | None, wrappers: frozenset[int]) -> Page:
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(source, pos)
             if tag == "title" and not e.furniture:
                 flush()
+            if tag == "xmp":                  # shown as it is
+                flush()
+                pieces(html.escape(source[pos:end.start() if end else len(source)]), number)
             pos = end.end() if end else len(source)
             stack.pop()
+            if tag == "xmp":
+                flush()
             continue
         if tag in BLOCKS:
             flush()
@@ -372,9 +393,9 @@ def extract(source: str | None, weights: dict[str, float]) -> str:
     lo, hi = best_run([score(f, n, weights) for f, _, n in page.tokens])
     if lo == hi:
         return ""
+    if again := _mark_again(page, lo, hi):
+        page = _parse(source, page.wrappers - again)
     words = [e for f, e, _ in page.tokens[lo:hi] if f[0] == "+"]
-    _mark_again(page, lo, hi)
-    words = [e for e in words if not page.elements[e].furniture]
     common = set(_chain(page, words[0]))
     for e in set(words):
         common &= set(_chain(page, e))
@@ -386,32 +407,41 @@ def extract(source: str | None, weights: dict[str, float]) -> str:
     inside = [False] * len(page.elements)
     for i, e in enumerate(page.elements):
         inside[i] = i == section or (e.parent >= 0 and inside[e.parent])
+    if dropped := _weak(page, inside, weights):
+        page = _parse(source, page.wrappers, dropped)
     blocks = [b for b in page.blocks if inside[b.element]]
     if page.elements[section].tag in ("body", "html", "#page"):
         blocks = _neighbours(page, lo, hi)
     return " ".join(b.text for b in blocks if not b.furniture)
 
 
-def _mark_again(page: Page, lo: int, hi: int) -> None:
-    """The mark of a wrapper counts after all if it holds less than half of the run's words."""
+def _mark_again(page: Page, lo: int, hi: int) -> frozenset[int]:
+    """Wrappers whose mark counts after all: they hold less than half of the run's words."""
     if not page.wrappers:
-        return
+        return frozenset()
     words = [0] * len(page.elements)
     for f, e, n in page.tokens[lo:hi]:
         if f[0] == "+":
             words[e] += n
     for i in range(len(words) - 1, 0, -1):
         words[page.elements[i].parent] += words[i]
-    again = {i for i in page.wrappers if 2 * words[i] < words[0]}
-    marked = [False]
-    for e in page.elements[1:]:
-        marked.append(marked[e.parent] or len(marked) in again)
-    if all(marked[e] for f, e, _ in page.tokens[lo:hi] if f[0] == "+"):
-        return
-    for e, m in zip(page.elements, marked):
-        e.furniture |= m
-    for b in page.blocks:
-        b.furniture = page.elements[b.element].furniture
+    again = frozenset(i for i in page.wrappers if 2 * words[i] < words[0])
+    if all(again.intersection(_chain(page, e)) for f, e, _ in page.tokens[lo:hi] if f[0] == "+"):
+        return frozenset()
+    return again
+
+
+def _weak(page: Page, inside: list[bool], weights: dict[str, float]) -> frozenset[int]:
+    """Elements of weak names in the region whose words and tags do not score positive."""
+    if not any(e.weak and inside[i] for i, e in enumerate(page.elements)):
+        return frozenset()
+    total = [0.0] * len(page.elements)
+    for f, e, n in page.tokens:
+        if not page.elements[e].furniture:
+            total[e] += score(f, n, weights)
+    for i in range(len(total) - 1, 0, -1):
+        total[page.elements[i].parent] += total[i]
+    return frozenset(i for i, e in enumerate(page.elements) if e.weak and inside[i] and total[i] <= 0)
 
 
 def _neighbours(page: Page, lo: int, hi: int) -> list[Block]:
