@@ -6,8 +6,8 @@ sum, the content region. The scores are log-odds learned by Spark from labelled
 pages: those whose one ``article`` or ``main`` element says where the content is.
 
 The region is then widened to the element that holds it (its ``article`` or
-``main``, or the innermost container; on the bare body, to the neighbouring
-blocks), and the furniture inside (menus, adverts, forms, comments, ...) is
+``main``; on pages without one, to what scores positive across the furniture next
+to it and the innermost container; on the bare body, to the neighbouring blocks), and the furniture inside (menus, adverts, forms, comments, ...) is
 left out. Text is read from the whole page in one pass.
 """
 
@@ -395,14 +395,11 @@ def extract(source: str | None, weights: dict[str, float]) -> str:
         return ""
     if again := _mark_again(page, lo, hi):
         page = _parse(source, page.wrappers - again)
-    words = [e for f, e, _ in page.tokens[lo:hi] if f[0] == "+"]
-    common = set(_chain(page, words[0]))
-    for e in set(words):
-        common &= set(_chain(page, e))
-    home = max(common)                                   # deepest common element: numbers grow downwards
-    chain = _chain(page, home)
+    chain = _common(page, lo, hi)
     section = next((e for e in chain if page.elements[e].tag in SECTIONS), None)
     if section is None:
+        lo, hi = _widened(page, lo, hi, set(chain), weights)
+        chain = _common(page, lo, hi)
         section = next((e for e in chain if page.elements[e].tag in CONTAINERS or e == 0), 0)
     inside = [False] * len(page.elements)
     for i, e in enumerate(page.elements):
@@ -415,6 +412,34 @@ def extract(source: str | None, weights: dict[str, float]) -> str:
     return " ".join(b.text for b in blocks if not b.furniture)
 
 
+def _common(page: Page, lo: int, hi: int) -> list[int]:
+    """Elements that hold all words of the run, the innermost first."""
+    words = {e for f, e, _ in page.tokens[lo:hi] if f[0] == "+"}
+    common = set.intersection(*(set(_chain(page, e)) for e in words))
+    return sorted(common, reverse=True)                  # numbers grow downwards
+
+
+def _widened(page: Page, lo: int, hi: int, above: set[int], weights: dict[str, float]) -> tuple[int, int]:
+    """The run and what scores positive before and after it, across furniture (an
+    advert between two sections, whatever its length) but not across the header or
+    footer of an element that holds the run."""
+    def reach(places: range) -> int:
+        best, cur, far = 0.0, 0.0, 0
+        for n, i in enumerate(places, 1):
+            f, at, count = page.tokens[i]
+            e = page.elements[at]
+            if e.furniture:
+                if e.tag in ("header", "footer") and e.parent in above:
+                    break
+                continue
+            cur += score(f, count, weights)
+            if cur > best:
+                best, far = cur, n
+        return far
+
+    return lo - reach(range(lo - 1, -1, -1)), hi + reach(range(hi, len(page.tokens)))
+
+
 def _mark_again(page: Page, lo: int, hi: int) -> frozenset[int]:
     """Wrappers whose mark counts after all: they hold less than half of the run's words."""
     if not page.wrappers:

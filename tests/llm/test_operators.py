@@ -406,6 +406,21 @@ def test_html_names_inside_article():
     assert html.extract(f"<div><p>{long}</p>{parts[0]}{parts[3]}<p>{long}</p></div>", {}) == f"{long} {want[0]} {want[3]} {long}"
 
 
+def test_html_sections_without_article():
+    """Sections around long furniture are one text; what is beyond the page's footer is not."""
+    def words(n, name):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    a, b, ad = words(20, "a"), words(60, "b"), words(300, "ad")
+    for gap in (f"<div class=ad>{ad}</div>", f"<nav>{ad}</nav><div class=ad>{ad}</div>", f"<aside><footer>{ad}</footer></aside>"):
+        first, last = f"<section><p>{a}</p></section>", f"<section><p>{b}</p></section>"
+        for inner in (f"<h1>The title here</h1>{first}{gap}{last}", f"<h1>The title here</h1><div>{first}</div>{gap}<div>{last}{gap}</div>"):
+            for page in ("<div id=content>%s</div>", "<body>%s</body>", "<table><tr><td>%s</table>",
+                         "<div>Tag line of the site</div><header>x</header><div id=content>%s</div><footer>y</footer><div>All rights reserved here</div>"):
+                assert html.extract(page % inner, {}) == f"The title here {a} {b}", page % inner
+        assert html.extract(f"<div id=content>{last}{gap}{first}{gap}{last}</div>", {}) == f"{b} {a} {b}"
+
+
 def test_best_run():
     r = random.Random(1)
     for _ in range(200):
