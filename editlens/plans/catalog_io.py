@@ -261,10 +261,10 @@ WHERE window_end <= (SELECT make_timestamp(max("timestamp") * 1000000) FROM pop)
                                     "sliding AS (" + _SECONDS_SQL + ")"))
 def q_speed_over_raw(spark, sf):
     """The speed job over this library's own raw history, whose records carry only
-    ``timestamp`` (one file per hour: a micro-batch holds ``max_files`` hours)."""
-    raw = fresh_dir(spark, "raw")
-    land_raw(edit_events(spark, sf), raw, clock="event_time")
-    return _append_windows(spark, speed.read_events_stream(spark, raw), panes=False)
+    ``timestamp``, landed and read in ranges of hours."""
+    raw, out, ck = fresh_dir(spark, "raw"), fresh_dir(spark, "speed-out"), fresh_dir(spark, "ckpt")
+    speed.replay_raw(spark, edit_events(spark, sf), raw, out, ck)
+    return windows.flatten_window(spark.read.parquet(out))
 
 
 @query("stream_sliding_complete", with_edits(_SLIDING_SQL))

@@ -9,7 +9,7 @@ from editlens.operators import windows
 from editlens.plans import publish
 from editlens.sources import edit_events, land_raw
 from editlens.streaming import speed
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, edits_df
 
 T0 = dt.datetime(2024, 1, 1, 0, 0, 0)
 
@@ -46,6 +46,27 @@ def test_late_rows_are_dropped_after_watermark(spark, tmp_dir):
     assert a10.count() == 5 and a10.agg(F.sum("edits")).first()[0] == 5
 
 
+def test_raw_replay_does_not_depend_on_max_files(spark, tmp_dir):
+    """More raw files than a micro-batch takes, hours landed by several writers: no window is lost."""
+    hours, max_files = 8, 3
+    rows = [dict(wiki=w, id=f"{w}{h}-{m}", type="edit", bot=False, timestamp=int((T0 + d).replace(tzinfo=dt.timezone.utc).timestamp()),
+                 event_time=T0 + d, arrival_time=T0 + d)
+            for h in range(hours) for m in (1, 30, 59) for w in "ab" for d in (dt.timedelta(hours=h, minutes=m),)]
+    ev = edits_df(spark, rows).repartition(5, "id")
+    end = max(r["event_time"] for r in rows) - dt.timedelta(minutes=1)
+    want = sorted(tuple(r) for r in windows.flatten_window(windows.sliding_counts(ev)).filter(F.col("window_end") <= end).collect())
+    raw, out, ck = (os.path.join(tmp_dir, d) for d in ("raw", "out", "ck"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        speed.replay_raw(spark, ev, raw, out, ck, max_files=max_files)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.json(raw).count() == len(rows)
+    got = windows.flatten_window(spark.read.parquet(out))
+    assert sorted(tuple(r) for r in got.collect()) == want
+    assert [len(speed.raw_waves(ev, max_files=n)) for n in (1, 3, 8, 1000)] == [8, 3, 1, 1]
+
+
 def test_restart_resumes_from_checkpoint(spark, tmp_dir):
     src, out, ck = (os.path.join(tmp_dir, d) for d in ("in", "out", "ck"))
     put(src, "f1.json", [("a", 1), ("b", 2)])
