@@ -23,11 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from editlens.llm.graph import components
-from editlens.llm.ranking import number_in_groups
+from editlens.llm.ranking import bucket_count, number_in_groups
 from editlens.llm.scratch import Scratch
 
 MIN_COSINE = 0.95
@@ -249,7 +249,7 @@ def _blocks(points: DataFrame, scratch: Scratch) -> DataFrame:
     placed = scratch.table(points.select("_key", "_v", "_m").mapInPandas(
         place, "_key bigint, _v array<double>, _m bigint, _pivot int, _d int"), "placed")
     # rows of a (length, pivot) group are numbered and cut into blocks of BLOCK
-    numbered = number_in_groups(placed.withColumn("_h", F.xxhash64("_key")), ["_d", "_pivot"], [], "_h", "_at", 64)
+    numbered = number_in_groups(placed.withColumn("_h", F.xxhash64("_key")), ["_d", "_pivot"], [], "_h", "_at", bucket_count(n))
     numbered = numbered.withColumn("_part", F.floor(F.col("_at") / BLOCK).cast("int"))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -260,7 +260,7 @@ def _blocks(points: DataFrame, scratch: Scratch) -> DataFrame:
         far = float(np.sqrt(((points_ - mean) ** 2).sum(axis=1)).max())
         single = raw.astype(np.float32)
         whole = bool((single == raw).all())          # single precision holds them exactly
-        out = {"dims": raw.shape[1], "single": whole, "keys": pdf["_key"].to_numpy(np.int64).tobytes(),
+        out = {"dims": raw.shape[1], "pivot": int(pdf["_pivot"].iloc[0]), "single": whole, "keys": pdf["_key"].to_numpy(np.int64).tobytes(),
                "weights": pdf["_m"].to_numpy(np.int64).tobytes(), "points": (single if whole else raw).tobytes(),
                "centre": [mean.tolist()], "far": far,
                "sizes": [[len(lv[0]) for lv in tree.levels]],
@@ -268,7 +268,7 @@ def _blocks(points: DataFrame, scratch: Scratch) -> DataFrame:
                                  for lv in tree.levels)}
         return pd.DataFrame({k: v if isinstance(v, list) else [v] for k, v in out.items()})
 
-    schema = ("dims int, single boolean, keys binary, weights binary, points binary, centre array<double>, far double, "
+    schema = ("dims int, pivot int, single boolean, keys binary, weights binary, points binary, centre array<double>, far double, "
               "sizes array<int>, nodes binary")
     built = numbered.groupBy("_d", "_pivot", "_part").applyInPandas(build, schema)
     return scratch.table(built.withColumn("block", F.monotonically_increasing_id()), "blocks")
@@ -286,18 +286,33 @@ def _tree(row: dict) -> tuple[np.ndarray, np.ndarray, Tree]:
     return np.frombuffer(row["keys"], np.int64), np.frombuffer(row["weights"], np.int64), Tree(points, levels)
 
 
+def _gap(x: str, y: str) -> Column:
+    return F.sqrt(F.aggregate(F.zip_with(x, y, lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, u: s + u))
+
+
+def block_pairs(meta: DataFrame, t: float) -> DataFrame:
+    """(a, b), a <= b: pairs of blocks that may hold vectors within ``t``. Pairs of
+    pivots (few, whatever the input) are bounded first, by a centre and the radius
+    that covers their blocks; only those left are joined out to blocks."""
+    first = meta.groupBy("dims", "pivot").agg(F.min_by("centre", "block").alias("pc"))
+    pivots = meta.join(first, ["dims", "pivot"]).groupBy("dims", "pivot").agg(
+        F.first("pc").alias("pc"), F.max(_gap("pc", "centre") + F.col("far")).alias("pr"))
+    other = pivots.select("dims", F.col("pivot").alias("qivot"), F.col("pc").alias("qc"), F.col("pr").alias("qr"))
+    near = pivots.join(other, "dims").where(_gap("pc", "qc") <= F.col("pr") + F.col("qr") + t + 2 * GUARD) \
+        .select("dims", "pivot", "qivot")
+    left = meta.select("dims", "pivot", F.col("block").alias("a"), F.col("centre").alias("ca"), F.col("far").alias("ra"))
+    right = meta.select("dims", F.col("pivot").alias("qivot"), F.col("block").alias("b"), F.col("centre").alias("cb"),
+                        F.col("far").alias("rb"))
+    return near.join(left, ["dims", "pivot"]).join(right, ["dims", "qivot"]).where(
+        (F.col("a") <= F.col("b")) & (_gap("ca", "cb") <= F.col("ra") + F.col("rb") + t + GUARD)).select("a", "b")
+
+
 def _links(blocks: DataFrame, min_cosine: float, scratch: Scratch) -> DataFrame:
     """(_key, n, root): for each block pair that may hold links, each linked
     vector's weight of links and its root among the two blocks."""
     t = float(np.sqrt(max(2.0 - 2.0 * min_cosine, 0.0)))
-    meta = scratch.table(blocks.select("block", "dims", "centre", "far"), "meta")
-    order = meta.groupBy("dims").agg(F.sort_array(F.collect_list("block")).alias("_all"))
-    left = meta.join(order, "dims").select(
-        F.col("block").alias("a"), F.col("centre").alias("ca"), F.col("far").alias("ra"),
-        F.explode(F.filter("_all", lambda x: x >= F.col("block"))).alias("b"))
-    right = meta.select(F.col("block").alias("b"), F.col("centre").alias("cb"), F.col("far").alias("rb"))
-    gap = F.sqrt(F.aggregate(F.zip_with("ca", "cb", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
-    pairs = scratch.table(left.join(right, "b").where(gap <= F.col("ra") + F.col("rb") + t + GUARD).select("a", "b"), "pairs")
+    meta = scratch.table(blocks.select("block", "dims", "pivot", "centre", "far"), "meta")
+    pairs = scratch.table(block_pairs(meta, t), "pairs")
     data = ["dims", "single", "keys", "weights", "points", "sizes", "nodes"]
     first = blocks.select(F.col("block").alias("a"), *[F.col(c).alias(f"a_{c}") for c in data])
     other = blocks.select(F.col("block").alias("b"), *[F.col(c).alias(f"b_{c}") for c in data])

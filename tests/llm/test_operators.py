@@ -1,6 +1,7 @@
 """Operators against brute force, on crafted rows that hold every odd case:
 nulls, empty and long texts, ties, repeated rows, clashing extra columns, empty tables."""
 
+import math
 import random
 import zlib
 from itertools import combinations
@@ -421,6 +422,18 @@ def test_html_sections_without_article():
         assert html.extract(f"<div id=content>{last}{gap}{first}{gap}{last}</div>", {}) == f"{b} {a} {b}"
 
 
+def test_block_pairs(spark):
+    """All pairs within the blocks' bound, from surviving pairs of pivots; no list of all blocks."""
+    r = random.Random(2)
+    rows = [(d * 100 + p * 10 + k, d, p, [p % 4 + r.random() / 9 for _ in range(d)], r.random() / 5)
+            for d in (2, 3) for p in range(6) for k in range(5)]
+    meta = spark.createDataFrame(rows, "block long, dims int, pivot int, centre array<double>, far double")
+    pairs = covertree.block_pairs(meta, 0.3)
+    want = sorted((a, b) for a, d, _, x, s in rows for b, e, _, y, t in rows if d == e and a <= b and math.dist(x, y) <= s + t + 0.3)
+    assert sorted((p.a, p.b) for p in pairs.collect()) == want
+    assert "collect_list" not in pairs._jdf.queryExecution().toString()
+
+
 def test_best_run():
     r = random.Random(1)
     for _ in range(200):
