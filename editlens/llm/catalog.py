@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editlens.llm import (chat, covertree, decontam, html, langid, lines, mixing, sharding, simhash,
-                          substrings)
+from editlens.llm import (chat, covertree, decontam, filter_audit, html, langid, lines, mixing, sharding,
+                          simhash, substrings)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -155,3 +155,41 @@ def op10(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url", "html")
     text = pages.select("page_id", "url", html.main_text(F.col("html"), html.learn(pages)).alias("text"))
     return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op12_filter_audit", r"""
+WITH lab AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+  FROM labels GROUP BY doc_id),
+d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first_doc FROM d GROUP BY t),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad,
+         [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+          100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * len(t), regexp_matches(t, '[#$%&*|]'),
+          coalesce(d.doc_id > first_doc, false)] AS fails
+  FROM d JOIN firsts USING (t) LEFT JOIN lab ON lab.doc_id = d.doc_id),
+c AS (SELECT part, good, bad, fails, count(*) AS n FROM f GROUP BY ALL),
+l AS (SELECT unnest(range(1, 6)) AS i),
+o AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS ord FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT ord, i AS step, ord[i] AS f, ord[1:i-1] AS before FROM o, l),
+r AS (
+  SELECT part, array_to_string(list_transform(ord, lambda x: 'ABCDE'[x]), '') AS filter_order, step, f,
+         sum(CASE WHEN NOT fails[f] AND NOT gone THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN fails[f] AND NOT gone THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN fails[f] AND gone THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails[f] AND len(list_filter(fails, lambda x: x)) = 1 THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN fails[f] AND NOT gone THEN n * good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN fails[f] AND NOT gone THEN n * bad ELSE 0 END) AS toxic_lost
+  FROM (SELECT *, len(list_filter(before, lambda x: fails[x])) > 0 AS gone FROM c, s) GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM r""")
+def op12(spark, sf):
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
