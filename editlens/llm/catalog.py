@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editlens.llm import (chat, covertree, decontam, filter_audit, html, langid, lines, mixing, sharding,
-                          simhash, substrings)
+from editlens.llm import (chat, covertree, decontam, filter_audit, html, langid, lines, mixing, quality, sharding,
+                          simhash, substrings, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -157,6 +157,11 @@ def op10(spark, sf):
     return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@query("op11_embedding_whitening")
+def op11(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
 @query("op12_filter_audit", r"""
 WITH lab AS (
   SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
@@ -193,3 +198,8 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
 FROM r""")
 def op12(spark, sf):
     return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op13_quality_classifier")
+def op13(spark, sf):
+    return quality.score(table(spark, sf, "documents"), table(spark, sf, "labels"))

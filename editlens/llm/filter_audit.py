@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from editlens.llm.reduce import mark
 from editlens.llm.scratch import Scratch
 
 LETTERS = "ABCDE"
@@ -41,7 +42,6 @@ FIELD_BITS = 64
 FIELDS = len(ORDERS) * STEPS * len(COUNTERS)
 TOTAL_AT = FIELDS * FIELD_BITS               # the part's number of documents, above all fields
 FIELD_MASK = (1 << FIELD_BITS) - 1
-NULL_SALTS = 4096                            # rows without an id are spread over so many join keys
 
 RESULT = ("part string, filter_order string, step int, kept long, removed long, redundant long, "
           "unique_fails long, good_lost long, toxic_lost long, shapley long")
@@ -130,13 +130,7 @@ def facts(docs: DataFrame, labels: DataFrame) -> DataFrame:
                        F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"),
                        own_failures(text).alias("mask"))
     rows = rows.groupBy("doc_id", "part", "digest", "mask").agg(F.count("*").alias("n"))
-    marks = (labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("label_id"))
-             .agg(F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"),
-                  F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic"))
-             .withColumn("label_salt", F.lit(0)))
-    salt = F.when(F.col("doc_id").isNull(), 1 + F.pmod(F.xxhash64("digest"), F.lit(NULL_SALTS)).cast("int")).otherwise(0)
-    rows = rows.withColumns({"join_id": F.coalesce("doc_id", F.lit(0)), "salt": salt})
-    rows = rows.join(marks, (F.col("join_id") == F.col("label_id")) & (F.col("salt") == F.col("label_salt")), "left")
+    rows = mark(rows, labels, {"good": F.col("quality") == 1, "toxic": F.col("toxic") == 1}, F.xxhash64("digest"))
     return rows.select("doc_id", "part", "digest", "mask", "n",
                        F.coalesce("good", F.lit(False)).alias("good"), F.coalesce("toxic", F.lit(False)).alias("toxic"))
 

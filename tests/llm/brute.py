@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+from itertools import permutations
 
 import numpy as np
 import xxhash
@@ -136,3 +137,36 @@ def line_dedup(rows, min_sites):
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def filter_audit(rows, labels):
+    """rows: (doc_id, text, source); labels: (doc_id, quality, toxic). Rows of the audit."""
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    first = {}
+    for i, t, _ in rows:
+        if i is not None:
+            first[t or ""] = min(first.get(t or "", i), i)
+    parts = {}
+    for i, t, s in rows:
+        t = t or ""
+        words = [w.decode() for w in t.encode().split()]
+        fails = {"A": len(words) < 200, "B": 100 * len(set(words)) < 50 * len(words),
+                 "C": 100 * sum("A" <= c <= "Z" for c in t) > 2 * len(t), "D": any(c in "#$%&*|" for c in t),
+                 "E": i is not None and i > first[t]}
+        parts.setdefault(s or "", []).append((fails, i in good, i in toxic))
+    out = []
+    for part, docs in parts.items():
+        steps, shapley = [], dict.fromkeys("ABCDE", 0)
+        for order in permutations("ABCDE"):
+            left = list(docs)
+            for n, f in enumerate(order):
+                here = [d for d in left if d[0][f]]
+                left = [d for d in left if not d[0][f]]
+                shapley[f] += len(here)
+                steps.append((part, "".join(order), n + 1, len(left), len(here),
+                              sum(d[0][f] for d in docs) - len(here),
+                              sum(d[0][f] and sum(d[0].values()) == 1 for d in docs),
+                              sum(d[1] for d in here), sum(d[2] for d in here), f))
+        out += [s[:-1] + (shapley[s[-1]],) for s in steps]
+    return out
