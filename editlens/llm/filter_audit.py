@@ -147,12 +147,17 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "filter-audit")
     rows = scratch.table(facts(docs, labels), "facts")
-    firsts = (rows.groupBy(F.col("digest").alias("same")).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-              .where(F.col("last") > F.col("first")).drop("last"))
-    repeated = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
-    mask = F.col("mask") + F.when(repeated, F.lit(16)).otherwise(F.lit(0))
-    code = 4 * mask + 2 * F.col("good").cast("int") + F.col("toxic").cast("int")
-    counts = (rows.join(firsts, F.col("digest") == F.col("same"), "left")
-              .groupBy("part", code.alias("code")).agg(F.sum("n").alias("n")))
+    # copies collapse map-side to a row per (text, part, labels), the smallest id with its repeats kept apart
+    groups = rows.groupBy("digest", "part", "mask", "good", "toxic", F.col("doc_id").isNull().alias("anonymous")).agg(
+        F.sum("n").alias("n"), F.min(F.struct("doc_id", "n")).alias("head"))
+    firsts = (groups.where(~F.col("anonymous")).groupBy(F.col("digest").alias("same"))
+              .agg(F.min("head.doc_id").alias("first"), F.sum("n").alias("copies")).where(F.col("copies") > 1).drop("copies"))
+    stays = (F.when(F.col("anonymous") | F.col("first").isNull(), F.col("n"))
+             .when(F.col("head.doc_id") == F.col("first"), F.col("head.n")).otherwise(0))
+    code = 4 * F.col("mask") + 2 * F.col("good").cast("int") + F.col("toxic").cast("int")
+    split = F.explode(F.array(F.struct(code.alias("code"), stays.alias("n")),
+                              F.struct((code + 64).alias("code"), (F.col("n") - stays).alias("n"))))
+    counts = (groups.join(firsts, F.col("digest") == F.col("same"), "left").select("part", split.alias("s"))
+              .where(F.col("s.n") > 0).groupBy("part", F.col("s.code").alias("code")).agg(F.sum("s.n").alias("n")))
     return (counts.repartition(F.col("part")).sortWithinPartitions("part").select("part", "code", "n")
             .mapInArrow(_sum_parts, RESULT))
