@@ -39,6 +39,7 @@ class Defaults:
     flush_size: int = 50
     flush_seconds: int = 10
     raw_file_records: int = 1_000_000   # of a raw history file; producers flush far smaller ones
+    landed_rows: int = 250_000          # of a landed stream file
     fanout: int = 5
     key_max_len: int = 256
     period_seconds: int = 60

@@ -102,14 +102,19 @@ def namespaces(events: DataFrame, n: int | None = DEFAULTS.top_n,
     return top_n(count_by(pop, "namespace", "namespace"), "edits", "namespace", n)
 
 
+COUNT_NAMES = ("total", "after_bot_filter", "kept")
+
+
+def count_columns(exclude_bots: bool = DEFAULTS.exclude_bots) -> list[Column]:
+    """Aggregates of the row counts before and after the filters."""
+    kept = not_bot() if exclude_bots else F.lit(True)
+    return [F.count(F.lit(1)).alias("total"), F.count_if(kept).alias("after_bot_filter"),
+            F.count_if(kept & has_wiki()).alias("kept")]
+
+
 def record_counts(events: DataFrame, exclude_bots: bool = DEFAULTS.exclude_bots) -> DataFrame:
     """Row counts before and after the filters, in one pass."""
-    kept = not_bot() if exclude_bots else F.lit(True)
-    return events.select("bot", "wiki").agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(kept).alias("after_bot_filter"),
-        F.count_if(kept & has_wiki()).alias("kept"),
-    )
+    return events.select("bot", "wiki").agg(*count_columns(exclude_bots))
 
 
 def views_single_pass(events: DataFrame, exclude_bots: bool = DEFAULTS.exclude_bots) -> DataFrame:

@@ -19,7 +19,7 @@ from editlens.operators import merge, views, windows
 from editlens.plans import batch as batch_job
 from editlens.plans import publish, serving
 from editlens.plans.catalog import (
-    PANE_S, TOP, TRAIL_S, _BATCH_ALL, _LIVE, _MERGE_SQL, _PAYLOAD_SQL, _SLIDING_SQL, _SPEED_ALL, _SPEED_TOP,
+    ORACLE_SQL, PANE_S, RATE_PERIOD_S, RATE_PERIODS, RATE_THRESHOLD, TOP, TRAIL_S, _BATCH_ALL, _LIVE, _MERGE_SQL, _PAYLOAD_SQL, _SLIDING_SQL, _SPEED_ALL, _SPEED_TOP,
     _batch_and_speed, _clocked, query,
 )
 from editlens.plans.oracle import hour_expr, tokens_expr, with_edits
@@ -32,7 +32,7 @@ from editlens.sources import (
 from editlens.sources.feed import FEATURE_FEED
 from editlens.sources.jsonl import record_counts_jsonl
 from editlens.sources.raw import PARTS
-from editlens.streaming import speed
+from editlens.streaming import monitoring, speed
 
 EVENT_COLS = [f.name for f in EVENT_SCHEMA.fields]
 _EVENT_SQL_COLS = 'wiki, title, type, bot, "timestamp", "user", namespace, id'
@@ -216,18 +216,15 @@ def q_jsonl_record_counts(spark, sf):
 
 # ------------------------------------------------------------------ streaming
 
-WAVE_FILES = 2
-
-
-def _landed(spark, sf) -> str:
-    """Events landed in time order; ``max_files=WAVE_FILES`` makes four micro-batches."""
+def _landed(spark, sf, clock: str = "event_time") -> tuple[str, int]:
+    """Events landed in time order, and how many files make one of the four micro-batches."""
     path = fresh_dir(spark, "stream-in")
-    speed.land_in_waves(edit_events(spark, sf), path, files=WAVE_FILES)
-    return path
+    return path, speed.land_in_waves(edit_events(spark, sf), path, clock=clock)
 
 
-def _stream(spark, sf):
-    return speed.read_events_stream(spark, _landed(spark, sf), max_files=WAVE_FILES)
+def _stream(spark, sf, clock: str = "event_time"):
+    path, files = _landed(spark, sf, clock)
+    return speed.read_events_stream(spark, path, max_files=files)
 
 
 _APPEND_SQL = with_edits("""
@@ -380,9 +377,9 @@ def q_stream_raw_sink(spark, sf):
 def q_stream_source(spark, sf):
     from editlens.sources import stream_source
     from editlens.schema import EDIT_EVENT
-    src = stream_source(spark, "json", _landed(spark, sf), EDIT_EVENT,
-                        {"timestampFormat": speed.TS_FORMAT,
-                         "maxFilesPerTrigger": str(WAVE_FILES)})
+    path, files = _landed(spark, sf)
+    src = stream_source(spark, "json", path, EDIT_EVENT,
+                        {"timestampFormat": speed.TS_FORMAT, "maxFilesPerTrigger": str(files)})
     out, ck = fresh_dir(spark, "stream-src"), fresh_dir(spark, "ckpt")
     q = speed.start_query(src.select(*EVENT_COLS, to_ntz("event_time").alias("event_time")),
                      ck, "append", "parquet", out, AVAILABLE_NOW)
@@ -413,7 +410,75 @@ def q_stream_late_drop(spark, sf):
     mid = F.timestamp_micros(F.lit((lo + hi) // 2).cast("long"))
     base, out, ck = fresh_dir(spark, "late-in"), fresh_dir(spark, "late-out"), fresh_dir(spark, "ckpt")
     for part in (ev.filter(F.col("event_time") >= mid), ev.filter(F.col("event_time") < mid)):
-        speed.land_in_waves(part, base, waves=2, files=WAVE_FILES)
-        src = speed.read_events_stream(spark, base, max_files=WAVE_FILES)
+        files = speed.land_in_waves(part, base, waves=2)
+        src = speed.read_events_stream(spark, base, max_files=files)
         speed.run_to_end(speed.run_speed(src, out, ck, AVAILABLE_NOW))
     return windows.flatten_window(spark.read.parquet(out))
+
+
+# ------------------------------------------------------ live monitoring and progress
+
+def _run(spark, stream, name: str):
+    """An append stream run to its end, and what it wrote."""
+    out, ck = fresh_dir(spark, name), fresh_dir(spark, "ckpt")
+    speed.run_to_end(speed.start_query(stream, ck, "append", "parquet", out, AVAILABLE_NOW))
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def _closed(sql: str, period_s: int) -> str:
+    """The rows of an alarm query whose period the stream's watermark has passed."""
+    return (f"SELECT * FROM ({sql}) WHERE minute + INTERVAL {period_s} SECOND <= (SELECT max(ts + to_seconds(CAST("
+            "json_extract(props, '$.k') AS INTEGER))) FROM events) - INTERVAL 1 MINUTE")
+
+
+@query("stream_rate_alarm", _closed(ORACLE_SQL["rate_alarm"], RATE_PERIOD_S))
+def q_stream_rate_alarm(spark, sf):
+    return _run(spark, monitoring.rate_alarm_stream(_stream(spark, sf, "arrival_time"), RATE_THRESHOLD, RATE_PERIODS,
+                                                    period_s=RATE_PERIOD_S), "rate-alarm")
+
+
+@query("stream_lag_alarm", _closed(ORACLE_SQL["lag_alarm"], DEFAULTS.period_seconds))
+def q_stream_lag_alarm(spark, sf):
+    return _run(spark, monitoring.lag_alarm_stream(_stream(spark, sf, "arrival_time")), "lag-alarm")
+
+
+@query("stream_probe", f"""
+SELECT * FROM ({ORACLE_SQL["sentinel_latency"]})
+WHERE minute + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE""")
+def q_stream_probe(spark, sf):
+    """Sent records and the log are two streams over the same landed files."""
+    path, files = _landed(spark, sf)
+    sent, seen = (speed.read_events_stream(spark, path, max_files=files) for _ in range(2))
+    out = _run(spark, monitoring.probe_stream(sent, seen), "probe")
+    return out
+
+
+@query("stream_topn_per_window", with_edits(f"""
+SELECT window_start, window_end, wiki, edits, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY window_start, window_end ORDER BY edits DESC, wiki ASC) AS rank FROM sliding)
+WHERE rank <= {TOP} AND window_end <= (SELECT max(event_time) FROM pop) - INTERVAL 1 MINUTE""",
+                                            "sliding AS (" + _SLIDING_SQL + ")"))
+def q_stream_topn_per_window(spark, sf):
+    out, ck = fresh_dir(spark, "topn-window"), fresh_dir(spark, "ckpt")
+    counts = speed.windowed_counts(_stream(spark, sf))
+    speed.run_to_end(monitoring.run_topn_per_window(counts, out, ck, TOP, trigger=AVAILABLE_NOW))
+    return monitoring.read_topn(spark, out)
+
+
+@query("stream_progress", with_edits("""
+SELECT count(*) AS input_rows, count(*) AS total, CAST(count_if(coalesce(bot, FALSE) = FALSE) AS BIGINT) AS after_bot_filter,
+       CAST(count_if(coalesce(bot, FALSE) = FALSE AND wiki IS NOT NULL) AS BIGINT) AS kept
+FROM edits"""))
+def q_stream_progress(spark, sf):
+    """Rows of every micro-batch, as the progress table holds them, add up to the landed rows."""
+    log = monitoring.ProgressLog(spark, fresh_dir(spark, "progress"))
+    spark.streams.addListener(log)
+    try:
+        seen = monitoring.observe_counts(_stream(spark, sf))
+        q = speed.run_speed(seen, fresh_dir(spark, "speed-out"), fresh_dir(spark, "ckpt"), AVAILABLE_NOW)
+        speed.run_to_end(q)
+        log.wait(q)
+    finally:
+        spark.streams.removeListener(log)
+    return monitoring.progress_by_batch(log.read()).agg(
+        *[F.sum(c).cast("long").alias(c) for c in ("input_rows", *views.COUNT_NAMES)])

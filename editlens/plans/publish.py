@@ -26,6 +26,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, replaced if it is there."""
+    p, fs = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def versions(spark: SparkSession, base: str) -> list[int]:
     """Complete versions, oldest first; empty if there is no such folder."""
     p, fs = _fs(spark, base)

@@ -253,19 +253,24 @@ def land_events(events: DataFrame, path: str, clock: str = "arrival_time") -> No
      .option("timestampFormat", TS_FORMAT).json(path))
 
 
-def land_in_waves(events: DataFrame, path: str, waves: int = 4, files: int = 2,
-                  clock: str = "event_time") -> None:
-    """Land events in time order: one wave of ``files`` files after the other, each
-    an equal share of the time span. With ``max_files=files`` a micro-batch is a wave."""
-    lo, hi = events.agg(F.min(F.unix_micros(clock)), F.max(F.unix_micros(clock))).first()
+def land_in_waves(events: DataFrame, path: str, waves: int = 4, clock: str = "event_time",
+                  rows_per_file: int = DEFAULTS.landed_rows) -> int:
+    """Land events in time order, one wave after the other, each an equal share of the
+    time span in as many files as the rows ask for. Returns the files of a wave: with
+    that as ``max_files`` a micro-batch is a wave."""
+    lo, hi, rows = events.agg(F.min(clock), F.max(clock), F.count(F.lit(1))).first()
+    files = max(2, -(-rows // (waves * rows_per_file)))
     if lo is None:
-        return
-    step = (hi - lo) // waves + 1
+        return files
+    step = (hi - lo) / waves
     for w in range(waves):
-        at = F.unix_micros(clock)
-        (events.filter((at >= lo + w * step) & (at < lo + (w + 1) * step))
-         .repartition(files, F.xxhash64("id")).write.mode("append")
+        at = F.col(clock)
+        wave = at >= F.lit(lo + w * step)
+        if w + 1 < waves:
+            wave &= at < F.lit(lo + (w + 1) * step)
+        (events.filter(wave).repartition(files, F.xxhash64("id")).write.mode("append")
          .option("timestampFormat", TS_FORMAT).json(path))
+    return files
 
 
 def raw_waves(events: DataFrame, clock: str = "event_time", max_files: int = DEFAULTS.max_files,
