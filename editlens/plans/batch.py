@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from editlens.config import DEFAULTS
@@ -22,6 +22,9 @@ VIEW_NAMES = ("wiki_edits", "keywords", "hourly", "edit_types", "namespaces")
 CUT_VIEWS = ("wiki_edits", "keywords", "namespaces")      # those that ``top_n`` bounds
 
 
+COUNTS = "_counts"
+COUNTS_SCHEMA = ", ".join(f"{c} bigint" for c in views.COUNT_NAMES)
+
 # view -> column it needs besides wiki / bot
 VIEW_COLUMN = {"wiki_edits": "wiki", "keywords": "title", "hourly": "timestamp",
                "edit_types": "type", "namespaces": "namespace"}
@@ -83,19 +86,24 @@ def run_batch(spark: SparkSession, events: DataFrame, out: str,
     one GROUPING SETS aggregate for wiki / hour / type / namespace, written
     once as an intermediate table (this also cuts lineage, so the four views
     are cheap reads of a small table), and one keyword explode.
+
+    The first of them also counts the rows it reads and keeps; the counts are stored beside the
+    views (``read_counts``). No view is touched if there are no records at all.
     """
-    if require_input and events.isEmpty():
-        raise SystemExit("no input records")
     events = with_bot(events)
     out = out.rstrip("/")
     needed = {"wiki", "title", "timestamp", "type", "namespace"}
     if single_pass and needed <= set(events.columns):
         grouped_path = f"{out}/_grouped"
-        views.views_single_pass(events, exclude_bots).write.mode("overwrite").parquet(grouped_path)
+        counts = write_grouped(spark, events, grouped_path, exclude_bots)
         built = views_from_grouped(spark.read.parquet(grouped_path), top_n)
         built["keywords"] = views.keywords(events, top_n, exclude_bots)
     else:
+        needs_wiki = events if "wiki" in events.columns else events.withColumn("wiki", F.lit(None).cast("string"))
+        counts = views.record_counts(needs_wiki, exclude_bots).first().asDict()
         built = batch_views(events, top_n, exclude_bots)
+    if require_input and not counts["total"]:
+        raise SystemExit("no input records")
     paths = {}
     for name in VIEW_NAMES:
         if name not in built:
@@ -103,9 +111,33 @@ def run_batch(spark: SparkSession, events: DataFrame, out: str,
         path = f"{out}/{name}"
         write_view(built[name], path, single_file=top_n is not None and name in CUT_VIEWS)
         paths[name] = path
+    row = spark.createDataFrame([tuple(counts[c] for c in views.COUNT_NAMES)], COUNTS_SCHEMA)
+    row.coalesce(1).write.mode("overwrite").parquet(f"{out}/{COUNTS}")
     return paths
 
 
+def write_grouped(spark: SparkSession, events: DataFrame, path: str, exclude_bots: bool) -> dict[str, int]:
+    """Write the GROUPING SETS pass and return its row counts, observed on the way.
+
+    Every kept row is in exactly one type group, so the written table holds the exact number
+    of kept rows. If a task ran twice after a lost executor, its rows may have been observed twice: then
+    the numbers differ and the rows are counted by a scan of their own.
+    """
+    seen = Observation()
+    watched = events.select("wiki", "bot", "type", "namespace", "timestamp").observe(
+        seen, *views.count_columns(exclude_bots))
+    views.views_single_pass(watched, exclude_bots).write.mode("overwrite").parquet(path)
+    kept = spark.read.parquet(path).where("view = 'type'").agg(F.sum("edits")).first()[0]
+    if kept is not None and seen.get["kept"] == kept:
+        return seen.get
+    return views.record_counts(events, exclude_bots).first().asDict()      # also where a plan without rows observed nothing
+
+
+def read_counts(spark: SparkSession, out: str) -> DataFrame:
+    """(total, after_bot_filter, kept) of the run that wrote the views under ``out``."""
+    return spark.read.schema(COUNTS_SCHEMA).parquet(f"{out.rstrip('/')}/{COUNTS}")
+
+
 def to_bronze(events: DataFrame, path: str) -> None:
     """Raw JSON history -> Parquet partitioned by event date."""
     (events.withColumn("event_date", F.to_date("event_time"))
@@ -141,6 +173,8 @@ def main(argv: list[str]) -> None:
         to_bronze(events, a.bronze)
         events = spark.read.parquet(a.bronze)
     run_batch(spark, events, a.out, a.top_n, not a.include_bots)
+    for name, n in read_counts(spark, a.out).first().asDict().items():
+        print(f"{name}: {n}")
     spark.stop()
 
 

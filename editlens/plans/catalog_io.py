@@ -80,6 +80,14 @@ def q_register_views(spark, sf):
     return res
 
 
+@query("batch_job_counts", ORACLE_SQL["record_counts"])
+def q_batch_job_counts(spark, sf):
+    """What the batch job read and kept, observed in the pass that writes the views."""
+    out = fresh_dir(spark, "views")
+    batch_job.run_batch(spark, edit_events(spark, sf), out)
+    return batch_job.read_counts(spark, out)
+
+
 @query("merged_view", with_edits(_MERGE_SQL, _LIVE, _BATCH_ALL, _SPEED_ALL))
 def q_merged_view(spark, sf):
     """Serving path end to end: batch view table (history up to the cutoff)
