@@ -281,7 +281,8 @@ def q_pane_sliding(spark, sf):
 
 
 DENSE = 1000      # time runs so many times faster in the dense case: many events per pane and key
-_DENSE_SQL = _SLIDING_SQL.replace("event_time", f"make_timestamp(epoch_us(event_time) // {DENSE})")
+_DENSE_TIME = f"make_timestamp(epoch_us(event_time) // {DENSE})"
+_DENSE_SQL = _SLIDING_SQL.replace("event_time", _DENSE_TIME)
 
 
 def _dense(spark, sf):

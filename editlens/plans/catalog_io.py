@@ -20,7 +20,7 @@ from editlens.plans import batch as batch_job
 from editlens.plans import publish, serving
 from editlens.plans.catalog import (
     ORACLE_SQL, PANE_S, RATE_PERIOD_S, RATE_PERIODS, RATE_THRESHOLD, TOP, TRAIL_S, _BATCH_ALL, _LIVE, _MERGE_SQL, _PAYLOAD_SQL, _SLIDING_SQL, _SPEED_ALL, _SPEED_TOP,
-    _batch_and_speed, _clocked, query,
+    _batch_and_speed, _clocked, _dense, _DENSE_TIME, query,
 )
 from editlens.plans.oracle import hour_expr, tokens_expr, with_edits
 from editlens.schema import EVENT_SCHEMA
@@ -32,7 +32,7 @@ from editlens.sources import (
 from editlens.sources.feed import FEATURE_FEED
 from editlens.sources.jsonl import record_counts_jsonl
 from editlens.sources.raw import PARTS
-from editlens.streaming import monitoring, speed
+from editlens.streaming import monitoring, panes, speed
 
 EVENT_COLS = [f.name for f in EVENT_SCHEMA.fields]
 _EVENT_SQL_COLS = 'wiki, title, type, bot, "timestamp", "user", namespace, id'
@@ -490,3 +490,55 @@ def q_stream_progress(spark, sf):
         spark.streams.removeListener(log)
     return monitoring.progress_by_batch(log.read()).agg(
         *[F.sum(c).cast("long").alias(c) for c in ("input_rows", *views.COUNT_NAMES)])
+
+
+# ------------------------------------------------------------- panes opened by events
+
+SHARDS = 4
+
+_EVENT_PANES = f"""
+rows AS (
+  SELECT CAST((CAST('0x' || substring(md5(coalesce(nullif(substring(wiki, 1, 256), ''), 'default')), 1, 8) AS BIGINT)
+               * {SHARDS}) >> 32 AS INTEGER) AS shard, epoch_us({_DENSE_TIME}) AS t,
+         coalesce(nullif(wiki, ''), nullif(id, ''), 'unknown') AS wiki
+  FROM edits
+  WHERE coalesce(bot, FALSE) = FALSE
+    AND (coalesce(type, '') = '' OR type IN ('edit', 'new', 'categorize') OR (wiki IS NULL AND title IS NULL))),
+starts AS (
+  SELECT shard, min(t) AS p FROM rows GROUP BY shard
+  UNION ALL
+  SELECT s.shard, min(r.t) FROM starts s JOIN rows r ON r.shard = s.shard AND r.t >= s.p + {PANE_S * 1_000_000}
+  GROUP BY s.shard),
+panes AS (
+  SELECT r.shard, s.p, r.wiki, count(*) AS count
+  FROM rows r ASOF JOIN starts s ON r.shard = s.shard AND r.t >= s.p GROUP BY ALL)"""
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _pane_table(spark, sf):
+    path = fresh_dir(spark, "stream-in")
+    files = speed.land_in_waves(_dense(spark, sf), path)
+    src = speed.read_events_stream(spark, path, max_files=files)
+    out, ck = fresh_dir(spark, "event-panes"), fresh_dir(spark, "ckpt")
+    speed.run_to_end(panes.run_event_panes(src, out, ck, AVAILABLE_NOW, shards=SHARDS, pane_s=PANE_S))
+    return panes.read_panes(spark, out)
+
+
+@query("stream_event_panes", _recursive(with_edits(
+    "SELECT shard, make_timestamp(p) AS pane_start, wiki, count FROM panes", _EVENT_PANES)))
+def q_stream_event_panes(spark, sf):
+    """Every pane of every shard, over several micro-batches."""
+    return _pane_table(spark, sf).select("shard", to_ntz(F.col("pane_start")).alias("pane_start"), "wiki", "count")
+
+
+@query("stream_event_panes_topn", _recursive(with_edits(f"""
+SELECT wiki, CAST(sum(count) AS BIGINT) AS count FROM panes
+WHERE p >= (SELECT max(t) FROM rows) - {DEFAULTS.window_seconds * 1_000_000}
+GROUP BY wiki ORDER BY count DESC, wiki ASC LIMIT {TOP}""", _EVENT_PANES)))
+def q_stream_event_panes_topn(spark, sf):
+    """The consumer's top keys at its latest event."""
+    rows = windows.speed_population(_dense(spark, sf))
+    return panes.live_topn(_pane_table(spark, sf), windows.as_of_literal(rows, "event_time"), TOP)
