@@ -340,8 +340,8 @@ def q_replay_stream(spark, sf):
 
 
 def _snapshot(spark, src):
-    panes, snap, ck = (fresh_dir(spark, "panes"), fresh_dir(spark, "snapshot"), fresh_dir(spark, "ckpt"))
-    speed.run_to_end(speed.run_snapshot(spark, src, panes, snap, ck, TRAIL_S, PANE_S, AVAILABLE_NOW))
+    snap, ck = fresh_dir(spark, "snapshot"), fresh_dir(spark, "ckpt")
+    speed.run_to_end(speed.run_snapshot(spark, src, snap, ck, TRAIL_S, PANE_S, AVAILABLE_NOW))
     return serving.read_snapshot(spark, snap, TOP).select("rank", "wiki", "count", "window_s")
 
 
@@ -362,6 +362,15 @@ def q_speed_snapshot_log(spark, sf):
     return _snapshot(spark, speed.decode_envelope(speed.envelope(_stream(spark, sf))))
 
 
+@query("speed_state_view", with_edits(_RANKED_SQL, _LIVE, _SPEED_TOP))
+def q_speed_state_view(spark, sf):
+    """The same ranks read from the state of the pane counts; the stream publishes nothing."""
+    ck = fresh_dir(spark, "ckpt")
+    speed.run_to_end(speed.start_query(speed.pane_stream(_stream(spark, sf), TRAIL_S, PANE_S), ck, "update", "noop",
+                                       trigger=AVAILABLE_NOW))
+    return serving.state_snapshot(spark, ck, TOP, TRAIL_S).select("rank", "wiki", "count", "window_s")
+
+
 @query("dual_write", with_edits(f"""
 SELECT sink, coalesce(nullif(substring(wiki, 1, 256), ''), 'default') AS key, {_PAYLOAD_SQL} AS value
 FROM edits, (VALUES ('raw'), ('log')) AS s(sink)"""))

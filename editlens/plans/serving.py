@@ -60,17 +60,29 @@ def snapshot_counts(spark: SparkSession, path: str) -> DataFrame | None:
     return publish.current(spark, path, SNAPSHOT_SCHEMA)
 
 
-def read_snapshot(spark: SparkSession, path: str, n: int = DEFAULTS.top_n) -> DataFrame:
-    """Ranks 1..n of the newest snapshot (no rows while there is none). The rank
-    is taken over the n rows that are left after the limit."""
-    snap = snapshot_counts(spark, path)
-    if snap is None:
-        snap = spark.createDataFrame([], SNAPSHOT_SCHEMA)
+def ranked(snap: DataFrame, n: int) -> DataFrame:
+    """Ranks 1..n of snapshot rows: taken over the n rows that are left after the limit."""
     top = views.top_n(snap, "count", "wiki", n)
     rank = F.row_number().over(Window.orderBy(F.col("count").desc(), F.col("wiki").asc_nulls_first()))
     return top.select(rank.alias("rank"), "wiki", "count", "ts", "window_s").orderBy("rank")
 
 
+def read_snapshot(spark: SparkSession, path: str, n: int = DEFAULTS.top_n) -> DataFrame:
+    """Ranks 1..n of the newest snapshot (no rows while there is none)."""
+    snap = snapshot_counts(spark, path)
+    return ranked(snap if snap is not None else spark.createDataFrame([], SNAPSHOT_SCHEMA), n)
+
+
+def state_snapshot(spark: SparkSession, checkpoint: str, n: int = DEFAULTS.top_n,
+                   window_s: int = DEFAULTS.window_seconds) -> DataFrame:
+    """Ranks 1..n straight from the state of a running or stopped ``pane_stream`` query, as of
+    its last committed micro-batch."""
+    from editlens.streaming.speed import live_panes, state_panes
+    counts = live_panes(state_panes(spark, checkpoint), window_s)
+    return ranked(counts.select("wiki", "count", F.unix_seconds(F.current_timestamp()).alias("ts"),
+                                F.lit(window_s).cast("int").alias("window_s")), n)
+
+
 def merged_view(spark: SparkSession, batch_table: str, snapshot_path: str,
                 n: int = DEFAULTS.top_n) -> DataFrame:
     """Batch view + speed snapshot over all their keys, then the top n. Serves

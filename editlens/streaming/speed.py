@@ -148,55 +148,67 @@ def top_wikis_complete(events: DataFrame, n: int = DEFAULTS.top_n) -> DataFrame:
 
 # ------------------------------------------------------------------- snapshot
 
-PANE_SCHEMA = "pane_start timestamp, wiki string, count bigint, last timestamp, batch bigint"
-
-
 def pane_stream(events: DataFrame, window_s: int = DEFAULTS.window_seconds,
                 pane_s: int = DEFAULTS.pane_seconds) -> DataFrame:
-    """Running count of admitted events per (pane, key), kept by Spark's state store
+    """Running count of admitted events per (pane, wiki), kept by Spark's state store
     until the pane has left the trailing window (watermark = window + pane).
 
     An event dated after its arrival counts at its arrival: the log's clock, which
     no single record can move, bounds the event time before the watermark.
     """
-    clocked = with_clocks(events).withColumn("event_time", F.least("event_time", "arrival_time"))
+    clocked = (with_clocks(events).withColumn("event_time", F.least("event_time", "arrival_time"))
+               .withColumns({"wiki": group_key(), "counted": should_count()}))
     return (clocked.withWatermark("event_time", f"{window_s + pane_s} seconds")
-            .groupBy(F.window("event_time", f"{pane_s} seconds").alias("pane"), group_key().alias("wiki"))
-            .agg(F.count_if(should_count()).alias("count"), F.max("event_time").alias("last")))
+            .groupBy(F.window("event_time", f"{pane_s} seconds").alias("pane"), "wiki")
+            .agg(F.count_if("counted").alias("count"), F.max("event_time").alias("last")))
+
+
+def state_panes(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """(pane_start, wiki, count, last) of every pane in the state of a ``pane_stream`` query, as of
+    a micro-batch (default: the last committed one), read from its checkpoint."""
+    r = spark.read.format("statestore")
+    if batch_id is not None:
+        r = r.option("batchId", batch_id)
+    return r.load(checkpoint).select(F.col("key.window.start").alias("pane_start"), "key.wiki", "value.count",
+                                     F.col("value.max").alias("last"))
 
 
-def snapshot_writer(spark: SparkSession, state_path: str, snapshot_path: str,
+def live_panes(panes: DataFrame, window_s: int = DEFAULTS.window_seconds) -> DataFrame:
+    """(wiki, count) over the panes that are live at the newest event."""
+    lower = windows.as_of_literal(panes, "last") - F.make_interval(secs=F.lit(window_s))
+    return (panes.where((F.col("pane_start") >= lower) & (F.col("count") > 0))
+            .groupBy("wiki").agg(F.sum("count").cast("long").alias("count")))
+
+
+def snapshot_writer(spark: SparkSession, checkpoint: str, snapshot_path: str,
                     window_s: int = DEFAULTS.window_seconds):
     """foreachBatch body of the snapshot, over ``pane_stream`` in update mode.
 
-    A trigger writes the panes it changed under its batch id (a retried batch
-    rewrites its own folder). The newest count of a pane is its largest, as counts
-    only grow. The snapshot is the sum over the panes of the trailing window, published as
-    the version of that batch. Batches without a live pane are removed, so what
-    is stored stays in proportion to the window.
+    The panes of a micro-batch are the state that the one before committed, with those
+    the batch changed in their place: counts only grow, so the larger one is newer. The sum
+    over the live ones is published as the version of that batch (a retried batch
+    rewrites its own). Nothing but the state store holds panes.
     """
     from editlens.plans.serving import write_snapshot
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.select(F.col("pane.start").alias("pane_start"), "wiki", "count", "last") \
-            .write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
-        panes = spark.read.schema(PANE_SCHEMA).parquet(state_path).where(F.col("batch") <= batch_id)
-        lower = windows.as_of_literal(panes, "last") - F.make_interval(secs=F.lit(window_s))
-        live = panes.where(F.col("pane_start") >= lower).groupBy("pane_start", "wiki").agg(F.max("count").alias("count"))
-        totals = live.where("count > 0").groupBy("wiki").agg(F.sum("count").cast("long").alias("count"))
-        write_snapshot(totals, snapshot_path, window_s, version=batch_id)
-        # one row per stored batch
-        gone = panes.groupBy("batch").agg(F.max("pane_start").alias("newest")).where(F.col("newest") < lower)
-        for r in gone.collect():
-            publish.delete(spark, f"{state_path}/batch={r['batch']}")
+        changed = batch.select(F.col("pane.start").alias("pane_start"), "wiki", "count", "last").persist()
+        try:
+            panes = changed
+            if batch_id > 0:
+                panes = (changed.unionByName(state_panes(spark, checkpoint, batch_id - 1)).groupBy("pane_start", "wiki")
+                         .agg(F.max("count").alias("count"), F.max("last").alias("last")))
+            write_snapshot(live_panes(panes, window_s), snapshot_path, window_s, version=batch_id)
+        finally:
+            changed.unpersist()
     return write
 
 
-def run_snapshot(spark: SparkSession, events: DataFrame, state_path: str, snapshot_path: str,
-                 checkpoint: str, window_s: int = DEFAULTS.window_seconds,
-                 pane_s: int = DEFAULTS.pane_seconds, trigger: dict | None = None) -> StreamingQuery:
+def run_snapshot(spark: SparkSession, events: DataFrame, snapshot_path: str, checkpoint: str,
+                 window_s: int = DEFAULTS.window_seconds, pane_s: int = DEFAULTS.pane_seconds,
+                 trigger: dict | None = None) -> StreamingQuery:
     return start_query(pane_stream(events, window_s, pane_s), checkpoint, "update", trigger=trigger,
-                       foreach_batch=snapshot_writer(spark, state_path, snapshot_path, window_s))
+                       foreach_batch=snapshot_writer(spark, checkpoint, snapshot_path, window_s))
 
 
 # ------------------------------------------------------------ dual write etc.
@@ -358,7 +370,7 @@ def main(argv: list[str]) -> None:
         q = run_speed(stream, a.out, a.checkpoint, trigger, a.panes, a.watermark, a.window, a.slide,
                       not a.include_bots)
     else:
-        q = run_snapshot(spark, stream, f"{a.out}/state", f"{a.out}/snapshot", a.checkpoint,
+        q = run_snapshot(spark, stream, f"{a.out}/snapshot", a.checkpoint,
                          windows.duration_seconds(a.window), trigger=trigger)
     run_to_end(q)
     spark.stop()

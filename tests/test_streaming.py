@@ -124,7 +124,7 @@ def test_plain_records_get_their_clocks(spark, tmp_dir):
 def test_future_event_does_not_move_the_clock(spark, tmp_dir):
     """One event dated years ahead counts at its arrival and wipes nothing."""
     from editlens.plans import serving
-    src, state, snap, ck = (os.path.join(tmp_dir, d) for d in ("in", "state", "snap", "ck"))
+    src, snap, ck = (os.path.join(tmp_dir, d) for d in ("in", "snap", "ck"))
     put(src, "f1.json", [("a", 1), ("a", 2), ("b", 2)])
     with open(os.path.join(src, "f2.json"), "w") as f:
         f.write(json.dumps(dict(wiki="z", id="z", type="edit", bot=False, event_time="2030-01-01T00:00:00.000000Z",
@@ -132,7 +132,7 @@ def test_future_event_does_not_move_the_clock(spark, tmp_dir):
     put(src, "f3.json", [("b", 3), ("b", 3)])
     for i, n in enumerate(("f1.json", "f2.json", "f3.json")):
         os.utime(os.path.join(src, n), (1_700_000_000 + i, 1_700_000_000 + i))
-    q = speed.run_snapshot(spark, speed.read_events_stream(spark, src, max_files=1), state, snap, ck,
+    q = speed.run_snapshot(spark, speed.read_events_stream(spark, src, max_files=1), snap, ck,
                            trigger={"availableNow": True})
     speed.run_to_end(q)
     assert {r.wiki: r["count"] for r in serving.read_snapshot(spark, snap).collect()} == {"a": 2, "b": 3, "z": 1}
