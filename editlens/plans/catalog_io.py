@@ -17,7 +17,7 @@ from editlens.config import DEFAULTS
 from editlens.functions import to_ntz
 from editlens.operators import merge, views, windows
 from editlens.plans import batch as batch_job
-from editlens.plans import publish, serving
+from editlens.plans import incremental, publish, serving
 from editlens.plans.catalog import (
     ORACLE_SQL, PANE_S, RATE_PERIOD_S, RATE_PERIODS, RATE_THRESHOLD, TOP, TRAIL_S, _BATCH_ALL, _LIVE, _MERGE_SQL, _PAYLOAD_SQL, _SLIDING_SQL, _SPEED_ALL, _SPEED_TOP,
     _batch_and_speed, _clocked, _dense, _DENSE_TIME, query,
@@ -45,6 +45,9 @@ _TOP_WIKIS_SQL = """
 SELECT wiki, count(*) AS edits FROM pop GROUP BY wiki ORDER BY edits DESC, wiki ASC LIMIT 10"""
 
 
+MERGE_BUCKETS = 8       # the driver tables are small
+
+
 def _db() -> str:
     """A database of its own for each run: runs do not drop each other's tables."""
     return f"editlens_{uuid.uuid4().hex[:12]}"
@@ -70,16 +73,34 @@ UNION ALL SELECT 'namespaces', CAST(namespace AS VARCHAR), count(*) FROM pop GRO
 def q_register_views(spark, sf):
     """The batch job end to end: five views written, registered and read back whole."""
     paths = batch_job.run_batch(spark, edit_events(spark, sf), fresh_dir(spark, "views"))
-    tables = serving.register_views(spark, _db(), paths)
+    db = _db()
+    tables = serving.register_views(spark, db, paths)
+    return _long({t.split(".", 1)[1]: spark.table(t) for t in tables})
+
+
+def _long(tables: dict):
+    """(view, key, n) of several view tables."""
     res = None
-    for t in tables:
-        df = spark.table(t)
-        part = df.select(F.lit(t.split(".", 1)[1]).alias("view"), df[df.columns[0]].cast("string").alias("key"),
+    for name, df in tables.items():
+        part = df.select(F.lit(name).alias("view"), df[df.columns[0]].cast("string").alias("key"),
                          df[df.columns[1]].alias("n"))
         res = part if res is None else res.unionByName(part)
     return res
 
 
+@query("batch_incremental", ORACLE_SQL["register_views"])
+def q_batch_incremental(spark, sf):
+    """Two landings of raw history, the second one partly into a day that is there already; the
+    second run counts the changed days only."""
+    ev, raw, out = edit_events(spark, sf), fresh_dir(spark, "raw"), fresh_dir(spark, "incremental")
+    lo, hi = ev.agg(F.min("arrival_time"), F.max("arrival_time")).first()
+    cut = F.col("arrival_time") < F.lit(lo + (hi - lo) * 0.55)
+    for part, mode in ((cut, "overwrite"), (~cut, "append")):
+        land_raw(ev.filter(part), raw, mode=mode)
+        paths = incremental.run_incremental(spark, raw, out)
+    return _long({name: spark.read.parquet(p) for name, p in paths.items()})
+
+
 @query("batch_job_counts", ORACLE_SQL["record_counts"])
 def q_batch_job_counts(spark, sf):
     """What the batch job read and kept, observed in the pass that writes the views."""
@@ -100,6 +121,16 @@ def q_merged_view(spark, sf):
     return serving.merged_view(spark, table, f"{out}/snapshot", TOP)
 
 
+@query("merged_bucketed", with_edits(_MERGE_SQL, _LIVE, _BATCH_ALL, _SPEED_ALL))
+def q_merged_bucketed(spark, sf):
+    """Both views as tables bucketed by wiki, merged without an exchange."""
+    batch, speed_counts = _batch_and_speed(spark, sf)
+    out, db = fresh_dir(spark, "serving"), _db()
+    serving.write_bucketed(batch, f"{db}.wiki_edits", f"{out}/wiki_edits", buckets=MERGE_BUCKETS)
+    serving.write_bucketed(speed_counts, f"{db}.speed", f"{out}/speed", buckets=MERGE_BUCKETS)
+    return serving.merged_bucketed(spark, f"{db}.wiki_edits", f"{db}.speed", TOP)
+
+
 @query("merged_view_batch_only", with_edits("""
 SELECT wiki, edits AS edits_merged FROM batch_all ORDER BY edits_merged DESC, wiki ASC LIMIT 10""", _BATCH_ALL))
 def q_merged_view_batch_only(spark, sf):

@@ -16,6 +16,15 @@ MERGED_SCHEMA = StructType([StructField("wiki", StringType(), True),
                             StructField("edits_merged", LongType(), True)])
 
 
+#: of a bucketed view; all views that are merged share it
+BUCKETS = 64
+
+
+def database_location(spark: SparkSession, db: str) -> str:
+    from editlens.session import shared_root
+    return f"{shared_root(spark)}/editlens/warehouse/{db}.db"
+
+
 def register_views(spark: SparkSession, db: str, paths: dict[str, str],
                    location: str | None = None) -> list[str]:
     """CREATE DATABASE; DROP + CREATE one external Parquet table per view.
@@ -23,9 +32,7 @@ def register_views(spark: SparkSession, db: str, paths: dict[str, str],
     The database folder defaults to ``<shared root>/warehouse/<db>.db`` (the
     cluster's shared storage), not the driver's working directory.
     """
-    if location is None:
-        from editlens.session import shared_root
-        location = f"{shared_root(spark)}/editlens/warehouse/{db}.db"
+    location = location or database_location(spark, db)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{location}'")
     names = []
     for name, path in paths.items():
@@ -35,6 +42,26 @@ def register_views(spark: SparkSession, db: str, paths: dict[str, str],
     return names
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str = "wiki", buckets: int = BUCKETS) -> None:
+    """External table of a view with its rows bucketed and sorted by ``key``: later joins on the key
+    need no shuffle. One shuffle here keeps it to a file a bucket."""
+    db = table.split(".")[0]
+    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{database_location(df.sparkSession, db)}'")
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path)
+     .saveAsTable(table))
+
+
+def merged_bucketed(spark: SparkSession, batch_table: str, speed_table: str, n: int | None = DEFAULTS.top_n) -> DataFrame:
+    """Batch and speed view merged bucket by bucket: both tables are bucketed alike by wiki, so
+    the outer join reads each bucket where it lies and exchanges nothing."""
+    return merge.lambda_merge_outer(spark.table(batch_table), spark.table(speed_table), n)
+
+
+def drop_database(spark: SparkSession, db: str) -> None:
+    """Forget a database and its external tables; the views' files stay."""
+    spark.sql(f"DROP DATABASE IF EXISTS `{db}` CASCADE")
+
+
 def table_topn(spark: SparkSession, table: str, n: int = DEFAULTS.top_n,
                key: str = "wiki", value: str = "edits") -> DataFrame:
     """SELECT key, value FROM table ORDER BY value DESC LIMIT n."""
