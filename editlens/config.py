@@ -20,6 +20,9 @@ HOUR_FORMAT = "yyyy-MM-dd HH"
 UNKNOWN_KEY = "unknown"
 DEFAULT_PARTITION_KEY = "default"
 DEFAULT_WIKI = "enwiki"
+# White space around a JSON line: what a plain text strip removes.
+WHITE_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+               "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 # Latency reported for a sentinel that never shows up (ms).
 SENTINEL_TIMEOUT_MS = 60000.0
 # ---------------------------------------------------------------------------

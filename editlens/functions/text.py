@@ -20,6 +20,4 @@ def keyword_tokens(text: Column | str) -> Column:
     Returns ``array<string>`` (NULL for a NULL text, which ``explode``
     treats like an empty array).
     """
-    found = word_matches(text)
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    return F.filter(found, lambda w: ~F.array_contains(stop, w))
+    return F.filter(word_matches(text), lambda w: ~w.isin(*STOP_WORDS))

@@ -218,6 +218,22 @@ def q_raw_inventory(spark, sf):
     return raw_inventory(spark, path).select("bytes")
 
 
+INVENTORY_KEYS = 10
+
+
+@query("raw_inventory_objects", with_edits(f"""
+SELECT count(DISTINCT CAST(arrival_time AS DATE)) AS objects,
+       CAST(sum(octet_length(encode({_PAYLOAD_SQL})) + 1) AS BIGINT) AS bytes,
+       count(DISTINCT CAST(arrival_time AS DATE)) > {INVENTORY_KEYS} AS truncated
+FROM edits"""))
+def q_raw_inventory_objects(spark, sf):
+    """The whole inventory row, of a history of one file a day."""
+    path = fresh_dir(spark, "raw")
+    (edit_events(spark, sf).select(*EVENT_COLS, F.to_date("arrival_time").alias("date"))
+     .repartition("date").write.partitionBy("date").json(path))
+    return raw_inventory(spark, path, INVENTORY_KEYS)
+
+
 def _dirty_jsonl(spark, sf, trailing: bool = False) -> str:
     """Raw lines derived from the events, some damaged: event ids ending in
     07 / 57 are cut in half (unparsable), ids ending in 08 / 58 become blank
@@ -229,6 +245,7 @@ def _dirty_jsonl(spark, sf, trailing: bool = False) -> str:
     dirty = (F.when(eid == 7, F.substring(line, 1, (F.length(line) / 2).cast("int")))
              .when(eid == 8, F.lit("")).otherwise(line))
     if trailing:
+        dirty = F.when(eid == 11, F.concat(F.lit("\t"), line)).when(eid == 12, F.concat(line, F.lit("\x0c "))).otherwise(dirty)
         dirty = (F.when(eid == 9, F.concat(line, F.lit(" xyz")))
                  .when(eid == 10, F.concat(line, line)).otherwise(dirty))
     path = fresh_dir(spark, "dirty-jsonl")
@@ -288,6 +305,35 @@ def q_stream_pane_sliding(spark, sf):
     return _append_windows(spark, _stream(spark, sf), panes=True)
 
 
+@query("stream_restart", _APPEND_SQL)
+def q_stream_restart(spark, sf):
+    """Two runs from one checkpoint: the later half of the events lands after the first run has ended."""
+    ev = edit_events(spark, sf)
+    lo, hi = ev.agg(F.min("event_time"), F.max("event_time")).first()
+    first = F.col("event_time") < F.lit(lo + (hi - lo) / 2)
+    base, out, ck = fresh_dir(spark, "stream-in"), fresh_dir(spark, "speed-out"), fresh_dir(spark, "ckpt")
+    for part in (first, ~first):
+        files = speed.land_in_waves(ev.filter(part), base, waves=2)
+        src = speed.read_events_stream(spark, base, max_files=files)
+        speed.run_to_end(speed.run_speed(src, out, ck, AVAILABLE_NOW))
+    return windows.flatten_window(spark.read.parquet(out))
+
+
+RANGE_SHARE = 3         # the replayed history is about so many ranges
+
+
+@query("speed_history", _APPEND_SQL)
+def q_speed_history(spark, sf):
+    """The windowed job's drain of landed files: written by several tasks in no time order, more files than
+    a micro-batch takes, several ranges."""
+    ev = edit_events(spark, sf)
+    path, out, ck = fresh_dir(spark, "stream-in"), fresh_dir(spark, "speed-out"), fresh_dir(spark, "ckpt")
+    ev.repartition(8, F.xxhash64("id")).write.option("timestampFormat", speed.TS_FORMAT).json(path)
+    src = speed.read_events_stream(spark, path, max_files=3)
+    speed.replay_files(spark, src, out, ck, range_rows=ev.count() // RANGE_SHARE)
+    return windows.flatten_window(spark.read.parquet(out))
+
+
 _SECONDS_SQL = _SLIDING_SQL.replace("event_time", 'make_timestamp("timestamp" * 1000000)')
 
 
@@ -307,7 +353,7 @@ def q_speed_over_raw(spark, sf):
 def q_stream_sliding_complete(spark, sf):
     out, ck = fresh_dir(spark, "speed-complete"), fresh_dir(spark, "ckpt")
     agg = windows.sliding_counts(views.batch_population(_stream(spark, sf)))
-    speed.run_to_end(speed.run_complete(agg, out, ck, AVAILABLE_NOW))
+    speed.run_to_end(speed.run_complete(agg, out, ck, AVAILABLE_NOW, bounded=True))      # the landed files end
     return windows.flatten_window(publish.current(spark, out))
 
 

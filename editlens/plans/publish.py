@@ -36,6 +36,16 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of a small file."""
+    p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def versions(spark: SparkSession, base: str) -> list[int]:
     """Complete versions, oldest first; empty if there is no such folder."""
     p, fs = _fs(spark, base)

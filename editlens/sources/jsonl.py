@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
+from editlens.config import WHITE_SPACE
 from editlens.schema import EVENT_SCHEMA, STRICT_FILE_GLOB
 from editlens.session import ensure_utc
 
@@ -38,7 +39,8 @@ def scan_jsonl(spark: SparkSession, path: str, schema: StructType = EVENT_SCHEMA
 def scan_jsonl_strict(spark: SparkSession, path: str, schema: StructType = EVENT_SCHEMA,
                       recursive: bool = True, glob: str = STRICT_FILE_GLOB) -> DataFrame:
     """Scan that drops blank and unparsable lines, keeping only lines that are
-    exactly one JSON object (no text or second object after it).
+    exactly one JSON object (white space of any kind around it aside, no text or second object
+    after it).
 
     A JSON parser stops at the end of the first value, so each line is parsed once
     as the first element of an array that a marker object ends: the line is one
@@ -50,7 +52,7 @@ def scan_jsonl_strict(spark: SparkSession, path: str, schema: StructType = EVENT
     r = spark.read.option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
-    lines = r.text(path).select(F.trim("value").alias("line"))
+    lines = r.text(path).select(F.btrim("value", F.lit(WHITE_SPACE)).alias("line"))
     marked = ArrayType(StructType(schema.fields + [StructField(LAST, BooleanType(), True)]))
     parsed = lines.filter(F.col("line").startswith("{")).select(
         F.from_json(F.concat(F.lit("["), "line", F.lit(f',{{"{LAST}":true}}]')), marked).alias("a"))

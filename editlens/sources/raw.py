@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from editlens.config import DEFAULTS
 from editlens.schema import EVENT_SCHEMA
 
 PARTS = ("yyyy", "mm", "dd", "HH")
+SMALL_WRITERS = 8       # of a batch that one writer could take: hours in parallel
 CLOCKS = ("event_time", "arrival_time")
 
 
@@ -57,27 +60,50 @@ def land_raw(events: DataFrame, path: str, clock: str = "arrival_time",
     w.json(path)
 
 
+def sink_id(spark: SparkSession, checkpoint: str) -> str:
+    """Identity of a streaming sink, kept in its checkpoint: a query that starts over from an empty
+    checkpoint counts its batches from 0 again and must not replace the old ones."""
+    from editlens.plans import publish
+    path = f"{checkpoint}/sink-id"
+    if not publish.exists(spark, path):
+        publish.write_text(spark, path, uuid.uuid4().hex[:12])
+    return publish.read_text(spark, path).strip()
+
+
+def write_hours(batch: DataFrame, path: str, name: str, clock: str = "arrival_time",
+                columns: tuple[str, ...] | None = None, rows_per_writer: int = DEFAULTS.landed_rows,
+                max_records_per_file: int = DEFAULTS.raw_file_records) -> None:
+    """Write a (persisted) micro-batch as JSON lines under ``yyyy=/mm=/dd=/HH=/batch=<name>``.
+
+    Rows are dealt evenly to as many writers as the batch's rows ask for, so a batch that is all of one
+    hour has that many writers of an equal share; a batch small enough for one writer is dealt
+    by hour. Only the batch's own folders are replaced, if
+    it is run again.
+    """
+    cols = record_columns(batch, columns)
+    writers = max(1, -(-batch.count() // rows_per_writer))
+    rows = batch.select(*cols, *hour_parts(clock), F.lit(name).alias("batch"))
+    rows = rows.repartition(writers) if writers > 1 else rows.repartition(SMALL_WRITERS, *PARTS)
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", int(max_records_per_file)).partitionBy(*PARTS, "batch").json(path))
+
+
 def run_raw_sink(stream: DataFrame, path: str, checkpoint: str, clock: str = "arrival_time",
                  max_records_per_file: int = DEFAULTS.raw_file_records,
                  trigger: dict | None = None, columns: tuple[str, ...] | None = None,
-                 writers_per_hour: int = 1):
-    """Streaming form of the raw sink: JSON lines under ``yyyy=/mm=/dd=/HH=``,
-    committed exactly once per trigger through the file sink's log.
-
-    A trigger's rows are clustered by hour before they are written, so an hour
-    costs ``writers_per_hour`` files and not one per task; raise it where the
-    current hour is too much for one writer.
-    """
-    cols = record_columns(stream, columns)
-    spread = F.pmod(F.xxhash64(*cols), F.lit(max(int(writers_per_hour), 1)))
-    return (stream.select(*cols, *hour_parts(clock))
-            .repartition(*PARTS, spread)
-            .writeStream.format("json").outputMode("append")
-            .partitionBy(*PARTS)
-            .option("path", path).option("checkpointLocation", checkpoint)
-            .option("maxRecordsPerFile", int(max_records_per_file))
-            .trigger(**(trigger or {"processingTime": f"{DEFAULTS.flush_seconds} seconds"}))
-            .start())
+                 rows_per_writer: int = DEFAULTS.landed_rows):
+    """Streaming form of the raw sink, see ``write_hours``: each micro-batch once, whatever is retried."""
+    ident = sink_id(stream.sparkSession, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()
+        try:
+            write_hours(held, path, f"{ident}-{batch_id}", clock, columns, rows_per_writer, max_records_per_file)
+        finally:
+            held.unpersist()
+
+    return (stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+            .trigger(**(trigger or {"processingTime": f"{DEFAULTS.flush_seconds} seconds"})).start())
 
 
 def raw_inventory(spark: SparkSession, path: str, max_keys: int = 5000) -> DataFrame:

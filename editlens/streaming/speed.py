@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from editlens.config import DEFAULTS
 from editlens.functions import group_key, has_wiki, not_bot, should_count
@@ -25,7 +26,7 @@ from editlens.operators import views, windows
 from editlens.plans import publish
 from editlens.schema import EDIT_EVENT, STREAM_PAYLOAD
 from editlens.sources.feed import has_id
-from editlens.sources.raw import PARTS, hour_parts, land_raw, record_columns
+from editlens.sources.raw import land_raw, record_columns, sink_id, write_hours
 from editlens.sources.stream import stream_source, to_log_records
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -127,14 +128,25 @@ def publish_each_batch(spark: SparkSession, out: str):
     return write
 
 
+def is_windowed(df: DataFrame) -> bool:
+    """Some column is a time window."""
+    return any(isinstance(f.dataType, StructType) and f.dataType.names == ["start", "end"] for f in df.schema)
+
+
 def run_complete(stream: DataFrame, out: str | None, checkpoint: str,
-                 trigger: dict | None = None, sink: str = "parquet") -> StreamingQuery:
+                 trigger: dict | None = None, sink: str = "parquet", bounded: bool = False) -> StreamingQuery:
     """Complete-mode aggregate; ``publish.current`` reads the newest version
-    (``sink="console"`` prints it instead, for live demos). The whole result is
-    state and is rewritten per trigger: for bounded keys, not for windows."""
+    (``sink="console"`` prints it instead, for live demos).
+
+    The whole result is state and is rewritten per trigger, so windows, which never stop
+    coming, are refused unless the caller says that the stream is ``bounded``: use
+    ``run_speed`` for them.
+    """
     if sink == "console":
         return start_query(stream, checkpoint, "complete", "console", trigger=trigger,
                            options={"truncate": "false"})
+    if is_windowed(stream) and not bounded:
+        raise ValueError("complete mode keeps and rewrites every window for ever; append them with run_speed")
     return start_query(stream, checkpoint, "complete", trigger=trigger,
                        foreach_batch=publish_each_batch(stream.sparkSession, out))
 
@@ -213,28 +225,27 @@ def run_snapshot(spark: SparkSession, events: DataFrame, snapshot_path: str, che
 
 # ------------------------------------------------------------ dual write etc.
 
-def dual_writer(raw_path: str, log_path: str, clock: str = "arrival_time"):
+def dual_writer(raw_path: str, log_path: str, ident: str = "", clock: str = "arrival_time",
+                rows_per_writer: int = DEFAULTS.landed_rows):
     """foreachBatch: persist the batch once, write whole records to the raw history
-    (JSON by hour) and keyed (key, value) records to the stream log, each under its
-    batch id."""
+    (JSON by hour, an hour spread over writers) and keyed (key, value) records to the stream log, each
+    under its batch id."""
     def write(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()
         try:
-            cols = record_columns(b)
-            (b.select(*cols, *hour_parts(clock)).repartition(*PARTS)
-             .write.mode("overwrite").partitionBy(*PARTS)
-             .json(f"{raw_path}/batch_id={batch_id}"))
-            to_log_records(b, payload_cols=cols).write.mode("overwrite") \
-                .parquet(f"{log_path}/batch_id={batch_id}")
+            write_hours(b, raw_path, f"{ident}-{batch_id}", clock, rows_per_writer=rows_per_writer)
+            to_log_records(b, payload_cols=record_columns(b)).write.mode("overwrite") \
+                .parquet(f"{log_path}/batch_id={ident}-{batch_id}")
         finally:
             b.unpersist()
     return write
 
 
 def run_dual_write(events: DataFrame, raw_path: str, log_path: str, checkpoint: str,
-                   trigger: dict | None = None) -> StreamingQuery:
+                   trigger: dict | None = None, **kw) -> StreamingQuery:
+    ident = sink_id(events.sparkSession, checkpoint)
     return start_query(events, checkpoint, "append", trigger=trigger,
-                       foreach_batch=dual_writer(raw_path, log_path))
+                       foreach_batch=dual_writer(raw_path, log_path, ident, **kw))
 
 
 def dedupe_stream(items: DataFrame, id_col: str = "id", time_col: str | None = None,
@@ -290,19 +301,79 @@ def raw_waves(events: DataFrame, clock: str = "event_time", max_files: int = DEF
     """Filters that cut the events into ranges of whole hours, in time order, of about
     ``max_files`` raw files each (an hour above that is a range). The driver sees a
     row per hour. Events without a time are in the first range."""
-    hour = F.floor(F.unix_micros(clock) / F.lit(3_600_000_000))
-    counts = events.filter(F.col(clock).isNotNull()).groupBy(hour.alias("h")).count().orderBy("h").collect()
-    starts, files = [], 0
-    for r in counts:
-        n = -(-r["count"] // records)
-        if not starts or files + n > max_files:
-            starts.append(r["h"])
-            files = 0
-        files += n
-    if len(starts) < 2:
+    hour = F.floor(F.unix_micros(clock) / F.lit(HOUR_US))
+    counts = events.filter(F.col(clock).isNotNull()).groupBy(hour.alias("h")).count().collect()
+    ranges = hour_ranges([(r["h"], -(-r["count"] // records)) for r in counts], max_files)
+    if len(ranges) < 2:
         return [F.lit(True)]
-    return [(hour < starts[1]) | hour.isNull(), *[(hour >= a) & (hour < b) for a, b in zip(starts[1:], starts[2:])],
-            hour >= starts[-1]]
+    at = lambda h: F.timestamp_micros(F.lit(h * HOUR_US).cast("long"))
+    t = F.col(clock)               # bounds on the raw column, so that they reach the scan
+    return [(t < at(ranges[0][1])) | t.isNull(), *[(t >= at(a)) & (t < at(b)) for a, b in ranges[1:-1]],
+            t >= at(ranges[-1][0])]
+
+
+HOUR_US = 3_600_000_000
+
+
+def hour_ranges(sizes: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
+    """[first hour, hour after the last) of consecutive ranges of at most ``most`` in size (an hour
+    above that is a range)."""
+    out: list[list[int]] = []
+    size = 0
+    for h, n in sorted(sizes):
+        if not out or size + n > most:
+            out.append([h, h + 1])
+            size = 0
+        out[-1][1] = h + 1
+        size += n
+    return [(a, b) for (a, _), (b, _) in zip(out, out[1:])] + [tuple(r) for r in out[-1:]]
+
+
+STAGED = StructType(EDIT_EVENT.fields + [StructField(c, LongType(), True) for c in ("hour", "day")])
+
+
+def replay_files(spark: SparkSession, stream: DataFrame, out: str, checkpoint: str,
+                 range_rows: int = DEFAULTS.max_files * DEFAULTS.landed_rows, **kw) -> int:
+    """Drain a stream of landed files through the windowed job in time order, whatever order
+    the files have; returns the number of ranges.
+
+    A stateless stream first copies what is new to Parquet by day of the event time (a
+    run; files are taken exactly once, a bounded number per micro-batch). The run's hours are then
+    landed range after range, each read from its own days' folders, and the windowed
+    job takes each range as one micro-batch from one checkpoint. So the watermark never passes a row of
+    the run, and state holds the open windows of one range. Rows of a later run that
+    are older than the watermark are late and dropped, as on a live stream. Everything lies under ``checkpoint``; a
+    run that was broken off goes on where it stopped: nothing is staged into it any
+    more, complete ranges are not landed again.
+    """
+    base = f"{checkpoint}/replay"
+    run = 0
+    while publish.exists(spark, f"{base}/run-{run}.done"):
+        run += 1
+    staged = f"{base}/run-{run}"
+    if not publish.exists(spark, f"{staged}.staged"):
+        hour = F.floor(F.unix_micros("event_time") / F.lit(HOUR_US)).cast("long")
+        rows = stream.select(*[f.name for f in EDIT_EVENT.fields], hour.alias("hour"),
+                             F.floor(hour / 24).cast("long").alias("day"))
+
+        def stage(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").partitionBy("day").parquet(f"{staged}/batch={batch_id}")
+
+        run_to_end(start_query(rows, f"{checkpoint}/stage", "append", trigger={"availableNow": True}, foreach_batch=stage))
+        publish.write_text(spark, f"{staged}.staged", "")
+    ranges = []
+    if publish.exists(spark, staged):
+        rows = spark.read.schema(STAGED).parquet(staged).where(F.col("hour").isNotNull())
+        ranges = hour_ranges([(r["hour"], r["count"]) for r in rows.groupBy("hour").count().collect()], range_rows)
+    for k, (lo, hi) in enumerate(ranges):
+        land = f"{base}/ordered/{run}-{k}"
+        if not publish.exists(spark, f"{land}/_SUCCESS"):
+            mine = (F.col("hour") >= lo) & (F.col("hour") < hi) & F.col("day").between(lo // 24, (hi - 1) // 24)
+            rows.where(mine).drop("hour", "day", "batch").write.mode("overwrite").parquet(land)
+        src = stream_source(spark, "parquet", f"{base}/ordered", EDIT_EVENT, {"recursiveFileLookup": "true"})
+        run_to_end(run_speed(src, out, f"{checkpoint}/windows", {"availableNow": True}, **kw))
+    publish.write_text(spark, f"{staged}.done", "")
+    return len(ranges)
 
 
 def replay_raw(spark: SparkSession, events: DataFrame, raw: str, out: str, checkpoint: str, clock: str = "event_time",
@@ -352,7 +423,10 @@ def arguments(argv: list[str]):
 
 
 def main(argv: list[str]) -> None:
-    """spark-submit -m editlens.streaming.speed windowed|snapshot <in> <out> <checkpoint> [options]"""
+    """spark-submit -m editlens.streaming.speed windowed|snapshot <in> <out> <checkpoint> [options]
+
+    With ``--available-now`` the windowed job drains landed files in time order (``replay_files``);
+    run it again for what has landed since."""
     from editlens.session import build_session
 
     a = arguments(argv[1:])
@@ -366,6 +440,11 @@ def main(argv: list[str]) -> None:
     else:
         stream = decode_envelope(stream_source(spark, a.format, None, None, opts))
     trigger = {"availableNow": True} if a.available_now else None
+    if a.mode == "windowed" and a.available_now and a.format in ("json", "parquet"):
+        replay_files(spark, stream, a.out, a.checkpoint, panes=a.panes, watermark=a.watermark, window=a.window,
+                     slide=a.slide, exclude_bots=not a.include_bots)
+        spark.stop()
+        return
     if a.mode == "windowed":
         q = run_speed(stream, a.out, a.checkpoint, trigger, a.panes, a.watermark, a.window, a.slide,
                       not a.include_bots)
