@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from editlens.llm.scratch import Scratch, sized
+from editlens.llm.scratch import Scratch, sized, whole_rows
 
 # words, before lower-casing: the pattern [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ plus A-Z
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -156,8 +156,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents without contamination; all columns of ``docs``."""
+    """Documents without contamination; all columns of ``docs``, of any name. Null and wordless texts
+    stay, repeated rows stay or go together; without items or documents nothing changes."""
     bad = decontaminate(docs, items, id_col, text_col).where("contaminated").select(
-        F.col(id_col).alias("_bad_id"), F.col("_key").alias("_bad_key")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_bad_id")) &
-                     (F.xxhash64(docs[text_col]) == F.col("_bad_key")), "left_anti")
+        F.col(id_col).alias("bad_id"), F.col("_key").alias("bad_key")).distinct()
+    row = F.col("row")
+    return whole_rows(docs).join(bad, row[id_col].eqNullSafe(F.col("bad_id")) &
+                                 (F.xxhash64(row[text_col]) == F.col("bad_key")), "left_anti").select("row.*")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from editlens.llm.scratch import Scratch
+from editlens.llm.scratch import Scratch, whole_rows
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 14
@@ -154,7 +154,8 @@ def decode(counts: np.ndarray | None, model: Model) -> tuple[str, float, bool]:
 
 def predict(text: Column, model: Model) -> Column:
     """struct(lang_pred string, score double, ambiguous boolean) of a text.
-    Null texts and texts without letters give ``und``, score 0, ambiguous."""
+    Null texts and texts without letters give ``und``, score 0, ambiguous; equal texts (repeated
+    rows) equal results; very long texts are read whole, in chunks; at a tie the first language wins."""
     buckets = model.weights.shape[0]
 
     @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
@@ -166,6 +167,19 @@ def predict(text: Column, model: Model) -> Column:
     return run(text)
 
 
+def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
+    """Documents whose language is clear: neither ``und`` nor ambiguous; all columns of ``docs``, of any
+    name. Learns from the labelled documents of ``docs`` that are not held out. Null texts and texts
+    without letters go, repeated rows stay or go together, very long texts count as a whole; an empty
+    table stays empty. Documents without any label to learn from are an error, as all would go.
+    """
+    model = train(docs.where(~held_out(F.col(id_col))), text_col, label_col)
+    if not model.languages and not docs.isEmpty():
+        raise ValueError(f"no document with a value in {label_col!r} to learn a language from")
+    rows = whole_rows(docs).withColumn("known", predict(F.col("row")[text_col], model))
+    return rows.where(~F.col("known.ambiguous")).select("row.*")
+
+
 def held_out(id_col: Column) -> Column:
     """True for rows that training never sees."""
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string")), F.lit(4)) == 2, F.lit(False))

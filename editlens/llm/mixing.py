@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from editlens.llm.ranking import bucket_count, number_all, number_in_groups
-from editlens.llm.scratch import Scratch
+from editlens.llm.scratch import Scratch, whole_rows
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -140,11 +140,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Documents of the mix, each as often as it is taken; all columns of ``docs``."""
+    """Documents of the mix, each as often as it is taken; all columns of ``docs``, of any name.
+
+    Rows that repeat in id, text and source are taken equally often. Null and blank texts weigh
+    nothing and are taken as often as their source's rate says; an empty table gives none.
+    """
     take = mix(docs, id_col, text_col, source_col).where("copies > 0").select(
-        F.col(id_col).alias("_mix_id"), F.col("_key").alias("_mix_key"), F.col("_source").alias("_mix_source"),
-        F.col("copies").alias("_mix_copies")).distinct()
-    same = (docs[id_col].eqNullSafe(F.col("_mix_id")) & (F.xxhash64(docs[text_col]) == F.col("_mix_key")) &
-            docs[source_col].eqNullSafe(F.col("_mix_source")))
-    joined = docs.join(take, same).withColumn("_mix_n", F.explode(F.array_repeat(F.lit(0), F.col("_mix_copies"))))
-    return joined.drop("_mix_id", "_mix_key", "_mix_source", "_mix_copies", "_mix_n")
+        F.col(id_col).alias("id"), "_key", F.col("_source").alias("from"), "copies").distinct()
+    row = F.col("row")
+    same = (row[id_col].eqNullSafe(F.col("id")) & (F.xxhash64(row[text_col]) == F.col("_key")) &
+            row[source_col].cast("string").eqNullSafe(F.col("from")))
+    joined = whole_rows(docs).join(take, same)
+    return joined.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")

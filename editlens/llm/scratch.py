@@ -47,6 +47,12 @@ class Scratch:
         fs.delete(path, True)
 
 
+def whole_rows(df: DataFrame) -> DataFrame:
+    """One struct column ``row`` with all columns of ``df``: whatever their names are, none can meet a
+    column that is added beside. ``select("row.*")`` gives them back."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
 def sized(df: DataFrame, row_bytes: int | str) -> tuple[DataFrame, bool]:
     """``df`` hinted for broadcast if its measured size is at most
     ``BROADCAST_BYTES``, else unchanged (the join then shuffles). ``row_bytes``

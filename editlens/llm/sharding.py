@@ -49,7 +49,11 @@ def _position(dim_values: list[Column], dim: Column, low: Column, width: Column)
 
 
 def _table(df: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))   # at most one row per node
+    """Literal rows, at most one per node."""
+    fields = [f.split() for f in schema.split(", ")]
+    literals = [F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(r, fields)]) for r in rows]
+    one = df.sparkSession.range(1).select(F.explode(F.array(*literals)).alias("r"))
+    return F.broadcast(one.select("r.*"))
 
 
 def kd_splits(rows: DataFrame, dims: list[str], shards: int) -> tuple[list[list[Split]], dict[int, int]]:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editlens.llm.graph import components
-from editlens.llm.scratch import Scratch
+from editlens.llm.scratch import Scratch, whole_rows
 
 MAX_BITS = 2
 SEGMENTS = ((0, 22), (22, 21), (43, 21))      # (shift, bits)
@@ -181,19 +181,21 @@ def hex_fingerprint(col: str = "fp"):
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, that with the smallest id; all columns
-    of ``docs``. Where rows share that id, one of them (least by text hash)
-    stays; a component without ids keeps one row likewise."""
+    of ``docs``, of any name. Where rows share that id, one of them (least by text hash)
+    stays; a component without ids keeps one row likewise. Null, empty and wordless texts
+    are one component; an empty table gives none."""
     scratch = Scratch(docs.sparkSession, "keep")
-    held = docs.withColumn("_key", F.xxhash64(F.col(text_col)))
-    groups = near_duplicates(held.select(F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"),
-                                                  F.col("_key").alias("k")).alias("_row"),
-                                         F.col(text_col).alias("_t")), "_row", "_t")
+    row = F.col("row")
+    held = whole_rows(docs).withColumn("key", F.xxhash64(row[text_col]))
+    groups = near_duplicates(held.select(F.struct(row[id_col].isNull().alias("n"), row[id_col].alias("i"),
+                                                  F.col("key").alias("k")).alias("_row"),
+                                         row[text_col].alias("_t")), "_row", "_t")
     keep = scratch.table(groups.where(F.col("_row") == F.col("component_id")).groupBy("_row")
-                         .agg(F.count(F.lit(1)).alias("_many")).select(
-        F.col("_row.i").alias("_keep_id"), F.col("_row.k").alias("_keep_key"), "_many"), "keep")
-    kept = held.join(keep, F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.col("_key") == F.col("_keep_key")))
-    if keep.where("_many > 1").isEmpty():
-        return kept.select(*docs.columns)
-    once = kept.where("_many = 1").select(*docs.columns)
-    repeated = kept.where("_many > 1").dropDuplicates(["_keep_id", "_keep_key"]).select(*docs.columns)
-    return once.union(repeated)
+                         .agg(F.count(F.lit(1)).alias("many")).select(
+        F.col("_row.i").alias("keep_id"), F.col("_row.k").alias("keep_key"), "many"), "keep")
+    kept = held.join(keep, row[id_col].eqNullSafe(F.col("keep_id")) & (F.col("key") == F.col("keep_key")))
+    if keep.where("many > 1").isEmpty():
+        return kept.select("row.*")
+    once = kept.where("many = 1").select("row")
+    repeated = kept.where("many > 1").dropDuplicates(["keep_id", "keep_key"]).select("row")
+    return once.union(repeated).select("row.*")

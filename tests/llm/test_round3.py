@@ -244,3 +244,45 @@ def test_prior_is_the_share_of_good_texts(spark):
     assert model.prior == pytest.approx(0.6, abs=0.05)
     f = quality.basis(x[n:], model.grid) @ model.weights
     assert np.mean((f > 0) == ~bad) > 0.95
+
+
+# ------------------------------------------------------------------ pipeline stages and columns of any name
+
+STAGE_NAMES = ["_lang_id", "_mix_n", "_mix_id", "_key", "_many", "_bad_id", "row", "id", "from", "copies", "known", "key",
+               "keep_id", "bad_key", "many", "a.b", "_row", "fp", "component_id", "col"]
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_stage_keeps_columns_of_any_name(spark, stage):
+    import corpus_pipeline
+    name, run = corpus_pipeline.STAGES[stage]
+    words = [f"{a}{b}" for a in ("lor", "ip", "do", "sit", "am", "con") for b in ("em", "sum", "lor", "et", "sec")]
+    rows = [(i, prose(40, words), "en" if i % 2 else "de", f"s{i % 3}") for i in range(60)]
+    rows += [(100 + i, rows[0][1], "en", "s0") for i in range(20)] + [(200, None, None, None), (None, "x y z", None, "s1"),
+                                                                     (3, rows[3][1], "en", "s0"), (3, rows[3][1], "en", "s0")]
+    plain = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    odd = plain.withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) for c in STAGE_NAMES})
+    got = run(spark, odd.repartition(3), SF_SMALL)
+    assert got.columns == odd.columns
+    want = run(spark, plain.repartition(3), SF_SMALL)
+    back = got.collect()
+    assert sorted(map(repr, (tuple(r)[:4] for r in back))) == sorted(map(repr, map(tuple, want.collect()))) and back
+    assert all(r[c] == c + ("" if r.doc_id is None else str(r.doc_id)) for r in back for c in STAGE_NAMES)
+    assert run(spark, odd.where("false"), SF_SMALL).collect() == []
+
+
+def test_language_stage_needs_labels(spark):
+    import corpus_pipeline
+    docs = spark.createDataFrame([(1, "some text", None, "s")], "doc_id bigint, text string, lang string, source string")
+    with pytest.raises(ValueError):
+        corpus_pipeline.language_id(spark, docs, SF_SMALL)
+
+
+def test_op6_bytes_are_near_equal(spark):
+    """Every shard within the slack of its cuts and one text of the mean."""
+    got = E.queries()["op6_sharding"](spark, SF_MID).collect()
+    size = {}
+    for r in got:
+        size[r.shard] = size.get(r.shard, 0) + r.size
+    mean, longest = sum(size.values()) / 16, max(r.size for r in got)
+    assert len(size) == 16 and max(abs(s - mean) for s in size.values()) <= longest + 4 * mean / 64
