@@ -12,7 +12,6 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 from editlens.llm import decontam, langid, mixing, sharding, simhash  # noqa: E402
 from editlens.llm.scratch import Scratch  # noqa: E402
@@ -20,29 +19,33 @@ from editlens.llm.scratch import Scratch  # noqa: E402
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a clear language: not ``und``, not ambiguous. Learns
-    from the labelled documents of its own input that are not held out."""
-    model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
-    known = docs.withColumn("_lang_id", langid.predict(F.col("text"), model))
-    return known.where(~F.col("_lang_id.ambiguous")).drop("_lang_id")
+    from the labelled documents of its own input that are not held out. Null and letterless texts
+    go; repeated rows stay or go together; an empty table stays empty, documents without any label are
+    an error. Columns of any name pass through, here and in the stages below."""
+    return langid.keep_known(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component one document stays: the one with the smallest id."""
+    """Of each component one document stays: the one with the smallest id. Null and wordless texts
+    are one component; of rows that repeat an id one stays."""
     return simhash.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go."""
+    """Contaminated documents go. Null and wordless texts are clean; repeated rows stay or go together;
+    an empty benchmark removes nothing."""
     return decontam.clean(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it: 0 to 2 times. Null sources are one source; null and
+    blank texts weigh nothing; repeated rows are taken equally often; an empty table gives none."""
     return mixing.apply_mix(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of each document of the mix."""
+    """Shard and slot of each document of the mix: one row per row, repeated rows and null ids
+    included. Equal texts share a place up to the slack at a cut; an empty table gives none."""
     return sharding.shard(docs)
 
 
