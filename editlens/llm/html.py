@@ -36,16 +36,19 @@ FURNITURE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising adsense adslot adbox banner banners sponsor "
     "sponsored promo promos promotion sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs "
     "masthead topbar footer cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe "
-    "subscription signup login share sharing social related recommended recommendations comment comments disqus "
-    "respond reply replies widget widgets toolbar pagination pager search skip skiplink paywall".split())
+    "subscription signup login share sharing social related recommended recommendations comment comments commentlist "
+    "commentform disqus respond reply replies widget widgets toolbar pagination pager search skip skiplink paywall".split())
 HEADER_NAMES = frozenset("header pageheader siteheader".split())       # furniture unless inside the article
-COMMENT_NAMES = frozenset("comment comments disqus respond reply replies".split())
+COMMENT_NAMES = frozenset("comment comments commentlist commentform disqus respond reply replies".split())
 # parts that make a compound with a furniture name: ad-slot, comment-list, left-sidebar
 AFFIXES = frozenset("area bar block body bottom box btn button buttons container form group holder icons inner item "
                     "items left link links list main mobile outer panel post posts primary right secondary section site "
                     "slot sticky top unit wrap wrapper".split())
+# the same inside an article or main, where only whole names count: reader-comments, google-ads, sponsored-content
+AFFIXES_INSIDE = AFFIXES | frozenset("content dfp google inline label leaderboard mpu native reader readers rectangle "
+                                     "thread user users".split())
 # inside an article or main the scores of its own words and tags say whether such an element stays
-WEAK_NAMES = frozenset("related recommended recommendations social search share sharing reply replies notice notices "
+WEAK_NAMES = frozenset("related recommended recommendations social search share sharing reply replies "
                        "widget widgets".split())
 TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p".split())                   # their ids are anchors, made from headings
 HEAD_TAGS = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
@@ -63,14 +66,17 @@ CLOSES_P = BLOCKS - {"html", "body", "legend", "option", "optgroup", "title", "t
 SAME = {"li": ("li", "ul ol menu dir"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
         "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
 
+# a quote delimits a value only right after "="; "<!-->" is a whole comment, "--!>" ends one
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)>"
     r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.S)
-ATTR = re.compile(r"([a-zA-Z_:][-a-zA-Z0-9_:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+ATTR = re.compile(r"([a-zA-Z_:][-a-zA-Z0-9_:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 FURNITURE_SCORE = -4.0
 MAX_SCORE = 4.0
+LINK_SCORE = -0.1        # words of links do not carry a run, whatever the labelled pages say
+SHORT = 6                # words of a line at the edge of an article-less region that may be a menu or imprint
 
 
 @dataclass
@@ -102,7 +108,8 @@ class Page:
 
 
 def _parts(token: str) -> list[str]:
-    return [p for p in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()) if p]
+    token = re.sub(r"([a-z])([A-Z])", r"\1 \2", re.sub(r"[0-9]+x[0-9]+", " ", token))        # ad-300x250
+    return [p for p in re.split(r"[^a-z]+", token.lower()) if p]
 
 
 def _mark(tag: str, attrs: str, inside: bool) -> tuple[int, bool]:
@@ -125,7 +132,7 @@ def _mark(tag: str, attrs: str, inside: bool) -> tuple[int, bool]:
     for token in classes + ([] if tag in TEXT_TAGS else a.get("id", "").split()):
         parts = set(_parts(token))
         names = parts & known
-        whole = parts <= known | AFFIXES
+        whole = parts <= known | (AFFIXES_INSIDE if inside else AFFIXES)
         anchor = section and token not in classes
         if not names or not whole and (inside or anchor) or inside and anchor and not names <= COMMENT_NAMES - WEAK_NAMES:
             continue
@@ -213,7 +220,7 @@ def _parse(source: str | None, wrappers: frozenset[int], dropped: frozenset[int]
         n = len(text.split())
         e = page.elements[element]
         if n:
-            page.tokens.append((("-" if e.furniture else "+") + e.tag, element, n))
+            page.tokens.append((("-" if e.furniture else "+") + ("a" if _linked(page, element) else e.tag), element, n))
         if e.furniture and not page.elements[begun[0]].furniture:
             return                        # an inline piece of furniture inside a block
         parts.append(text)
@@ -293,6 +300,15 @@ def _parse(source: str | None, wrappers: frozenset[int], dropped: frozenset[int]
     return page
 
 
+def _linked(page: Page, element: int) -> bool:
+    """Inside a link of its block."""
+    while element > 0 and page.elements[element].tag not in BLOCKS:
+        if page.elements[element].tag == "a":
+            return True
+        element = page.elements[element].parent
+    return False
+
+
 def _block_of(stack: list[int], page: Page) -> int:
     return next((i for i in reversed(stack) if page.elements[i].tag in BLOCKS), 0)
 
@@ -343,7 +359,7 @@ def learn(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
             for t in b.column(0):
                 for (feature, inside), n in label_counts(parse(t.as_py())).items():
                     word, tag = feature[0] in "+-", feature.lstrip("+-/")
-                    known = tag in BLOCKS or tag in VOID or tag in SKIPPED
+                    known = tag in BLOCKS or tag in VOID or tag in SKIPPED or word and tag == "a"
                     total[(feature[0] if word or feature[0] == "/" else "") + (tag if known else "inline"), inside] += n
         if total:
             yield pa.RecordBatch.from_arrays(
@@ -357,7 +373,9 @@ def learn(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
     out = {}
     for f in {f for f, _ in count}:
         odds = math.log((count.get((f, True), 0) + 0.5) / whole[True]) - math.log((count.get((f, False), 0) + 0.5) / whole[False])
-        if f[0] == "+":
+        if f == "+a":                                      # a menu without any name is links all over
+            out[f] = min(max(odds, -MAX_SCORE), LINK_SCORE)
+        elif f[0] == "+":
             out[f] = min(max(odds, 0.1), MAX_SCORE)
         elif f[0] == "-":
             out[f] = min(odds, FURNITURE_SCORE)
@@ -368,9 +386,9 @@ def learn(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
 
 def score(feature: str, n: int, weights: dict[str, float]) -> float:
     word, tag = feature[0] in "+-", feature.lstrip("+-/")
-    known = tag in BLOCKS or tag in VOID or tag in SKIPPED
+    known = tag in BLOCKS or tag in VOID or tag in SKIPPED or word and tag == "a"
     name = (feature[0] if word or feature[0] == "/" else "") + (tag if known else "inline")
-    default = 0.5 if feature[0] == "+" else FURNITURE_SCORE if feature[0] == "-" else -0.3
+    default = LINK_SCORE if feature == "+a" else 0.5 if feature[0] == "+" else FURNITURE_SCORE if feature[0] == "-" else -0.3
     return weights.get(name, default) * n
 
 
@@ -397,6 +415,8 @@ def extract(source: str | None, weights: dict[str, float]) -> str:
         page = _parse(source, page.wrappers - again)
     chain = _common(page, lo, hi)
     section = next((e for e in chain if page.elements[e].tag in SECTIONS), None)
+    if section is None:
+        section = _only_section(page)
     if section is None:
         lo, hi = _widened(page, lo, hi, set(chain), weights)
         chain = _common(page, lo, hi)
@@ -412,9 +432,19 @@ def extract(source: str | None, weights: dict[str, float]) -> str:
     return " ".join(b.text for b in blocks if not b.furniture)
 
 
+def _only_section(page: Page) -> int | None:
+    """The page's one outermost article or main that is no furniture and has words: the region even where
+    the run also takes in, or prefers, readers' comments or a menu beside it."""
+    tops = [i for i, e in enumerate(page.elements)
+            if e.tag in SECTIONS and not e.furniture and not page.elements[e.parent].in_section]
+    if len(tops) != 1 or not any(f[0] == "+" and tops[0] in _chain(page, e) for f, e, _ in page.tokens):
+        return None
+    return tops[0]
+
+
 def _common(page: Page, lo: int, hi: int) -> list[int]:
     """Elements that hold all words of the run, the innermost first."""
-    words = {e for f, e, _ in page.tokens[lo:hi] if f[0] == "+"}
+    words = {e for f, e, _ in page.tokens[lo:hi] if f[0] == "+"} or {page.tokens[lo][1]}
     common = set.intersection(*(set(_chain(page, e)) for e in words))
     return sorted(common, reverse=True)                  # numbers grow downwards
 
@@ -479,9 +509,21 @@ def _neighbours(page: Page, lo: int, hi: int) -> list[Block]:
         first -= 1
     while last + 1 < len(page.blocks) and not page.blocks[last + 1].furniture:
         last += 1
+    while first < last and _edge(page, page.blocks[first]):
+        first += 1
+    while last > first and _edge(page, page.blocks[last]):
+        last -= 1
     return page.blocks[first:last + 1]
 
 
+def _edge(page: Page, block: Block) -> bool:
+    """A short line that is no heading, paragraph or sentence: at the edge of a page without any
+    section it is a menu or an imprint."""
+    words = block.text.split()
+    text = any(page.elements[e].tag in TEXT_TAGS for e in _chain(page, block.element))
+    return not text and len(words) < SHORT and not block.text.endswith((".", "!", "?", ":", ";", "…", '"', "”", "。"))
+
+
 def main_text(html_col: Column, weights: dict[str, float]) -> Column:
     """Main text of each page. A null page is an empty one."""
     @F.pandas_udf("string")

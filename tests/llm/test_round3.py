@@ -286,3 +286,55 @@ def test_op6_bytes_are_near_equal(spark):
         size[r.shard] = size.get(r.shard, 0) + r.size
     mean, longest = sum(size.values()) / 16, max(r.size for r in got)
     assert len(size) == 16 and max(abs(s - mean) for s in size.values()) <= longest + 4 * mean / 64
+
+
+# ------------------------------------------------------------------ pages of other shapes
+
+STORY = "<p>Words of the story go on and on here, with a sentence that is long enough.</p>"
+STORY_TEXT = "Words of the story go on and on here, with a sentence that is long enough."
+PAGES = {
+    "comments beside the article": (
+        f"<body><article><h1>T</h1>{STORY}</article><section class=discussion><h2>Talk</h2>"
+        + "<p>I do not agree with any of this at all.</p>" * 20 + "</section></body>", f"T {STORY_TEXT}"),
+    "comments, adverts and a notice inside it": (
+        f"<body><article><h1>T</h1>{STORY}<div class=reader-comments><p>nice one.</p></div><ol class=commentlist><li>hello</li></ol>"
+        "<div class=ad-300x250>buy now</div><div class=google-ads>buy</div><div class=sponsored-content>paid</div>"
+        f"<div class=notice>we use cookies</div>{STORY}</article></body>", f"T {STORY_TEXT} {STORY_TEXT}"),
+    "a section named discussion": (
+        f"<body><article>{STORY}<section class=discussion id=discussion><h2>Discussion</h2>{STORY}</section></article></body>",
+        f"{STORY_TEXT} Discussion {STORY_TEXT}"),
+    "a quote in an unquoted value": (f"<body><article><p>one <a href=it's>link</a> two</p>{STORY}</article><p>it's</p></body>",
+                                     f"one link two {STORY_TEXT}"),
+    "quotes around an angle": ('<body><article><p title="a > b" data-x=\'c > d\'>text</p></article></body>', "text"),
+    "empty and odd comments": (f"<body><article><!-->{STORY}<!-- x --!><p>after</p><!---><p>end</p></article></body>",
+                               f"{STORY_TEXT} after end"),
+    "a long menu before a short article": (
+        "<body><div>" + "<a href=x>Menu entry</a> " * 200 + "</div><article><h1>T</h1><p>Short story.</p></article></body>",
+        "T Short story."),
+    "no article, unmarked menu and imprint": (
+        f"<body><div><a href=/>Home</a> <a href=/a>About</a></div><h1>Title</h1>{STORY * 4}<div>All rights reserved</div></body>",
+        " ".join(["Title"] + [STORY_TEXT] * 4)),
+}
+
+
+@pytest.fixture(scope="module")
+def page_scores(spark):
+    from editlens.llm import html
+    return html.learn(spark.read.parquet(f"{SF_SMALL}/pages.parquet"))
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_page_shapes(page_scores, name):
+    from editlens.llm import html
+    source, want = PAGES[name]
+    assert html.extract(source, page_scores) == want
+
+
+def test_unclosed_tags_are_read_in_linear_time(page_scores):
+    import time
+
+    from editlens.llm import html
+    start = time.time()
+    html.extract("<article><p " + "a=\"x' b='y\" " * 20_000, page_scores)
+    html.extract("<article><p>" + "<a href='x" * 5_000, page_scores)
+    assert time.time() - start < 20
