@@ -9,9 +9,10 @@ integer carries that number too, and unpacking checks it against the field width
 so no field can have run into its neighbour.
 
 Distribution: one pass over the texts writes a narrow row per document (id, part,
-digest, mask). Repeated texts are found by an aggregation over digests; only digests
-that occur under several ids are joined back. Masks are counted per part with map-side
-combination, so at most 128 short rows a part reach the task that sums its integers.
+digest, mask). Copies collapse by digest, part and labels before the smallest id of a
+digest is joined back, so a text that fills a third of the rows is a few rows there. Masks
+are counted per part with map-side combination, so at most 128 short rows a part reach the
+task that sums its integers.
 """
 
 from __future__ import annotations
