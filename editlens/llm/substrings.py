@@ -1,64 +1,92 @@
 """Substring dedup: passages that an earlier document already has are removed.
 
 A word goes if some window of ``WINDOW`` words covering it also starts in a
-document with a smaller id. Three steps, none of which sees all windows at once:
+document with a smaller id. Four steps, none of which sees all windows at once:
 
 1. Phrases. In every window the least of its ``PHRASE``-word phrases by hash
    stands for it (a minimizer), so equal windows have equal phrases and only about
    two positions in nine are a phrase. A phrase found in two documents recurs; runs
    of windows with a recurring phrase are cut out as short pieces (at most 20 words).
-2. Automata. The distinct pieces are dealt over shards by their phrase. For each
-   phrase its shard confirms the windows that really recur among the pieces, compiles
-   them into an Aho-Corasick automaton over word numbers, and streams the pieces
-   through it: that locates every occurrence and the first document that has it. Equal
-   windows have the same phrase, so an automaton needs the windows of one phrase
-   only and stays small. Word sequences are compared, not hashes. A phrase with more
-   than ``CROWD`` distinct pieces (a common line in many contexts) is too much for
-   one automaton; its windows are grouped one by one instead.
-3. Cover. Each document gathers the windows found in an earlier document and
+   Equal pieces are one piece with the smallest and largest id that has it.
+2. Confirmed passages. A group-by over the pieces' window digests finds the
+   windows that two documents have, and for each the piece of its first document:
+   that piece owns it.
+3. Automata. Pieces are dealt by their phrase. Each phrase's owned windows are compiled into an
+   Aho-Corasick automaton over word numbers, and every piece of the phrase is streamed through it: the
+   automaton says which of a piece's windows recur, by their words, and which document was first.
+   A phrase with over ``GROUP`` pieces is dealt over several automata by window
+   digest, a piece going to those of its windows; an automaton with over ``STREAM`` pieces to read is
+   compiled by several tasks that share them.
+4. Cover. Each document gathers the windows found in an earlier document and
    drops the words they cover.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from editlens.llm.scratch import Scratch
+from editlens.llm.scratch import Scratch, sized
 
 WINDOW = 13
 PHRASE = 6
 REACH = WINDOW - PHRASE + 1     # phrases in a window; also the longest run of one phrase
-CROWD = 256
-SHARD_PIECES = 20_000
-CHUNK = 1 << 16
+GROUP = 256                     # pieces of a phrase per automaton, about
+STREAM = 4096                   # pieces that one task streams through an automaton, about
+PORTION_ROWS = 256
+PORTION_BYTES = 1 << 21
 
 
-def runs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(phrase hashes, at * 16 + n): the windows at .. at + n - 1 share a phrase."""
-    n = len(words)
+def runs(docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(phrase hashes, at * 16 + n, runs of each document): the windows at .. at + n - 1 of a
+    document share a phrase."""
+    sizes = np.array([len(d) for d in docs], np.int64)
+    n = int(sizes.sum())
     if n < WINDOW:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
-    g = h[:n - PHRASE + 1].copy()
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(docs), np.int64)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(docs)), np.uint64, n)
+    least = h[:n - PHRASE + 1].copy()
     for j in range(1, PHRASE):
-        g = g * np.uint64(0x9E3779B97F4A7C15) + h[j:n - PHRASE + 1 + j]
-        g ^= g >> np.uint64(31)
-    least = np.empty(n - WINDOW + 1, np.int64)
-    for lo in range(0, len(least), CHUNK):
-        part = np.lib.stride_tricks.sliding_window_view(g[lo:lo + CHUNK + REACH - 1], REACH)
-        k = min(CHUNK, len(least) - lo)
-        least[lo:lo + k] = part[:k].argmin(axis=1) + np.arange(lo, lo + k)
-    at = np.concatenate([[0], np.nonzero(np.diff(least))[0] + 1])
-    length = np.diff(np.append(at, len(least)))
-    return g[least[at]].view(np.int64), at * 16 + length
+        least = least * np.uint64(0x9E3779B97F4A7C15) + h[j:n - PHRASE + 1 + j]
+        least ^= least >> np.uint64(31)
+    width = 1
+    while width < REACH:
+        step = min(width, REACH - width)
+        least = np.minimum(least[:-step], least[step:])
+        width += step
+    doc = np.repeat(np.arange(len(docs)), sizes)
+    pos = np.arange(n) - (np.cumsum(sizes) - sizes)[doc]
+    at = np.nonzero((pos + WINDOW <= sizes[doc])[:len(least)])[0]
+    if not len(at):
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(docs), np.int64)
+    least = least[at]
+    new = np.append(True, (least[1:] != least[:-1]) | (np.diff(at) != 1))
+    place = np.arange(len(at))
+    new |= (place - np.maximum.accumulate(np.where(new, place, 0))) % REACH == 0     # repeated phrases
+    first = np.nonzero(new)[0]
+    length = np.diff(np.append(first, len(at)))
+    return (least[first].view(np.int64), pos[at[first]] * 16 + length,
+            np.bincount(doc[at[first]], minlength=len(docs)))
+
+
+def portions(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with few rows and few bytes of text; a longer text is one of its own."""
+    sizes = [0 if not t.is_valid else len(t.as_buffer()) for t in batch.column(text)]
+    lo = held = 0
+    for i, size in enumerate(sizes):
+        if i > lo and (i - lo == PORTION_ROWS or held + size > PORTION_BYTES):
+            yield batch.slice(lo, i - lo)
+            lo, held = i, 0
+        held += size
+    if batch.num_rows > lo:
+        yield batch.slice(lo)
 
 
 def _split(text: str | None) -> list[bytes]:
@@ -69,12 +97,10 @@ def _phrases(rows: DataFrame) -> DataFrame:
     """(_id, _key, runs array<struct<seed, at>>) of each document with an id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                found = [runs(_split(t.as_py())) for t in part.column(2)]
-                ends = np.cumsum([0] + [len(f[0]) for f in found]).astype(np.int32)
-                item = pa.StructArray.from_arrays(
-                    [pa.array(np.concatenate([f[k] for f in found])) for k in (0, 1)], ["seed", "at"])
+            for part in portions(b, 2):
+                seed, at, counts = runs([_split(t.as_py()) for t in part.column(2)])
+                ends = np.append(0, np.cumsum(counts)).astype(np.int32)
+                item = pa.StructArray.from_arrays([pa.array(seed), pa.array(at)], ["seed", "at"])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.ListArray.from_arrays(pa.array(ends), item)],
                     ["_id", "_key", "runs"])
@@ -87,87 +113,147 @@ def _pieces(docs: DataFrame) -> DataFrame:
     """(_doc, _id, at, seed, p1, p2, piece) from documents with their recurring runs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i in range(b.num_rows):
-                words = _split(b.column(2)[i].as_py())
-                hits = b.column(3)[i].values
-                at = hits.field(1).to_numpy(zero_copy_only=False)
-                text = [b" ".join(words[a:a + n + WINDOW - 1]) for a, n in zip((at >> 4).tolist(), (at & 15).tolist())]
-                wide = [xxhash.xxh3_128_intdigest(t) for t in text]
-                m = len(text)
-                names = np.array([(w >> 64, w & (2**64 - 1)) for w in wide], np.uint64).reshape(-1, 2)
-                names = names.view(np.int64)
+            for part in portions(b, 2):
+                text: list[bytes] = []
+                hits = part.column(3).flatten()
+                at = hits.field(1)
+                sizes = np.diff(part.column(3).offsets.to_numpy())
+                flat, lo = at.to_numpy(zero_copy_only=False), 0
+                for i, size in enumerate(sizes.tolist()):
+                    words = _split(part.column(2)[i].as_py())
+                    mine = flat[lo:lo + size]
+                    text += [b" ".join(words[a:a + n + WINDOW - 1])
+                             for a, n in zip((mine >> 4).tolist(), (mine & 15).tolist())]
+                    lo += size
+                names = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, text)), np.int64).reshape(-1, 2)
+                of = pa.array(np.repeat(np.arange(part.num_rows), sizes))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(m, b.column(0)[i].as_py())),
-                     pa.array([b.column(1)[i].as_py()] * m, b.schema.field(1).type),
-                     pa.array(at), hits.field(0), pa.array(names[:, 0].copy()), pa.array(names[:, 1].copy()),
-                     pa.array([t.decode("utf-8") for t in text], pa.string())],
+                    [part.column(0).take(of), part.column(1).take(of), at, hits.field(0),
+                     pa.array(names[:, 0].copy()), pa.array(names[:, 1].copy()),
+                     pa.array(text, pa.binary()).cast(pa.string())],
                     ["_doc", "_id", "at", "seed", "p1", "p2", "piece"])
 
     kind = docs.schema["_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"_doc bigint, _id {kind}, at bigint, seed bigint, p1 bigint, p2 bigint, piece string")
 
 
-def locate(pieces: list[str], low: list, high: list) -> list[list[tuple[int, object]]]:
-    """For each piece of one phrase the windows that recur: (offset in words,
-    smallest id that has it). ``low`` and ``high`` are the smallest and largest ids of
-    a piece."""
-    number: dict[str, int] = {}
-    seqs = [tuple(number.setdefault(w, len(number)) for w in p.split(" ")) for p in pieces]
-    seen: dict[tuple, tuple] = {}
-    for s, lo, hi in zip(seqs, low, high):
-        for k in range(len(s) - WINDOW + 1):
-            w = s[k:k + WINDOW]
-            old = seen.get(w)
-            seen[w] = (lo, hi) if old is None else (min(lo, old[0]), max(hi, old[1]))
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for w, (lo, hi) in seen.items():
-        if lo < hi:                              # confirmed: two documents have it
-            automaton.add_word(w, lo)
-    if not len(automaton):
-        return [[] for _ in pieces]
-    automaton.make_automaton()
-    return [[(end - WINDOW + 1, lo) for end, lo in automaton.iter(s)] for s in seqs]
+class Recurring:
+    """Automaton over the confirmed windows of one phrase, or of its share of them."""
+
+    def __init__(self, owned: list[tuple[str, int, object]]):
+        """``owned``: (piece, bits of the windows it owns, id of their first document)."""
+        self.number: dict[str, int] = {}
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for piece, bits, low in owned:
+            seq = tuple([self.number.setdefault(w, len(self.number) + 1) for w in piece.split(" ")])
+            for k in range(len(seq) - WINDOW + 1):
+                if bits >> k & 1:
+                    self.automaton.add_word(seq[k:k + WINDOW], low)
+        self.automaton.make_automaton()
+
+    def locate(self, piece: str) -> list[tuple[int, object]]:
+        """Windows of ``piece`` that recur: (offset in words, id of their first document)."""
+        get = self.number.get
+        seq = tuple([get(w, 0) for w in piece.split(" ")])
+        return [(end - WINDOW + 1, low) for end, low in self.automaton.iter(seq)]
+
+
+def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (seed, part, salt, bits, reads, p1, p2, piece, low) sorted by (seed, part, salt), owners (bits not 0)
+    first: compiles each group's automaton and streams the pieces to read through it. Holds the
+    owners of one group."""
+    key = automaton = None
+    owned: list[tuple] = []
+    waiting: list[tuple] = []
+    out: list[tuple] = []
+    kind = None
+
+    def read(p1: int, p2: int, piece: str) -> None:
+        found = automaton.locate(piece)
+        if found:
+            out.append((p1, p2, found))
+
+    def settle() -> None:
+        nonlocal automaton
+        automaton = Recurring(owned)
+        for row in waiting:
+            read(*row)
+
+    def flush() -> pa.RecordBatch:
+        ends = np.cumsum([0] + [len(f) for _, _, f in out]).astype(np.int32)
+        flat = [x for _, _, f in out for x in f]
+        item = pa.StructArray.from_arrays([pa.array([o for o, _ in flat], pa.int32()),
+                                           pa.array([low for _, low in flat], kind)], ["off", "low"])
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()),
+             pa.ListArray.from_arrays(pa.array(ends), item)], ["p1", "p2", "found"])
+        out.clear()
+        return batch
+
+    for b in batches:
+        kind = b.schema.field(8).type
+        for seed, part, salt, bits, reads, p1, p2, piece, low in zip(*[c.to_pylist() for c in b.columns]):
+            if (seed, part, salt) != key:
+                if owned and automaton is None:
+                    settle()
+                key, automaton, owned, waiting = (seed, part, salt), None, [], []
+            if bits:
+                owned.append((piece, bits, low))
+                if reads:
+                    waiting.append((p1, p2, piece))
+            elif owned:
+                if automaton is None:
+                    settle()
+                read(p1, p2, piece)
+        if out:
+            yield flush()
+    if owned and automaton is None:
+        settle()
+    if out:
+        yield flush()
 
 
 def _first_owners(pieces: DataFrame, scratch: Scratch) -> DataFrame:
-    """(p1, p2, found array<struct<off, low>>): recurring windows of each distinct
-    piece and the smallest id that has them."""
+    """(p1, p2, found array<struct<off, low>>): recurring windows of each distinct piece and the smallest id
+    that has them; several rows of a piece have different windows."""
     kind = pieces.schema["_id"].dataType.simpleString()
-    distinct = scratch.table(pieces.groupBy("p1", "p2").agg(
-        F.min("seed").alias("seed"), F.min("piece").alias("piece"),
-        F.min("_id").alias("low"), F.max("_id").alias("high")), "distinct")
-    sizes = distinct.groupBy("seed").agg(F.count(F.lit(1)).alias("_n"))
-    crowded = scratch.table(sizes.where(F.col("_n") > CROWD).select(F.col("seed").alias("_seed")), "crowded")
-    hot = distinct.join(crowded, F.col("seed") == F.col("_seed")).drop("_seed")
-    plain = distinct.join(crowded, F.col("seed") == F.col("_seed"), "left_anti")
-    shards = max(1, -(-distinct.count() // SHARD_PIECES))
-
+    one = pieces.groupBy("p1", "p2").agg(
+        F.min("seed").alias("seed"), F.min("piece").alias("piece"), F.min("_id").alias("low"), F.max("_id").alias("high"))
     words = F.split("piece", " ")
-    hot = hot.select("p1", "p2", "low", "high", words.alias("_w")).select(
-        "*", F.explode(F.sequence(F.lit(0), F.size("_w") - WINDOW)).alias("off"))
-    hot = scratch.table(hot.select("p1", "p2", "off", "low", "high",
-                                   F.array_join(F.slice("_w", F.col("off") + 1, F.lit(WINDOW)), " ").alias("window")), "hot")
-    windows = hot.groupBy("window").agg(F.min("low").alias("low"), F.max("high").alias("high")) \
-        .where("low < high").select("window", "low")
-    shared = hot.select("p1", "p2", "off", "window").join(windows, "window").groupBy("p1", "p2").agg(
-        F.collect_list(F.struct("off", "low")).alias("found"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seed", kind="stable")
-        piece, low, high = pdf["piece"].tolist(), pdf["low"].tolist(), pdf["high"].tolist()
-        cuts = np.append(np.nonzero(np.diff(pdf["seed"].to_numpy(), prepend=pdf["seed"].iloc[0] - 1))[0], len(pdf)).tolist()
-        found: list[list] = []
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            found += locate(piece[a:b], low[a:b], high[a:b])
-        keep = [i for i, f in enumerate(found) if f]
-        return pd.DataFrame({"p1": pdf["p1"].iloc[keep], "p2": pdf["p2"].iloc[keep],
-                             "found": [[{"off": o, "low": lo} for o, lo in found[i]] for i in keep]})
-
-    rows = plain.select("seed", "p1", "p2", "piece", "low", "high",
-                        F.pmod(F.xxhash64("seed"), F.lit(shards)).alias("shard"))
-    located = rows.groupBy("shard").applyInPandas(
-        run, f"p1 bigint, p2 bigint, found array<struct<off:int,low:{kind}>>")
-    return scratch.table(located.union(shared), "located")
+    # with the phrase's hash a digest of a window has 128 bits
+    digests = F.transform(F.sequence(F.lit(0), F.size("_w") - WINDOW), lambda k: F.xxhash64(F.slice("_w", k + 1, F.lit(WINDOW))))
+    distinct = scratch.table(one.withColumn("_w", words).withColumn("digests", digests).drop("_w")
+                             .withColumn("no", F.monotonically_increasing_id()), "distinct")
+    confirmed = distinct.select("seed", "low", "high", "no", F.posexplode("digests").alias("off", "digest")) \
+        .groupBy("seed", "digest").agg(F.min(F.struct("low", "no", "off")).alias("first"), F.max("high").alias("high")) \
+        .where("first.low < high")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("first.off"))
+    owners = confirmed.groupBy(F.col("first.no").alias("no")).agg(F.sum(bit).alias("own"))
+    owned = distinct.join(owners, "no", "left").withColumn("own", F.coalesce("own", F.lit(0).cast("long")))
+
+    crowded = distinct.groupBy("seed").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > GROUP)
+    crowded = scratch.table(crowded.select("seed", F.ceil(F.col("_n") / GROUP).alias("parts")), "crowded")
+    crowded, _ = sized(crowded, 16)
+    dealt = owned.join(crowded, "seed", "left")
+    home = F.transform("digests", lambda d: F.pmod(d, F.coalesce("parts", F.lit(1).cast("long"))))
+    dealt = dealt.withColumn("_home", home).withColumn("part", F.explode(F.array_distinct("_home")))
+    mine = F.aggregate(F.sequence(F.lit(0), F.size("_home") - 1), F.lit(0).cast("long"), lambda s, k: s.bitwiseOR(
+        F.when(F.get("_home", k) == F.col("part"), F.call_function("shiftleft", F.lit(1).cast("long"), k))
+        .otherwise(F.lit(0).cast("long"))))
+    dealt = scratch.table(dealt.select("seed", "part", "no", F.col("own").bitwiseAND(mine).alias("bits"), "p1", "p2",
+                                       "piece", "low"), "dealt")
+    scratch.drop("distinct")
+    busy = dealt.groupBy("seed", "part").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > STREAM)
+    busy = scratch.table(busy.select("seed", "part", F.ceil(F.col("_n") / STREAM).alias("salts")), "busy")
+    busy, _ = sized(busy, 24)
+    routed = dealt.join(busy, ["seed", "part"], "left").withColumn("salts", F.coalesce("salts", F.lit(1).cast("long")))
+    seat = F.pmod(F.xxhash64("no"), F.col("salts"))
+    every = F.when(F.col("bits") != 0, F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).otherwise(F.array(seat))
+    routed = routed.withColumn("_seat", seat).withColumn("salt", F.explode(every)).select(
+        "seed", "part", "salt", "bits", (F.col("_seat") == F.col("salt")).alias("reads"), "p1", "p2", "piece", "low")
+    ordered = routed.repartition("seed", "part", "salt").sortWithinPartitions(
+        "seed", "part", "salt", (F.col("bits") == 0))
+    return scratch.table(ordered.mapInArrow(_stream, f"p1 bigint, p2 bigint, found array<struct<off:int,low:{kind}>>"), "located")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -209,11 +295,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     gone = pieces.select("_doc", "_id", "at", "p1", "p2").join(owners, ["p1", "p2"]).select(
         "_doc", F.shiftright("at", 4).alias("at"), mask.alias("mask")).where("mask <> 0")
     gone = gone.groupBy("_doc").agg(F.collect_list(F.struct("at", "mask")).alias("gone"))
-    scratch.drop("distinct")
-    scratch.drop("hot")
+    scratch.drop("dealt")
     gone = scratch.table(hits.select("_doc", F.col("_id").alias("_i"), F.col("_key").alias("_k")).join(gone, "_doc")
                          .select("_i", "_k", "gone"), "gone")
-    for name in ("pieces", "located", "hits", "crowded"):
+    for name in ("pieces", "located", "hits", "crowded", "busy"):
         scratch.drop(name)
     full = rows.join(gone, (F.col("_id") == F.col("_i")) & (F.col("_key") == F.col("_k")), "left").select("_id", "_text", "gone")
 

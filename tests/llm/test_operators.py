@@ -321,9 +321,10 @@ def test_covertree(spark, monkeypatch):
 
 # ------------------------------------------------------------------ substrings
 
-@pytest.mark.parametrize("crowd", [256, 1])
-def test_substrings(spark, docs, crowd, monkeypatch):
-    monkeypatch.setattr(substrings, "CROWD", crowd)
+@pytest.mark.parametrize("group,stream", [(256, 4096), (1, 1), (2, 3)])
+def test_substrings(spark, docs, group, stream, monkeypatch):
+    monkeypatch.setattr(substrings, "GROUP", group)
+    monkeypatch.setattr(substrings, "STREAM", stream)
     shared, line = prose(60, 55), prose(6, 56)
     rows = [tuple(x) for x in docs.select("doc_id", "text").collect()]
     rows += [(500 + i, f"{prose(30, 900 + i)} {shared} {prose(20, 950 + i)} {line} {prose(15, 990 + i)} {line}") for i in range(30)]
@@ -335,6 +336,39 @@ def test_substrings(spark, docs, crowd, monkeypatch):
     assert keyed(tuple(r) for r in got) == keyed(want)
 
 
+def test_substring_runs():
+    """Windows of equal words have the same phrase, wherever they are; documents do not mix."""
+    texts = [prose(40, 3).encode().split(), [], prose(12, 5).encode().split(), ("p q " + prose(40, 3)).encode().split(),
+             [b"a"] * 60]
+    seed, at, counts = substrings.runs(texts)
+    assert counts[1] == counts[2] == 0 and (at & 15).max() <= substrings.REACH
+    phrase = {}
+    ends = counts.cumsum()
+    for d, (lo, hi) in enumerate(zip(ends - counts, ends)):
+        starts = []
+        for s, a in zip(seed[lo:hi].tolist(), at[lo:hi].tolist()):
+            for k in range(a >> 4, (a >> 4) + (a & 15)):
+                starts.append(k)
+                assert phrase.setdefault(tuple(texts[d][k:k + 13]), s) == s
+        assert starts == list(range(max(0, len(texts[d]) - 12)))
+
+
+def test_substring_automaton_decides():
+    """What a piece's windows are found to be comes from the automaton over the owned windows alone: pieces carry no
+    digest, and a piece beside an owner of other windows finds nothing."""
+    import pyarrow as pa
+    a, b = prose(20, 70), prose(20, 71)
+    near = " ".join(a.split()[:13] + b.split()[:7])
+    rows = [(1, 0, 0, 0b101, True, 1, 1, a, 10), (1, 0, 0, 0, True, 2, 2, near, 20), (1, 0, 0, 0, True, 3, 3, b, 30),
+            (1, 0, 1, 0, True, 4, 4, a, 40), (2, 0, 0, 0b1, False, 5, 5, b, 50), (2, 0, 0, 0, True, 6, 6, b, 60)]
+    names = ["seed", "part", "salt", "bits", "reads", "p1", "p2", "piece", "low"]
+    whole = pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows])
+    for batches in ([whole], [whole.slice(i, 1) for i in range(len(rows))]):
+        got = [tuple(r.values()) for out in substrings._stream(iter(batches)) for r in out.to_pylist()]
+        assert got == [(1, 1, [{"off": 0, "low": 10}, {"off": 2, "low": 10}]), (2, 2, [{"off": 0, "low": 10}]),
+                       (6, 6, [{"off": 0, "low": 50}])]
+
+
 def test_substrings_empty(no_docs):
     assert substrings.dedup(no_docs).collect() == []
 
