@@ -213,46 +213,46 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _first_owners(pieces: DataFrame, scratch: Scratch) -> DataFrame:
+def _first_owners(distinct: DataFrame, scratch: Scratch) -> DataFrame:
     """(p1, p2, found array<struct<off, low>>): recurring windows of each distinct piece and the smallest id
     that has them; several rows of a piece have different windows."""
-    kind = pieces.schema["_id"].dataType.simpleString()
-    one = pieces.groupBy("p1", "p2").agg(
-        F.min("seed").alias("seed"), F.min("piece").alias("piece"), F.min("_id").alias("low"), F.max("_id").alias("high"))
+    kind = distinct.schema["low"].dataType.simpleString()
     words = F.split("piece", " ")
     # with the phrase's hash a digest of a window has 128 bits
     digests = F.transform(F.sequence(F.lit(0), F.size("_w") - WINDOW), lambda k: F.xxhash64(F.slice("_w", k + 1, F.lit(WINDOW))))
-    distinct = scratch.table(one.withColumn("_w", words).withColumn("digests", digests).drop("_w")
-                             .withColumn("no", F.monotonically_increasing_id()), "distinct")
-    confirmed = distinct.select("seed", "low", "high", "no", F.posexplode("digests").alias("off", "digest")) \
+    confirmed = distinct.withColumn("_w", words).select("seed", "low", "high", "no", F.posexplode(digests).alias("off", "digest")) \
         .groupBy("seed", "digest").agg(F.min(F.struct("low", "no", "off")).alias("first"), F.max("high").alias("high")) \
         .where("first.low < high")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("first.off"))
-    owners = confirmed.groupBy(F.col("first.no").alias("no")).agg(F.sum(bit).alias("own"))
-    owned = distinct.join(owners, "no", "left").withColumn("own", F.coalesce("own", F.lit(0).cast("long")))
+    owners = scratch.table(confirmed.groupBy(F.col("first.no").alias("no")).agg(F.sum(bit).alias("own")), "owners")
 
     crowded = distinct.groupBy("seed").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > GROUP)
     crowded = scratch.table(crowded.select("seed", F.ceil(F.col("_n") / GROUP).alias("parts")), "crowded")
     crowded, _ = sized(crowded, 16)
-    dealt = owned.join(crowded, "seed", "left")
-    home = F.transform("digests", lambda d: F.pmod(d, F.coalesce("parts", F.lit(1).cast("long"))))
-    dealt = dealt.withColumn("_home", home).withColumn("part", F.explode(F.array_distinct("_home")))
-    mine = F.aggregate(F.sequence(F.lit(0), F.size("_home") - 1), F.lit(0).cast("long"), lambda s, k: s.bitwiseOR(
-        F.when(F.get("_home", k) == F.col("part"), F.call_function("shiftleft", F.lit(1).cast("long"), k))
-        .otherwise(F.lit(0).cast("long"))))
-    dealt = scratch.table(dealt.select("seed", "part", "no", F.col("own").bitwiseAND(mine).alias("bits"), "p1", "p2",
-                                       "piece", "low"), "dealt")
-    scratch.drop("distinct")
-    busy = dealt.groupBy("seed", "part").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > STREAM)
+    home = F.transform("_digests", lambda d: F.pmod(d, F.col("parts")))
+    # automata that many pieces of a crowded phrase read
+    dealt = distinct.select("seed", words.alias("_w")).join(crowded, "seed").withColumn("_digests", digests)
+    busy = dealt.select("seed", F.explode(F.array_distinct(home)).alias("part")).groupBy("seed", "part").agg(
+        F.count(F.lit(1)).alias("_n")).where(F.col("_n") > STREAM)
     busy = scratch.table(busy.select("seed", "part", F.ceil(F.col("_n") / STREAM).alias("salts")), "busy")
     busy, _ = sized(busy, 24)
-    routed = dealt.join(busy, ["seed", "part"], "left").withColumn("salts", F.coalesce("salts", F.lit(1).cast("long")))
-    seat = F.pmod(F.xxhash64("no"), F.col("salts"))
-    every = F.when(F.col("bits") != 0, F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).otherwise(F.array(seat))
-    routed = routed.withColumn("_seat", seat).withColumn("salt", F.explode(every)).select(
+
+    none = F.lit(0).cast("long")
+    plain = F.col("parts").isNull()
+    rows = distinct.join(owners, "no", "left").withColumn("own", F.coalesce("own", none)).join(crowded, "seed", "left")
+    split = F.transform(F.sequence(F.lit(0), F.size(words) - WINDOW),
+                        lambda k: F.pmod(F.xxhash64(F.slice(words, k + 1, F.lit(WINDOW))), F.col("parts")))
+    rows = rows.withColumn("_home", F.when(plain, F.array(none)).otherwise(split)) \
+        .withColumn("part", F.explode(F.array_distinct("_home")))
+    mine = F.aggregate(F.sequence(F.lit(0), F.size("_home") - 1), none, lambda s, k: s.bitwiseOR(
+        F.when(F.get("_home", k) == F.col("part"), F.call_function("shiftleft", F.lit(1).cast("long"), k)).otherwise(none)))
+    rows = rows.withColumn("bits", F.when(plain | (F.col("own") == 0), F.col("own")).otherwise(F.col("own").bitwiseAND(mine))) \
+        .join(busy, ["seed", "part"], "left").withColumn("salts", F.coalesce("salts", F.lit(1).cast("long"))) \
+        .withColumn("_seat", F.pmod(F.xxhash64("no"), F.col("salts")))
+    every = F.when(F.col("bits") != 0, F.sequence(none, F.col("salts") - 1)).otherwise(F.array("_seat"))
+    rows = rows.withColumn("salt", F.explode(every)).select(
         "seed", "part", "salt", "bits", (F.col("_seat") == F.col("salt")).alias("reads"), "p1", "p2", "piece", "low")
-    ordered = routed.repartition("seed", "part", "salt").sortWithinPartitions(
-        "seed", "part", "salt", (F.col("bits") == 0))
+    ordered = rows.repartition("seed", "part", "salt").sortWithinPartitions("seed", "part", "salt", (F.col("bits") == 0))
     return scratch.table(ordered.mapInArrow(_stream, f"p1 bigint, p2 bigint, found array<struct<off:int,low:{kind}>>"), "located")
 
 
@@ -287,18 +287,23 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     cut = hits.select("_doc", F.col("_id").alias("_i"), F.col("_key").alias("_k"), "hits").join(
         rows.dropDuplicates(["_id", "_key"]) if _repeats(hits, rows) else rows,
         (F.col("_id") == F.col("_i")) & (F.col("_key") == F.col("_k"))).select("_doc", "_id", "_text", "hits")
-    pieces = scratch.table(_pieces(cut), "pieces")
-    owners = _first_owners(pieces, scratch)
+    cut = scratch.table(_pieces(cut), "cut")
+    # the text is a key too: an aggregate of numbers alone is hashed, not sorted
+    distinct = scratch.table(cut.groupBy("p1", "p2", "seed", "piece").agg(
+        F.min("_id").alias("low"), F.max("_id").alias("high")).withColumn("no", F.monotonically_increasing_id()), "distinct")
+    pieces = scratch.table(cut.select("_doc", "_id", "at", "p1", "p2"), "pieces")
+    scratch.drop("cut")
+    owners = _first_owners(distinct, scratch)
+    scratch.drop("distinct")
     # one bit for each window of the piece that an earlier document has
     mask = F.aggregate(F.filter("found", lambda f: f["low"] < F.col("_id")), F.lit(0).cast("long"),
                        lambda m, f: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), f["off"])))
     gone = pieces.select("_doc", "_id", "at", "p1", "p2").join(owners, ["p1", "p2"]).select(
         "_doc", F.shiftright("at", 4).alias("at"), mask.alias("mask")).where("mask <> 0")
     gone = gone.groupBy("_doc").agg(F.collect_list(F.struct("at", "mask")).alias("gone"))
-    scratch.drop("dealt")
     gone = scratch.table(hits.select("_doc", F.col("_id").alias("_i"), F.col("_key").alias("_k")).join(gone, "_doc")
                          .select("_i", "_k", "gone"), "gone")
-    for name in ("pieces", "located", "hits", "crowded", "busy"):
+    for name in ("pieces", "located", "hits", "owners", "crowded", "busy"):
         scratch.drop(name)
     full = rows.join(gone, (F.col("_id") == F.col("_i")) & (F.col("_key") == F.col("_k")), "left").select("_id", "_text", "gone")
 
