@@ -10,7 +10,8 @@ its parent, and its real covering radius is kept.
 A pair of nodes is dropped if its centres are further apart than t plus both
 covering radii. That bound prunes block pairs first, then node pairs level by
 level in a dual traversal of the two trees; pairs of single vectors that are left
-are compared by cosine in double precision.
+are compared by cosine in double precision. A pair whose centres are so close that
+distance plus both radii stay within t links whole nodes at once, by their weights.
 
 Equal vectors are one vector with a multiplicity. A task meets two blocks at a
 time and emits one row per linked vector (its number of links and its root
@@ -77,6 +78,14 @@ class Tree:
 
     def __init__(self, points: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
         self.points, self.levels = points, levels
+        # spans[l]: first place on the last level under each node, and one past its last
+        ends = np.arange(len(levels[-1][0]))
+        spans = [(ends, ends + 1)]
+        for level in range(len(levels) - 1, 0, -1):
+            nodes = np.arange(len(levels[level - 1][0]))
+            parent, (lo, hi) = levels[level][2], spans[0]
+            spans.insert(0, (lo[np.searchsorted(parent, nodes, "left")], hi[np.searchsorted(parent, nodes, "right") - 1]))
+        self.spans = spans
 
     @classmethod
     def build(cls, points: np.ndarray) -> Tree:
@@ -108,19 +117,49 @@ class Tree:
         return cls(points, levels)
 
 
-def dual(a: Tree, b: Tree, min_cosine: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Point pairs (i of a, j of b) with cosine >= ``min_cosine``; each pair once
-    if both trees are the same."""
+def dual(a: Tree, b: Tree, weight_a: np.ndarray, weight_b: np.ndarray, min_cosine: float,
+         same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(n, u, v) of the points of ``a``, then those of ``b`` unless both are the same tree: for each point the
+    weight of the points it links with (cosine >= ``min_cosine``), and links enough to join what is
+    connected. Holds a row per point, node pair or pair of single points, never the pairs of whole nodes."""
     t = np.sqrt(max(2.0 - 2.0 * min_cosine, 0.0))
     found: list[tuple[np.ndarray, np.ndarray]] = []
     last = len(a.levels) - 1
+    shift = 0 if same else len(a.points)
+    trees = ((a, weight_a), (b, weight_b))
+    sums = [np.append(0, np.cumsum(w[x.levels[-1][0]])) for x, w in trees]      # weights before a place
+    gain = [np.zeros(len(x.points) + 1, np.int64) for x, _ in trees]            # steps of what whole nodes add
+    joined = [np.zeros(len(x.points) + 1, np.int64) for x, _ in trees]          # steps: place and next are connected
+    inside = np.zeros(len(a.points) + 1, np.int64)                              # steps: place lies in a node linked with itself
+
+    def include(level: int, x: np.ndarray, y: np.ndarray) -> None:
+        """All points under x link with all under y."""
+        (xl, xr), (yl, yr) = [(c.spans[level][0][k], c.spans[level][1][k]) for c, k in ((a, x), (b, y))]
+        for side, lo, hi, total in ((0, xl, xr, sums[1][yr] - sums[1][yl]), (1, yl, yr, sums[0][xr] - sums[0][xl])):
+            own = (x == y) if same else np.zeros(len(x), bool)
+            if side and same:                   # a node with itself counts once
+                lo, hi, total, own = lo[~own], hi[~own], total[~own], own[~own]
+            np.add.at(gain[side], lo, total)
+            np.add.at(gain[side], hi, -total)
+            np.add.at(joined[side], lo, 1)
+            np.add.at(joined[side], hi - 1, -1)
+            np.add.at(inside, lo[own], 1)
+            np.add.at(inside, hi[own], -1)
+        whole.append((a.levels[-1][0][xl], b.levels[-1][0][yl] + shift))
+
+    whole: list[tuple[np.ndarray, np.ndarray]] = []
 
     def close(level: int, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ca, ra, _ = a.levels[level]
         cb, rb, _ = b.levels[level]
         gap = a.points[ca[x]] - b.points[cb[y]]
         d = np.sqrt((gap * gap).sum(axis=1))
-        keep = d <= t + ra[x] + rb[y] + GUARD
+        reach = ra[x] + rb[y] + GUARD
+        keep = d <= t + reach
+        if level < last:
+            all_of = d + reach <= t
+            include(level, x[all_of], y[all_of])
+            keep &= ~all_of
         return x[keep], y[keep]
 
     def children(parents: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,10 +198,21 @@ def dual(a: Tree, b: Tree, min_cosine: float, same: bool) -> tuple[np.ndarray, n
         x = x[i]
         if same:
             x, y = x[x <= y], y[x <= y]
-        descend(0, x, y)
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+        descend(0, *close(0, x, y))
+    n = np.zeros(len(a.points) + (0 if same else len(b.points)), np.int64)
+    links = [(i, j + shift) for i, j in found]
+    for i, j in found:
+        np.add.at(n, i, weight_b[j])
+        np.add.at(n, j + shift, weight_a[i])
+    for side, (tree, _) in enumerate(trees):
+        leaf = tree.levels[-1][0] + (shift if side else 0)
+        n[leaf] += np.cumsum(gain[side])[:-1]
+        chain = np.nonzero(np.cumsum(joined[side])[:-1] > 0)[0]
+        links.append((leaf[chain], leaf[np.minimum(chain + 1, len(leaf) - 1)]))
+    own = a.levels[-1][0]
+    n[own] -= np.cumsum(inside)[:-1] * weight_a[own]
+    links += whole
+    return n, np.concatenate([u for u, _ in links]), np.concatenate([v for _, v in links])
 
 
 def roots(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -326,16 +376,10 @@ def _links(blocks: DataFrame, min_cosine: float, scratch: Scratch) -> DataFrame:
                 same = row["a"] == row["b"]
                 ka, wa, ta = _tree({c: row[f"a_{c}"] for c in data})
                 kb, wb, tb = (ka, wa, ta) if same else _tree({c: row[f"b_{c}"] for c in data})
-                x, y = dual(ta, tb, min_cosine, same)
-                if not len(x):
+                n, x, y = dual(ta, tb, wa, wb, min_cosine, same)
+                if not n.any():
                     continue
-                shift = 0 if same else len(ka)
                 key = ka if same else np.concatenate([ka, kb])
-                y = y + shift
-                weight = wa if same else np.concatenate([wa, wb])
-                n = np.zeros(len(key), np.int64)
-                np.add.at(n, x, weight[y])
-                np.add.at(n, y, weight[x])
                 label = roots(len(key), x, y)
                 at = np.nonzero(n)[0]
                 yield pa.RecordBatch.from_arrays(

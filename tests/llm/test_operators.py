@@ -319,6 +319,40 @@ def test_covertree(spark, monkeypatch):
     assert covertree.near_duplicates(df.where("false")).collect() == []
 
 
+def test_covertree_whole_nodes():
+    """Counts and components of the dual traversal equal those of all pairs, for one tree and for two, where
+    clusters lie wholly within the threshold, across it and beyond it."""
+    import numpy as np
+    rng = np.random.default_rng(5)
+    middles = rng.normal(size=(6, 8))
+    for spread in (0.01, 0.1, 0.25):
+        raw = [covertree.unit(np.repeat(middles, 20, axis=0) + spread * rng.normal(size=(120, 8))) for _ in range(2)]
+        weights = [rng.integers(1, 5, 120) for _ in range(2)]
+        trees = [covertree.Tree.build(p) for p in raw]
+        for same in (True, False):
+            points = raw[0] if same else np.concatenate(raw)
+            w = weights[0] if same else np.concatenate(weights)
+            near = points @ points.T >= 0.95
+            if same:
+                np.fill_diagonal(near, False)
+            else:
+                near[:120, :120] = near[120:, 120:] = False
+            n, u, v = covertree.dual(trees[0], trees[0 if same else 1], weights[0], weights[0 if same else 1], 0.95, same)
+            assert n.tolist() == (near @ w).tolist()
+            x, y = np.nonzero(near)
+            assert covertree.roots(len(w), u, v).tolist() == covertree.roots(len(w), x, y).tolist()
+
+
+def test_covertree_dense_block():
+    """4000 near copies: whole nodes are linked, no pair of single vectors is made."""
+    import numpy as np
+    rng = np.random.default_rng(6)
+    points = covertree.unit(rng.normal(size=(1, 64)) + 0.004 * rng.normal(size=(4000, 64)))
+    tree, one = covertree.Tree.build(points), np.ones(4000, np.int64)
+    n, u, v = covertree.dual(tree, tree, one, one, 0.95, True)
+    assert (n == 3999).all() and len(u) < 10_000 and not covertree.roots(4000, u, v).any()
+
+
 # ------------------------------------------------------------------ substrings
 
 @pytest.mark.parametrize("group,stream", [(256, 4096), (1, 1), (2, 3)])
