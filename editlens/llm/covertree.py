@@ -1,21 +1,24 @@
 """Embedding near-dedup: exact threshold pairs by dual traversal of cover trees.
 
 Vectors are scaled to length 1, where cosine >= c means distance <= t =
-sqrt(2 - 2c). The root level is distributed: vectors go to the nearest of a
-few pivots, and each pivot's vectors form blocks of bounded size with a centre
-and a covering radius. Below it every block holds a cover tree with nested
-levels whose radii halve: each node of a level lies within that level's radius of
-its parent, and its real covering radius is kept.
+sqrt(2 - 2c). The upper levels are distributed: vectors go to the nearest of a
+few pivots, and while a node holds more than a block its vectors go to the nearest of
+pivots of its own, which cover it within half its radius or are as many as it needs blocks.
+Below that every block holds a cover tree with nested levels whose radii halve: each
+node of a level lies within that level's radius of its parent, and its real covering
+radius is kept.
 
 A pair of nodes is dropped if its centres are further apart than t plus both
-covering radii. That bound prunes block pairs first, then node pairs level by
-level in a dual traversal of the two trees; pairs of single vectors that are left
-are compared by cosine in double precision. A pair whose centres are so close that
-distance plus both radii stay within t links whole nodes at once, by their weights.
-
-Equal vectors are one vector with a multiplicity. A task meets two blocks at a
-time and emits one row per linked vector (its number of links and its root
-within the two blocks), never pairs.
+covering radii. That bound prunes pairs of pivots, then pairs of packs (the upper nodes of
+neighbouring blocks, without their vectors), then pairs of those nodes; only blocks
+that hold a pair left over meet, and the dual traversal of their trees goes on below
+those pairs, level by level. Pairs of single vectors that are left are compared by
+cosine in double precision. A pair whose centres are so close that distance plus both
+radii stay within t links whole nodes at once, by their weights.
+
+Equal vectors are one vector with a multiplicity. A task meets two packs or two blocks
+at a time; it emits bounded portions of node pairs, then one row per linked vector (its
+number of links and its root within the two blocks), never the pairs of a group.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from editlens.llm.graph import components
@@ -35,7 +38,12 @@ MIN_COSINE = 0.95
 BLOCK = 4096                    # vectors in a block at most, about
 PIVOT_SAMPLE = 4096             # vectors among which pivots are chosen
 MAX_PIVOTS = 512
+NODE_SAMPLE = 2048              # vectors of a node among which its own pivots are chosen, about
+DEPTH = 6                       # distributed levels below the first; what is larger then is cut by hash
+DEAL = 8192                     # vectors of a node that one task sends to its pivots, about
 RADII = (1.0, 0.5, 0.25, 0.125)
+UPPER = 1                       # level of a block's tree whose nodes are packed
+NODE_PAIRS = 1 << 19            # node pairs in a row at most, about
 GUARD = 1e-9                    # on distance bounds, far above rounding errors
 ROWS = 512
 
@@ -117,11 +125,12 @@ class Tree:
         return cls(points, levels)
 
 
-def dual(a: Tree, b: Tree, weight_a: np.ndarray, weight_b: np.ndarray, min_cosine: float,
-         same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def dual(a: Tree, b: Tree, weight_a: np.ndarray, weight_b: np.ndarray, min_cosine: float, same: bool,
+         start: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(n, u, v) of the points of ``a``, then those of ``b`` unless both are the same tree: for each point the
     weight of the points it links with (cosine >= ``min_cosine``), and links enough to join what is
-    connected. Holds a row per point, node pair or pair of single points, never the pairs of whole nodes."""
+    connected. ``start`` are the node pairs of level ``UPPER`` to go on from (none: all pairs of the top level).
+    Holds a row per point, node pair or pair of single points, never the pairs of whole nodes."""
     t = np.sqrt(max(2.0 - 2.0 * min_cosine, 0.0))
     found: list[tuple[np.ndarray, np.ndarray]] = []
     last = len(a.levels) - 1
@@ -191,7 +200,9 @@ def dual(a: Tree, b: Tree, weight_a: np.ndarray, weight_b: np.ndarray, min_cosin
             descend(level + 1, *close(level + 1, cx, cy))
 
     top_a, top_b = a.levels[0], b.levels[0]
-    for lo in range(0, len(top_a[0]), ROWS):        # the top level as matrix products
+    if start is not None:
+        descend(UPPER, *close(UPPER, *start))
+    for lo in range(0, len(top_a[0]) if start is None else 0, ROWS):        # the top level as matrix products
         x = np.arange(lo, min(lo + ROWS, len(top_a[0])))
         d = _distances(a.points[top_a[0][x]], b.points[top_b[0]])
         i, y = np.nonzero(d <= t + top_a[1][x][:, None] + top_b[1][None, :] + 1e-7)
@@ -255,7 +266,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     copies = good.groupBy("_v").agg(F.min("_id").alias("_low"), F.count(F.lit(1)).alias("_m"))
     # numbers are fixed by writing them
     points = scratch.table(copies.withColumn("_key", F.monotonically_increasing_id()), "points")
-    blocks = _blocks(points, scratch)
+    blocks = _blocks(points, min_cosine, scratch)
     links = scratch.table(_links(blocks, min_cosine, scratch), "links")
     counts = links.groupBy("_key").agg(F.sum("n").alias("_n"))
     rooted = components(links.select(F.col("_key").alias("u"), F.col("root").alias("v")), scratch)
@@ -270,21 +281,28 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     return linked.union(alone).select(F.col("_id").alias(id_col), "n_links", "component_id")
 
 
-def _blocks(points: DataFrame, scratch: Scratch) -> DataFrame:
-    """(block, dims, keys, weights, centre, far, data): data holds the block's
-    vectors, the tree's arrays included, as bytes."""
-    n = points.count()
+def farthest(points: np.ndarray, most: int, radius: float) -> np.ndarray:
+    """Numbers of points chosen one after the other, each the farthest from those before it, until
+    they cover all within ``radius`` or are ``most``."""
+    chosen, near = [0], _distances(points, points[:1])[:, 0]
+    while len(chosen) < min(most, len(points)) and near.max() > radius:
+        chosen.append(int(near.argmax()))
+        near = np.minimum(near, _distances(points, points[chosen[-1:]])[:, 0])
+    return np.array(chosen)
+
+
+PLACED = "_key bigint, _v array<double>, _m bigint, _h bigint, _d int, _pivot int, _path string, _done boolean"
+
+
+def _place(points: DataFrame, n: int, scratch: Scratch) -> DataFrame:
+    """The first level: every vector with the nearest pivot of a bounded sample, which only shapes the tree."""
     wanted = int(min(MAX_PIVOTS, max(1, n // BLOCK)))
     sample = points.select("_v").orderBy(F.xxhash64("_v")).limit(PIVOT_SAMPLE)
+    rows = sample.toPandas()["_v"] if n else []
     pivots: dict[int, np.ndarray] = {}
-    rows = sample.toPandas()["_v"] if n else []          # a bounded sample: it only shapes blocks
     for d in {len(r) for r in rows}:
         m = unit(np.array([r for r in rows if len(r) == d], dtype=np.float64))
-        chosen, near = [0], _distances(m, m[:1])[:, 0]
-        while len(chosen) < min(wanted, len(m)):
-            chosen.append(int(near.argmax()))
-            near = np.minimum(near, _distances(m, m[chosen[-1:]])[:, 0])
-        pivots[d] = m[chosen]
+        pivots[d] = m[farthest(m, wanted, 0.0)]
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -294,36 +312,119 @@ def _blocks(points: DataFrame, scratch: Scratch) -> DataFrame:
                 at = np.nonzero(sizes == d)[0]
                 if d in pivots:
                     out[at] = _distances(unit(np.stack(b["_v"].iloc[at])), pivots[d]).argmin(axis=1)
-            yield b.assign(_pivot=out, _d=sizes.astype(np.int32))
-
-    placed = scratch.table(points.select("_key", "_v", "_m").mapInPandas(
-        place, "_key bigint, _v array<double>, _m bigint, _pivot int, _d int"), "placed")
-    # rows of a (length, pivot) group are numbered and cut into blocks of BLOCK
-    numbered = number_in_groups(placed.withColumn("_h", F.xxhash64("_key")), ["_d", "_pivot"], [], "_h", "_at", bucket_count(n))
+            yield b.assign(_d=sizes.astype(np.int32), _pivot=out, _path=out.astype(str), _done=False)
+
+    return scratch.table(points.select("_key", "_v", "_m", F.xxhash64("_key").alias("_h")).mapInPandas(place, PLACED), "placed_0")
+
+
+def _deepen(placed: DataFrame, min_cosine: float, scratch: Scratch) -> DataFrame:
+    """Levels below the first: nodes with more than ``BLOCK`` vectors are divided among pivots of their own.
+    A node within a quarter of the threshold distance stays whole (``_done``): no bound could part it.
+    A large node's vectors are dealt over tasks, each with a copy of its pivots."""
+    floor = float(np.sqrt(max(2.0 - 2.0 * min_cosine, 0.0))) / 4
+    node = ["_d", "_path"]
+
+    def choose(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        n = int(pdf["_n"].iloc[0])
+        m = unit(np.stack(pdf["_v"]))
+        reach = float(_distances(m, m[:1]).max())
+        found = m[farthest(m, min(MAX_PIVOTS, max(2, 2 * n // BLOCK)), reach / 2)] if reach > floor else m[:0]
+        return pd.DataFrame({"_d": [key[0]], "_path": [key[1]], "_n": [n], "_pivots": [found.tobytes()]})
+
+    def assign(rows: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):
+            return rows.assign(_done=False)
+        rows = rows.drop(columns=["_salt"])
+        m = np.frombuffer(pivots["_pivots"].iloc[0] if len(pivots) else b"").reshape(-1, rows["_d"].iloc[0])
+        if len(m) < 2:
+            return rows.assign(_done=True)
+        to = _distances(unit(np.stack(rows["_v"])), m).argmin(axis=1)
+        return rows.assign(_path=rows["_path"].iloc[0] + "/" + pd.Series(to, index=rows.index).astype(str))
+
+    for depth in range(1, DEPTH + 1):
+        crowded = scratch.table(placed.where("not _done").groupBy(node).agg(F.count(F.lit(1)).alias("_n"))
+                                .where(F.col("_n") > BLOCK), f"crowded_{depth}")
+        if crowded.isEmpty():
+            break
+        large = placed.where("not _done").join(crowded, node)
+        rest = placed.where("not _done").join(crowded, node, "left_anti").select(*placed.columns).union(placed.where("_done"))
+        sample = large.where(F.pmod("_h", F.ceil(F.col("_n") / NODE_SAMPLE)) == 0).select(*node, "_n", "_v")
+        pivots = sample.groupBy(node).applyInPandas(choose, "_d int, _path string, _n bigint, _pivots binary")
+        last = F.floor((F.col("_n") - 1) / DEAL)
+        pivots = scratch.table(pivots, f"pivots_{depth}").select(*node, "_pivots", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_salt"))
+        dealt = large.withColumn("_salt", F.pmod(F.shiftrightunsigned("_h", 24), last + 1)).drop("_n")
+        moved = dealt.groupBy(*node, "_salt").cogroup(pivots.groupBy(*node, "_salt")).applyInPandas(assign, PLACED)
+        placed = scratch.table(rest.union(moved.select(*placed.columns)), f"placed_{depth}")
+        scratch.drop(f"placed_{depth - 1}")
+    return placed
+
+
+def _blocks(points: DataFrame, min_cosine: float, scratch: Scratch) -> DataFrame:
+    """One row per block: its vectors and the tree's arrays as bytes (keys, weights, points, sizes, nodes), and
+    apart from them the nodes of level ``UPPER`` (u_points, u_radii, u_alone: one vector only)."""
+    n = points.count()
+    placed = _deepen(_place(points, n, scratch), min_cosine, scratch)
+    # rows of a node are numbered and cut into blocks of BLOCK: more than one only where no pivot parted them
+    numbered = number_in_groups(placed, ["_d", "_path"], [], "_h", "_at", bucket_count(n))
     numbered = numbered.withColumn("_part", F.floor(F.col("_at") / BLOCK).cast("int"))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         raw = np.stack(pdf["_v"]).astype(np.float64)
         points_ = unit(raw)
         tree = Tree.build(points_)
-        mean = points_.mean(axis=0)
-        far = float(np.sqrt(((points_ - mean) ** 2).sum(axis=1)).max())
         single = raw.astype(np.float32)
         whole = bool((single == raw).all())          # single precision holds them exactly
-        out = {"dims": raw.shape[1], "pivot": int(pdf["_pivot"].iloc[0]), "single": whole, "keys": pdf["_key"].to_numpy(np.int64).tobytes(),
-               "weights": pdf["_m"].to_numpy(np.int64).tobytes(), "points": (single if whole else raw).tobytes(),
-               "centre": [mean.tolist()], "far": far,
+        stored = single if whole else raw
+        upper, radii, _ = tree.levels[UPPER]
+        lo, hi = tree.spans[UPPER]
+        out = {"dims": raw.shape[1], "pivot": int(pdf["_pivot"].iloc[0]), "path": pdf["_path"].iloc[0], "single": whole,
+               "keys": pdf["_key"].to_numpy(np.int64).tobytes(),
+               "weights": pdf["_m"].to_numpy(np.int64).tobytes(), "points": stored.tobytes(),
                "sizes": [[len(lv[0]) for lv in tree.levels]],
                "nodes": b"".join(lv[1].tobytes() + lv[0].astype(np.int32).tobytes() + lv[2].astype(np.int32).tobytes()
-                                 for lv in tree.levels)}
+                                 for lv in tree.levels),
+               "u_n": len(upper), "u_points": stored[upper].tobytes(), "u_radii": radii.tobytes(),
+               "u_alone": (hi - lo == 1).tobytes()}
         return pd.DataFrame({k: v if isinstance(v, list) else [v] for k, v in out.items()})
 
-    schema = ("dims int, pivot int, single boolean, keys binary, weights binary, points binary, centre array<double>, far double, "
-              "sizes array<int>, nodes binary")
-    built = numbered.groupBy("_d", "_pivot", "_part").applyInPandas(build, schema)
+    schema = ("dims int, pivot int, path string, single boolean, keys binary, weights binary, points binary, "
+              "sizes array<int>, nodes binary, u_n int, u_points binary, u_radii binary, u_alone binary")
+    built = numbered.groupBy("_d", "_path", "_part").applyInPandas(build, schema)
     return scratch.table(built.withColumn("block", F.monotonically_increasing_id()), "blocks")
 
 
+def _packs(blocks: DataFrame, scratch: Scratch) -> DataFrame:
+    """One row per pack: upper nodes of neighbouring blocks of a pivot, a block's always together, up to two
+    blocks' worth; with a centre and the radius that covers what is under the nodes. Where vectors gather
+    there are far fewer packs than blocks."""
+    before = Window.partitionBy("dims", "pivot").orderBy("path", "block").rowsBetween(Window.unboundedPreceding, -1)
+    upper = blocks.select("block", "dims", "pivot", "path", "u_n")          # one narrow row a block
+    upper = upper.select("block", F.floor(F.coalesce(F.sum("u_n").over(before), F.lit(0)) / BLOCK).alias("part"))
+    rows = blocks.select("block", "dims", "pivot", "single", "u_points", "u_radii", "u_alone").join(upper, "block")
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block")
+        dims = int(pdf["dims"].iloc[0])
+        raw = [np.frombuffer(p, np.float32 if s else np.float64).reshape(-1, dims) for p, s in zip(pdf["u_points"], pdf["single"])]
+        counts = [len(r) for r in raw]
+        whole = bool(pdf["single"].all())
+        raw = np.concatenate(raw).astype(np.float32 if whole else np.float64)
+        points = unit(raw)
+        radii = np.concatenate([np.frombuffer(r) for r in pdf["u_radii"]])
+        mean = points.mean(axis=0)
+        far = float((np.sqrt(((points - mean) ** 2).sum(axis=1)) + radii).max())
+        return pd.DataFrame({
+            "dims": [dims], "pivot": [int(pdf["pivot"].iloc[0])], "centre": [mean.tolist()], "far": [far], "single": [whole],
+            "of": [np.repeat(pdf["block"].to_numpy(np.int64), counts).tobytes()],
+            "node": [np.concatenate([np.arange(c, dtype=np.int32) for c in counts]).tobytes()],
+            "points": [raw.tobytes()], "radii": [radii.tobytes()], "alone": [b"".join(pdf["u_alone"])]})
+
+    built = rows.groupBy("dims", "pivot", "part").applyInPandas(
+        build, "dims int, pivot int, centre array<double>, far double, single boolean, of binary, node binary, "
+               "points binary, radii binary, alone binary")
+    return scratch.table(built.withColumn("block", F.monotonically_increasing_id()), "packs")
+
+
 def _tree(row: dict) -> tuple[np.ndarray, np.ndarray, Tree]:
     points = unit(np.frombuffer(row["points"], np.float32 if row["single"] else np.float64).reshape(-1, row["dims"]))
     levels, at = [], 0
@@ -341,9 +442,9 @@ def _gap(x: str, y: str) -> Column:
 
 
 def block_pairs(meta: DataFrame, t: float) -> DataFrame:
-    """(a, b), a <= b: pairs of blocks that may hold vectors within ``t``. Pairs of
+    """(a, b), a <= b: pairs of packs that may hold vectors within ``t``. Pairs of
     pivots (few, whatever the input) are bounded first, by a centre and the radius
-    that covers their blocks; only those left are joined out to blocks."""
+    that covers their packs; only those left are joined out to packs."""
     first = meta.groupBy("dims", "pivot").agg(F.min_by("centre", "block").alias("pc"))
     pivots = meta.join(first, ["dims", "pivot"]).groupBy("dims", "pivot").agg(
         F.first("pc").alias("pc"), F.max(_gap("pc", "centre") + F.col("far")).alias("pr"))
@@ -357,16 +458,74 @@ def block_pairs(meta: DataFrame, t: float) -> DataFrame:
         (F.col("a") <= F.col("b")) & (_gap("ca", "cb") <= F.col("ra") + F.col("rb") + t + GUARD)).select("a", "b")
 
 
+def _near(blocks: DataFrame, t: float, scratch: Scratch) -> DataFrame:
+    """(a, b, x, y), a <= b: upper nodes x of block a and y of block b, place by place, that may hold vectors
+    within ``t``. One row per pair of blocks, more only beyond ``NODE_PAIRS``."""
+    packs = _packs(blocks, scratch)
+    pairs = scratch.table(block_pairs(packs.select("block", "dims", "pivot", "centre", "far"), t), "pack_pairs")
+    data = ["dims", "single", "of", "node", "points", "radii", "alone"]
+    first = packs.select(F.col("block").alias("a"), *[F.col(c).alias(f"a_{c}") for c in data])
+    other = packs.select(F.col("block").alias("b"), *[F.col(c).alias(f"b_{c}") for c in data])
+
+    def unpack(row: dict, side: str) -> tuple:
+        points = np.frombuffer(row[f"{side}_points"], np.float32 if row[f"{side}_single"] else np.float64)
+        return (np.frombuffer(row[f"{side}_of"], np.int64), np.frombuffer(row[f"{side}_node"], np.int32),
+                unit(points.reshape(-1, row[f"{side}_dims"])), np.frombuffer(row[f"{side}_radii"]),
+                np.frombuffer(row[f"{side}_alone"], bool))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def portion(block: int, i: np.ndarray, j: np.ndarray):
+            order = np.argsort(of_b[j], kind="stable")
+            i, j = node_a[i[order]], j[order]
+            partner, at = np.unique(of_b[j], return_index=True)
+            ends = np.append(at[1:], len(j))
+            rows = [(block, p, i[u:v], node_b[j[u:v]]) if block <= p else (p, block, node_b[j[u:v]], i[u:v])
+                    for p, u, v in zip(partner.tolist(), at, ends)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                 pa.array([r[2].tobytes() for r in rows], pa.binary()), pa.array([r[3].tobytes() for r in rows], pa.binary())],
+                ["a", "b", "x", "y"])
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {c: batch.column(m)[k].as_py() for m, c in enumerate(batch.schema.names)}
+                same = row["a"] == row["b"]
+                of_a, node_a, points_a, radii_a, alone_a = unpack(row, "a")
+                of_b, node_b, points_b, radii_b, _ = unpack(row, "b")
+                cuts = np.append(np.unique(of_a, return_index=True)[1], len(of_a))
+                for lo, hi in zip(cuts[:-1], cuts[1:]):
+                    held: list[tuple[np.ndarray, np.ndarray]] = []
+                    for r in range(lo, hi, ROWS):
+                        part = slice(r, min(r + ROWS, hi))
+                        d = _distances(points_a[part], points_b)
+                        i, j = np.nonzero(d <= t + radii_a[part, None] + radii_b[None, :] + 1e-7)
+                        i = i + r
+                        if same:            # each pair once; a single vector has nothing to do with itself
+                            once = (i < j) | ((i == j) & ~alone_a[i])
+                            i, j = i[once], j[once]
+                        for u in range(0, len(i), NODE_PAIRS):
+                            held.append((i[u:u + NODE_PAIRS], j[u:u + NODE_PAIRS]))
+                            if sum(len(h[0]) for h in held) >= NODE_PAIRS:
+                                yield portion(int(of_a[lo]), *map(np.concatenate, zip(*held)))
+                                held = []
+                    if held:
+                        yield portion(int(of_a[lo]), *map(np.concatenate, zip(*held)))
+
+    both = pairs.join(first, "a").join(other, "b")
+    return scratch.table(both.mapInArrow(run, "a bigint, b bigint, x binary, y binary"), "near")
+
+
 def _links(blocks: DataFrame, min_cosine: float, scratch: Scratch) -> DataFrame:
-    """(_key, n, root): for each block pair that may hold links, each linked
+    """(_key, n, root): for each pair of blocks that may hold links, each linked
     vector's weight of links and its root among the two blocks."""
     t = float(np.sqrt(max(2.0 - 2.0 * min_cosine, 0.0)))
-    meta = scratch.table(blocks.select("block", "dims", "pivot", "centre", "far"), "meta")
-    pairs = scratch.table(block_pairs(meta, t), "pairs")
+    near = _near(blocks, t, scratch)
     data = ["dims", "single", "keys", "weights", "points", "sizes", "nodes"]
     first = blocks.select(F.col("block").alias("a"), *[F.col(c).alias(f"a_{c}") for c in data])
     other = blocks.select(F.col("block").alias("b"), *[F.col(c).alias(f"b_{c}") for c in data])
-    both = pairs.join(first, "a").join(other, "b")
+    both = near.join(first, "a").join(other, "b")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -376,7 +535,8 @@ def _links(blocks: DataFrame, min_cosine: float, scratch: Scratch) -> DataFrame:
                 same = row["a"] == row["b"]
                 ka, wa, ta = _tree({c: row[f"a_{c}"] for c in data})
                 kb, wb, tb = (ka, wa, ta) if same else _tree({c: row[f"b_{c}"] for c in data})
-                n, x, y = dual(ta, tb, wa, wb, min_cosine, same)
+                start = tuple(np.frombuffer(row[c], np.int32).astype(np.int64) for c in "xy")
+                n, x, y = dual(ta, tb, wa, wb, min_cosine, same, start)
                 if not n.any():
                     continue
                 key = ka if same else np.concatenate([ka, kb])

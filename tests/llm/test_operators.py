@@ -353,6 +353,41 @@ def test_covertree_dense_block():
     assert (n == 3999).all() and len(u) < 10_000 and not covertree.roots(4000, u, v).any()
 
 
+def test_covertree_pairs_of_blocks_grow_with_the_vectors(spark, monkeypatch, tmp_path):
+    """Tight clusters, more than the pivots can tell apart: pairs of blocks that meet grow with the number of
+    vectors, not with its square; counts are those of the clusters."""
+    monkeypatch.setattr(covertree, "BLOCK", 64)
+    r = np.random.default_rng(8)
+    middles = r.normal(size=(500, 64))
+    seen = []
+    for copies in (4, 16):
+        points = np.repeat(middles, copies, axis=0) + 0.02 * r.normal(size=(500 * copies, 64))
+        rows = [(i, v.tolist(), 1) for i, v in enumerate(points)]
+        df = spark.createDataFrame(rows, "_key bigint, _v array<double>, _m bigint").repartition(8).cache()
+        scratch = covertree.Scratch(spark, "growth")
+        blocks = covertree._blocks(df, 0.95, scratch)
+        links = covertree._links(blocks, 0.95, scratch).groupBy("_key").sum("n").collect()
+        assert len(links) == len(rows) and {x[1] for x in links} == {copies - 1}
+        seen.append((blocks.count(), spark.read.parquet(f"{scratch.base}/near").count()))
+        df.unpersist()
+    (few, pairs), (many, more) = seen
+    assert pairs < 4 * few and more < 4 * many and many > 2 * few, seen
+
+
+def test_covertree_distributed_levels(spark, monkeypatch):
+    """Nodes with more than a block are divided until they fit; a tight ball that no pivot can part is cut by hash."""
+    monkeypatch.setattr(covertree, "BLOCK", 32)
+    monkeypatch.setattr(covertree, "DEAL", 50)
+    monkeypatch.setattr(covertree, "NODE_SAMPLE", 100)
+    r = np.random.default_rng(9)
+    ball = r.normal(size=(1, 16)) + 0.002 * r.normal(size=(200, 16))
+    points = np.concatenate([ball, r.normal(size=(400, 16))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "vec_id bigint, embedding array<double>")
+    n, links = brute.cosine_links(points.tolist())
+    comp = brute.component_ids(len(points), links, list(range(len(points))))
+    assert sorted(tuple(x) for x in covertree.near_duplicates(df).collect()) == list(zip(range(len(points)), n, comp))
+
+
 # ------------------------------------------------------------------ substrings
 
 @pytest.mark.parametrize("group,stream", [(256, 4096), (1, 1), (2, 3)])
