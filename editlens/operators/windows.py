@@ -92,12 +92,25 @@ def pane_sliding(events: DataFrame, time_col: str = "event_time",
     return flatten_window(panes_to_windows(panes, "wiki", window, slide))
 
 
+def newest_day(events: DataFrame) -> DataFrame:
+    """Events of the newest ``event_date``, which holds the latest event time. The date is a partition of the
+    history, so it is found without reading a column and the scan of the result opens one folder.
+    Frames without that column, and empty ones, are returned unchanged."""
+    if "event_date" not in events.columns:
+        return events
+    day = events.agg(F.max("event_date")).first()[0]
+    return events if day is None else events.filter(F.col("event_date") == F.lit(day))
+
+
 def as_of_literal(df: DataFrame, col: str) -> Column:
     """max(col) of a frame as a TIMESTAMP literal (NULL when empty).
 
     Spark computes the max with a partial aggregate per task; only the single
-    value (as epoch microseconds, independent of any time zone) is fetched.
+    value (as epoch microseconds, independent of any time zone) is fetched. Of a
+    history partitioned by date only the newest day's event times are read.
     """
+    if col == "event_time":
+        df = newest_day(df)
     v = df.agg(F.max(F.unix_micros(col))).first()[0]
     return F.timestamp_micros(F.lit(v).cast("long"))
 

@@ -19,7 +19,7 @@ from editlens.operators import merge, views, windows
 from editlens.plans import batch as batch_job
 from editlens.plans import incremental, publish, serving
 from editlens.plans.catalog import (
-    ORACLE_SQL, PANE_S, RATE_PERIOD_S, RATE_PERIODS, RATE_THRESHOLD, TOP, TRAIL_S, _BATCH_ALL, _LIVE, _MERGE_SQL, _PAYLOAD_SQL, _SLIDING_SQL, _SPEED_ALL, _SPEED_TOP,
+    ORACLE_SQL, PANE_S, RATE_PERIOD_S, RATE_PERIODS, RATE_THRESHOLD, TOP, TRAIL_S, _BATCH_ALL, _LIVE, _MERGE_SQL, _PAYLOAD_SQL, _SLIDING_SQL, _SPEED_ALL, _SPEED_TOP, _TRAIL_SQL,
     _batch_and_speed, _clocked, _dense, _DENSE_TIME, query,
 )
 from editlens.plans.oracle import hour_expr, tokens_expr, with_edits
@@ -163,6 +163,15 @@ def q_speed_view(spark, sf):
     return serving.read_snapshot(spark, snap, TOP).select("rank", "wiki", "count", "window_s")
 
 
+@query("trailing_topn_by_day", with_edits(_TRAIL_SQL, _LIVE))
+def q_trailing_topn_by_day(spark, sf):
+    """Over a history by date: the clock and the window open the newest days' folders alone."""
+    path = fresh_dir(spark, "bronze")
+    batch_job.to_bronze(edit_events(spark, sf), path)
+    ev = spark.read.parquet(path)
+    return windows.trailing_topn(ev, windows.as_of_literal(ev, "event_time"), TOP, TRAIL_S, PANE_S)
+
+
 @query("merged_csv_roundtrip", with_edits(_MERGE_SQL, _LIVE, _BATCH_ALL, _SPEED_ALL))
 def q_merged_csv_roundtrip(spark, sf):
     batch, speed_counts = _batch_and_speed(spark, sf)

@@ -10,7 +10,7 @@ FAST = ["wiki_edits", "keywords", "hourly", "edit_types", "namespaces", "record_
         "sliding_edits", "pane_sliding", "trailing_topn", "lambda_merge", "lambda_merge_exact",
         "records_per_min", "lag_alarm", "sentinel_latency", "views_single_pass", "dedupe_by_id",
         "fanout", "tokens", "should_count", "group_key", "log_records", "bytes_per_min",
-        "keywords_strict", "throughput_summary", "rate_alarm"]
+        "keywords_strict", "throughput_summary", "rate_alarm", "trailing_topn_by_day"]
 
 
 def test_entry_runs(spark):

@@ -104,3 +104,15 @@ def test_trailing_window_prunes_date_partitions(spark, tmp_dir):
     assert [tuple(r) for r in res.collect()] == [("a", 1), ("b", 1)]
     plan = res._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_latest_event_reads_the_newest_day_alone(spark, tmp_dir):
+    from editlens.plans.batch import to_bronze
+    items = [("a", 0), ("b", 3 * 86400), ("a", 3 * 86400 + 5), ("c", 86400)]
+    to_bronze(ev(spark, items).union(ev(spark, [("d", 1)]).withColumn("event_time", F.lit(None).cast("timestamp"))), tmp_dir)
+    bronze = spark.read.parquet(tmp_dir)
+    newest = windows.newest_day(bronze)
+    assert newest.count() == 2 and "PartitionFilters: [isnotnull(event_date" in newest._jdf.queryExecution().executedPlan().toString()
+    row = spark.range(1).select(windows.as_of_literal(bronze, "event_time").alias("x"),
+                                windows.as_of_literal(bronze.where("wiki = 'none'"), "event_time").alias("y")).first()
+    assert row.x.replace(tzinfo=None) == at(3 * 86400 + 5) and row.y is None
