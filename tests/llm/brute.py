@@ -170,3 +170,98 @@ def filter_audit(rows, labels):
                               sum(d[1] for d in here), sum(d[2] for d in here), f))
         out += [s[:-1] + (shapley[s[-1]],) for s in steps]
     return out
+
+
+def text_ngrams(text, buckets=1 << 14):
+    """Hashed 1- to 3-grams of the letters, words set off by one blank; None without a letter."""
+    words, word = [], ""
+    for c in (text or "").lower():
+        if c.isalpha():
+            word += c
+        elif word:
+            words.append(word)
+            word = ""
+    line = " " + "".join(w + " " for w in words) + word
+    if not line.strip():
+        return None
+    grams, out = {}, {}
+    for n in (1, 2, 3):
+        for i in range(len(line) - n + 1):
+            g = line[i:i + n]
+            grams[g] = grams.get(g, 0) + 1
+    for g, k in grams.items():
+        h = len(g)
+        for c in g:
+            h = (h + ord(c)) * 0x9E3779B97F4A7C15 % 2 ** 64
+            h ^= h >> 29
+        out[h % buckets] = out.get(h % buckets, 0) + k
+    return out
+
+
+def languages(train, texts, evidence=40, buckets=1 << 14):
+    """(language, score) of each text: one classifier a split of the languages in two (all splits), decoded
+    by the sum of logistic losses; ``train`` are (text, language)."""
+    counts = {}
+    for text, lang in train:
+        g = text_ngrams(text, buckets)
+        if lang is not None and g is not None:
+            mine = counts.setdefault(lang, {})
+            for b, k in g.items():
+                mine[b] = mine.get(b, 0) + k
+    langs = sorted(counts)
+    share = {}
+    for k in langs:
+        total = sum(counts[k].values()) + 0.5 * buckets
+        share[k] = [(counts[k].get(b, 0) + 0.5) / total for b in range(buckets)]
+    bits = []                                           # (side of each language, weight by bucket, trust)
+    for mask in range(1, 2 ** (len(langs) - 1)):
+        side = {k: mask >> i & 1 for i, k in enumerate(langs)}
+        one = [k for k in langs if side[k]]
+        zero = [k for k in langs if not side[k]]
+        w = [math.log(sum(share[k][b] for k in one) / len(one)) - math.log(sum(share[k][b] for k in zero) / len(zero))
+             for b in range(buckets)]
+        mean = {k: sum(x * y for x, y in zip(share[k], w)) for k in langs}
+        bits.append((side, w, max(1e-3, min(mean[k] if side[k] else -mean[k] for k in langs))))
+    whole = sum(b[2] for b in bits) / len(bits)
+    out = []
+    for text in texts:
+        g = text_ngrams(text, buckets)
+        if g is None:
+            out.append(("und", 0.0))
+            continue
+        n = sum(g.values())
+        loss = dict.fromkeys(langs, 0.0)
+        for side, w, trust in bits:
+            margin = sum(k * w[b] for b, k in g.items()) / n * min(n, evidence)
+            for k in langs:
+                loss[k] += trust / whole * math.log1p(math.exp(-margin if side[k] else margin))
+        best = min(langs, key=lambda k: loss[k])
+        out.append((best, 1 / sum(math.exp(loss[best] - loss[k]) for k in langs)))
+    return out
+
+
+def check_kd_tree(rows, shards=16, slack=1 / 64):
+    """``rows``: (size, crc, shard). Every node of the tree is parted along the dimension its rows spread
+    furthest in, all of the left side at or before all of the right one, near its weighted median."""
+    points = [((math.log2(s), float(c)), s, k) for s, c, k in rows]
+    span = [max(p[0][d] for p in points) - min(p[0][d] for p in points) for d in (0, 1)]
+    room = slack * sum(p[1] for p in points) / shards + max(p[1] for p in points)
+
+    def node(part, lo, hi):
+        if hi - lo == 1 or not part:
+            return
+        assert all(lo <= p[2] < hi for p in part)
+        mid = lo + (hi - lo) // 2
+        ends = [(min(p[0][d] for p in part), max(p[0][d] for p in part)) for d in (0, 1)]
+        wide = [(b - a) / s if s else 0.0 for (a, b), s in zip(ends, span)]
+        d = 0 if wide[0] >= wide[1] else 1
+        left, right = [p for p in part if p[2] < mid], [p for p in part if p[2] >= mid]
+        step = (ends[d][1] - ends[d][0]) / ((1 << 24) - 1)      # values are told apart in so many steps
+        if left and right:
+            assert max(p[0][d] for p in left) <= min(p[0][d] for p in right) + step * 1.0001, (lo, hi, d)
+        aim = sum(p[1] for p in part) * (mid - lo) / (hi - lo)
+        assert abs(sum(p[1] for p in left) - aim) <= room, (lo, hi)
+        node(left, lo, mid)
+        node(right, mid, hi)
+
+    node(points, 0, shards)

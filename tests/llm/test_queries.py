@@ -57,6 +57,17 @@ def test_op3(spark, con):
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.98 * len(held)
 
 
+def test_op3_decoder(spark, con):
+    """The query's languages and scores equal those of a plain decoder that learns from the same rows."""
+    rows = con.execute("SELECT doc_id, text, lang FROM documents ORDER BY doc_id").fetchall()
+    train = [(t, k) for i, t, k in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    want = {r[0]: w for r, w in zip(rows, brute.languages(train, [r[1] for r in rows]))}
+    got = {r.doc_id: r for r in E.queries()["op3_language_id"](spark, SF_SMALL).collect()}
+    assert got.keys() == want.keys()
+    for i, (lang, score) in want.items():
+        assert got[i].lang_pred == lang and abs(got[i].score - score) < 1e-3, i
+
+
 def test_op5(spark, con):
     rows = con.execute("SELECT doc_id, text FROM documents").fetchall()
     fp, comp = brute.simhash_components(rows)
@@ -72,6 +83,7 @@ def test_op6(spark, con):
     for s in range(16):
         slots = sorted(r.slot for r in got if r.shard == s)
         assert slots == list(range(len(slots)))
+    brute.check_kd_tree([(r["size"], r.text_crc32, r.shard) for r in got])
 
 
 def test_op7(spark, con):
