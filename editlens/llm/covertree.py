@@ -44,6 +44,7 @@ DEAL = 8192                     # vectors of a node that one task sends to its p
 RADII = (1.0, 0.5, 0.25, 0.125)
 UPPER = 1                       # level of a block's tree whose nodes are packed
 NODE_PAIRS = 1 << 19            # node pairs in a row at most, about
+NEAR = ["a", "b", "x", "y", "node", "gain", "own", "key", "root"]
 GUARD = 1e-9                    # on distance bounds, far above rounding errors
 ROWS = 512
 
@@ -361,7 +362,7 @@ def _deepen(placed: DataFrame, min_cosine: float, scratch: Scratch) -> DataFrame
 
 def _blocks(points: DataFrame, min_cosine: float, scratch: Scratch) -> DataFrame:
     """One row per block: its vectors and the tree's arrays as bytes (keys, weights, points, sizes, nodes), and
-    apart from them the nodes of level ``UPPER`` (u_points, u_radii, u_alone: one vector only)."""
+    apart from them the nodes of level ``UPPER`` (u_points, u_radii, u_alone: one vector only, u_weights, u_keys: of the centre)."""
     n = points.count()
     placed = _deepen(_place(points, n, scratch), min_cosine, scratch)
     # rows of a node are numbered and cut into blocks of BLOCK: more than one only where no pivot parted them
@@ -377,18 +378,19 @@ def _blocks(points: DataFrame, min_cosine: float, scratch: Scratch) -> DataFrame
         stored = single if whole else raw
         upper, radii, _ = tree.levels[UPPER]
         lo, hi = tree.spans[UPPER]
+        keys, weights = pdf["_key"].to_numpy(np.int64), pdf["_m"].to_numpy(np.int64)
+        upto = np.append(0, np.cumsum(weights[tree.levels[-1][0]]))
         out = {"dims": raw.shape[1], "pivot": int(pdf["_pivot"].iloc[0]), "path": pdf["_path"].iloc[0], "single": whole,
-               "keys": pdf["_key"].to_numpy(np.int64).tobytes(),
-               "weights": pdf["_m"].to_numpy(np.int64).tobytes(), "points": stored.tobytes(),
+               "keys": keys.tobytes(), "weights": weights.tobytes(), "points": stored.tobytes(),
                "sizes": [[len(lv[0]) for lv in tree.levels]],
                "nodes": b"".join(lv[1].tobytes() + lv[0].astype(np.int32).tobytes() + lv[2].astype(np.int32).tobytes()
                                  for lv in tree.levels),
                "u_n": len(upper), "u_points": stored[upper].tobytes(), "u_radii": radii.tobytes(),
-               "u_alone": (hi - lo == 1).tobytes()}
+               "u_alone": (hi - lo == 1).tobytes(), "u_weights": (upto[hi] - upto[lo]).tobytes(), "u_keys": keys[upper].tobytes()}
         return pd.DataFrame({k: v if isinstance(v, list) else [v] for k, v in out.items()})
 
     schema = ("dims int, pivot int, path string, single boolean, keys binary, weights binary, points binary, "
-              "sizes array<int>, nodes binary, u_n int, u_points binary, u_radii binary, u_alone binary")
+              "sizes array<int>, nodes binary, u_n int, u_points binary, u_radii binary, u_alone binary, u_weights binary, u_keys binary")
     built = numbered.groupBy("_d", "_path", "_part").applyInPandas(build, schema)
     return scratch.table(built.withColumn("block", F.monotonically_increasing_id()), "blocks")
 
@@ -400,7 +402,7 @@ def _packs(blocks: DataFrame, scratch: Scratch) -> DataFrame:
     before = Window.partitionBy("dims", "pivot").orderBy("path", "block").rowsBetween(Window.unboundedPreceding, -1)
     upper = blocks.select("block", "dims", "pivot", "path", "u_n")          # one narrow row a block
     upper = upper.select("block", F.floor(F.coalesce(F.sum("u_n").over(before), F.lit(0)) / BLOCK).alias("part"))
-    rows = blocks.select("block", "dims", "pivot", "single", "u_points", "u_radii", "u_alone").join(upper, "block")
+    rows = blocks.select("block", "dims", "pivot", "single", "u_points", "u_radii", "u_alone", "u_weights", "u_keys").join(upper, "block")
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("block")
@@ -417,11 +419,12 @@ def _packs(blocks: DataFrame, scratch: Scratch) -> DataFrame:
             "dims": [dims], "pivot": [int(pdf["pivot"].iloc[0])], "centre": [mean.tolist()], "far": [far], "single": [whole],
             "of": [np.repeat(pdf["block"].to_numpy(np.int64), counts).tobytes()],
             "node": [np.concatenate([np.arange(c, dtype=np.int32) for c in counts]).tobytes()],
-            "points": [raw.tobytes()], "radii": [radii.tobytes()], "alone": [b"".join(pdf["u_alone"])]})
+            "points": [raw.tobytes()], "radii": [radii.tobytes()], "alone": [b"".join(pdf["u_alone"])],
+            "weights": [b"".join(pdf["u_weights"])], "keys": [b"".join(pdf["u_keys"])]})
 
     built = rows.groupBy("dims", "pivot", "part").applyInPandas(
         build, "dims int, pivot int, centre array<double>, far double, single boolean, of binary, node binary, "
-               "points binary, radii binary, alone binary")
+               "points binary, radii binary, alone binary, weights binary, keys binary")
     return scratch.table(built.withColumn("block", F.monotonically_increasing_id()), "packs")
 
 
@@ -459,11 +462,15 @@ def block_pairs(meta: DataFrame, t: float) -> DataFrame:
 
 
 def _near(blocks: DataFrame, t: float, scratch: Scratch) -> DataFrame:
-    """(a, b, x, y), a <= b: upper nodes x of block a and y of block b, place by place, that may hold vectors
-    within ``t``. One row per pair of blocks, more only beyond ``NODE_PAIRS``."""
+    """Two kinds of rows. (a, b, x, y), a <= b: upper nodes x of block a and y of block b, place by place, that may
+    hold vectors within ``t``; one row per pair of blocks, more only beyond ``NODE_PAIRS``. (a, node, gain, own,
+    key, root), b null: all vectors under the node of block a link with others of weight ``gain`` (``own``: with each
+    other as well, in ``gain`` too), and its centre ``key`` is connected to ``root``; one row per node and pair of packs,
+    however many nodes it is whole with."""
     packs = _packs(blocks, scratch)
     pairs = scratch.table(block_pairs(packs.select("block", "dims", "pivot", "centre", "far"), t), "pack_pairs")
-    data = ["dims", "single", "of", "node", "points", "radii", "alone"]
+    data = ["dims", "single", "of", "node", "points", "radii", "alone", "weights", "keys"]
+    schema = "a bigint, b bigint, x binary, y binary, node int, gain bigint, own boolean, key bigint, root bigint"
     first = packs.select(F.col("block").alias("a"), *[F.col(c).alias(f"a_{c}") for c in data])
     other = packs.select(F.col("block").alias("b"), *[F.col(c).alias(f"b_{c}") for c in data])
 
@@ -471,7 +478,8 @@ def _near(blocks: DataFrame, t: float, scratch: Scratch) -> DataFrame:
         points = np.frombuffer(row[f"{side}_points"], np.float32 if row[f"{side}_single"] else np.float64)
         return (np.frombuffer(row[f"{side}_of"], np.int64), np.frombuffer(row[f"{side}_node"], np.int32),
                 unit(points.reshape(-1, row[f"{side}_dims"])), np.frombuffer(row[f"{side}_radii"]),
-                np.frombuffer(row[f"{side}_alone"], bool))
+                np.frombuffer(row[f"{side}_alone"], bool), np.frombuffer(row[f"{side}_weights"], np.int64),
+                np.frombuffer(row[f"{side}_keys"], np.int64))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -483,28 +491,54 @@ def _near(blocks: DataFrame, t: float, scratch: Scratch) -> DataFrame:
             ends = np.append(at[1:], len(j))
             rows = [(block, p, i[u:v], node_b[j[u:v]]) if block <= p else (p, block, node_b[j[u:v]], i[u:v])
                     for p, u, v in zip(partner.tolist(), at, ends)]
+            n = len(rows)
             return pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                 pa.array([r[2].tobytes() for r in rows], pa.binary()), pa.array([r[3].tobytes() for r in rows], pa.binary())],
-                ["a", "b", "x", "y"])
+                 pa.array([r[2].tobytes() for r in rows], pa.binary()), pa.array([r[3].tobytes() for r in rows], pa.binary()),
+                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.int64()),
+                 pa.nulls(n, pa.int64())], NEAR)
+
+        def gains(of, node, gain, own, key, root):
+            at = np.nonzero(gain)[0]
+            n = len(at)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(of[at]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.array(node[at]),
+                 pa.array(gain[at]), pa.array(own[at]), pa.array(key[at]), pa.array(root[at])], NEAR)
 
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {c: batch.column(m)[k].as_py() for m, c in enumerate(batch.schema.names)}
                 same = row["a"] == row["b"]
-                of_a, node_a, points_a, radii_a, alone_a = unpack(row, "a")
-                of_b, node_b, points_b, radii_b, _ = unpack(row, "b")
+                of_a, node_a, points_a, radii_a, alone_a, weight_a, key_a = unpack(row, "a")
+                of_b, node_b, points_b, radii_b, _, weight_b, key_b = unpack(row, "b")
+                shift = 0 if same else len(of_a)            # nodes of b come after those of a
+                gain = np.zeros(shift + len(of_b), np.int64)
+                own = np.zeros(len(gain), bool)
+                links: list[tuple[np.ndarray, np.ndarray]] = []
                 cuts = np.append(np.unique(of_a, return_index=True)[1], len(of_a))
                 for lo, hi in zip(cuts[:-1], cuts[1:]):
                     held: list[tuple[np.ndarray, np.ndarray]] = []
                     for r in range(lo, hi, ROWS):
                         part = slice(r, min(r + ROWS, hi))
                         d = _distances(points_a[part], points_b)
-                        i, j = np.nonzero(d <= t + radii_a[part, None] + radii_b[None, :] + 1e-7)
-                        i = i + r
+                        reach = radii_a[part, None] + radii_b[None, :] + 1e-7
+                        left, whole = d <= t + reach, d + reach <= t
                         if same:            # each pair once; a single vector has nothing to do with itself
-                            once = (i < j) | ((i == j) & ~alone_a[i])
-                            i, j = i[once], j[once]
+                            at = np.arange(part.start, part.stop)
+                            once = at[:, None] < np.arange(len(of_b))[None, :]
+                            itself = whole[at - r, at] & ~alone_a[at]
+                            own[at] = itself
+                            gain[at[itself]] += weight_a[at[itself]]
+                            left[at - r, at] &= ~(alone_a[at] | itself)
+                            left &= once | (at[:, None] == np.arange(len(of_b))[None, :])
+                            whole &= once
+                        if whole.any():     # linked here, by their weights
+                            left &= ~whole
+                            gain[part] += np.rint(whole @ weight_b.astype(np.float64)).astype(np.int64)
+                            gain[shift:] += np.rint(weight_a[part].astype(np.float64) @ whole).astype(np.int64)
+                            links.append(_joined(whole, r, shift))
+                        i, j = np.nonzero(left)
+                        i = i + r
                         for u in range(0, len(i), NODE_PAIRS):
                             held.append((i[u:u + NODE_PAIRS], j[u:u + NODE_PAIRS]))
                             if sum(len(h[0]) for h in held) >= NODE_PAIRS:
@@ -512,9 +546,29 @@ def _near(blocks: DataFrame, t: float, scratch: Scratch) -> DataFrame:
                                 held = []
                     if held:
                         yield portion(int(of_a[lo]), *map(np.concatenate, zip(*held)))
+                if gain.any():
+                    key = key_a if same else np.concatenate([key_a, key_b])
+                    u, v = map(np.concatenate, zip(*links)) if links else (np.empty(0, np.int64),) * 2
+                    yield gains(*((of_a, node_a) if same else (np.concatenate([of_a, of_b]), np.concatenate([node_a, node_b]))),
+                                gain, own, key, key[roots(len(key), u, v)])
 
     both = pairs.join(first, "a").join(other, "b")
-    return scratch.table(both.mapInArrow(run, "a bigint, b bigint, x binary, y binary"), "near")
+    return scratch.table(both.mapInArrow(run, schema), "near")
+
+
+def _joined(mask: np.ndarray, first: int, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links enough to join what ``mask`` connects: its rows are nodes from ``first`` on, its columns nodes from
+    ``shift`` on. At most one link per row and column."""
+    none = len(mask)
+    row = np.where(mask.any(axis=1), np.arange(none), none)
+    while True:
+        col = np.where(mask, row[:, None], none).min(axis=0)
+        new = np.minimum(row, np.where(mask, col[None, :], none).min(axis=1))
+        if (new == row).all():
+            break
+        row = new
+    i, j = np.nonzero(row < none)[0], np.nonzero(col < none)[0]
+    return np.concatenate([i + first, j + shift]), np.concatenate([row[i], col[j]]) + first
 
 
 def _links(blocks: DataFrame, min_cosine: float, scratch: Scratch) -> DataFrame:
@@ -525,7 +579,25 @@ def _links(blocks: DataFrame, min_cosine: float, scratch: Scratch) -> DataFrame:
     data = ["dims", "single", "keys", "weights", "points", "sizes", "nodes"]
     first = blocks.select(F.col("block").alias("a"), *[F.col(c).alias(f"a_{c}") for c in data])
     other = blocks.select(F.col("block").alias("b"), *[F.col(c).alias(f"b_{c}") for c in data])
-    both = near.join(first, "a").join(other, "b")
+    both = near.where("b is not null").select("a", "b", "x", "y").join(first, "a").join(other, "b")
+    # what whole nodes add, summed before any vector is read
+    whole = near.where("b is null").groupBy("a", "node").agg(F.sum("gain").alias("gain"), F.max("own").alias("own"))
+    whole = whole.groupBy("a").agg(F.collect_list(F.struct("node", "gain", "own")).alias("whole"))    # nodes of one block
+    apart = near.where("b is null and key != root").select(F.col("key").alias("_key"), F.lit(0).cast("long").alias("n"), "root")
+
+    def spread(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(k)[i].as_py() for k, c in enumerate(batch.schema.names)}
+                keys, weights, tree = _tree({c: row[f"a_{c}"] for c in data})
+                node = np.array([w["node"] for w in row["whole"]])
+                lo, hi = (x[node] for x in tree.spans[UPPER])
+                at = tree.levels[-1][0][np.concatenate([np.arange(x, y) for x, y in zip(lo, hi)])]
+                each = [np.repeat(x, hi - lo) for x in ([w["gain"] for w in row["whole"]], [w["own"] for w in row["whole"]],
+                                                        keys[tree.levels[UPPER][0][node]])]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[at]), pa.array(each[0] - each[1] * weights[at]), pa.array(each[2])],
+                                                 ["_key", "n", "root"])
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -545,4 +617,5 @@ def _links(blocks: DataFrame, min_cosine: float, scratch: Scratch) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key[at]), pa.array(n[at]), pa.array(key[label[at]])], ["_key", "n", "root"])
 
-    return both.mapInArrow(run, "_key bigint, n bigint, root bigint")
+    schema = "_key bigint, n bigint, root bigint"
+    return both.mapInArrow(run, schema).union(whole.join(first, "a").mapInArrow(spread, schema)).union(apart)

@@ -368,7 +368,9 @@ def test_covertree_pairs_of_blocks_grow_with_the_vectors(spark, monkeypatch, tmp
         blocks = covertree._blocks(df, 0.95, scratch)
         links = covertree._links(blocks, 0.95, scratch).groupBy("_key").sum("n").collect()
         assert len(links) == len(rows) and {x[1] for x in links} == {copies - 1}
-        seen.append((blocks.count(), spark.read.parquet(f"{scratch.base}/near").count()))
+        near = spark.read.parquet(f"{scratch.base}/near")
+        seen.append((blocks.count(), near.where("b is not null").count()))
+        assert near.count() < 4 * len(rows)
         df.unpersist()
     (few, pairs), (many, more) = seen
     assert pairs < 4 * few and more < 4 * many and many > 2 * few, seen
@@ -383,9 +385,24 @@ def test_covertree_distributed_levels(spark, monkeypatch):
     ball = r.normal(size=(1, 16)) + 0.002 * r.normal(size=(200, 16))
     points = np.concatenate([ball, r.normal(size=(400, 16))])
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "vec_id bigint, embedding array<double>")
+    met = []
+    near = covertree._near
+    monkeypatch.setattr(covertree, "_near", lambda *a: met.append(near(*a)) or met[-1])
     n, links = brute.cosine_links(points.tolist())
     comp = brute.component_ids(len(points), links, list(range(len(points))))
     assert sorted(tuple(x) for x in covertree.near_duplicates(df).collect()) == list(zip(range(len(points)), n, comp))
+    # blocks of the ball are linked by their upper nodes: they do not meet
+    assert met[0].where("b is null").count() >= 200 / 32 and met[0].where("b is not null").count() < 400
+
+
+def test_covertree_joined():
+    """Links of a mask connect what its cells connect."""
+    r = np.random.default_rng(1)
+    for share in (0.02, 0.1, 0.6):
+        mask = r.random((30, 40)) < share
+        u, v = covertree._joined(mask, 5, 100)
+        i, j = np.nonzero(mask)
+        assert len(u) <= 70 and covertree.roots(140, u, v).tolist() == covertree.roots(140, i + 5, j + 100).tolist()
 
 
 # ------------------------------------------------------------------ substrings
