@@ -9,8 +9,8 @@ have to start (positional bound) and whether it fits (length bound); what is
 left is verified word by word.
 
 Words are runs of [0-9A-Za-z] and non-ASCII characters; comparison is on
-texts with A-Z lower-cased. Joins use Unicode lower case, which only adds
-candidates; the verification is exact.
+texts with A-Z lower-cased. One translation of the text lower-cases A-Z and turns
+everything between words into spaces, so that words are cut at spaces, once per pass.
 """
 
 from __future__ import annotations
@@ -20,20 +20,17 @@ from pyspark.sql import functions as F
 
 from editlens.llm.scratch import Scratch, sized, whole_rows
 
-# words, before lower-casing: the pattern [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ plus A-Z
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# ASCII characters outside words: \x00-\x2F, \x3A-\x40, \x5B-\x60, \x7B-\x7F
+BETWEEN = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 WINDOW = 13
 SHINGLE = 3
 
 
 def words(text: str) -> Column:
-    return F.coalesce(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)),
-                      F.array().cast("array<string>"))
-
-
-def ascii_lower(c: Column) -> Column:
-    return F.translate(c, UPPER, LOWER)
+    """Words of a text (null: none), A-Z lower-cased."""
+    spaced = F.translate(F.col(text), BETWEEN + UPPER, " " * len(BETWEEN) + LOWER)
+    return F.coalesce(F.array_remove(F.split(spaced, " "), ""), F.array().cast("array<string>"))
 
 
 def text_key(text: str) -> Column:
@@ -47,13 +44,13 @@ def _windows(items: DataFrame, item_col: str, text_col: str, window: int) -> Dat
                      words(text_col).alias("_w")).where(F.size("_w") > 0)
     starts = F.explode(F.sequence(F.lit(1), F.greatest(F.size("_w") - window + 1, F.lit(1))))
     w = w.select("_item", "_w", starts.alias("_at"))
-    w = w.select("_item", ascii_lower(F.array_join(F.slice("_w", F.col("_at"), F.lit(window)), " ")).alias("wkey"))
+    w = w.select("_item", F.array_join(F.slice("_w", F.col("_at"), F.lit(window)), " ").alias("wkey"))
     return w.groupBy("wkey").agg(F.collect_set("_item").alias("items")).select(
         "wkey", F.size(F.split("wkey", " ")).alias("len"), "items")
 
 
 def _shingle(words_col: Column, at: Column, k: int) -> Column:
-    return F.xxhash64(F.lit(k), *[F.lower(F.get(words_col, at + j)) for j in range(k)])
+    return F.xxhash64(F.lit(k), *[F.get(words_col, at + j) for j in range(k)])
 
 
 def _prefixes(rows: DataFrame, items: DataFrame, scratch: Scratch, item_col: str, item_text: str,
@@ -89,7 +86,9 @@ def _doc_shingles(rows: DataFrame, ks: list[int], heads: bool = False) -> DataFr
     """rows (with ``_w``) -> one row per position and shingle length: _pos, tok.
     ``heads``: besides, a row with null tok for each input row."""
     n = F.size("_w")
-    at = rows.select("*", (F.posexplode_outer if heads else F.posexplode)("_w").alias("_pos", "_word")).drop("_word")
+    # outer without heads too (a wordless row's tok is null): the inner form makes Spark filter by
+    # size(_w) below the projection, which cuts every text into words a second time
+    at = rows.select("*", F.posexplode_outer("_w").alias("_pos", "_word")).drop("_word")
     toks = [F.when(F.col("_pos") + k <= n, _shingle(F.col("_w"), F.col("_pos"), k)) for k in ks]
     if len(ks) == 1 and not heads:
         return at.withColumn("tok", toks[0]).where("tok is not null")
@@ -126,7 +125,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     n, start = F.size("_w"), F.col("_pos") - F.col("off")
     found = _doc_shingles(rows, ks, heads=True).withColumn("_n", n)
     bounds = (start >= 0) & (start + F.col("len") <= F.col("_n"))
-    same = ascii_lower(F.array_join(F.slice("_w", start + 1, F.col("len")), " ")) == F.col("wkey")
+    same = F.array_join(F.slice("_w", start + 1, F.col("len")), " ") == F.col("wkey")
     span = F.struct(start.alias("start"), (start + F.col("len")).alias("stop"))
     if small:
         met = found.join(need, "tok", "left").where(F.col("tok").isNull() | (bounds & same))

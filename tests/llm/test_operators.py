@@ -3,6 +3,7 @@ nulls, empty and long texts, ties, repeated rows, clashing extra columns, empty
 
 import math
 import random
+import re
 import zlib
 from itertools import combinations
 
@@ -193,6 +194,26 @@ def test_decontaminate_by_shuffle(monkeypatch, spark, docs):
     assert keyed(map(repr, decontam.decontaminate(docs, bench).collect())) == small
 
 
+def test_decontaminate_cuts_each_text_once_a_pass(spark, docs):
+    """No filter below the projection repeats the cutting of texts into words."""
+    rows = docs.select(decontam.words("text").alias("_w"))
+    for heads in (False, True):
+        for ks in ([3], [1, 2, 3]):
+            plan = decontam._doc_shingles(rows, ks, heads)._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("split(") + plan.count("regexp_extract_all(") == 1
+
+
+def test_decontamination_words_are_those_of_the_pattern(spark):
+    """Every ASCII character, other scripts, letters whose lower case is ASCII only in Unicode, pairs of surrogates."""
+    texts = ["".join(map(chr, range(128))), "".join(f"a{chr(c)}B" for c in range(128)), " x  y ", "\0\0", "", None,
+             "K Å İ ΣΑΣ. ΟΔΟΣ'Σ", "𝔸𝔹 Aa\u00a0b\u2028c", "a\\b|c.d$e^f[g]"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").select(
+        "i", decontam.words("text").alias("w")).collect()
+    lower = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+    pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    assert {r.i: r.w for r in got} == {i: re.findall(pattern, (t or "").translate(lower)) for i, t in enumerate(texts)}
+
+
 def test_decontaminate_empty(docs, no_docs, spark):
     bench = spark.createDataFrame([(1, "one")], "item_id int, text string")
     assert decontam.decontaminate(no_docs, bench).collect() == []
