@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from editlens.config import DEFAULTS
+from editlens.config import DEFAULTS, UNKNOWN_KEY
 from editlens.functions import group_key, has_wiki, not_bot, should_count
 from editlens.operators import views, windows
 from editlens.plans import publish
@@ -166,10 +166,12 @@ def pane_stream(events: DataFrame, window_s: int = DEFAULTS.window_seconds,
     until the pane has left the trailing window (watermark = window + pane).
 
     An event dated after its arrival counts at its arrival: the log's clock, which
-    no single record can move, bounds the event time before the watermark.
+    no single record can move, bounds the event time before the watermark. Events that are
+    not admitted only move the clock: those of a pane share one row of the state.
     """
     clocked = (with_clocks(events).withColumn("event_time", F.least("event_time", "arrival_time"))
-               .withColumns({"wiki": group_key(), "counted": should_count()}))
+               .withColumn("counted", should_count())
+               .withColumn("wiki", F.when(F.col("counted"), group_key()).otherwise(F.lit(UNKNOWN_KEY))))
     return (clocked.withWatermark("event_time", f"{window_s + pane_s} seconds")
             .groupBy(F.window("event_time", f"{pane_s} seconds").alias("pane"), "wiki")
             .agg(F.count_if("counted").alias("count"), F.max("event_time").alias("last")))
@@ -185,10 +187,16 @@ def state_panes(spark: SparkSession, checkpoint: str, batch_id: int | None = Non
                                      F.col("value.max").alias("last"))
 
 
-def live_panes(panes: DataFrame, window_s: int = DEFAULTS.window_seconds) -> DataFrame:
-    """(wiki, count) over the panes that are live at the newest event."""
-    lower = windows.as_of_literal(panes, "last") - F.make_interval(secs=F.lit(window_s))
-    return (panes.where((F.col("pane_start") >= lower) & (F.col("count") > 0))
+def in_reach(as_of: Column, window_s: int) -> Column:
+    """The pane is in the trailing window that ends at ``as_of``."""
+    return F.col("pane_start") >= as_of - F.make_interval(secs=F.lit(window_s))
+
+
+def live_panes(panes: DataFrame, window_s: int = DEFAULTS.window_seconds, as_of: Column | None = None) -> DataFrame:
+    """(wiki, count) over the panes that are live at the newest event (default: of the panes)."""
+    if as_of is None:
+        as_of = windows.as_of_literal(panes, "last")
+    return (panes.where(in_reach(as_of, window_s) & (F.col("count") > 0))
             .groupBy("wiki").agg(F.sum("count").cast("long").alias("count")))
 
 
@@ -199,20 +207,40 @@ def snapshot_writer(spark: SparkSession, checkpoint: str, snapshot_path: str,
     The panes of a micro-batch are the state that the one before committed, with those
     the batch changed in their place: counts only grow, so the larger one is newer. The sum
     over the live ones is published as the version of that batch (a retried batch
-    rewrites its own). Nothing but the state store holds panes.
+    rewrites its own; a batch that changes nothing leaves the version before). Nothing but the state store holds panes.
+
+    The state is read once. Panes that have left the window at the batch's own newest event go
+    before anything is shuffled: a micro-batch may be far longer than the window.
     """
     from editlens.plans.serving import write_snapshot
 
+    def newest(panes: DataFrame) -> tuple[int | None, int]:
+        """Newest event (epoch microseconds) and number of rows."""
+        return tuple(panes.agg(F.max(F.unix_micros("last")), F.count(F.lit(1))).first())
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        changed = batch.select(F.col("pane.start").alias("pane_start"), "wiki", "count", "last").persist()
+        panes = changed = batch.select(F.col("pane.start").alias("pane_start"), "wiki", "count", "last").persist()
+        before = None
         try:
-            panes = changed
+            at, rows = newest(changed)
+            if at is None and batch_id > 0 and publish.versions(spark, snapshot_path):
+                return
             if batch_id > 0:
-                panes = (changed.unionByName(state_panes(spark, checkpoint, batch_id - 1)).groupBy("pane_start", "wiki")
-                         .agg(F.max("count").alias("count"), F.max("last").alias("last")))
-            write_snapshot(live_panes(panes, window_s), snapshot_path, window_s, version=batch_id)
+                before = state_panes(spark, checkpoint, batch_id - 1)
+                if at is not None:
+                    before = before.where(in_reach(F.timestamp_micros(F.lit(at)), window_s))
+                panes = before.persist().unionByName(changed)
+                last, more = newest(before)
+                at, rows = max((t for t in (at, last) if t is not None), default=None), rows + more
+            as_of = F.timestamp_micros(F.lit(at).cast("long"))
+            # one shuffle, by wiki (at most two rows for each pane of the window), as wide as the rows ask for
+            panes = (panes.where(in_reach(as_of, window_s)).repartition(max(1, -(-rows // DEFAULTS.landed_rows)), "wiki")
+                     .groupBy("pane_start", "wiki").agg(F.max("count").alias("count")))
+            write_snapshot(live_panes(panes, window_s, as_of), snapshot_path, window_s, version=batch_id)
         finally:
             changed.unpersist()
+            if before is not None:
+                before.unpersist()
     return write
 
 

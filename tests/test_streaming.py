@@ -174,3 +174,77 @@ def test_progress_frame(spark, tmp_dir):
     pf = progress_frame(spark, q).orderBy("batch_id").collect()
     assert pf[0].input_rows == 2 and pf[0].batch_id == 0
     assert pf[-1].watermark is not None
+
+
+def _edit(wiki, second, n, **kw):
+    t = (T0 + dt.timedelta(seconds=second)).strftime("%Y-%m-%dT%H:%M:%S.000000Z")
+    return json.dumps(dict(dict(wiki=wiki, id=f"{wiki}-{second}-{n}", type="edit", bot=False, event_time=t, arrival_time=t), **kw))
+
+
+def _put_edits(dir_, files):
+    """One JSON file of edits per list, in that order."""
+    os.makedirs(dir_, exist_ok=True)
+    for i, rows in enumerate(files):
+        path = os.path.join(dir_, f"f{i}.json")
+        with open(path, "w") as f:
+            f.write("\n".join(rows) + "\n")
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+
+
+def test_snapshot_reads_the_state_once_per_batch(spark, tmp_dir, monkeypatch):
+    """Each state row is read once by the batch after it, and by none that changes nothing."""
+    from editlens.plans import serving
+    src, snap, ck = (os.path.join(tmp_dir, d) for d in ("in", "snap", "ck"))
+    _put_edits(src, [[_edit("a", 1, 0), _edit("b", 2, 0)], [_edit("a", 12, 0)], [_edit("c", 25, 0)]])
+    read, plain = spark.sparkContext.accumulator(0), speed.state_panes
+
+    @F.udf("boolean")
+    def seen(t):
+        read.add(1)
+        return True
+
+    monkeypatch.setattr(speed, "state_panes", lambda *a: plain(*a).where(seen.asNondeterministic()("pane_start")))
+    q = speed.run_snapshot(spark, speed.read_events_stream(spark, src, max_files=1), snap, ck, trigger={"availableNow": True})
+    speed.run_to_end(q)
+    assert {r.wiki: r["count"] for r in serving.read_snapshot(spark, snap).collect()} == {"a": 2, "b": 1, "c": 1}
+    assert read.value == 2 + 3          # the states of the first two batches
+    assert publish.versions(spark, snap) == [1, 2]
+
+
+def test_snapshot_shuffle_is_as_wide_as_the_rows(spark, tmp_dir):
+    src, snap, ck = (os.path.join(tmp_dir, d) for d in ("in", "snap", "ck"))
+    _put_edits(src, [[_edit(f"w{i}", 1, 0) for i in range(40)], [_edit(f"w{i}", 2, 0) for i in range(40)]])
+    q = speed.run_snapshot(spark, speed.read_events_stream(spark, src, max_files=1), snap, ck, trigger={"availableNow": True})
+    speed.run_to_end(q)
+    for v in publish.versions(spark, snap):
+        assert len([f for f in os.listdir(f"{snap}/v={v}") if f.startswith("part-")]) == 1
+
+
+def test_snapshot_of_batches_longer_than_the_window_and_out_of_order(spark, tmp_dir):
+    """A batch that spans many windows, an older one after a newer one, one that admits nothing but moves the clock,
+    one that admits nothing and is old, an empty file: each version is what a plain count over all rows so far gives."""
+    from editlens.plans import serving
+    src, snap, ck = (os.path.join(tmp_dir, d) for d in ("in", "snap", "ck"))
+    files = [[_edit(f"w{i % 7}", i * 37, i) for i in range(60)],
+             [_edit("w1", 2100, 1), _edit("w2", 2101, 1), _edit("w9", 2000, 1, bot=True)],
+             [_edit("w3", 2330, 1, bot=True), _edit("w4", 2331, 1, type="log")],
+             [], [_edit("w1", 2200, 2, type="log")], [_edit("w5", 2335, 1), _edit("w1", 2335, 3)]]
+    _put_edits(src, files)
+    q = speed.run_snapshot(spark, speed.read_events_stream(spark, src, max_files=1), snap, ck, 300, 10, {"availableNow": True})
+    speed.run_to_end(q)
+    rows = [json.loads(r) for f in files for r in f]
+    secs = lambda r: int((dt.datetime.fromisoformat(r["event_time"]).replace(tzinfo=None) - T0).total_seconds())
+    as_of, want = max(map(secs, rows)), {}
+    for r in rows:
+        if not r["bot"] and r["type"] == "edit" and secs(r) // 10 * 10 >= as_of - 300:
+            want[r["wiki"]] = want.get(r["wiki"], 0) + 1
+    assert {r.wiki: r["count"] for r in serving.read_snapshot(spark, snap, 50).collect()} == want
+    assert {r.wiki: r["count"] for r in serving.state_snapshot(spark, ck, 50).collect()} == want
+
+
+def test_events_not_admitted_share_a_state_row(spark, tmp_dir):
+    src, ck = (os.path.join(tmp_dir, d) for d in ("in", "ck"))
+    _put_edits(src, [[_edit(f"w{i}", 1, 0, bot=True) for i in range(20)] + [_edit("a", 2, 0), _edit("unknown", 3, 0)]])
+    speed.run_to_end(speed.start_query(speed.pane_stream(speed.read_events_stream(spark, src)), ck, "update", "noop",
+                                       trigger={"availableNow": True}))
+    assert sorted((r.wiki, r["count"]) for r in speed.state_panes(spark, ck).collect()) == [("a", 1), ("unknown", 1)]
