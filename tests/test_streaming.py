@@ -191,8 +191,9 @@ def _put_edits(dir_, files):
         os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
 
 
-def test_snapshot_reads_the_state_once_per_batch(spark, tmp_dir, monkeypatch):
-    """Each state row is read once by the batch after it, and by none that changes nothing."""
+@pytest.mark.parametrize("log", [False, True])
+def test_snapshot_reads_the_state_once_per_batch(spark, tmp_dir, monkeypatch, log):
+    """Each state row is read once by the batch after it, and by none that changes nothing; of log records too."""
     from editlens.plans import serving
     src, snap, ck = (os.path.join(tmp_dir, d) for d in ("in", "snap", "ck"))
     _put_edits(src, [[_edit("a", 1, 0), _edit("b", 2, 0)], [_edit("a", 12, 0)], [_edit("c", 25, 0)]])
@@ -204,8 +205,10 @@ def test_snapshot_reads_the_state_once_per_batch(spark, tmp_dir, monkeypatch):
         return True
 
     monkeypatch.setattr(speed, "state_panes", lambda *a: plain(*a).where(seen.asNondeterministic()("pane_start")))
-    q = speed.run_snapshot(spark, speed.read_events_stream(spark, src, max_files=1), snap, ck, trigger={"availableNow": True})
-    speed.run_to_end(q)
+    events = speed.read_events_stream(spark, src, max_files=1)
+    if log:
+        events = speed.decode_envelope(speed.envelope(events))
+    speed.run_to_end(speed.run_snapshot(spark, events, snap, ck, trigger={"availableNow": True}))
     assert {r.wiki: r["count"] for r in serving.read_snapshot(spark, snap).collect()} == {"a": 2, "b": 1, "c": 1}
     assert read.value == 2 + 3          # the states of the first two batches
     assert publish.versions(spark, snap) == [1, 2]
