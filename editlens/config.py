@@ -43,6 +43,7 @@ class Defaults:
     flush_seconds: int = 10
     raw_file_records: int = 1_000_000   # of a raw history file; producers flush far smaller ones
     landed_rows: int = 250_000          # of a landed stream file
+    state_partitions: int = 24          # of the snapshot's state, if a micro-batch has no more files
     fanout: int = 5
     key_max_len: int = 256
     period_seconds: int = 60

@@ -425,9 +425,9 @@ def q_replay_stream(spark, sf):
     return spark.read.parquet(out)
 
 
-def _snapshot(spark, src):
+def _snapshot(spark, src, files):
     snap, ck = fresh_dir(spark, "snapshot"), fresh_dir(spark, "ckpt")
-    speed.run_to_end(speed.run_snapshot(spark, src, snap, ck, TRAIL_S, PANE_S, AVAILABLE_NOW))
+    speed.run_to_end(speed.run_snapshot(spark, src, snap, ck, TRAIL_S, PANE_S, AVAILABLE_NOW, speed.state_width(files)))
     return serving.read_snapshot(spark, snap, TOP).select("rank", "wiki", "count", "window_s")
 
 
@@ -439,21 +439,26 @@ FROM speed_top"""
 
 @query("speed_snapshot", with_edits(_RANKED_SQL, _LIVE, _SPEED_TOP))
 def q_speed_snapshot(spark, sf):
-    return _snapshot(spark, _stream(spark, sf))
+    path, files = _landed(spark, sf)
+    return _snapshot(spark, speed.read_events_stream(spark, path, max_files=files), files)
 
 
 @query("speed_snapshot_log", with_edits(_RANKED_SQL, _LIVE.replace("event_time", "arrival_time"), _SPEED_TOP))
 def q_speed_snapshot_log(spark, sf):
     """The same from log records: envelope, decoded record, arrival clock."""
-    return _snapshot(spark, speed.decode_envelope(speed.envelope(_stream(spark, sf))))
+    path, files = _landed(spark, sf)
+    src = speed.read_events_stream(spark, path, max_files=files)
+    return _snapshot(spark, speed.decode_envelope(speed.envelope(src)), files)
 
 
 @query("speed_state_view", with_edits(_RANKED_SQL, _LIVE, _SPEED_TOP))
 def q_speed_state_view(spark, sf):
     """The same ranks read from the state of the pane counts; the stream publishes nothing."""
     ck = fresh_dir(spark, "ckpt")
-    speed.run_to_end(speed.start_query(speed.pane_stream(_stream(spark, sf), TRAIL_S, PANE_S), ck, "update", "noop",
-                                       trigger=AVAILABLE_NOW))
+    path, files = _landed(spark, sf)
+    src = speed.read_events_stream(spark, path, max_files=files)
+    speed.run_to_end(speed.start_query(speed.pane_stream(src, TRAIL_S, PANE_S), ck, "update", "noop",
+                                       trigger=AVAILABLE_NOW, state_partitions=speed.state_width(files)))
     return serving.state_snapshot(spark, ck, TOP, TRAIL_S).select("rank", "wiki", "count", "window_s")
 
 

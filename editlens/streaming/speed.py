@@ -30,6 +30,7 @@ from editlens.sources.raw import land_raw, record_columns, sink_id, write_hours
 from editlens.sources.stream import stream_source, to_log_records
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+WIDTH = "spark.sql.shuffle.partitions"
 
 
 # ------------------------------------------------------------------ decoding
@@ -94,9 +95,14 @@ def windowed_counts(events: DataFrame, time_col: str = "event_time",
 
 def start_query(stream: DataFrame, checkpoint: str, output_mode: str, sink: str | None = None,
                 path: str | None = None, trigger: dict | None = None,
-                foreach_batch=None, options: dict[str, str] | None = None) -> StreamingQuery:
+                foreach_batch=None, options: dict[str, str] | None = None,
+                state_partitions: int | None = None) -> StreamingQuery:
     """writeStream with a checkpoint, a file sink or a foreachBatch writer, and
-    a trigger (processing time by default)."""
+    a trigger (processing time by default).
+
+    ``state_partitions`` is the width of a new checkpoint's state, at most the session's shuffle partitions
+    (the default). Every partition is committed by every micro-batch, whatever rows it has.
+    """
     w = (stream.writeStream.outputMode(output_mode)
          .option("checkpointLocation", checkpoint).options(**(options or {})))
     if foreach_batch is not None:
@@ -106,7 +112,15 @@ def start_query(stream: DataFrame, checkpoint: str, output_mode: str, sink: str
         if path is not None:
             w = w.option("path", path)
     w = w.trigger(**(trigger or {"processingTime": DEFAULTS.trigger}))
-    return w.start()
+    if state_partitions is None:
+        return w.start()
+    conf = stream.sparkSession.conf
+    was, most = conf.get(WIDTH, None), int(conf.get(WIDTH))
+    conf.set(WIDTH, min(most, state_partitions))
+    try:
+        return w.start()             # the query keeps the settings it starts with
+    finally:
+        conf.unset(WIDTH) if was is None else conf.set(WIDTH, was)
 
 
 def run_speed(events: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
@@ -246,9 +260,16 @@ def snapshot_writer(spark: SparkSession, checkpoint: str, snapshot_path: str,
 
 def run_snapshot(spark: SparkSession, events: DataFrame, snapshot_path: str, checkpoint: str,
                  window_s: int = DEFAULTS.window_seconds, pane_s: int = DEFAULTS.pane_seconds,
-                 trigger: dict | None = None) -> StreamingQuery:
+                 trigger: dict | None = None, state_partitions: int | None = None) -> StreamingQuery:
     return start_query(pane_stream(events, window_s, pane_s), checkpoint, "update", trigger=trigger,
-                       foreach_batch=snapshot_writer(spark, checkpoint, snapshot_path, window_s))
+                       foreach_batch=snapshot_writer(spark, checkpoint, snapshot_path, window_s),
+                       state_partitions=state_partitions)
+
+
+def state_width(files: int) -> int:
+    """State partitions of a ``pane_stream`` whose micro-batch is so many landed files: a file's rows or less
+    come to each, so their number follows the rows of a micro-batch."""
+    return max(DEFAULTS.state_partitions, files)
 
 
 # ------------------------------------------------------------ dual write etc.
@@ -445,6 +466,8 @@ def arguments(argv: list[str]):
     p.add_argument("--include-bots", action="store_true", help="windowed mode: count bots too")
     p.add_argument("--panes", action="store_true", help="pre-aggregate panes before the hop")
     p.add_argument("--max-files", type=int, default=DEFAULTS.max_files, help="files per micro-batch")
+    p.add_argument("--state-partitions", type=int, default=None,
+                   help="snapshot mode: width of a new checkpoint's state (default: the session's shuffle partitions)")
     p.add_argument("--format", default="json", help="json, parquet or a log connector's name")
     p.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="source option")
     return p.parse_args(argv)
@@ -478,7 +501,7 @@ def main(argv: list[str]) -> None:
                       not a.include_bots)
     else:
         q = run_snapshot(spark, stream, f"{a.out}/snapshot", a.checkpoint,
-                         windows.duration_seconds(a.window), trigger=trigger)
+                         windows.duration_seconds(a.window), trigger=trigger, state_partitions=a.state_partitions)
     run_to_end(q)
     spark.stop()
 

@@ -251,3 +251,28 @@ def test_events_not_admitted_share_a_state_row(spark, tmp_dir):
     speed.run_to_end(speed.start_query(speed.pane_stream(speed.read_events_stream(spark, src)), ck, "update", "noop",
                                        trigger={"availableNow": True}))
     assert sorted((r.wiki, r["count"]) for r in speed.state_panes(spark, ck).collect()) == [("a", 1), ("unknown", 1)]
+
+
+@pytest.mark.parametrize("name", ["speed_snapshot", "speed_snapshot_log", "speed_state_view"])
+def test_snapshot_state_is_as_wide_as_the_rows(spark, tmp_dir, monkeypatch, name):
+    """Every state partition is committed by every micro-batch: their number follows the landed files, not the
+    session's shuffle partitions, which a run leaves as they were."""
+    from editlens.plans import catalog, catalog_io
+    from editlens.sources.fixtures import TABLE_SCHEMAS
+    rows = [(i, T0.replace(tzinfo=None) + dt.timedelta(minutes=61 * i), i % 3, "click", 1.0, '{"k": %d}' % (3 + i % 2)) for i in range(60)]
+    spark.createDataFrame(rows, TABLE_SCHEMAS["events"]).write.parquet(os.path.join(tmp_dir, "events.parquet"))
+    dirs, plain = {}, catalog_io.fresh_dir
+    monkeypatch.setattr(catalog_io, "fresh_dir", lambda s, n: dirs.setdefault(n, plain(s, n)))
+    was = spark.conf.get(speed.WIDTH)
+    try:
+        for width, want in ((30, 24), (5, 5)):
+            dirs.clear()
+            spark.conf.set(speed.WIDTH, width)
+            got = catalog.QUERIES[name](spark, tmp_dir).collect()
+            assert spark.conf.get(speed.WIDTH) == str(width)
+            state = os.path.join(dirs["ckpt"].removeprefix("file:"), "state", "0")
+            assert len([d for d in os.listdir(state) if d.isdigit()]) == want
+            assert {r.wiki: r["count"] for r in got} == {"wiki_0": 8, "wiki_1": 8, "wiki_2": 8}
+    finally:
+        spark.conf.set(speed.WIDTH, was)
+    assert [speed.state_width(n) for n in (2, 24, 90)] == [24, 24, 90]
